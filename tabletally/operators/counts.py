@@ -22,9 +22,18 @@ from ..sources.lake import LakeTable
 
 # A column no table has: with it as the read schema nothing is inferred on
 # the driver, and selecting only file metadata prunes every data column.
+_BROADCAST_BYTES = 8 << 20
+
 _ABSENT = T.StructType([T.StructField("__tabletally_absent__", T.IntegerType(), True)])
 
 
+def _reader(spark: SparkSession, fmt: str):
+    # Files are listed under each table root without partition discovery:
+    # partition columns do not change a count, and table roots with and
+    # without ``k=v`` folders must be readable together.
+    return spark.read.format(fmt).schema(_ABSENT).option("recursiveFileLookup", "true")
+
+
 def count_lake_rows(
     spark: SparkSession, tables: list[LakeTable], database: str, fmt: str = "parquet"
 ) -> DataFrame:
@@ -35,7 +44,7 @@ def count_lake_rows(
     if len(parents) != 1:
         raise ValueError("tables of one lake must share one folder")
     prefix = parents.pop() + "/"
-    scan = spark.read.format(fmt).schema(_ABSENT).load([t.path for t in tables])
+    scan = _reader(spark, fmt).load([t.path for t in tables])
     per_entry = (
         scan.select(first_component_after(uri_raw_path(F.col("_metadata.file_path")), prefix).alias("entry"))
         .groupBy("entry")
@@ -44,6 +53,13 @@ def count_lake_rows(
     names = spark.createDataFrame(
         [(t.entry, t.name) for t in tables], "entry string, table_name string"
     )
+    # Every scanned file lies under one listed path, so the aggregate has at
+    # most one row per listed table: its size is bounded by the name list the
+    # driver holds. Broadcast it when that bound is small, else let the
+    # planner shuffle.
+    bound = sum(len(t.entry) + 16 for t in tables)
+    if bound <= _BROADCAST_BYTES:
+        per_entry = F.broadcast(per_entry)
     return names.join(per_entry, "entry", "left").select(
         F.lit(database).alias("database_name"),
         "table_name",
@@ -66,7 +82,7 @@ def count_each_table(
 
     def one(t: LakeTable):
         try:
-            return t, spark.read.format(fmt).schema(_ABSENT).load(t.path).count(), None
+            return t, _reader(spark, fmt).load(t.path).count(), None
         except Exception as exc:  # noqa: BLE001 - reported as an error row
             return t, None, str(exc).splitlines()[0][:500]
 

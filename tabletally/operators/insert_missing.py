@@ -30,11 +30,14 @@ def latest_per_key(batch: DataFrame, keys: list[str], order: list[str | Column]
         *[e.alias(f"_o{i}") for i, e in enumerate(order_exprs)],
         F.struct(*[F.col(c) for c in cols]).alias("_row"),
     )
+    # Keys come from the grouping columns, not from the struct, so the output
+    # keeps the aggregate's hash partitioning and a following join on the
+    # keys needs no second shuffle of this side.
     return (
         batch.where(~any_null(keys))
         .groupBy(*keys)
         .agg(F.max(ranked).alias("_best"))
-        .select(*[F.col("_best._row").getField(c).alias(c) for c in cols])
+        .select(*[F.col(c) if c in keys else F.col("_best._row").getField(c).alias(c) for c in cols])
     )
 
 

@@ -29,6 +29,8 @@ class LakeTable:
 def list_lake_tables(spark: SparkSession, source: Source) -> list[LakeTable]:
     """Tables of a file lake: child directories and ``*.<format>`` files.
 
+    The ``.<format>`` suffix is not part of the table name, for files and
+    folders alike.
     Names starting with ``_`` or ``.`` are skipped, as Spark skips them when
     it lists data files. The include/exclude lists of the source apply.
     """
@@ -43,10 +45,10 @@ def list_lake_tables(spark: SparkSession, source: Source) -> list[LakeTable]:
         entry_name = path.getName()
         if entry_name.startswith(("_", ".")):
             continue
-        if status.isDirectory():
+        if entry_name.endswith(suffix) and len(entry_name) > len(suffix):
+            table = entry_name[: -len(suffix)]  # a file, or a folder written as "t.parquet"
+        elif status.isDirectory():
             table = entry_name
-        elif entry_name.endswith(suffix):
-            table = entry_name[: -len(suffix)]
         else:
             continue
         if not source.keeps_table(table):

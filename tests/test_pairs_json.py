@@ -1,0 +1,67 @@
+from __future__ import annotations
+
+import json
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tabletally.operators.pairs_json import pairs_to_json
+
+DDL = "g string, pos int, k string, v string"
+
+
+def _dict_json(rows):
+    """What building a dict in position order gives, per group."""
+    out = {}
+    for g, pos, k, v in sorted(rows, key=lambda r: (r[0], r[1])):
+        if k is None:
+            continue
+        out.setdefault(g, {})[k] = v
+    return {g: json.dumps(d, separators=(",", ":"), ensure_ascii=False) for g, d in out.items()}
+
+
+def _run(spark, rows):
+    df = spark.createDataFrame(rows, DDL)
+    res = pairs_to_json(df, ["g"], "k", "v", "pos", "j")
+    return {r["g"]: r["j"] for r in res.collect()}
+
+
+def test_order_duplicates_and_nulls(spark):
+    rows = [
+        ("t", 3, "c", "int"),
+        ("t", 1, "a", "bigint"),
+        ("t", 2, "b", None),
+        ("t", 4, "a", "string"),  # duplicate: last value wins, first place kept
+        ("t", 5, None, "x"),  # null key left out
+        ("u", 1, "z", "date"),
+    ]
+    got = _run(spark, rows)
+    assert got["t"] == '{"a":"string","b":null,"c":"int"}'
+    assert got["u"] == '{"z":"date"}'
+
+
+def test_hot_group(spark):
+    rows = [("hot", i, f"k{i % 7}", f"v{i}") for i in range(20000)] + [("cold", 1, "a", "b")]
+    assert _run(spark, rows) == _dict_json(rows)
+
+
+@settings(max_examples=12, deadline=None)
+@given(
+    st.lists(
+        st.tuples(
+            st.sampled_from(["g1", "g2", "g3"]),
+            st.integers(min_value=0, max_value=10_000),
+            st.one_of(st.none(), st.sampled_from(["a", "b", "c", "d"])),
+            st.one_of(st.none(), st.text(alphabet="xyz\"\\", max_size=3)),
+        ),
+        min_size=1,
+        max_size=40,
+        unique_by=lambda r: (r[0], r[1]),
+    )
+)
+def test_matches_dict_semantics(spark, rows):
+    expected = _dict_json(rows)
+    got = _run(spark, rows)
+    assert {g: json.loads(j) for g, j in got.items()} == {g: json.loads(j) for g, j in expected.items()}
+    for g, j in got.items():
+        assert list(json.loads(j)) == list(json.loads(expected[g]))
