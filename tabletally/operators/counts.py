@@ -2,10 +2,11 @@
 
 File lakes are counted in one distributed scan over all tables. The scan
 asks for no data column (``ReadSchema: struct<>``), so Parquet/ORC answer
-from footers and row-group headers; each row is mapped to its table by the
-file it comes from, and counted with a partial (map-side) aggregate, so only
-one row per table and task is shuffled. Tables with no rows produce no group:
-the caller left-joins the table list and fills 0.
+from footers and row-group headers. Rows are counted per source file with a
+partial (map-side) aggregate, so only one row per file and task is
+shuffled; each file's count is then added to the table whose folder holds
+it. Tables with no rows produce no group: the table list is left-joined and
+the gap filled with 0.
 """
 
 from __future__ import annotations
@@ -45,11 +46,15 @@ def count_lake_rows(
         raise ValueError("tables of one lake must share one folder")
     prefix = parents.pop() + "/"
     scan = _reader(spark, fmt).load([t.path for t in tables])
-    per_entry = (
-        scan.select(first_component_after(uri_raw_path(F.col("_metadata.file_path")), prefix).alias("entry"))
-        .groupBy("entry")
-        .agg(F.count(F.lit(1)).alias("n"))
+    # Count per file first: the file path is a plain string key, hashed per
+    # row; the path-to-table mapping (a regex) then runs once per file, not
+    # once per row.
+    per_file = scan.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(
+        F.count(F.lit(1)).alias("n")
     )
+    per_entry = per_file.groupBy(
+        first_component_after(uri_raw_path(F.col("file_path")), prefix).alias("entry")
+    ).agg(F.sum("n").alias("n"))
     names = spark.createDataFrame(
         [(t.entry, t.name) for t in tables], "entry string, table_name string"
     )
