@@ -34,18 +34,33 @@ def table_schema_json(columns: DataFrame) -> DataFrame:
     return pairs_to_json(columns, TABLE_KEY, "column_name", "data_type", "pos", "table_schema")
 
 
+# Largest per-table side, by a bound computed on the driver, that is broadcast.
+BROADCAST_BOUND_BYTES = 8 << 20
+
+
 def build_inventory(
     tables: DataFrame,
     counts: DataFrame,
     columns: DataFrame,
     source_name: str,
     database_type: str,
+    bound_bytes: int | None = None,
 ) -> DataFrame:
-    """Join the three per-table frames into inventory rows."""
+    """Join the three per-table frames into inventory rows.
+
+    ``bound_bytes`` is an upper bound, known to the caller, on the size of
+    the counts and of the JSON maps (both one row per table). Under
+    ``BROADCAST_BOUND_BYTES`` both are broadcast and the joins shuffle
+    nothing; without a bound the planner (AQE) chooses from measured sizes.
+    """
+    counts = counts.select(*TABLE_KEY, "row_count")
+    maps = table_schema_json(columns)
+    if bound_bytes is not None and bound_bytes <= BROADCAST_BOUND_BYTES:
+        counts, maps = F.broadcast(counts), F.broadcast(maps)
     return (
         tables.select(*TABLE_KEY)
-        .join(counts.select(*TABLE_KEY, "row_count"), TABLE_KEY, "left")
-        .join(table_schema_json(columns), TABLE_KEY, "left")
+        .join(counts, TABLE_KEY, "left")
+        .join(maps, TABLE_KEY, "left")
         .select(
             F.lit(source_name).alias("source_name"),
             F.lit(database_type).alias("database_type"),
@@ -72,7 +87,7 @@ def lake_inventory(spark: SparkSession, source: Source, robust: bool = False) ->
     Tables whose schema or count failed are left out of ``rows``.
     """
     tables = lake.list_lake_tables(spark, source)
-    columns, col_errors = lake.column_rows(spark, source, tables)
+    columns, col_errors, column_bytes = lake.column_rows(spark, source, tables)
     counts = count_lake_rows(spark, tables, source.database, source.kind)
     count_errors: list = []
     if robust:
@@ -83,8 +98,16 @@ def lake_inventory(spark: SparkSession, source: Source, robust: bool = False) ->
     failed = col_errors + count_errors
     bad = {t for t, _, _ in failed}
     good = [t for t in tables if t.name not in bad]
+    # Both joined sides are one row per listed table; the JSON maps are no
+    # larger than the column rows built on the driver.
+    bound = column_bytes + sum(64 + 2 * len(t.name) for t in tables)
     rows = build_inventory(
-        lake.tables_frame(spark, source.database, good), counts, columns, source.name, source.kind
+        lake.tables_frame(spark, source.database, good),
+        counts,
+        columns,
+        source.name,
+        source.kind,
+        bound_bytes=bound,
     )
     errors = _errors_frame(spark, source, [(source.database, t, st, m) for t, st, m in failed])
     return Inventory(rows, errors)

@@ -66,7 +66,7 @@ def list_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def table_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = lake_source(sf_dir)
-    columns, _ = lake.column_rows(spark, src, lake.list_lake_tables(spark, src))
+    columns, _, _ = lake.column_rows(spark, src, lake.list_lake_tables(spark, src))
     return table_schema_json(columns).select("table_name", "table_schema")
 
 

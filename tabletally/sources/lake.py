@@ -64,12 +64,14 @@ def tables_frame(spark: SparkSession, database: str, tables: list[LakeTable]) ->
 
 
 def column_rows(
-    spark: SparkSession, source: Source, tables: list[LakeTable], threads: int = 8
-) -> tuple[DataFrame, list[tuple[str, str, str]]]:
+    spark: SparkSession, source: Source, tables: list[LakeTable], threads: int = 16
+) -> tuple[DataFrame, list[tuple[str, str, str]], int]:
     """Column rows ``(database, table, pos, column, type)`` of every table.
 
-    Returns the rows as a DataFrame and the tables whose schema could not be
-    read, as ``(table, stage, message)``.
+    Returns the rows as a DataFrame, the tables whose schema could not be
+    read as ``(table, stage, message)``, and the text size of the rows.
+    Spark resolves each table's schema with a small job over one footer;
+    ``threads`` of them run at once.
     """
 
     def one(t: LakeTable):
@@ -87,4 +89,5 @@ def column_rows(
                 continue
             for pos, f in enumerate(schema.fields, start=1):
                 rows.append((source.database, t.name, pos, f.name, type_text(f.dataType)))
-    return spark.createDataFrame(rows, schemas.COLUMNS), errors
+    size = sum(len(r[1]) + len(r[3]) + len(r[4]) + 8 for r in rows)
+    return spark.createDataFrame(rows, schemas.COLUMNS), errors, size
