@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import any_null
+from ..session import ensure_checkpoint_dir
 
 
 def latest_per_key(batch: DataFrame, keys: list[str], order: list[str | Column] | None = None) -> DataFrame:
@@ -82,6 +83,7 @@ def insert_missing(
 
 def write_if_any(missing: DataFrame, write) -> int:
     """Checkpoint ``missing``, count it, and write it when not empty."""
+    ensure_checkpoint_dir(missing.sparkSession, allow_local_default=True)
     missing = missing.checkpoint(eager=True)
     n = missing.count()
     if n:

@@ -8,7 +8,7 @@ whatever the size of the data counted.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..operators.counts import count_each_table, count_lake_rows
 from ..operators.pairs_json import pairs_to_json
+from ..session import ensure_checkpoint_dir
 from ..sources import jdbc, lake
 from ..sources.model import Source
 
@@ -41,12 +42,12 @@ BROADCAST_BOUND_BYTES = 8 << 20
 def build_inventory(
     tables: DataFrame,
     counts: DataFrame,
-    columns: DataFrame,
+    maps: DataFrame,
     source_name: str,
     database_type: str,
     bound_bytes: int | None = None,
 ) -> DataFrame:
-    """Join the three per-table frames into inventory rows.
+    """Join tables, counts and JSON maps (``table_schema_json``) into inventory rows.
 
     ``bound_bytes`` is an upper bound, known to the caller, on the size of
     the counts and of the JSON maps (both one row per table). Under
@@ -54,7 +55,7 @@ def build_inventory(
     nothing; without a bound the planner (AQE) chooses from measured sizes.
     """
     counts = counts.select(*TABLE_KEY, "row_count")
-    maps = table_schema_json(columns)
+    maps = maps.select(*TABLE_KEY, "table_schema")
     if bound_bytes is not None and bound_bytes <= BROADCAST_BOUND_BYTES:
         counts, maps = F.broadcast(counts), F.broadcast(maps)
     return (
@@ -78,44 +79,79 @@ def _errors_frame(spark: SparkSession, source: Source, rows) -> DataFrame:
     )
 
 
-def lake_inventory(spark: SparkSession, source: Source, robust: bool = False) -> Inventory:
-    """Inventory of a file lake.
+@dataclass
+class _LakeFacts:
+    """What one pass over a lake root yields, before sources split it."""
 
-    With ``robust`` the one-scan count runs at once (checkpointed); if it
-    fails, every table is counted on its own and the failing ones are
-    reported in ``errors`` instead of failing the whole source (quirk Q2).
-    Tables whose schema or count failed are left out of ``rows``.
-    """
-    tables = lake.list_lake_tables(spark, source)
-    columns, col_errors, column_bytes = lake.column_rows(spark, source, tables)
-    counts = count_lake_rows(spark, tables, source.database, source.kind)
+    tables: list[lake.LakeTable]
+    counts: DataFrame  # table_name, row_count
+    maps: DataFrame  # table_name, table_schema
+    failed: list[tuple[str, str, str]]  # table, stage, message
+    bound_bytes: int
+
+
+def _lake_facts(spark: SparkSession, root: Source, keep, robust: bool) -> _LakeFacts:
+    """List, read footers and count a lake root once, for the tables ``keep`` accepts."""
+    unfiltered = replace(root, include_tables=None, exclude_tables=())
+    tables = [t for t in lake.list_lake_tables(spark, unfiltered) if keep(t.name)]
+    columns, col_errors, column_bytes = lake.column_rows(spark, root, tables)
+    counts = count_lake_rows(spark, tables, root.database, root.kind)
     count_errors: list = []
     if robust:
+        ensure_checkpoint_dir(spark, allow_local_default=True)
         try:
             counts = counts.checkpoint(eager=True)
         except Exception:  # noqa: BLE001 - fall back table by table
-            counts, count_errors = count_each_table(spark, tables, source.database, source.kind)
-    failed = col_errors + count_errors
-    bad = {t for t, _, _ in failed}
-    good = [t for t in tables if t.name not in bad]
-    # Both joined sides are one row per listed table; the JSON maps are no
+            counts, count_errors = count_each_table(spark, tables, root.database, root.kind)
+    # Both per-table sides are one row per listed table; the JSON maps are no
     # larger than the column rows built on the driver.
     bound = column_bytes + sum(64 + 2 * len(t.name) for t in tables)
+    return _LakeFacts(
+        tables,
+        counts.select("table_name", "row_count"),
+        table_schema_json(columns).select("table_name", "table_schema"),
+        col_errors + count_errors,
+        bound,
+    )
+
+
+def _lake_rows(spark: SparkSession, source: Source, facts: _LakeFacts) -> Inventory:
+    bad = {t for t, _, _ in facts.failed}
+    mine = [t for t in facts.tables if source.keeps_table(t.name)]
+    db = F.lit(source.database).alias("database_name")
     rows = build_inventory(
-        lake.tables_frame(spark, source.database, good),
-        counts,
-        columns,
+        lake.tables_frame(spark, source.database, [t for t in mine if t.name not in bad]),
+        facts.counts.select(db, "table_name", "row_count"),
+        facts.maps.select(db, "table_name", "table_schema"),
         source.name,
         source.kind,
-        bound_bytes=bound,
+        bound_bytes=facts.bound_bytes,
     )
-    errors = _errors_frame(spark, source, [(source.database, t, st, m) for t, st, m in failed])
-    return Inventory(rows, errors)
+    names = {t.name for t in mine}
+    errors = [(source.database, t, st, m) for t, st, m in facts.failed if t in names]
+    return Inventory(rows, _errors_frame(spark, source, errors))
+
+
+def lake_inventory(spark: SparkSession, source: Source, robust: bool = False) -> Inventory:
+    """Inventory of a file lake.
+
+    With ``robust`` the one-scan count runs at once (checkpointed); if it
+    fails, every table is counted on its own and the failing ones are
+    reported in ``errors`` instead of failing the whole source (quirk Q2).
+    Tables whose schema or count failed are left out of ``rows``.
+    """
+    return _lake_rows(spark, source, _lake_facts(spark, source, source.keeps_table, robust))
 
 
-def jdbc_inventory(spark: SparkSession, source: Source, threads: int = 8) -> Inventory:
+def jdbc_inventory(
+    spark: SparkSession, source: Source, robust: bool = False, threads: int = 8
+) -> Inventory:
     """Inventory of a JDBC server: per database one table query, one column
-    query for all tables, and a union of count reads run as one job."""
+    query for all tables, and a union of count reads run as one job.
+
+    With ``robust`` the counts run at once; if the job fails, each table is
+    counted on its own and the failing ones go to ``errors``.
+    """
     d = jdbc.dialect(source)
     if d.kind == "oracle":
         databases = [d.default_database]
@@ -131,7 +167,7 @@ def jdbc_inventory(spark: SparkSession, source: Source, threads: int = 8) -> Inv
             return database, None, None, str(exc).splitlines()[0][:500]
         return database, t, c, None
 
-    tables, columns, counts, errors = [], [], [], []
+    tables, columns, to_count, errors = [], [], [], []
     with ThreadPoolExecutor(max_workers=max(1, min(threads, len(databases)))) as pool:
         for database, table_rows, col_df, err in pool.map(catalog, databases):
             if err is not None:
@@ -152,11 +188,32 @@ def jdbc_inventory(spark: SparkSession, source: Source, threads: int = 8) -> Inv
                     F.col("data_type").cast("string"),
                 )
             )
-            counts += jdbc.count_frames(spark, source, database, pairs)
-    tables_df = spark.createDataFrame(tables, schemas.TABLES)
+            to_count.append((database, pairs))
+
+    def counts_of(batch) -> DataFrame:
+        frames = [f for database, pairs in batch for f in jdbc.count_frames(spark, source, database, pairs)]
+        return reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], schemas.COUNTS)
+
+    counts_df = counts_of(to_count)
+    failed: set[tuple[str, str]] = set()
+    if robust and to_count:
+        ensure_checkpoint_dir(spark, allow_local_default=True)
+        try:
+            counts_df = counts_df.checkpoint(eager=True)
+        except Exception:  # noqa: BLE001 - count table by table
+            good = []
+            for database, pairs in to_count:
+                for schema, table in pairs:
+                    try:
+                        good.append(counts_of([(database, [(schema, table)])]).checkpoint(eager=True))
+                    except Exception as exc:  # noqa: BLE001
+                        qualified = jdbc.qualified_database(d, database, schema)
+                        failed.add((qualified, table))
+                        errors.append((qualified, table, "count", str(exc).splitlines()[0][:500]))
+            counts_df = reduce(DataFrame.unionByName, good) if good else spark.createDataFrame([], schemas.COUNTS)
+    tables_df = spark.createDataFrame([t for t in tables if t not in failed], schemas.TABLES)
     columns_df = reduce(DataFrame.unionByName, columns) if columns else spark.createDataFrame([], schemas.COLUMNS)
-    counts_df = reduce(DataFrame.unionByName, counts) if counts else spark.createDataFrame([], schemas.COUNTS)
-    rows = build_inventory(tables_df, counts_df, columns_df, source.name, source.kind)
+    rows = build_inventory(tables_df, counts_df, table_schema_json(columns_df), source.name, source.kind)
     return Inventory(rows, _errors_frame(spark, source, errors))
 
 
@@ -174,12 +231,27 @@ def source_inventory(spark: SparkSession, source: Source, robust: bool = False)
     """Dispatch on the kind of source (S6); unknown kinds fail in ``Source``."""
     if source.is_files:
         return lake_inventory(spark, source, robust=robust)
-    return jdbc_inventory(spark, source)
+    return jdbc_inventory(spark, source, robust=robust)
 
 
 def inventory_all(spark: SparkSession, sources: list[Source], robust: bool = False) -> Inventory:
-    """Inventories of several sources in one plan."""
-    parts = [source_inventory(spark, s, robust=robust) for s in sources]
+    """Inventories of several sources in one plan.
+
+    File sources over the same folder share one listing, one footer pass and
+    one count scan; each then keeps its own tables, name and namespace.
+    """
+    parts: list[Inventory] = []
+    by_root: dict[tuple[str, str], list[Source]] = {}
+    for s in sources:
+        if s.is_files:
+            by_root.setdefault((s.kind, s.path.rstrip("/")), []).append(s)
+        else:
+            parts.append(jdbc_inventory(spark, s, robust=robust))
+    for group in by_root.values():
+        facts = _lake_facts(
+            spark, group[0], lambda t, g=group: any(s.keeps_table(t) for s in g), robust
+        )
+        parts += [_lake_rows(spark, s, facts) for s in group]
     if not parts:
         return Inventory(
             spark.createDataFrame([], schemas.INVENTORY), spark.createDataFrame([], schemas.ERRORS)
