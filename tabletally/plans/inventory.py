@@ -20,6 +20,7 @@ from ..operators.pairs_json import pairs_to_json
 from ..session import ensure_checkpoint_dir
 from ..sources import jdbc, lake
 from ..sources.model import Source
+from ..sources.retry import with_retry
 
 TABLE_KEY = ["database_name", "table_name"]
 
@@ -156,12 +157,16 @@ def jdbc_inventory(
     if d.kind == "oracle":
         databases = [d.default_database]
     else:
-        listed = jdbc.read_query(spark, source, None, d.databases_sql(source))
-        databases = [r["database_name"] for r in listed.collect()]
+        listed = with_retry(
+            lambda: jdbc.read_query(spark, source, None, d.databases_sql(source)).collect()
+        )
+        databases = [r["database_name"] for r in listed]
 
     def catalog(database: str):
         try:
-            t = jdbc.read_query(spark, source, database, d.tables_sql(source)).collect()
+            t = with_retry(
+                lambda: jdbc.read_query(spark, source, database, d.tables_sql(source)).collect()
+            )
             c = jdbc.read_query(spark, source, database, d.columns_sql(source))
         except Exception as exc:  # noqa: BLE001 - one database must not stop the rest
             return database, None, None, str(exc).splitlines()[0][:500]

@@ -22,6 +22,7 @@ from .. import schemas
 from ..functions.columns import any_null, as_of_date
 from ..operators.insert_missing import missing_rows, write_if_any
 from ..sources.registry_store import RegistryTarget, append_registry, read_registry
+from ..sources.retry import with_retry
 
 
 def missing_entries(
@@ -54,16 +55,26 @@ def load_registry(
     inventory: DataFrame,
     target: RegistryTarget,
     as_of: dt.date | str | None = None,
+    attempts: int = 3,
+    delay_s: float = 5.0,
 ) -> int:
     """Append the missing entries to the registry; return how many.
 
     A second run with the same inventory adds nothing. Inventory rows with a
     null key are refused (they could never be matched again). Errors are
     raised, not printed.
+
+    A failed attempt is retried as a whole (read, anti join, append): each
+    attempt re-reads the registry, so rows a failed append did commit are
+    not appended twice. Retrying only the write could duplicate them.
     """
     if not inventory.where(any_null(schemas.KEYS)).isEmpty():
         raise ValueError("inventory has rows with a null key")
-    registry = read_registry(spark, target)
-    return write_if_any(
-        missing_entries(inventory, registry, as_of), lambda df: append_registry(df, target)
-    )
+
+    def once() -> int:
+        registry = read_registry(spark, target)
+        return write_if_any(
+            missing_entries(inventory, registry, as_of), lambda df: append_registry(df, target)
+        )
+
+    return with_retry(once, attempts=attempts, delay_s=delay_s)

@@ -88,3 +88,22 @@ def test_registry_properties(spark, known, incoming):
         if (r["database_name"], r["table_name"]) in old:
             assert r["created_at"] == dt.date(2020, 1, 1)
     assert missing_entries(inv, after, "2024-01-02").count() == 0
+
+
+def test_failed_append_is_retried_without_duplicates(spark, tmp_path, monkeypatch):
+    """The first append commits and then fails; the retried load adds nothing twice."""
+    import tabletally.plans.registry as R
+
+    target = RegistryTarget(path=str(tmp_path / "registry"))
+    real_append = R.append_registry
+    calls = {"n": 0}
+
+    def flaky_append(df, t):
+        calls["n"] += 1
+        real_append(df, t)
+        if calls["n"] == 1:
+            raise RuntimeError("lost the driver's ack after the commit")
+
+    monkeypatch.setattr(R, "append_registry", flaky_append)
+    assert R.load_registry(spark, _inv(spark, ROWS), target, "2024-01-01", delay_s=0) == 0
+    assert read_registry(spark, target).count() == len(ROWS)
