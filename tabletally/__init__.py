@@ -11,6 +11,7 @@ from .operators.names import distinct_names, exclude_names
 from .operators.pairs_json import pairs_to_json
 from .plans.inventory import Inventory, build_inventory, inventory_all, source_inventory
 from .plans.registry import load_registry, missing_entries, registry_after_load
+from .plans.sync import SyncReport, sync_registry
 from .sources.model import Source
 from .sources.registry_store import RegistryTarget, read_registry
 
@@ -32,4 +33,6 @@ __all__ = [
     "read_registry",
     "registry_after_load",
     "source_inventory",
+    "sync_registry",
+    "SyncReport",
 ]

@@ -144,23 +144,50 @@ def lake_inventory(spark: SparkSession, source: Source, robust: bool = False) ->
     return _lake_rows(spark, source, _lake_facts(spark, source, source.keeps_table, robust))
 
 
+def _jdbc_databases(spark: SparkSession, source: Source, d: jdbc.Dialect) -> list[str]:
+    if d.kind == "oracle":
+        return [d.default_database]
+    listed = with_retry(
+        lambda: jdbc.read_query(spark, source, None, d.databases_sql(source)).collect()
+    )
+    return [r["database_name"] for r in listed]
+
+
+def jdbc_table_keys(spark: SparkSession, source: Source, threads: int = 8) -> list[tuple[str, str]]:
+    """``(database_name, table_name)`` of every table, from catalog queries only."""
+    d = jdbc.dialect(source)
+
+    def tables_of(database: str):
+        rows = with_retry(
+            lambda: jdbc.read_query(spark, source, database, d.tables_sql(source)).collect()
+        )
+        return [
+            (jdbc.qualified_database(d, database, r["schema_name"]), r["table_name"])
+            for r in rows
+            if r["table_name"] not in d.excluded_tables and source.keeps_table(r["table_name"])
+        ]
+
+    databases = _jdbc_databases(spark, source, d)
+    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(databases)))) as pool:
+        return [k for keys in pool.map(tables_of, databases) for k in keys]
+
+
 def jdbc_inventory(
-    spark: SparkSession, source: Source, robust: bool = False, threads: int = 8
+    spark: SparkSession,
+    source: Source,
+    robust: bool = False,
+    threads: int = 8,
+    only: set[tuple[str, str]] | None = None,
 ) -> Inventory:
     """Inventory of a JDBC server: per database one table query, one column
     query for all tables, and a union of count reads run as one job.
 
     With ``robust`` the counts run at once; if the job fails, each table is
-    counted on its own and the failing ones go to ``errors``.
+    counted on its own and the failing ones go to ``errors``. ``only``
+    limits the work to the given ``(database_name, table_name)`` keys.
     """
     d = jdbc.dialect(source)
-    if d.kind == "oracle":
-        databases = [d.default_database]
-    else:
-        listed = with_retry(
-            lambda: jdbc.read_query(spark, source, None, d.databases_sql(source)).collect()
-        )
-        databases = [r["database_name"] for r in listed]
+    databases = _jdbc_databases(spark, source, d)
 
     def catalog(database: str):
         try:
@@ -181,7 +208,12 @@ def jdbc_inventory(
             pairs = [
                 (r["schema_name"], r["table_name"])
                 for r in table_rows
-                if r["table_name"] not in d.excluded_tables and source.keeps_table(r["table_name"])
+                if r["table_name"] not in d.excluded_tables
+                and source.keeps_table(r["table_name"])
+                and (
+                    only is None
+                    or (jdbc.qualified_database(d, database, r["schema_name"]), r["table_name"]) in only
+                )
             ]
             tables += [(jdbc.qualified_database(d, database, s), t) for s, t in pairs]
             columns.append(

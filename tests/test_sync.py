@@ -1,0 +1,50 @@
+from __future__ import annotations
+
+from conftest import SF_SMALL, write_table
+
+from tabletally.plans.inventory import inventory_all
+from tabletally.plans.queries import lake_source
+from tabletally.plans.registry import load_registry
+from tabletally.plans.sync import sync_registry
+from tabletally.sources.model import Source
+from tabletally.sources.registry_store import RegistryTarget, read_registry
+
+
+def _rows(spark, target):
+    return sorted(tuple(r) for r in read_registry(spark, target).collect())
+
+
+def test_sync_equals_full_load(spark, tmp_path):
+    sources = [
+        lake_source(SF_SMALL, name="a", include_tables=("region", "nation", "orders")),
+        lake_source(SF_SMALL, name="b", include_tables=("lineitem", "events")),
+    ]
+    t_sync = RegistryTarget(path=str(tmp_path / "r1"))
+    t_full = RegistryTarget(path=str(tmp_path / "r2"))
+    rep = sync_registry(spark, sources, t_sync, as_of="2024-01-01")
+    assert (rep.listed, rep.inventoried, rep.inserted) == (5, 5, 5)
+    load_registry(spark, inventory_all(spark, sources).rows, t_full, as_of="2024-01-01")
+    assert _rows(spark, t_sync) == _rows(spark, t_full)
+
+
+def test_steady_state_scans_nothing_and_new_tables_are_picked_up(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    write_table(spark, root, "t1", [(1,), (2,)], "a int")
+    write_table(spark, root, "t2", [], "a int, b string")
+    src = Source("lake", "parquet", path=root)
+    target = RegistryTarget(path=str(tmp_path / "registry"))
+
+    first = sync_registry(spark, [src], target, as_of="2024-01-01")
+    assert (first.listed, first.inventoried, first.inserted) == (2, 2, 2)
+    again = sync_registry(spark, [src], target, as_of="2024-01-02")
+    assert (again.listed, again.inventoried, again.inserted) == (2, 0, 0)
+
+    write_table(spark, root, "t3", [(1, "x")], "a int, b string")
+    third = sync_registry(spark, [src], target, as_of="2024-01-03")
+    assert (third.listed, third.inventoried, third.inserted) == (3, 1, 1)
+    got = {r["table_name"]: (r["row_count"], r["table_schema"], str(r["created_at"])) for r in read_registry(spark, target).collect()}
+    assert got == {
+        "t1": (2, '{"a":"int"}', "2024-01-01"),
+        "t2": (0, '{"a":"int","b":"string"}', "2024-01-01"),
+        "t3": (1, '{"a":"int","b":"string"}', "2024-01-03"),
+    }
