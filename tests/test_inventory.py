@@ -83,3 +83,14 @@ def test_unknown_source_kind():
 def test_dispatch_on_files(spark):
     inv = source_inventory(spark, lake_source(SF_SMALL, include_tables=("region",)))
     assert [r["row_count"] for r in inv.rows.collect()] == [5]
+
+
+def test_orc_lake(spark, tmp_path):
+    root = str(tmp_path / "orc_lake")
+    for t in ("region", "nation", "orders"):
+        spark.read.parquet(f"{SF_SMALL}/{t}.parquet").write.orc(os.path.join(root, t))
+    inv = lake_inventory(spark, Source("o", "orc", path=root), robust=True)
+    got = {r["table_name"]: (r["row_count"], list(json.loads(r["table_schema"]))) for r in inv.rows.collect()}
+    for t in ("region", "nation", "orders"):
+        df = spark.read.parquet(f"{SF_SMALL}/{t}.parquet")
+        assert got[t] == (df.count(), df.columns)
