@@ -19,11 +19,14 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions.columns import first_component_after, uri_raw_path
-from ..sources.lake import LakeTable
+from ..sources.lake import LakeTable, metadata_frame
 
 # A column no table has: with it as the read schema nothing is inferred on
 # the driver, and selecting only file metadata prunes every data column.
 _BROADCAST_BYTES = 8 << 20
+_NAMES = T.StructType(
+    [T.StructField("entry", T.StringType(), False), T.StructField("table_name", T.StringType(), False)]
+)
 
 _ABSENT = T.StructType([T.StructField("__tabletally_absent__", T.IntegerType(), True)])
 
@@ -55,9 +58,7 @@ def count_lake_rows(
     per_entry = per_file.groupBy(
         first_component_after(uri_raw_path(F.col("file_path")), prefix).alias("entry")
     ).agg(F.sum("n").alias("n"))
-    names = spark.createDataFrame(
-        [(t.entry, t.name) for t in tables], "entry string, table_name string"
-    )
+    names = metadata_frame(spark, [(t.entry, t.name) for t in tables], _NAMES)
     # Every scanned file lies under one listed path, so the aggregate has at
     # most one row per listed table: its size is bounded by the name list the
     # driver holds. Broadcast it when that bound is small, else let the

@@ -59,8 +59,14 @@ def list_lake_tables(spark: SparkSession, source: Source) -> list[LakeTable]:
     return sorted(found, key=lambda t: t.name)
 
 
+def metadata_frame(spark: SparkSession, rows: list, schema) -> DataFrame:
+    """A DataFrame of driver-held catalog rows, in as few slices as their count needs."""
+    slices = max(1, min(spark.sparkContext.defaultParallelism, len(rows) // 50_000 + 1))
+    return spark.createDataFrame(spark.sparkContext.parallelize(rows, slices), schema)
+
+
 def tables_frame(spark: SparkSession, database: str, tables: list[LakeTable]) -> DataFrame:
-    return spark.createDataFrame([(database, t.name) for t in tables], schemas.TABLES)
+    return metadata_frame(spark, [(database, t.name) for t in tables], schemas.TABLES)
 
 
 def column_rows(
@@ -90,4 +96,4 @@ def column_rows(
             for pos, f in enumerate(schema.fields, start=1):
                 rows.append((source.database, t.name, pos, f.name, type_text(f.dataType)))
     size = sum(len(r[1]) + len(r[3]) + len(r[4]) + 8 for r in rows)
-    return spark.createDataFrame(rows, schemas.COLUMNS), errors, size
+    return metadata_frame(spark, rows, schemas.COLUMNS), errors, size
