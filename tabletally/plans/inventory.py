@@ -172,19 +172,70 @@ def jdbc_table_keys(spark: SparkSession, source: Source, threads: int = 8) -> li
         return [k for keys in pool.map(tables_of, databases) for k in keys]
 
 
+def _jdbc_counts(
+    spark: SparkSession,
+    source: Source,
+    d: jdbc.Dialect,
+    work: list[tuple[str, str, str]],
+    robust: bool,
+    batch_size: int,
+    max_connections: int,
+) -> tuple[DataFrame, set[tuple[str, str]], list]:
+    """Row counts of ``(database, schema, table)`` as unions of one-row reads.
+
+    Each batch of ``batch_size`` reads is one plan and one job, coalesced to
+    ``max_connections`` tasks: at most that many counts run on the server at
+    once, and no plan grows with the number of tables. When there is more
+    than one batch, or with ``robust``, each batch is checkpointed at once;
+    with ``robust`` a failed batch is retried table by table and the failing
+    tables are reported.
+    """
+
+    def frame(items) -> DataFrame:
+        frames = [f for db, s, t in items for f in jdbc.count_frames(spark, source, db, [(s, t)])]
+        return reduce(DataFrame.unionByName, frames).coalesce(max(1, max_connections))
+
+    if not work:
+        return spark.createDataFrame([], schemas.COUNTS), set(), []
+    batches = [work[i : i + batch_size] for i in range(0, len(work), max(1, batch_size))]
+    if len(batches) == 1 and not robust:
+        return frame(batches[0]), set(), []
+    ensure_checkpoint_dir(spark, allow_local_default=True)
+    done, failed, errors = [], set(), []
+    for batch in batches:
+        try:
+            done.append(frame(batch).checkpoint(eager=True))
+            continue
+        except Exception:  # noqa: BLE001 - fall back table by table, or re-raise
+            if not robust:
+                raise
+        for db, schema, table in batch:
+            try:
+                done.append(frame([(db, schema, table)]).checkpoint(eager=True))
+            except Exception as exc:  # noqa: BLE001 - reported as an error row
+                qualified = jdbc.qualified_database(d, db, schema)
+                failed.add((qualified, table))
+                errors.append((qualified, table, "count", str(exc).splitlines()[0][:500]))
+    counts = reduce(DataFrame.unionByName, done) if done else spark.createDataFrame([], schemas.COUNTS)
+    return counts, failed, errors
+
+
 def jdbc_inventory(
     spark: SparkSession,
     source: Source,
     robust: bool = False,
     threads: int = 8,
     only: set[tuple[str, str]] | None = None,
+    count_batch: int = 200,
+    max_connections: int = 8,
 ) -> Inventory:
     """Inventory of a JDBC server: per database one table query, one column
-    query for all tables, and a union of count reads run as one job.
+    query for all tables, and row counts as batched unions of count reads.
 
-    With ``robust`` the counts run at once; if the job fails, each table is
-    counted on its own and the failing ones go to ``errors``. ``only``
-    limits the work to the given ``(database_name, table_name)`` keys.
+    With ``robust`` a failing count batch is redone table by table and the
+    failing tables go to ``errors``. ``only`` limits the work to the given
+    ``(database_name, table_name)`` keys. ``max_connections`` bounds the
+    counts running on the server at once.
     """
     d = jdbc.dialect(source)
     databases = _jdbc_databases(spark, source, d)
@@ -227,27 +278,11 @@ def jdbc_inventory(
             )
             to_count.append((database, pairs))
 
-    def counts_of(batch) -> DataFrame:
-        frames = [f for database, pairs in batch for f in jdbc.count_frames(spark, source, database, pairs)]
-        return reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], schemas.COUNTS)
-
-    counts_df = counts_of(to_count)
-    failed: set[tuple[str, str]] = set()
-    if robust and to_count:
-        ensure_checkpoint_dir(spark, allow_local_default=True)
-        try:
-            counts_df = counts_df.checkpoint(eager=True)
-        except Exception:  # noqa: BLE001 - count table by table
-            good = []
-            for database, pairs in to_count:
-                for schema, table in pairs:
-                    try:
-                        good.append(counts_of([(database, [(schema, table)])]).checkpoint(eager=True))
-                    except Exception as exc:  # noqa: BLE001
-                        qualified = jdbc.qualified_database(d, database, schema)
-                        failed.add((qualified, table))
-                        errors.append((qualified, table, "count", str(exc).splitlines()[0][:500]))
-            counts_df = reduce(DataFrame.unionByName, good) if good else spark.createDataFrame([], schemas.COUNTS)
+    work = [(database, schema, table) for database, pairs in to_count for schema, table in pairs]
+    counts_df, failed, count_errors = _jdbc_counts(
+        spark, source, d, work, robust, count_batch, max_connections
+    )
+    errors += count_errors
     tables_df = spark.createDataFrame([t for t in tables if t not in failed], schemas.TABLES)
     columns_df = reduce(DataFrame.unionByName, columns) if columns else spark.createDataFrame([], schemas.COLUMNS)
     rows = build_inventory(tables_df, counts_df, table_schema_json(columns_df), source.name, source.kind)

@@ -121,3 +121,17 @@ def test_oracle_owner_and_excluded_tables(spark, monkeypatch):
     rows = inv.rows.collect()
     assert [(r["database_name"], r["table_name"], r["row_count"]) for r in rows] == [("SYSTEM", "HELP", 900)]
     assert json.loads(rows[0]["table_schema"]) == {"TOPIC": "VARCHAR2", "SEQ": "NUMBER"}
+
+
+def test_counts_in_small_batches_give_the_same_inventory(spark, pg):
+    whole = sorted(tuple(r) for r in jdbc_inventory(spark, pg).rows.collect())
+    batched = jdbc_inventory(spark, pg, count_batch=2, max_connections=1)
+    assert sorted(tuple(r) for r in batched.rows.collect()) == whole
+
+
+def test_a_failing_table_costs_only_itself_in_its_batch(spark, monkeypatch):
+    monkeypatch.setattr(jdbc, "read_query", _fake(spark, PG, fail_counts=("orders",)))
+    src = Source("pg1", "postgresql", host="h", port=5432)
+    inv = jdbc_inventory(spark, src, robust=True, count_batch=2, max_connections=2)
+    assert sorted(r["table_name"] for r in inv.rows.collect()) == ["customers", "people", "v_orders"]
+    assert [e["table_name"] for e in inv.errors.collect()] == ["orders"]
