@@ -1,0 +1,60 @@
+"""Plan shapes that the scale design relies on, checked with AQE and
+automatic broadcasts off, i.e. as the plan looks for data too big to
+broadcast."""
+
+from __future__ import annotations
+
+import contextlib
+
+from conftest import SF_SMALL
+
+from tabletally.operators.counts import count_lake_rows
+from tabletally.operators.insert_missing import missing_rows
+from tabletally.operators.pairs_json import pairs_to_json
+from tabletally.plans.queries import lake_source
+from tabletally.sources import lake
+
+
+@contextlib.contextmanager
+def big_data_planning(spark):
+    keys = ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k) for k in keys}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_insert_missing_pre_aggregates_both_sides_and_shuffles_twice(spark):
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    with big_data_planning(spark):
+        plan = _plan(missing_rows(events, events.where("event_type = 'view'"), ["event_id"], ["value"]))
+    assert "partial_max" in plan  # batch: one row per key and task before the shuffle
+    assert plan.count("Exchange hashpartitioning") == 2  # one per side, reused by the join
+    assert "SortMergeJoin" in plan and "LeftAnti" in plan
+    assert "BroadcastExchange" not in plan
+
+
+def test_json_maps_combine_map_side(spark):
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    with big_data_planning(spark):
+        plan = _plan(pairs_to_json(orders, ["o_custkey"], "o_orderpriority", "o_orderstatus", "o_orderkey"))
+    first_exchange = plan.rindex("Exchange hashpartitioning")
+    below = plan[first_exchange:]
+    assert "partial_min" in below and "partial_max" in below
+    assert "o_totalprice" not in plan  # pruned at the scan
+
+
+def test_count_broadcasts_only_the_bounded_side(spark):
+    src = lake_source(SF_SMALL)
+    with big_data_planning(spark):
+        plan = _plan(count_lake_rows(spark, lake.list_lake_tables(spark, src), "main"))
+    assert "BroadcastHashJoin" in plan and "LeftOuter" in plan and "BuildRight" in plan
+    assert "partial_count" in plan
