@@ -19,11 +19,18 @@ from ..functions.columns import any_null
 from ..session import ensure_checkpoint_dir
 
 
-def latest_per_key(batch: DataFrame, keys: list[str], order: list[str | Column] | None = None) -> DataFrame:
+def latest_per_key(
+    batch: DataFrame,
+    keys: list[str],
+    order: list[str | Column] | None = None,
+    keep_null_keys: bool = False,
+) -> DataFrame:
     """One row per key: the greatest by ``order``, then by the whole row.
 
-    The whole row as last tie-breaker makes the choice deterministic.
-    Rows with a null key are kept out (they can never match a key).
+    The whole row as last tie-breaker makes the choice deterministic (all
+    columns must be orderable: no map columns). Rows with a null key are
+    left out unless ``keep_null_keys``; then they collapse per key like the
+    others (a null key can never match, so they are only ever reported).
     """
     cols = batch.columns
     order_exprs = [F.col(o) if isinstance(o, str) else o for o in (order or [])]
@@ -31,12 +38,12 @@ def latest_per_key(batch: DataFrame, keys: list[str], order: list[str | Column]
         *[e.alias(f"_o{i}") for i, e in enumerate(order_exprs)],
         F.struct(*[F.col(c) for c in cols]).alias("_row"),
     )
+    rows = batch if keep_null_keys else batch.where(~any_null(keys))
     # Keys come from the grouping columns, not from the struct, so the output
     # keeps the aggregate's hash partitioning and a following join on the
     # keys needs no second shuffle of this side.
     return (
-        batch.where(~any_null(keys))
-        .groupBy(*keys)
+        rows.groupBy(*keys)
         .agg(F.max(ranked).alias("_best"))
         .select(*[F.col(c) if c in keys else F.col("_best._row").getField(c).alias(c) for c in cols])
     )
@@ -47,10 +54,15 @@ def missing_rows(
     target: DataFrame,
     keys: list[str],
     order: list[str | Column] | None = None,
+    keep_null_keys: bool = False,
 ) -> DataFrame:
-    """Rows of ``batch`` (deduplicated on ``keys``) whose key is not in ``target``."""
+    """Rows of ``batch`` (deduplicated on ``keys``) whose key is not in ``target``.
+
+    With ``keep_null_keys`` rows with a null key are kept too: they never
+    match, so the left anti join lets them through for the caller to report.
+    """
     known = target.select(*keys).where(~any_null(keys)).distinct()
-    return latest_per_key(batch, keys, order).join(known, keys, "left_anti")
+    return latest_per_key(batch, keys, order, keep_null_keys).join(known, keys, "left_anti")
 
 
 def null_key_rows(batch: DataFrame, keys: list[str]) -> DataFrame:
@@ -69,23 +81,27 @@ def insert_missing(
     """Write the missing rows with ``write(df)``; return how many were written.
 
     The missing set is checkpointed (reliably, to the session's checkpoint
-    folder) before the emptiness test and the write, so both actions see the
-    same rows, the target is read once, and a lost executor cannot change
-    the decision between the two. With ``reject_null_keys`` a batch holding
-    a null key raises instead of silently leaving rows out.
+    folder) before it is counted and written, so both actions see the same
+    rows, the target is read once, and a lost executor cannot change the
+    decision between the two. Null-key rows ride along in that same job and
+    are tallied from the checkpoint, so the batch is not scanned twice. With
+    ``reject_null_keys`` any null key raises before anything is written;
+    without it such rows are left out.
     """
-    if reject_null_keys:
-        bad = null_key_rows(batch, keys)
-        if not bad.isEmpty():
-            raise ValueError(f"batch has rows with a null key in {keys}")
-    return write_if_any(missing_rows(batch, target, keys, order), write)
+    candidates = missing_rows(batch, target, keys, order, keep_null_keys=True)
+    return write_if_any(candidates, write, keys, reject_null_keys)
 
 
-def write_if_any(missing: DataFrame, write) -> int:
-    """Checkpoint ``missing``, count it, and write it when not empty."""
+def write_if_any(missing: DataFrame, write, keys: list[str], reject_null_keys: bool = True) -> int:
+    """Checkpoint ``missing``, tally it, and write its rows when there are any."""
     ensure_checkpoint_dir(missing.sparkSession, allow_local_default=True)
     missing = missing.checkpoint(eager=True)
-    n = missing.count()
+    null_key = any_null(keys)
+    by_kind = missing.groupBy(null_key.alias("null_key")).agg(F.count(F.lit(1)).alias("n"))
+    tally = {r["null_key"]: r["n"] for r in by_kind.collect()}  # at most two rows
+    if tally.get(True) and reject_null_keys:
+        raise ValueError(f"batch has rows with a null key in {keys}")
+    n = tally.get(False, 0)
     if n:
-        write(missing)
+        write(missing.where(~null_key) if tally.get(True) else missing)
     return n

@@ -19,20 +19,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.columns import any_null, as_of_date
+from ..functions.columns import as_of_date
 from ..operators.insert_missing import missing_rows, write_if_any
 from ..sources.registry_store import RegistryTarget, append_registry, read_registry
 from ..sources.retry import with_retry
 
 
 def missing_entries(
-    inventory: DataFrame, registry: DataFrame, as_of: dt.date | str | None = None
+    inventory: DataFrame,
+    registry: DataFrame,
+    as_of: dt.date | str | None = None,
+    keep_null_keys: bool = False,
 ) -> DataFrame:
     """Inventory rows whose key the registry lacks, with audit dates."""
     day = as_of_date(as_of)
-    return missing_rows(
-        inventory.select(*schemas.INVENTORY_COLUMNS), registry, schemas.KEYS
-    ).select(
+    rows = inventory.select(*schemas.INVENTORY_COLUMNS)
+    return missing_rows(rows, registry, schemas.KEYS, keep_null_keys=keep_null_keys).select(
         *schemas.KEYS,
         F.col("row_count").cast("bigint").alias("row_count"),
         F.col("table_schema").cast("string").alias("table_schema"),
@@ -61,20 +63,20 @@ def load_registry(
     """Append the missing entries to the registry; return how many.
 
     A second run with the same inventory adds nothing. Inventory rows with a
-    null key are refused (they could never be matched again). Errors are
-    raised, not printed.
+    null key are refused before anything is written (they could never be
+    matched again). Errors are raised, not printed.
 
     A failed attempt is retried as a whole (read, anti join, append): each
     attempt re-reads the registry, so rows a failed append did commit are
     not appended twice. Retrying only the write could duplicate them.
     """
-    if not inventory.where(any_null(schemas.KEYS)).isEmpty():
-        raise ValueError("inventory has rows with a null key")
 
     def once() -> int:
         registry = read_registry(spark, target)
         return write_if_any(
-            missing_entries(inventory, registry, as_of), lambda df: append_registry(df, target)
+            missing_entries(inventory, registry, as_of, keep_null_keys=True),
+            lambda df: append_registry(df, target),
+            schemas.KEYS,
         )
 
     return with_retry(once, attempts=attempts, delay_s=delay_s)

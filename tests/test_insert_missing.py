@@ -76,3 +76,12 @@ def test_properties_against_brute_force(spark, batch_rows, target_keys):
     keys = {r[0] for r in got}
     assert keys | (set(target_keys) & {k for k, _ in batch_rows}) == {k for k, _ in batch_rows}
     assert not keys & set(target_keys)
+
+
+def test_null_keys_left_out_when_not_rejected(spark, tmp_path):
+    path = str(tmp_path / "t")
+    batch = spark.createDataFrame([(None, 1.0, "x"), (None, 2.0, "y"), (1, 1.0, "a"), (2, 1.0, "b")], DDL)
+    target = spark.createDataFrame([(2, 0.0, "")], DDL)
+    n = insert_missing(batch, target, lambda df: df.write.parquet(path), ["k"], reject_null_keys=False)
+    assert n == 1
+    assert [tuple(r) for r in spark.read.parquet(path).collect()] == [(1, 1.0, "a")]
