@@ -96,14 +96,18 @@ def _lake_facts(spark: SparkSession, root: Source, keep, robust: bool) -> _LakeF
     unfiltered = replace(root, include_tables=None, exclude_tables=())
     tables = [t for t in lake.list_lake_tables(spark, unfiltered) if keep(t.name)]
     columns, col_errors, column_bytes = lake.column_rows(spark, root, tables)
-    counts = count_lake_rows(spark, tables, root.database, root.kind)
+    # A table whose footers could not be read is known bad: keep it out of
+    # the shared scan rather than let it fail the scan for everyone.
+    unreadable = {t for t, _, _ in col_errors}
+    readable = [t for t in tables if t.name not in unreadable]
+    counts = count_lake_rows(spark, readable, root.database, root.kind)
     count_errors: list = []
     if robust:
         ensure_checkpoint_dir(spark, allow_local_default=True)
         try:
             counts = counts.checkpoint(eager=True)
         except Exception:  # noqa: BLE001 - fall back table by table
-            counts, count_errors = count_each_table(spark, tables, root.database, root.kind)
+            counts, count_errors = count_each_table(spark, readable, root.database, root.kind)
     # Both per-table sides are one row per listed table; the JSON maps are no
     # larger than the column rows built on the driver.
     bound = column_bytes + sum(64 + 2 * len(t.name) for t in tables)
@@ -153,18 +157,34 @@ def _jdbc_databases(spark: SparkSession, source: Source, d: jdbc.Dialect) -> lis
     return [r["database_name"] for r in listed]
 
 
+def _jdbc_tables(
+    spark: SparkSession,
+    source: Source,
+    d: jdbc.Dialect,
+    database: str,
+    only: set[tuple[str, str]] | None = None,
+) -> list[tuple[str, str]]:
+    """``(schema, table)`` pairs of one database after the exclusion lists."""
+    rows = with_retry(
+        lambda: jdbc.read_query(spark, source, database, d.tables_sql(source)).collect()
+    )
+    return [
+        (r["schema_name"], r["table_name"])
+        for r in rows
+        if r["table_name"] not in d.excluded_tables
+        and source.keeps_table(r["table_name"])
+        and (only is None or (jdbc.qualified_database(d, database, r["schema_name"]), r["table_name"]) in only)
+    ]
+
+
 def jdbc_table_keys(spark: SparkSession, source: Source, threads: int = 8) -> list[tuple[str, str]]:
     """``(database_name, table_name)`` of every table, from catalog queries only."""
     d = jdbc.dialect(source)
 
     def tables_of(database: str):
-        rows = with_retry(
-            lambda: jdbc.read_query(spark, source, database, d.tables_sql(source)).collect()
-        )
         return [
-            (jdbc.qualified_database(d, database, r["schema_name"]), r["table_name"])
-            for r in rows
-            if r["table_name"] not in d.excluded_tables and source.keeps_table(r["table_name"])
+            (jdbc.qualified_database(d, database, s), t)
+            for s, t in _jdbc_tables(spark, source, d, database)
         ]
 
     databases = _jdbc_databases(spark, source, d)
@@ -242,30 +262,18 @@ def jdbc_inventory(
 
     def catalog(database: str):
         try:
-            t = with_retry(
-                lambda: jdbc.read_query(spark, source, database, d.tables_sql(source)).collect()
-            )
+            pairs = _jdbc_tables(spark, source, d, database, only)
             c = jdbc.read_query(spark, source, database, d.columns_sql(source))
         except Exception as exc:  # noqa: BLE001 - one database must not stop the rest
             return database, None, None, str(exc).splitlines()[0][:500]
-        return database, t, c, None
+        return database, pairs, c, None
 
     tables, columns, to_count, errors = [], [], [], []
     with ThreadPoolExecutor(max_workers=max(1, min(threads, len(databases)))) as pool:
-        for database, table_rows, col_df, err in pool.map(catalog, databases):
+        for database, pairs, col_df, err in pool.map(catalog, databases):
             if err is not None:
                 errors.append((database, None, "tables", err))
                 continue
-            pairs = [
-                (r["schema_name"], r["table_name"])
-                for r in table_rows
-                if r["table_name"] not in d.excluded_tables
-                and source.keeps_table(r["table_name"])
-                and (
-                    only is None
-                    or (jdbc.qualified_database(d, database, r["schema_name"]), r["table_name"]) in only
-                )
-            ]
             tables += [(jdbc.qualified_database(d, database, s), t) for s, t in pairs]
             columns.append(
                 col_df.select(
