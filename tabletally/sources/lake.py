@@ -11,7 +11,9 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions.types import type_text
@@ -83,6 +85,10 @@ def column_rows(
     def one(t: LakeTable):
         try:
             schema = spark.read.format(source.kind).load(t.path).schema
+        except AnalysisException as exc:
+            if exc.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+                return t, T.StructType([]), None  # no data files yet: an empty table
+            return t, None, str(exc).splitlines()[0][:500]
         except Exception as exc:  # noqa: BLE001 - reported as an error row
             return t, None, str(exc).splitlines()[0][:500]
         return t, schema, None

@@ -37,10 +37,14 @@ def test_edge_cases_of_a_lake(spark, tmp_path):
     write_table(spark, root, "zero", [], "a int, b string")
     write_table(spark, root, "My Table", [(1, "x"), (2, "y")], "ID long, `Name With Space` string")
     write_table(spark, root, "skip_me", [(1,)], "a int")
+    os.makedirs(os.path.join(root, "no_files_yet"))
     src = Source("lake2", "parquet", path=root, database="db", exclude_tables=("skip_me",))
-    rows = _by_table(lake_inventory(spark, src).rows)
-    assert sorted(rows) == ["My Table", "zero"]
+    inv = lake_inventory(spark, src, robust=True)
+    rows = _by_table(inv.rows)
+    assert sorted(rows) == ["My Table", "no_files_yet", "zero"]
+    assert inv.errors.count() == 0
     assert rows["zero"]["row_count"] == 0
+    assert (rows["no_files_yet"]["row_count"], rows["no_files_yet"]["table_schema"]) == (0, "{}")
     assert rows["My Table"]["table_schema"] == '{"ID":"bigint","Name With Space":"string"}'
 
 
