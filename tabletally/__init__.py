@@ -9,6 +9,7 @@ from .operators.counts import count_lake_rows
 from .operators.insert_missing import insert_missing, latest_per_key, missing_rows
 from .operators.names import distinct_names, exclude_names
 from .operators.pairs_json import pairs_to_json
+from .plans.catalog import list_databases, list_tables
 from .plans.inventory import Inventory, build_inventory, inventory_all, source_inventory
 from .plans.registry import load_registry, missing_entries, registry_after_load
 from .plans.sync import SyncReport, sync_registry
@@ -26,6 +27,8 @@ __all__ = [
     "insert_missing",
     "inventory_all",
     "latest_per_key",
+    "list_databases",
+    "list_tables",
     "load_registry",
     "missing_entries",
     "missing_rows",

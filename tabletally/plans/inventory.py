@@ -148,6 +148,17 @@ def lake_inventory(spark: SparkSession, source: Source, robust: bool = False) ->
     return _lake_rows(spark, source, _lake_facts(spark, source, source.keeps_table, robust))
 
 
+def _database_column(d: jdbc.Dialect, database: str):
+    """``database_name`` from a catalog row's ``schema_name``, as ``qualified_database``."""
+    schema = F.col("schema_name")
+    if d.kind == "oracle":
+        return schema.cast("string")
+    return (
+        F.when(schema.isNull() | (schema == F.lit(d.default_schema)), F.lit(database))
+        .otherwise(F.concat(F.lit(database + "."), schema))
+    )
+
+
 def _jdbc_databases(spark: SparkSession, source: Source, d: jdbc.Dialect) -> list[str]:
     if d.kind == "oracle":
         return [d.default_database]
@@ -277,7 +288,7 @@ def jdbc_inventory(
             tables += [(jdbc.qualified_database(d, database, s), t) for s, t in pairs]
             columns.append(
                 col_df.select(
-                    _qualified_col(d, database).alias("database_name"),
+                    _database_column(d, database).alias("database_name"),
                     F.col("table_name").cast("string"),
                     F.col("pos").cast("int"),
                     F.col("column_name").cast("string"),
@@ -297,16 +308,6 @@ def jdbc_inventory(
     return Inventory(rows, _errors_frame(spark, source, errors))
 
 
-def _qualified_col(d: jdbc.Dialect, database: str):
-    schema = F.col("schema_name")
-    if d.kind == "oracle":
-        return schema.cast("string")
-    return (
-        F.when(schema.isNull() | (schema == F.lit(d.default_schema)), F.lit(database))
-        .otherwise(F.concat(F.lit(database + "."), schema))
-    )
-
-
 def source_inventory(spark: SparkSession, source: Source, robust: bool = False) -> Inventory:
     """Dispatch on the kind of source (S6); unknown kinds fail in ``Source``."""
     if source.is_files:

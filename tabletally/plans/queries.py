@@ -17,6 +17,7 @@ from ..operators.names import distinct_names
 from ..operators.pairs_json import pairs_to_json
 from ..sources import lake
 from ..sources.model import Source
+from . import catalog
 from .inventory import inventory_all, lake_inventory, table_schema_json
 from .registry import missing_entries, registry_after_load
 
@@ -60,8 +61,7 @@ def list_databases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def list_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src = lake_source(sf_dir, exclude_tables=EXCLUDED_TABLES)
-    return lake.tables_frame(spark, src.database, lake.list_lake_tables(spark, src))
+    return catalog.list_tables(spark, lake_source(sf_dir, exclude_tables=EXCLUDED_TABLES))
 
 
 def table_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:

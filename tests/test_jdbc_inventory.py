@@ -135,3 +135,13 @@ def test_a_failing_table_costs_only_itself_in_its_batch(spark, monkeypatch):
     inv = jdbc_inventory(spark, src, robust=True, count_batch=2, max_connections=2)
     assert sorted(r["table_name"] for r in inv.rows.collect()) == ["customers", "people", "v_orders"]
     assert [e["table_name"] for e in inv.errors.collect()] == ["orders"]
+
+
+def test_catalog_frames(spark, pg):
+    from tabletally.plans.catalog import list_databases, list_tables
+
+    assert sorted(r[0] for r in list_databases(spark, pg).collect()) == ["empty_db", "hr", "sales"]
+    got = sorted(tuple(r) for r in list_tables(spark, pg).collect())
+    assert got == [("hr", "people"), ("sales", "customers"), ("sales", "orders"), ("sales", "v_orders")]
+    narrowed = Source("pg1", "postgresql", host="h", port=5432, exclude_tables=("v_orders",))
+    assert ("sales", "v_orders") not in {tuple(r) for r in list_tables(spark, narrowed).collect()}
