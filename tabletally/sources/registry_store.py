@@ -45,8 +45,11 @@ def read_registry(spark: SparkSession, target: RegistryTarget) -> DataFrame:
     return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schemas.REGISTRY])
 
 
-def append_registry(df: DataFrame, target: RegistryTarget) -> None:
+def append_registry(df: DataFrame, target: RegistryTarget, max_connections: int = 8) -> None:
+    """Append rows; a JDBC registry gets at most ``max_connections`` inserting tasks."""
     if target.path is not None:
         df.write.mode("append").parquet(target.path)
     else:
-        jdbc.write_table(df, target.source, target.database, target.table, mode="append")
+        jdbc.write_table(
+            df, target.source, target.database, target.table, mode="append", max_connections=max_connections
+        )

@@ -145,3 +145,26 @@ def test_catalog_frames(spark, pg):
     assert got == [("hr", "people"), ("sales", "customers"), ("sales", "orders"), ("sales", "v_orders")]
     narrowed = Source("pg1", "postgresql", host="h", port=5432, exclude_tables=("v_orders",))
     assert ("sales", "v_orders") not in {tuple(r) for r in list_tables(spark, narrowed).collect()}
+
+
+def test_sync_counts_only_new_tables_on_the_server(spark, monkeypatch, tmp_path):
+    from tabletally.plans.sync import sync_registry
+    from tabletally.sources.registry_store import RegistryTarget
+
+    sent = []
+    fake = _fake(spark, PG)
+
+    def recording(spark_, source, database, query):
+        sent.append(query)
+        return fake(spark_, source, database, query)
+
+    monkeypatch.setattr(jdbc, "read_query", recording)
+    src = Source("pg1", "postgresql", host="h", port=5432)
+    target = RegistryTarget(path=str(tmp_path / "registry"))
+    first = sync_registry(spark, [src], target, as_of="2024-01-01")
+    assert (first.listed, first.inventoried, first.inserted) == (4, 4, 4)
+    assert sum("COUNT(" in q for q in sent) == 4
+    sent.clear()
+    again = sync_registry(spark, [src], target, as_of="2024-01-02")
+    assert (again.listed, again.inventoried, again.inserted) == (4, 0, 0)
+    assert not any("COUNT(" in q for q in sent)  # only catalog queries on an unchanged server
