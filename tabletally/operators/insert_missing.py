@@ -49,19 +49,43 @@ def latest_per_key(
     )
 
 
+# Largest batch, by a bound the caller knows, whose keys are broadcast.
+BROADCAST_KEYS_BYTES = 8 << 20
+
+
+def known_keys(
+    target: DataFrame, keys: list[str], batch: DataFrame, batch_bound_bytes: int | None = None
+) -> DataFrame:
+    """Distinct non-null keys of ``target``, narrowed to those of ``batch`` when it is small.
+
+    With a caller-known bound on the batch's keys under
+    ``BROADCAST_KEYS_BYTES``, the target is filtered map-side by a broadcast
+    semi join, so only keys the batch has are shuffled: a large target (a
+    registry of every table ever seen) is read but never shuffled whole.
+    """
+    known = target.select(*keys).where(~any_null(keys))
+    if batch_bound_bytes is not None and batch_bound_bytes <= BROADCAST_KEYS_BYTES:
+        wanted = batch.select(*keys).where(~any_null(keys)).distinct()
+        known = known.join(F.broadcast(wanted), keys, "left_semi")
+    return known.distinct()
+
+
 def missing_rows(
     batch: DataFrame,
     target: DataFrame,
     keys: list[str],
     order: list[str | Column] | None = None,
     keep_null_keys: bool = False,
+    batch_bound_bytes: int | None = None,
 ) -> DataFrame:
     """Rows of ``batch`` (deduplicated on ``keys``) whose key is not in ``target``.
 
     With ``keep_null_keys`` rows with a null key are kept too: they never
     match, so the left anti join lets them through for the caller to report.
+    ``batch_bound_bytes`` (an upper bound on the batch's key bytes, known to
+    the caller) lets a small batch narrow a large target first.
     """
-    known = target.select(*keys).where(~any_null(keys)).distinct()
+    known = known_keys(target, keys, batch, batch_bound_bytes)
     return latest_per_key(batch, keys, order, keep_null_keys).join(known, keys, "left_anti")
 
 

@@ -30,11 +30,22 @@ def missing_entries(
     registry: DataFrame,
     as_of: dt.date | str | None = None,
     keep_null_keys: bool = False,
+    inventory_bound_bytes: int | None = None,
 ) -> DataFrame:
-    """Inventory rows whose key the registry lacks, with audit dates."""
+    """Inventory rows whose key the registry lacks, with audit dates.
+
+    ``inventory_bound_bytes``, a caller-known bound on the inventory's key
+    bytes, lets a small inventory narrow a large registry map-side first.
+    """
     day = as_of_date(as_of)
     rows = inventory.select(*schemas.INVENTORY_COLUMNS)
-    return missing_rows(rows, registry, schemas.KEYS, keep_null_keys=keep_null_keys).select(
+    return missing_rows(
+        rows,
+        registry,
+        schemas.KEYS,
+        keep_null_keys=keep_null_keys,
+        batch_bound_bytes=inventory_bound_bytes,
+    ).select(
         *schemas.KEYS,
         F.col("row_count").cast("bigint").alias("row_count"),
         F.col("table_schema").cast("string").alias("table_schema"),
@@ -59,6 +70,7 @@ def load_registry(
     as_of: dt.date | str | None = None,
     attempts: int = 3,
     delay_s: float = 5.0,
+    inventory_bound_bytes: int | None = None,
 ) -> int:
     """Append the missing entries to the registry; return how many.
 
@@ -74,7 +86,9 @@ def load_registry(
     def once() -> int:
         registry = read_registry(spark, target)
         return write_if_any(
-            missing_entries(inventory, registry, as_of, keep_null_keys=True),
+            missing_entries(
+                inventory, registry, as_of, keep_null_keys=True, inventory_bound_bytes=inventory_bound_bytes
+            ),
             lambda df: append_registry(df, target),
             schemas.KEYS,
         )

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from .. import schemas
+from ..operators.insert_missing import known_keys
 from ..sources import lake
 from ..sources.model import Source
 from ..sources.registry_store import RegistryTarget, read_registry
@@ -35,15 +36,23 @@ class SyncReport:
     errors: DataFrame  # schemas.ERRORS
 
 
-def listed_keys(spark: SparkSession, sources: list[Source]) -> DataFrame:
-    """The four registry keys of every table the sources list (no counting)."""
+def _listed_rows(spark: SparkSession, sources: list[Source]) -> list[tuple[str, str, str, str]]:
     rows = []
     for s in sources:
         if s.is_files:
             rows += [(s.name, s.kind, s.database, t.name) for t in lake.list_lake_tables(spark, s)]
         else:
             rows += [(s.name, s.kind, db, t) for db, t in jdbc_table_keys(spark, s)]
-    return spark.createDataFrame(rows, KEYS_SCHEMA)
+    return rows
+
+
+def _key_bytes(rows) -> int:
+    return sum(sum(len(str(v)) for v in r) + 32 for r in rows)
+
+
+def listed_keys(spark: SparkSession, sources: list[Source]) -> DataFrame:
+    """The four registry keys of every table the sources list (no counting)."""
+    return spark.createDataFrame(_listed_rows(spark, sources), KEYS_SCHEMA)
 
 
 def sync_registry(
@@ -56,11 +65,14 @@ def sync_registry(
     delay_s: float = 5.0,
 ) -> SyncReport:
     """List every source, keep the keys the registry lacks, inventory and append those."""
-    listed = listed_keys(spark, sources)
-    known = read_registry(spark, target).select(*schemas.KEYS).distinct()
-    # Bounded by the listing, which the driver built: metadata only.
-    new = listed.join(known, schemas.KEYS, "left_anti").collect()
-    n_listed = listed.count()
+    rows = _listed_rows(spark, sources)
+    listed = spark.createDataFrame(rows, KEYS_SCHEMA)
+    # The listing is held on the driver, so its size is known: the registry
+    # is narrowed to the listed keys map-side and never shuffled whole.
+    bound = _key_bytes(rows)
+    known = known_keys(read_registry(spark, target), schemas.KEYS, listed, bound)
+    new = listed.join(known, schemas.KEYS, "left_anti").collect()  # at most the listing
+    n_listed = len(rows)
     if not new:
         return SyncReport(n_listed, 0, 0, spark.createDataFrame([], schemas.ERRORS))
     todo: dict[str, set[tuple[str, str]]] = {}
@@ -77,7 +89,15 @@ def sync_registry(
             parts.append(jdbc_inventory(spark, s, robust=robust, only=keys))
     if files:
         parts.append(inventory_all(spark, files, robust=robust))
-    rows = reduce(DataFrame.unionByName, [p.rows for p in parts])
+    inventory_rows = reduce(DataFrame.unionByName, [p.rows for p in parts])
     errors = reduce(DataFrame.unionByName, [p.errors for p in parts])
-    inserted = load_registry(spark, rows, target, as_of, attempts=attempts, delay_s=delay_s)
+    inserted = load_registry(
+        spark,
+        inventory_rows,
+        target,
+        as_of,
+        attempts=attempts,
+        delay_s=delay_s,
+        inventory_bound_bytes=_key_bytes([tuple(r) for r in new]),
+    )
     return SyncReport(n_listed, len(new), inserted, errors)

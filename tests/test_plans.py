@@ -58,3 +58,15 @@ def test_count_broadcasts_only_the_bounded_side(spark):
         plan = _plan(count_lake_rows(spark, lake.list_lake_tables(spark, src), "main"))
     assert "BroadcastHashJoin" in plan and "LeftOuter" in plan and "BuildRight" in plan
     assert "partial_count" in plan
+
+
+def test_small_batch_narrows_a_big_target_before_shuffling_it(spark):
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    batch = orders.where("o_orderstatus = 'F'").limit(5)
+    with big_data_planning(spark):
+        plan = _plan(missing_rows(batch, orders, ["o_orderkey"], batch_bound_bytes=1024))
+    target_scan = plan.rindex("FileScan parquet")
+    # the target's path to its first shuffle goes through a broadcast semi join
+    assert "LeftSemi" in plan and "BroadcastExchange" in plan
+    semi = plan.index("LeftSemi")
+    assert semi < target_scan
