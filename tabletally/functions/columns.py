@@ -12,6 +12,19 @@ from pyspark.sql import functions as F
 _URI_PATH = r"^[A-Za-z][A-Za-z0-9+.\-]*:(?://[^/]*)?(/.*)$"
 
 
+_GLOB_CHARS = "\\*?[]{}"
+
+
+def literal_path(path: str) -> str:
+    """``path`` with glob characters escaped, so a reader takes it as it is.
+
+    Spark's file readers expand glob patterns: a table folder named
+    ``br[1]`` would otherwise be looked up as ``br1``, and ``q?x`` would
+    also match ``qax``.
+    """
+    return "".join("\\" + c if c in _GLOB_CHARS else c for c in path)
+
+
 def uri_raw_path(col: Column) -> Column:
     """The encoded path part of a file URI such as ``_metadata.file_path``."""
     return F.regexp_extract(col, _URI_PATH, 1)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
-from ..functions.columns import first_component_after, uri_raw_path
+from ..functions.columns import first_component_after, literal_path, uri_raw_path
 from ..sources.lake import LakeTable, metadata_frame
 
 _BROADCAST_BYTES = 8 << 20
@@ -48,7 +48,7 @@ def count_lake_rows(
     if len(parents) != 1:
         raise ValueError("tables of one lake must share one folder")
     prefix = parents.pop() + "/"
-    scan = _reader(spark, fmt).load([t.path for t in tables])
+    scan = _reader(spark, fmt).load([literal_path(t.path) for t in tables])
     # Count per file first: the file path is a plain string key, hashed per
     # row; the path-to-table mapping (a regex) then runs once per file, not
     # once per row.
@@ -88,7 +88,7 @@ def count_each_table(
 
     def one(t: LakeTable):
         try:
-            return t, _reader(spark, fmt).load(t.path).count(), None
+            return t, _reader(spark, fmt).load(literal_path(t.path)).count(), None
         except Exception as exc:  # noqa: BLE001 - reported as an error row
             return t, None, str(exc).splitlines()[0][:500]
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from .. import schemas
+from ..functions.columns import literal_path
 from ..functions.types import type_text
 from .model import Source
 
@@ -84,7 +85,7 @@ def column_rows(
 
     def one(t: LakeTable):
         try:
-            schema = spark.read.format(source.kind).load(t.path).schema
+            schema = spark.read.format(source.kind).load(literal_path(t.path)).schema
         except AnalysisException as exc:
             if exc.getCondition() == "UNABLE_TO_INFER_SCHEMA":
                 return t, T.StructType([]), None  # no data files yet: an empty table

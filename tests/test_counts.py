@@ -34,7 +34,11 @@ def test_scan_reads_no_column_data(spark):
 
 def test_odd_names_empty_tables_and_folders(spark, tmp_path):
     root = str(tmp_path / "lake")
-    names = {"plain": 5, "my table": 3, "quo'te": 2, "plus+x": 4, "pct%20y": 6, "Ünï": 1, "Upper": 7, "select": 2}
+    names = {
+        "plain": 5, "my table": 3, "quo'te": 2, "plus+x": 4, "pct%20y": 6, "Ünï": 1, "Upper": 7, "select": 2,
+        # glob and URI characters: a reader must take these paths literally
+        "q?x": 1, "qax": 3, "br[1]": 2, "br1": 4, "brace{1}": 1, "a#b": 2, "k=v": 3, "semi;colon": 1, "日本": 2,
+    }
     for n, k in names.items():
         write_table(spark, root, n, [(i, f"v{i}") for i in range(k)], "id long, v string", files=3)
     write_table(spark, root, "empty_tbl", [], "id long")
