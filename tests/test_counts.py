@@ -3,6 +3,8 @@ from __future__ import annotations
 import os
 
 from conftest import SF_SMALL, write_table
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from tabletally.operators.counts import count_each_table, count_lake_rows
 from tabletally.plans.queries import LAKE_TABLES, lake_source
@@ -78,3 +80,25 @@ def test_no_tables_gives_typed_empty_frame(spark, tmp_path):
     os.makedirs(root)
     df = count_lake_rows(spark, lake.list_lake_tables(spark, Source("l", "parquet", path=root)), "main")
     assert df.count() == 0 and df.columns == ["database_name", "table_name", "row_count"]
+
+
+_NAME_CHARS = "abcXYZ09 _-+%#?[]{}'=éü日"
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    st.dictionaries(
+        st.text(alphabet=_NAME_CHARS, min_size=1, max_size=8).filter(
+            lambda n: not n.startswith(("_", ".")) and n.strip() == n
+        ),
+        st.tuples(st.integers(0, 40), st.integers(1, 3)),
+        min_size=1,
+        max_size=6,
+    )
+)
+def test_random_lakes_against_known_counts(spark, tmp_path_factory, spec):
+    root = str(tmp_path_factory.mktemp("rand") / "lake")
+    for name, (rows, files) in spec.items():
+        write_table(spark, root, name, [(i,) for i in range(rows)], "id long", files=files)
+    tables = lake.list_lake_tables(spark, Source("r", "parquet", path=root))
+    assert _counts(count_lake_rows(spark, tables, "main")) == {n: r for n, (r, _) in spec.items()}
