@@ -315,24 +315,37 @@ def source_inventory(spark: SparkSession, source: Source, robust: bool = False)
     return jdbc_inventory(spark, source, robust=robust)
 
 
-def inventory_all(spark: SparkSession, sources: list[Source], robust: bool = False) -> Inventory:
+def inventory_all(
+    spark: SparkSession, sources: list[Source], robust: bool = False, parallel_sources: int = 4
+) -> Inventory:
     """Inventories of several sources in one plan.
 
-    File sources over the same folder share one listing, one footer pass and
-    one count scan; each then keeps its own tables, name and namespace.
+    Sources are independent, so up to ``parallel_sources`` of them are
+    inventoried at once (their catalog reads and count jobs overlap). File
+    sources over the same folder share one listing, one footer pass and one
+    count scan; each then keeps its own tables, name and namespace.
     """
-    parts: list[Inventory] = []
     by_root: dict[tuple[str, str], list[Source]] = {}
+    servers = []
     for s in sources:
         if s.is_files:
             by_root.setdefault((s.kind, s.path.rstrip("/")), []).append(s)
         else:
-            parts.append(jdbc_inventory(spark, s, robust=robust))
-    for group in by_root.values():
-        facts = _lake_facts(
-            spark, group[0], lambda t, g=group: any(s.keeps_table(t) for s in g), robust
-        )
-        parts += [_lake_rows(spark, s, facts) for s in group]
+            servers.append(s)
+
+    def lake_group(group: list[Source]) -> list[Inventory]:
+        facts = _lake_facts(spark, group[0], lambda t: any(s.keeps_table(t) for s in group), robust)
+        return [_lake_rows(spark, s, facts) for s in group]
+
+    def server(s: Source) -> list[Inventory]:
+        return [jdbc_inventory(spark, s, robust=robust)]
+
+    work = [(server, s) for s in servers] + [(lake_group, g) for g in by_root.values()]
+    parts: list[Inventory] = []
+    if work:
+        with ThreadPoolExecutor(max_workers=max(1, min(parallel_sources, len(work)))) as pool:
+            for result in pool.map(lambda w: w[0](w[1]), work):
+                parts += result
     if not parts:
         return Inventory(
             spark.createDataFrame([], schemas.INVENTORY), spark.createDataFrame([], schemas.ERRORS)

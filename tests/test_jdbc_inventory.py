@@ -168,3 +168,17 @@ def test_sync_counts_only_new_tables_on_the_server(spark, monkeypatch, tmp_path)
     again = sync_registry(spark, [src], target, as_of="2024-01-02")
     assert (again.listed, again.inventoried, again.inserted) == (4, 0, 0)
     assert not any("COUNT(" in q for q in sent)  # only catalog queries on an unchanged server
+
+
+def test_several_servers_and_a_lake_in_one_inventory(spark, pg):
+    from conftest import SF_SMALL
+
+    from tabletally.plans.inventory import inventory_all
+    from tabletally.plans.queries import lake_source
+
+    other = Source("pg2", "postgresql", host="h2", port=5432)
+    lake = lake_source(SF_SMALL, include_tables=("region",))
+    inv = inventory_all(spark, [pg, other, lake], robust=True)
+    got = sorted((r["source_name"], r["table_name"]) for r in inv.rows.collect())
+    assert got.count(("pg1", "orders")) == 1 and got.count(("pg2", "orders")) == 1
+    assert ("lake", "region") in got and len(got) == 9
