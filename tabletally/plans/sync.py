@@ -11,6 +11,7 @@ the same as ``load_registry(inventory_all(...))``.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -36,14 +37,18 @@ class SyncReport:
     errors: DataFrame  # schemas.ERRORS
 
 
-def _listed_rows(spark: SparkSession, sources: list[Source]) -> list[tuple[str, str, str, str]]:
-    rows = []
-    for s in sources:
+def _listed_rows(
+    spark: SparkSession, sources: list[Source], parallel_sources: int = 4
+) -> list[tuple[str, str, str, str]]:
+    def one(s: Source):
         if s.is_files:
-            rows += [(s.name, s.kind, s.database, t.name) for t in lake.list_lake_tables(spark, s)]
-        else:
-            rows += [(s.name, s.kind, db, t) for db, t in jdbc_table_keys(spark, s)]
-    return rows
+            return [(s.name, s.kind, s.database, t.name) for t in lake.list_lake_tables(spark, s)]
+        return [(s.name, s.kind, db, t) for db, t in jdbc_table_keys(spark, s)]
+
+    if not sources:
+        return []
+    with ThreadPoolExecutor(max_workers=max(1, min(parallel_sources, len(sources)))) as pool:
+        return [row for rows in pool.map(one, sources) for row in rows]
 
 
 def _key_bytes(rows) -> int:
