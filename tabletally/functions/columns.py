@@ -30,10 +30,9 @@ def uri_raw_path(col: Column) -> Column:
     return F.regexp_extract(col, _URI_PATH, 1)
 
 
-def first_component_after(raw_path: Column, prefix: str) -> Column:
-    """First path component below ``prefix`` (a folder path ending in ``/``)."""
-    rest = F.substring(raw_path, len(prefix) + 1, 1 << 30)
-    return F.substring_index(rest, "/", 1)
+def leading_components(raw_path: Column, n: int) -> Column:
+    """The first ``n`` components of an absolute path: ``/a/b/c``, 2 -> ``/a/b``."""
+    return F.regexp_extract(raw_path, "^((?:/[^/]*){%d})" % n, 1)
 
 
 def as_of_date(as_of: dt.date | str | None) -> Column:

@@ -4,8 +4,8 @@ File lakes are counted in one distributed scan over all tables. The scan
 asks for no data column (``ReadSchema: struct<>``), so Parquet/ORC answer
 from footers and row-group headers. Rows are counted per source file with a
 partial (map-side) aggregate, so only one row per file and task is
-shuffled; each file's count is then added to the table whose folder holds
-it. Tables with no rows produce no group: the table list is left-joined and
+shuffled; each file's count is then added to the table whose root path
+(its leading path components) holds it. Tables with no rows produce no group: the table list is left-joined and
 the gap filled with 0.
 """
 
@@ -18,12 +18,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
-from ..functions.columns import first_component_after, literal_path, uri_raw_path
+from ..functions.columns import leading_components, literal_path, uri_raw_path
 from ..sources.lake import LakeTable, metadata_frame
 
 _BROADCAST_BYTES = 8 << 20
 _NAMES = T.StructType(
-    [T.StructField("entry", T.StringType(), False), T.StructField("table_name", T.StringType(), False)]
+    [
+        T.StructField("root", T.StringType(), False),
+        T.StructField("database_name", T.StringType(), False),
+        T.StructField("table_name", T.StringType(), False),
+    ]
 )
 
 # A column no table has: with it as the read schema nothing is inferred on
@@ -39,15 +43,18 @@ def _reader(spark: SparkSession, fmt: str):
 
 
 def count_lake_rows(
-    spark: SparkSession, tables: list[LakeTable], database: str, fmt: str = "parquet"
+    spark: SparkSession, tables: list[LakeTable], database: str | None = None, fmt: str = "parquet"
 ) -> DataFrame:
-    """``(database_name, table_name, row_count)`` for every listed table."""
+    """``(database_name, table_name, row_count)`` for every listed table.
+
+    ``database`` replaces the tables' own namespace when given.
+    """
     if not tables:
         return spark.createDataFrame([], schemas.COUNTS)
-    parents = {t.parent for t in tables}
-    if len(parents) != 1:
-        raise ValueError("tables of one lake must share one folder")
-    prefix = parents.pop() + "/"
+    depths = {t.root.count("/") for t in tables}
+    if len(depths) != 1:
+        raise ValueError("tables counted together must lie at one folder depth")
+    depth = depths.pop()
     scan = _reader(spark, fmt).load([literal_path(t.path) for t in tables])
     # Count per file first: the file path is a plain string key, hashed per
     # row; the path-to-table mapping (a regex) then runs once per file, not
@@ -55,19 +62,19 @@ def count_lake_rows(
     per_file = scan.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    per_entry = per_file.groupBy(
-        first_component_after(uri_raw_path(F.col("file_path")), prefix).alias("entry")
+    per_root = per_file.groupBy(
+        leading_components(uri_raw_path(F.col("file_path")), depth).alias("root")
     ).agg(F.sum("n").alias("n"))
-    names = metadata_frame(spark, [(t.entry, t.name) for t in tables], _NAMES)
+    names = metadata_frame(spark, [(t.root, database or t.database, t.name) for t in tables], _NAMES)
     # Every scanned file lies under one listed path, so the aggregate has at
     # most one row per listed table: its size is bounded by the name list the
     # driver holds. Broadcast it when that bound is small, else let the
     # planner shuffle.
-    bound = sum(len(t.entry) + 16 for t in tables)
+    bound = sum(len(t.root) + 16 for t in tables)
     if bound <= _BROADCAST_BYTES:
-        per_entry = F.broadcast(per_entry)
-    return names.join(per_entry, "entry", "left").select(
-        F.lit(database).alias("database_name"),
+        per_root = F.broadcast(per_root)
+    return names.join(per_root, "root", "left").select(
+        "database_name",
         "table_name",
         F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("row_count"),
     )
@@ -76,10 +83,10 @@ def count_lake_rows(
 def count_each_table(
     spark: SparkSession,
     tables: list[LakeTable],
-    database: str,
+    database: str | None = None,
     fmt: str = "parquet",
     threads: int = 8,
-) -> tuple[DataFrame, list[tuple[str, str, str]]]:
+) -> tuple[DataFrame, list[tuple[str, str, str, str]]]:
     """One count job per table, several at a time; failures become error rows.
 
     This is the slow path used only when the one-scan count fails (for
@@ -96,7 +103,7 @@ def count_each_table(
     with ThreadPoolExecutor(max_workers=max(1, min(threads, len(tables)))) as pool:
         for t, n, err in pool.map(one, tables):
             if err is None:
-                rows.append((database, t.name, int(n)))
+                rows.append((database or t.database, t.name, int(n)))
             else:
-                errors.append((t.name, "count", err))
+                errors.append((t.database, t.name, "count", err))
     return spark.createDataFrame(rows, schemas.COUNTS), errors

@@ -21,7 +21,8 @@ from .inventory import _database_column, _jdbc_databases
 def list_databases(spark: SparkSession, source: Source) -> DataFrame:
     """``database_name`` of every database (owner, for Oracle) the source lists."""
     if source.is_files:
-        return spark.createDataFrame([(source.database,)], "database_name string")
+        names = [(db,) for db, _ in lake.list_lake_databases(spark, source)]
+        return spark.createDataFrame(names, "database_name string")
     d = jdbc.dialect(source)
     names = jdbc.read_query(spark, source, None, d.databases_sql(source))
     excluded = d.excluded_databases if source.exclude_databases is None else source.exclude_databases
@@ -31,7 +32,7 @@ def list_databases(spark: SparkSession, source: Source) -> DataFrame:
 def list_tables(spark: SparkSession, source: Source) -> DataFrame:
     """``(database_name, table_name)`` of every table, after the exclusion lists."""
     if source.is_files:
-        return lake.tables_frame(spark, source.database, lake.list_lake_tables(spark, source))
+        return lake.tables_frame(spark, None, lake.list_lake_tables(spark, source))
     d = jdbc.dialect(source)
     parts = []
     for database in _jdbc_databases(spark, source, d):

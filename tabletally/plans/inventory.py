@@ -85,55 +85,62 @@ class _LakeFacts:
     """What one pass over a lake root yields, before sources split it."""
 
     tables: list[lake.LakeTable]
-    counts: DataFrame  # table_name, row_count
-    maps: DataFrame  # table_name, table_schema
-    failed: list[tuple[str, str, str]]  # table, stage, message
+    counts: DataFrame  # database_name, table_name, row_count
+    maps: DataFrame  # database_name, table_name, table_schema
+    failed: list[tuple[str, str, str, str]]  # database, table, stage, message
     bound_bytes: int
 
 
 def _lake_facts(spark: SparkSession, root: Source, keep, robust: bool) -> _LakeFacts:
     """List, read footers and count a lake root once, for the tables ``keep`` accepts."""
-    unfiltered = replace(root, include_tables=None, exclude_tables=())
-    tables = [t for t in lake.list_lake_tables(spark, unfiltered) if keep(t.name)]
+    unfiltered = replace(root, include_tables=None, exclude_tables=(), exclude_databases=None)
+    tables = [t for t in lake.list_lake_tables(spark, unfiltered) if keep(t)]
     columns, col_errors, column_bytes = lake.column_rows(spark, root, tables)
     # A table whose footers could not be read is known bad: keep it out of
     # the shared scan rather than let it fail the scan for everyone.
-    unreadable = {t for t, _, _ in col_errors}
-    readable = [t for t in tables if t.name not in unreadable]
-    counts = count_lake_rows(spark, readable, root.database, root.kind)
+    unreadable = {(db, t) for db, t, _, _ in col_errors}
+    readable = [t for t in tables if (t.database, t.name) not in unreadable]
+    counts = count_lake_rows(spark, readable, None, root.kind)
     count_errors: list = []
     if robust:
         ensure_checkpoint_dir(spark, allow_local_default=True)
         try:
             counts = counts.checkpoint(eager=True)
         except Exception:  # noqa: BLE001 - fall back table by table
-            counts, count_errors = count_each_table(spark, readable, root.database, root.kind)
+            counts, count_errors = count_each_table(spark, readable, None, root.kind)
     # Both per-table sides are one row per listed table; the JSON maps are no
     # larger than the column rows built on the driver.
-    bound = column_bytes + sum(64 + 2 * len(t.name) for t in tables)
+    bound = column_bytes + sum(64 + 2 * (len(t.name) + len(t.database)) for t in tables)
     return _LakeFacts(
         tables,
-        counts.select("table_name", "row_count"),
-        table_schema_json(columns).select("table_name", "table_schema"),
+        counts.select(*TABLE_KEY, "row_count"),
+        table_schema_json(columns).select(*TABLE_KEY, "table_schema"),
         col_errors + count_errors,
         bound,
     )
 
 
 def _lake_rows(spark: SparkSession, source: Source, facts: _LakeFacts) -> Inventory:
-    bad = {t for t, _, _ in facts.failed}
-    mine = [t for t in facts.tables if source.keeps_table(t.name)]
-    db = F.lit(source.database).alias("database_name")
+    bad = {(db, t) for db, t, _, _ in facts.failed}
+    mine = [t for t in facts.tables if source.keeps_lake_table(t.database, t.name)]
+    flat = source.layout == "flat"
+    # A flat lake has one namespace, named by the source; with database
+    # folders the namespace is the folder's.
+    db = F.lit(source.database).alias("database_name") if flat else F.col("database_name")
     rows = build_inventory(
-        lake.tables_frame(spark, source.database, [t for t in mine if t.name not in bad]),
+        lake.tables_frame(
+            spark, source.database if flat else None, [t for t in mine if (t.database, t.name) not in bad]
+        ),
         facts.counts.select(db, "table_name", "row_count"),
         facts.maps.select(db, "table_name", "table_schema"),
         source.name,
         source.kind,
         bound_bytes=facts.bound_bytes,
     )
-    names = {t.name for t in mine}
-    errors = [(source.database, t, st, m) for t, st, m in facts.failed if t in names]
+    keys = {(t.database, t.name) for t in mine}
+    errors = [
+        (source.database if flat else d, t, st, m) for d, t, st, m in facts.failed if (d, t) in keys
+    ]
     return Inventory(rows, _errors_frame(spark, source, errors))
 
 
@@ -145,7 +152,8 @@ def lake_inventory(spark: SparkSession, source: Source, robust: bool = False) ->
     reported in ``errors`` instead of failing the whole source (quirk Q2).
     Tables whose schema or count failed are left out of ``rows``.
     """
-    return _lake_rows(spark, source, _lake_facts(spark, source, source.keeps_table, robust))
+    keep = lambda t: source.keeps_lake_table(t.database, t.name)
+    return _lake_rows(spark, source, _lake_facts(spark, source, keep, robust))
 
 
 def _database_column(d: jdbc.Dialect, database: str):
@@ -325,16 +333,18 @@ def inventory_all(
     sources over the same folder share one listing, one footer pass and one
     count scan; each then keeps its own tables, name and namespace.
     """
-    by_root: dict[tuple[str, str], list[Source]] = {}
+    by_root: dict[tuple[str, str, str], list[Source]] = {}
     servers = []
     for s in sources:
         if s.is_files:
-            by_root.setdefault((s.kind, s.path.rstrip("/")), []).append(s)
+            by_root.setdefault((s.kind, s.path.rstrip("/"), s.layout), []).append(s)
         else:
             servers.append(s)
 
     def lake_group(group: list[Source]) -> list[Inventory]:
-        facts = _lake_facts(spark, group[0], lambda t: any(s.keeps_table(t) for s in group), robust)
+        facts = _lake_facts(
+            spark, group[0], lambda t: any(s.keeps_lake_table(t.database, t.name) for s in group), robust
+        )
         return [_lake_rows(spark, s, facts) for s in group]
 
     def server(s: Source) -> list[Inventory]:

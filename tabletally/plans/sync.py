@@ -42,7 +42,7 @@ def _listed_rows(
 ) -> list[tuple[str, str, str, str]]:
     def one(s: Source):
         if s.is_files:
-            return [(s.name, s.kind, s.database, t.name) for t in lake.list_lake_tables(spark, s)]
+            return [(s.name, s.kind, t.database, t.name) for t in lake.list_lake_tables(spark, s)]
         return [(s.name, s.kind, db, t) for db, t in jdbc_table_keys(spark, s)]
 
     if not sources:

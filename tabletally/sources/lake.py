@@ -1,7 +1,8 @@
 """A directory of tables ("lake") as a catalog.
 
-Listing the lake is a metadata call on the driver, one level deep, like a
-``SHOW TABLES``: its size is the number of tables, not the data. Column types
+Listing the lake is a metadata call on the driver, one or two levels deep,
+like ``SHOW DATABASES`` and ``SHOW TABLES``: its size is the number of
+tables, not the data. Column types
 come from each table's footers through Spark's own schema resolution, run for
 several tables at once from a small thread pool.
 """
@@ -23,43 +24,58 @@ from .model import Source
 
 @dataclass(frozen=True)
 class LakeTable:
+    database: str  # namespace: the source's, or the database folder's name
     name: str  # table name as the user sees it (decoded, suffix removed)
     path: str  # fully qualified path of the table's file or directory
-    entry: str  # last path component as it appears, URI-encoded, in file paths
-    parent: str  # URI-encoded path of the lake root, no trailing slash
+    root: str  # that path's URI-encoded path part, as file paths show it
+
+
+def _listing(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s for s in fs.listStatus(p) if not s.getPath().getName().startswith(("_", "."))]
+
+
+def list_lake_databases(spark: SparkSession, source: Source) -> list[tuple[str, str]]:
+    """``(database, folder path)`` of a lake; one pair for a flat lake."""
+    if source.layout == "flat":
+        return [(source.database, source.path)]
+    excluded = source.exclude_databases or ()
+    found = []
+    for status in _listing(spark, source.path):
+        if not status.isDirectory():
+            continue
+        name = status.getPath().getName()
+        name = name[:-3] if name.endswith(".db") and len(name) > 3 else name
+        if name not in excluded:
+            found.append((name, status.getPath().toString()))
+    return sorted(found)
 
 
 def list_lake_tables(spark: SparkSession, source: Source) -> list[LakeTable]:
     """Tables of a file lake: child directories and ``*.<format>`` files.
 
     The ``.<format>`` suffix is not part of the table name, for files and
-    folders alike.
-    Names starting with ``_`` or ``.`` are skipped, as Spark skips them when
-    it lists data files. The include/exclude lists of the source apply.
+    folders alike. Names starting with ``_`` or ``.`` are skipped, as Spark
+    skips them when it lists data files. The include/exclude lists of the
+    source apply. One listing call per database folder.
     """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(source.path)
-    fs = root.getFileSystem(conf)
     suffix = "." + source.kind
     found = []
-    for status in fs.listStatus(root):
-        path = status.getPath()
-        entry_name = path.getName()
-        if entry_name.startswith(("_", ".")):
-            continue
-        if entry_name.endswith(suffix) and len(entry_name) > len(suffix):
-            table = entry_name[: -len(suffix)]  # a file, or a folder written as "t.parquet"
-        elif status.isDirectory():
-            table = entry_name
-        else:
-            continue
-        if not source.keeps_table(table):
-            continue
-        raw = path.toUri().getRawPath()
-        parent, _, entry = raw.rpartition("/")
-        found.append(LakeTable(table, path.toString(), entry, parent))
-    return sorted(found, key=lambda t: t.name)
+    for database, folder in list_lake_databases(spark, source):
+        for status in _listing(spark, folder):
+            path = status.getPath()
+            entry_name = path.getName()
+            if entry_name.endswith(suffix) and len(entry_name) > len(suffix):
+                table = entry_name[: -len(suffix)]  # a file, or a folder written as "t.parquet"
+            elif status.isDirectory():
+                table = entry_name
+            else:
+                continue
+            if source.keeps_lake_table(database, table):
+                found.append(LakeTable(database, table, path.toString(), path.toUri().getRawPath()))
+    return sorted(found, key=lambda t: (t.database, t.name))
 
 
 def metadata_frame(spark: SparkSession, rows: list, schema) -> DataFrame:
@@ -68,8 +84,9 @@ def metadata_frame(spark: SparkSession, rows: list, schema) -> DataFrame:
     return spark.createDataFrame(spark.sparkContext.parallelize(rows, slices), schema)
 
 
-def tables_frame(spark: SparkSession, database: str, tables: list[LakeTable]) -> DataFrame:
-    return metadata_frame(spark, [(database, t.name) for t in tables], schemas.TABLES)
+def tables_frame(spark: SparkSession, database: str | None, tables: list[LakeTable]) -> DataFrame:
+    """``(database_name, table_name)``; ``database`` replaces the tables' own when given."""
+    return metadata_frame(spark, [(database or t.database, t.name) for t in tables], schemas.TABLES)
 
 
 def column_rows(
@@ -78,7 +95,7 @@ def column_rows(
     """Column rows ``(database, table, pos, column, type)`` of every table.
 
     Returns the rows as a DataFrame, the tables whose schema could not be
-    read as ``(table, stage, message)``, and the text size of the rows.
+    read as ``(database, table, stage, message)``, and the text size of the rows.
     Spark resolves each table's schema with a small job over one footer;
     ``threads`` of them run at once.
     """
@@ -98,9 +115,9 @@ def column_rows(
     with ThreadPoolExecutor(max_workers=max(1, min(threads, len(tables)))) as pool:
         for t, schema, err in pool.map(one, tables):
             if err is not None:
-                errors.append((t.name, "schema", err))
+                errors.append((t.database, t.name, "schema", err))
                 continue
             for pos, f in enumerate(schema.fields, start=1):
-                rows.append((source.database, t.name, pos, f.name, type_text(f.dataType)))
+                rows.append((t.database, t.name, pos, f.name, type_text(f.dataType)))
     size = sum(len(r[1]) + len(r[3]) + len(r[4]) + 8 for r in rows)
     return metadata_frame(spark, rows, schemas.COLUMNS), errors, size

@@ -8,15 +8,19 @@ from dataclasses import dataclass, field
 FILE_KINDS = ("parquet", "orc")
 JDBC_KINDS = ("postgresql", "mssql", "oracle")
 KINDS = FILE_KINDS + JDBC_KINDS
+# File lakes: tables directly under the path, or under one folder per database.
+LAYOUTS = ("flat", "database/table")
 
 
 @dataclass(frozen=True)
 class Source:
     """A place whose tables are inventoried.
 
-    File lakes (``kind`` in ``FILE_KINDS``) use ``path``: every direct child
-    that is a directory, or a file ending in ``.<kind>``, is a table, listed
-    under the namespace ``database``. JDBC servers use host/port/user/password;
+    File lakes (``kind`` in ``FILE_KINDS``) use ``path``. With ``layout``
+    ``"flat"`` every direct child that is a directory, or a file ending in
+    ``.<kind>``, is a table, listed under the namespace ``database``. With
+    ``"database/table"`` every child folder is a database (a ``.db`` suffix
+    is dropped, ``exclude_databases`` apply) holding such tables. JDBC servers use host/port/user/password;
     ``options`` are passed to the JDBC reader as they are. Credentials are
     taken from the caller and are never logged (``repr`` hides them).
     """
@@ -29,6 +33,7 @@ class Source:
     port: int | str | None = None
     user: str | None = None
     password: str | None = field(default=None, repr=False)
+    layout: str = "flat"
     include_tables: tuple[str, ...] | None = None
     exclude_tables: tuple[str, ...] = ()
     exclude_databases: tuple[str, ...] | None = None
@@ -39,6 +44,8 @@ class Source:
             raise ValueError(f"Unsupported source type: {self.kind}")
         if self.kind in FILE_KINDS and not self.path:
             raise ValueError(f"source {self.name!r}: a file lake needs a path")
+        if self.layout not in LAYOUTS:
+            raise ValueError(f"source {self.name!r}: layout must be one of {LAYOUTS}")
         if self.kind in JDBC_KINDS and not self.host:
             raise ValueError(f"source {self.name!r}: a JDBC source needs a host")
 
@@ -50,3 +57,7 @@ class Source:
         if self.include_tables is not None and table not in self.include_tables:
             return False
         return table not in self.exclude_tables
+
+    def keeps_lake_table(self, database: str, table: str) -> bool:
+        """For lakes: the table filters, and no database exclusion by default."""
+        return self.keeps_table(table) and database not in (self.exclude_databases or ())

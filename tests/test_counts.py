@@ -72,7 +72,7 @@ def test_fallback_reports_corrupt_table(spark, tmp_path):
     tables = lake.list_lake_tables(spark, Source("l", "parquet", path=root))
     counts, errors = count_each_table(spark, tables, "main")
     assert _counts(counts) == {"good": 2}
-    assert [e[0] for e in errors] == ["bad"]
+    assert [(e[0], e[1], e[2]) for e in errors] == [("main", "bad", "count")]
 
 
 def test_no_tables_gives_typed_empty_frame(spark, tmp_path):
