@@ -120,9 +120,15 @@ def _lake_facts(spark: SparkSession, root: Source, keep, robust: bool) -> _LakeF
     )
 
 
-def _lake_rows(spark: SparkSession, source: Source, facts: _LakeFacts) -> Inventory:
+def _lake_rows(
+    spark: SparkSession, source: Source, facts: _LakeFacts, only: set[tuple[str, str]] | None = None
+) -> Inventory:
     bad = {(db, t) for db, t, _, _ in facts.failed}
-    mine = [t for t in facts.tables if source.keeps_lake_table(t.database, t.name)]
+    mine = [
+        t
+        for t in facts.tables
+        if source.keeps_lake_table(t.database, t.name) and (only is None or (t.database, t.name) in only)
+    ]
     flat = source.layout == "flat"
     # A flat lake has one namespace, named by the source; with database
     # folders the namespace is the folder's.
@@ -324,7 +330,11 @@ def source_inventory(spark: SparkSession, source: Source, robust: bool = False)
 
 
 def inventory_all(
-    spark: SparkSession, sources: list[Source], robust: bool = False, parallel_sources: int = 4
+    spark: SparkSession,
+    sources: list[Source],
+    robust: bool = False,
+    parallel_sources: int = 4,
+    only: dict[str, set[tuple[str, str]]] | None = None,
 ) -> Inventory:
     """Inventories of several sources in one plan.
 
@@ -332,7 +342,13 @@ def inventory_all(
     inventoried at once (their catalog reads and count jobs overlap). File
     sources over the same folder share one listing, one footer pass and one
     count scan; each then keeps its own tables, name and namespace.
+    ``only`` maps a source name to the ``(database_name, table_name)`` keys
+    to inventory; other tables are not counted or described.
     """
+
+    def wanted(s: Source) -> set[tuple[str, str]] | None:
+        return None if only is None else only.get(s.name, set())
+
     by_root: dict[tuple[str, str, str], list[Source]] = {}
     servers = []
     for s in sources:
@@ -341,14 +357,16 @@ def inventory_all(
         else:
             servers.append(s)
 
+    def keeps(s: Source, t: lake.LakeTable) -> bool:
+        keys = wanted(s)
+        return s.keeps_lake_table(t.database, t.name) and (keys is None or (t.database, t.name) in keys)
+
     def lake_group(group: list[Source]) -> list[Inventory]:
-        facts = _lake_facts(
-            spark, group[0], lambda t: any(s.keeps_lake_table(t.database, t.name) for s in group), robust
-        )
-        return [_lake_rows(spark, s, facts) for s in group]
+        facts = _lake_facts(spark, group[0], lambda t: any(keeps(s, t) for s in group), robust)
+        return [_lake_rows(spark, s, facts, wanted(s)) for s in group]
 
     def server(s: Source) -> list[Inventory]:
-        return [jdbc_inventory(spark, s, robust=robust)]
+        return [jdbc_inventory(spark, s, robust=robust, only=wanted(s))]
 
     work = [(server, s) for s in servers] + [(lake_group, g) for g in by_root.values()]
     parts: list[Inventory] = []

@@ -12,8 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, replace
-from functools import reduce
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -23,7 +22,7 @@ from ..operators.insert_missing import known_keys
 from ..sources import lake
 from ..sources.model import Source
 from ..sources.registry_store import RegistryTarget, read_registry
-from .inventory import inventory_all, jdbc_inventory, jdbc_table_keys
+from .inventory import inventory_all, jdbc_table_keys
 from .registry import load_registry
 
 KEYS_SCHEMA = T.StructType(schemas.INVENTORY.fields[: len(schemas.KEYS)])
@@ -83,26 +82,14 @@ def sync_registry(
     todo: dict[str, set[tuple[str, str]]] = {}
     for r in new:
         todo.setdefault(r["source_name"], set()).add((r["database_name"], r["table_name"]))
-    files, parts = [], []
-    for s in sources:
-        keys = todo.get(s.name)
-        if not keys:
-            continue
-        if s.is_files:
-            files.append(replace(s, include_tables=tuple(sorted(t for _, t in keys))))
-        else:
-            parts.append(jdbc_inventory(spark, s, robust=robust, only=keys))
-    if files:
-        parts.append(inventory_all(spark, files, robust=robust))
-    inventory_rows = reduce(DataFrame.unionByName, [p.rows for p in parts])
-    errors = reduce(DataFrame.unionByName, [p.errors for p in parts])
+    inv = inventory_all(spark, [s for s in sources if s.name in todo], robust=robust, only=todo)
     inserted = load_registry(
         spark,
-        inventory_rows,
+        inv.rows,
         target,
         as_of,
         attempts=attempts,
         delay_s=delay_s,
         inventory_bound_bytes=_key_bytes([tuple(r) for r in new]),
     )
-    return SyncReport(n_listed, len(new), inserted, errors)
+    return SyncReport(n_listed, len(new), inserted, inv.errors)

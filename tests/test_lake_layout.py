@@ -63,3 +63,10 @@ def test_sync_picks_up_a_new_table_in_one_database(spark, warehouse, tmp_path):
 def test_unknown_layout():
     with pytest.raises(ValueError):
         Source("x", "parquet", path="/x", layout="nested")
+
+
+def test_only_narrows_to_exact_keys(spark, warehouse):
+    from tabletally.plans.inventory import inventory_all
+
+    inv = inventory_all(spark, [warehouse], only={"wh": {("hr", "orders")}})
+    assert [(r["database_name"], r["table_name"], r["row_count"]) for r in inv.rows.collect()] == [("hr", "orders", 4)]
