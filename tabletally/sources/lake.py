@@ -81,7 +81,8 @@ def list_lake_tables(spark: SparkSession, source: Source) -> list[LakeTable]:
 def metadata_frame(spark: SparkSession, rows: list, schema) -> DataFrame:
     """A DataFrame of driver-held catalog rows, in as few slices as their count needs."""
     slices = max(1, min(spark.sparkContext.defaultParallelism, len(rows) // 50_000 + 1))
-    return spark.createDataFrame(rows, schema).coalesce(slices)
+    # Slicing the local rows up front measured faster than coalescing after.
+    return spark.createDataFrame(spark.sparkContext.parallelize(rows, slices), schema)
 
 
 def tables_frame(spark: SparkSession, database: str | None, tables: list[LakeTable]) -> DataFrame:
