@@ -51,6 +51,7 @@ def latest_per_key(
 
 # Largest batch, by a bound the caller knows, whose keys are broadcast.
 BROADCAST_KEYS_BYTES = 8 << 20
+ROWS_PER_FILE = 1_000_000
 
 
 def known_keys(
@@ -127,5 +128,9 @@ def write_if_any(missing: DataFrame, write, keys: list[str], reject_null_keys: b
         raise ValueError(f"batch has rows with a null key in {keys}")
     n = tally.get(False, 0)
     if n:
-        write(missing.where(~null_key) if tally.get(True) else missing)
+        rows = missing.where(~null_key) if tally.get(True) else missing
+        # About a million rows per output file: a daily append of a few new
+        # keys writes one file, not one per shuffle partition. (coalesce
+        # only ever lowers the count, so big inserts keep their parallelism.)
+        write(rows.coalesce(n // ROWS_PER_FILE + 1))
     return n

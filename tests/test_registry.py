@@ -107,3 +107,11 @@ def test_failed_append_is_retried_without_duplicates(spark, tmp_path, monkeypatc
     monkeypatch.setattr(R, "append_registry", flaky_append)
     assert R.load_registry(spark, _inv(spark, ROWS), target, "2024-01-01", delay_s=0) == 0
     assert read_registry(spark, target).count() == len(ROWS)
+
+
+def test_small_append_writes_one_file(spark, tmp_path):
+    import glob
+
+    target = RegistryTarget(path=str(tmp_path / "registry"))
+    load_registry(spark, _inv(spark, ROWS), target, "2024-01-01")
+    assert len(glob.glob(str(tmp_path / "registry" / "*.parquet"))) == 1
