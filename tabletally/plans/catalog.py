@@ -15,7 +15,7 @@ from .. import schemas
 from ..operators.names import distinct_names
 from ..sources import jdbc, lake
 from ..sources.model import Source
-from .inventory import _database_column, _jdbc_databases
+from .jdbc_inventory import _database_column, _jdbc_databases
 
 
 def list_databases(spark: SparkSession, source: Source) -> DataFrame:

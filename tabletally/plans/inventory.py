@@ -1,325 +1,35 @@
-"""The inventory of a source: tables, row counts and column maps.
+"""The inventory of sources: dispatch by kind, several sources in one plan.
 
-``tables`` (one row per table) is left-joined with the counts and with the
-JSON column maps; all three are one row per table, so the joins are small
-whatever the size of the data counted.
+The work itself lives in ``lake_inventory`` (file lakes), ``jdbc_inventory``
+(JDBC servers) and ``assemble`` (the joins both share); their public names
+are re-exported here.
 """
 
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .. import schemas
-from ..operators.counts import count_each_table, count_lake_rows
-from ..operators.pairs_json import pairs_to_json
-from ..session import ensure_checkpoint_dir
-from ..sources import jdbc, lake
+from ..sources import lake
 from ..sources.model import Source
-from ..sources.retry import with_retry
-
-TABLE_KEY = ["database_name", "table_name"]
-
-
-@dataclass
-class Inventory:
-    rows: DataFrame  # schemas.INVENTORY
-    errors: DataFrame  # schemas.ERRORS
-
-
-def table_schema_json(columns: DataFrame) -> DataFrame:
-    """``(database_name, table_name, table_schema)`` from column rows, in ``pos`` order."""
-    return pairs_to_json(columns, TABLE_KEY, "column_name", "data_type", "pos", "table_schema")
-
-
-# Largest per-table side, by a bound computed on the driver, that is broadcast.
-BROADCAST_BOUND_BYTES = 8 << 20
-
-
-def build_inventory(
-    tables: DataFrame,
-    counts: DataFrame,
-    maps: DataFrame,
-    source_name: str,
-    database_type: str,
-    bound_bytes: int | None = None,
-) -> DataFrame:
-    """Join tables, counts and JSON maps (``table_schema_json``) into inventory rows.
-
-    ``bound_bytes`` is an upper bound, known to the caller, on the size of
-    the counts and of the JSON maps (both one row per table). Under
-    ``BROADCAST_BOUND_BYTES`` both are broadcast and the joins shuffle
-    nothing; without a bound the planner (AQE) chooses from measured sizes.
-    """
-    counts = counts.select(*TABLE_KEY, "row_count")
-    maps = maps.select(*TABLE_KEY, "table_schema")
-    if bound_bytes is not None and bound_bytes <= BROADCAST_BOUND_BYTES:
-        counts, maps = F.broadcast(counts), F.broadcast(maps)
-    return (
-        tables.select(*TABLE_KEY)
-        .join(counts, TABLE_KEY, "left")
-        .join(maps, TABLE_KEY, "left")
-        .select(
-            F.lit(source_name).alias("source_name"),
-            F.lit(database_type).alias("database_type"),
-            "database_name",
-            "table_name",
-            F.coalesce(F.col("row_count"), F.lit(0)).cast("bigint").alias("row_count"),
-            F.coalesce(F.col("table_schema"), F.lit("{}")).alias("table_schema"),
-        )
-    )
-
-
-def _errors_frame(spark: SparkSession, source: Source, rows) -> DataFrame:
-    return spark.createDataFrame(
-        [(source.name, db, table, stage, msg) for db, table, stage, msg in rows], schemas.ERRORS
-    )
-
-
-@dataclass
-class _LakeFacts:
-    """What one pass over a lake root yields, before sources split it."""
-
-    tables: list[lake.LakeTable]
-    counts: DataFrame  # database_name, table_name, row_count
-    maps: DataFrame  # database_name, table_name, table_schema
-    failed: list[tuple[str, str, str, str]]  # database, table, stage, message
-    bound_bytes: int
-
-
-def _lake_facts(spark: SparkSession, root: Source, keep, robust: bool) -> _LakeFacts:
-    """List, read footers and count a lake root once, for the tables ``keep`` accepts."""
-    unfiltered = replace(root, include_tables=None, exclude_tables=(), exclude_databases=None)
-    tables = [t for t in lake.list_lake_tables(spark, unfiltered) if keep(t)]
-    columns, col_errors, column_bytes = lake.column_rows(spark, root, tables)
-    # A table whose footers could not be read is known bad: keep it out of
-    # the shared scan rather than let it fail the scan for everyone.
-    unreadable = {(db, t) for db, t, _, _ in col_errors}
-    readable = [t for t in tables if (t.database, t.name) not in unreadable]
-    counts = count_lake_rows(spark, readable, None, root.kind)
-    count_errors: list = []
-    if robust:
-        ensure_checkpoint_dir(spark, allow_local_default=True)
-        try:
-            counts = counts.checkpoint(eager=True)
-        except Exception:  # noqa: BLE001 - fall back table by table
-            counts, count_errors = count_each_table(spark, readable, None, root.kind)
-    # Both per-table sides are one row per listed table; the JSON maps are no
-    # larger than the column rows built on the driver.
-    bound = column_bytes + sum(64 + 2 * (len(t.name) + len(t.database)) for t in tables)
-    return _LakeFacts(
-        tables,
-        counts.select(*TABLE_KEY, "row_count"),
-        table_schema_json(columns).select(*TABLE_KEY, "table_schema"),
-        col_errors + count_errors,
-        bound,
-    )
-
-
-def _lake_rows(
-    spark: SparkSession, source: Source, facts: _LakeFacts, only: set[tuple[str, str]] | None = None
-) -> Inventory:
-    bad = {(db, t) for db, t, _, _ in facts.failed}
-    mine = [
-        t
-        for t in facts.tables
-        if source.keeps_lake_table(t.database, t.name) and (only is None or (t.database, t.name) in only)
-    ]
-    flat = source.layout == "flat"
-    # A flat lake has one namespace, named by the source; with database
-    # folders the namespace is the folder's.
-    db = F.lit(source.database).alias("database_name") if flat else F.col("database_name")
-    rows = build_inventory(
-        lake.tables_frame(
-            spark, source.database if flat else None, [t for t in mine if (t.database, t.name) not in bad]
-        ),
-        facts.counts.select(db, "table_name", "row_count"),
-        facts.maps.select(db, "table_name", "table_schema"),
-        source.name,
-        source.kind,
-        bound_bytes=facts.bound_bytes,
-    )
-    keys = {(t.database, t.name) for t in mine}
-    errors = [
-        (source.database if flat else d, t, st, m) for d, t, st, m in facts.failed if (d, t) in keys
-    ]
-    return Inventory(rows, _errors_frame(spark, source, errors))
-
-
-def lake_inventory(spark: SparkSession, source: Source, robust: bool = False) -> Inventory:
-    """Inventory of a file lake.
-
-    With ``robust`` the one-scan count runs at once (checkpointed); if it
-    fails, every table is counted on its own and the failing ones are
-    reported in ``errors`` instead of failing the whole source (quirk Q2).
-    Tables whose schema or count failed are left out of ``rows``.
-    """
-    keep = lambda t: source.keeps_lake_table(t.database, t.name)
-    return _lake_rows(spark, source, _lake_facts(spark, source, keep, robust))
-
-
-def _database_column(d: jdbc.Dialect, database: str):
-    """``database_name`` from a catalog row's ``schema_name``, as ``qualified_database``."""
-    schema = F.col("schema_name")
-    if d.kind == "oracle":
-        return schema.cast("string")
-    return (
-        F.when(schema.isNull() | (schema == F.lit(d.default_schema)), F.lit(database))
-        .otherwise(F.concat(F.lit(database + "."), schema))
-    )
-
-
-def _jdbc_databases(spark: SparkSession, source: Source, d: jdbc.Dialect) -> list[str]:
-    if d.kind == "oracle":
-        return [d.default_database]
-    listed = with_retry(
-        lambda: jdbc.read_query(spark, source, None, d.databases_sql(source)).collect()
-    )
-    return [r["database_name"] for r in listed]
-
-
-def _jdbc_tables(
-    spark: SparkSession,
-    source: Source,
-    d: jdbc.Dialect,
-    database: str,
-    only: set[tuple[str, str]] | None = None,
-) -> list[tuple[str, str]]:
-    """``(schema, table)`` pairs of one database after the exclusion lists."""
-    rows = with_retry(
-        lambda: jdbc.read_query(spark, source, database, d.tables_sql(source)).collect()
-    )
-    return [
-        (r["schema_name"], r["table_name"])
-        for r in rows
-        if r["table_name"] not in d.excluded_tables
-        and source.keeps_table(r["table_name"])
-        and (only is None or (jdbc.qualified_database(d, database, r["schema_name"]), r["table_name"]) in only)
-    ]
-
-
-def jdbc_table_keys(spark: SparkSession, source: Source, threads: int = 8) -> list[tuple[str, str]]:
-    """``(database_name, table_name)`` of every table, from catalog queries only."""
-    d = jdbc.dialect(source)
-
-    def tables_of(database: str):
-        return [
-            (jdbc.qualified_database(d, database, s), t)
-            for s, t in _jdbc_tables(spark, source, d, database)
-        ]
-
-    databases = _jdbc_databases(spark, source, d)
-    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(databases)))) as pool:
-        return [k for keys in pool.map(tables_of, databases) for k in keys]
-
-
-def _jdbc_counts(
-    spark: SparkSession,
-    source: Source,
-    d: jdbc.Dialect,
-    work: list[tuple[str, str, str]],
-    robust: bool,
-    batch_size: int,
-    max_connections: int,
-) -> tuple[DataFrame, set[tuple[str, str]], list]:
-    """Row counts of ``(database, schema, table)`` as unions of one-row reads.
-
-    Each batch of ``batch_size`` reads is one plan and one job, coalesced to
-    ``max_connections`` tasks: at most that many counts run on the server at
-    once, and no plan grows with the number of tables. When there is more
-    than one batch, or with ``robust``, each batch is checkpointed at once;
-    with ``robust`` a failed batch is retried table by table and the failing
-    tables are reported.
-    """
-
-    def frame(items) -> DataFrame:
-        frames = [f for db, s, t in items for f in jdbc.count_frames(spark, source, db, [(s, t)])]
-        return reduce(DataFrame.unionByName, frames).coalesce(max(1, max_connections))
-
-    if not work:
-        return spark.createDataFrame([], schemas.COUNTS), set(), []
-    batches = [work[i : i + batch_size] for i in range(0, len(work), max(1, batch_size))]
-    if len(batches) == 1 and not robust:
-        return frame(batches[0]), set(), []
-    ensure_checkpoint_dir(spark, allow_local_default=True)
-    done, failed, errors = [], set(), []
-    for batch in batches:
-        try:
-            done.append(frame(batch).checkpoint(eager=True))
-            continue
-        except Exception:  # noqa: BLE001 - fall back table by table, or re-raise
-            if not robust:
-                raise
-        for db, schema, table in batch:
-            try:
-                done.append(frame([(db, schema, table)]).checkpoint(eager=True))
-            except Exception as exc:  # noqa: BLE001 - reported as an error row
-                qualified = jdbc.qualified_database(d, db, schema)
-                failed.add((qualified, table))
-                errors.append((qualified, table, "count", str(exc).splitlines()[0][:500]))
-    counts = reduce(DataFrame.unionByName, done) if done else spark.createDataFrame([], schemas.COUNTS)
-    return counts, failed, errors
-
-
-def jdbc_inventory(
-    spark: SparkSession,
-    source: Source,
-    robust: bool = False,
-    threads: int = 8,
-    only: set[tuple[str, str]] | None = None,
-    count_batch: int = 200,
-    max_connections: int = 8,
-) -> Inventory:
-    """Inventory of a JDBC server: per database one table query, one column
-    query for all tables, and row counts as batched unions of count reads.
-
-    With ``robust`` a failing count batch is redone table by table and the
-    failing tables go to ``errors``. ``only`` limits the work to the given
-    ``(database_name, table_name)`` keys. ``max_connections`` bounds the
-    counts running on the server at once.
-    """
-    d = jdbc.dialect(source)
-    databases = _jdbc_databases(spark, source, d)
-
-    def catalog(database: str):
-        try:
-            pairs = _jdbc_tables(spark, source, d, database, only)
-            c = jdbc.read_query(spark, source, database, d.columns_sql(source))
-        except Exception as exc:  # noqa: BLE001 - one database must not stop the rest
-            return database, None, None, str(exc).splitlines()[0][:500]
-        return database, pairs, c, None
-
-    tables, columns, to_count, errors = [], [], [], []
-    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(databases)))) as pool:
-        for database, pairs, col_df, err in pool.map(catalog, databases):
-            if err is not None:
-                errors.append((database, None, "tables", err))
-                continue
-            tables += [(jdbc.qualified_database(d, database, s), t) for s, t in pairs]
-            columns.append(
-                col_df.select(
-                    _database_column(d, database).alias("database_name"),
-                    F.col("table_name").cast("string"),
-                    F.col("pos").cast("int"),
-                    F.col("column_name").cast("string"),
-                    F.col("data_type").cast("string"),
-                )
-            )
-            to_count.append((database, pairs))
-
-    work = [(database, schema, table) for database, pairs in to_count for schema, table in pairs]
-    counts_df, failed, count_errors = _jdbc_counts(
-        spark, source, d, work, robust, count_batch, max_connections
-    )
-    errors += count_errors
-    tables_df = spark.createDataFrame([t for t in tables if t not in failed], schemas.TABLES)
-    columns_df = reduce(DataFrame.unionByName, columns) if columns else spark.createDataFrame([], schemas.COLUMNS)
-    rows = build_inventory(tables_df, counts_df, table_schema_json(columns_df), source.name, source.kind)
-    return Inventory(rows, _errors_frame(spark, source, errors))
+from .assemble import TABLE_KEY, Inventory, build_inventory, table_schema_json
+from .jdbc_inventory import jdbc_inventory, jdbc_table_keys
+from .lake_inventory import _lake_facts, _lake_rows, lake_inventory
+
+__all__ = [
+    "TABLE_KEY",
+    "Inventory",
+    "build_inventory",
+    "inventory_all",
+    "jdbc_inventory",
+    "jdbc_table_keys",
+    "lake_inventory",
+    "source_inventory",
+    "table_schema_json",
+]
 
 
 def source_inventory(spark: SparkSession, source: Source, robust: bool = False) -> Inventory:
