@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import schemas
 from ..sources import lake
 from ..sources.model import Source
-from .assemble import TABLE_KEY, Inventory, build_inventory, table_schema_json
+from .assemble import TABLE_KEY, Inventory, build_inventory, errors_frame, table_schema_json
 from .jdbc_inventory import jdbc_inventory, jdbc_table_keys
 from .lake_inventory import _lake_facts, _lake_rows, lake_inventory
 
@@ -53,7 +53,9 @@ def inventory_all(
     sources over the same folder share one listing, one footer pass and one
     count scan; each then keeps its own tables, name and namespace.
     ``only`` maps a source name to the ``(database_name, table_name)`` keys
-    to inventory; other tables are not counted or described.
+    to inventory; other tables are not counted or described. With
+    ``robust`` a source that fails as a whole (server unreachable, folder
+    missing) becomes one error row and the other sources go on.
     """
 
     def wanted(s: Source) -> set[tuple[str, str]] | None:
@@ -78,11 +80,30 @@ def inventory_all(
     def server(s: Source) -> list[Inventory]:
         return [jdbc_inventory(spark, s, robust=robust, only=wanted(s))]
 
+    def failed(group: list[Source], exc: Exception) -> list[Inventory]:
+        message = str(exc).splitlines()[0][:500] if str(exc) else type(exc).__name__
+        return [
+            Inventory(
+                spark.createDataFrame([], schemas.INVENTORY),
+                errors_frame(spark, s, [(None, None, "source", message)]),
+            )
+            for s in group
+        ]
+
+    def run(item) -> list[Inventory]:
+        fn, arg = item
+        try:
+            return fn(arg)
+        except Exception as exc:  # noqa: BLE001 - with robust, one source must not stop the rest
+            if not robust:
+                raise
+            return failed(arg if isinstance(arg, list) else [arg], exc)
+
     work = [(server, s) for s in servers] + [(lake_group, g) for g in by_root.values()]
     parts: list[Inventory] = []
     if work:
         with ThreadPoolExecutor(max_workers=max(1, min(parallel_sources, len(work)))) as pool:
-            for result in pool.map(lambda w: w[0](w[1]), work):
+            for result in pool.map(run, work):
                 parts += result
     if not parts:
         return Inventory(

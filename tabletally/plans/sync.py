@@ -37,17 +37,29 @@ class SyncReport:
 
 
 def _listed_rows(
-    spark: SparkSession, sources: list[Source], parallel_sources: int = 4
-) -> list[tuple[str, str, str, str]]:
+    spark: SparkSession, sources: list[Source], robust: bool = False, parallel_sources: int = 4
+) -> tuple[list[tuple[str, str, str, str]], list[tuple]]:
+    """Keys of every listed table, and (with ``robust``) error rows of sources that failed."""
+
     def one(s: Source):
-        if s.is_files:
-            return [(s.name, s.kind, t.database, t.name) for t in lake.list_lake_tables(spark, s)]
-        return [(s.name, s.kind, db, t) for db, t in jdbc_table_keys(spark, s)]
+        try:
+            if s.is_files:
+                return [(s.name, s.kind, t.database, t.name) for t in lake.list_lake_tables(spark, s)], []
+            return [(s.name, s.kind, db, t) for db, t in jdbc_table_keys(spark, s)], []
+        except Exception as exc:  # noqa: BLE001 - with robust, one source must not stop the rest
+            if not robust:
+                raise
+            message = str(exc).splitlines()[0][:500] if str(exc) else type(exc).__name__
+            return [], [(s.name, None, None, "listing", message)]
 
     if not sources:
-        return []
+        return [], []
+    rows, errors = [], []
     with ThreadPoolExecutor(max_workers=max(1, min(parallel_sources, len(sources)))) as pool:
-        return [row for rows in pool.map(one, sources) for row in rows]
+        for r, e in pool.map(one, sources):
+            rows += r
+            errors += e
+    return rows, errors
 
 
 def _key_bytes(rows) -> int:
@@ -56,7 +68,7 @@ def _key_bytes(rows) -> int:
 
 def listed_keys(spark: SparkSession, sources: list[Source]) -> DataFrame:
     """The four registry keys of every table the sources list (no counting)."""
-    return spark.createDataFrame(_listed_rows(spark, sources), KEYS_SCHEMA)
+    return spark.createDataFrame(_listed_rows(spark, sources)[0], KEYS_SCHEMA)
 
 
 def sync_registry(
@@ -69,7 +81,8 @@ def sync_registry(
     delay_s: float = 5.0,
 ) -> SyncReport:
     """List every source, keep the keys the registry lacks, inventory and append those."""
-    rows = _listed_rows(spark, sources)
+    rows, listing_errors = _listed_rows(spark, sources, robust)
+    listing_errors_df = spark.createDataFrame(listing_errors, schemas.ERRORS)
     listed = spark.createDataFrame(rows, KEYS_SCHEMA)
     # The listing is held on the driver, so its size is known: the registry
     # is narrowed to the listed keys map-side and never shuffled whole.
@@ -78,7 +91,7 @@ def sync_registry(
     new = listed.join(known, schemas.KEYS, "left_anti").collect()  # at most the listing
     n_listed = len(rows)
     if not new:
-        return SyncReport(n_listed, 0, 0, spark.createDataFrame([], schemas.ERRORS))
+        return SyncReport(n_listed, 0, 0, listing_errors_df)
     todo: dict[str, set[tuple[str, str]]] = {}
     for r in new:
         todo.setdefault(r["source_name"], set()).add((r["database_name"], r["table_name"]))
@@ -92,4 +105,4 @@ def sync_registry(
         delay_s=delay_s,
         inventory_bound_bytes=_key_bytes([tuple(r) for r in new]),
     )
-    return SyncReport(n_listed, len(new), inserted, inv.errors)
+    return SyncReport(n_listed, len(new), inserted, listing_errors_df.unionByName(inv.errors))

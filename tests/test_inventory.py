@@ -98,3 +98,16 @@ def test_orc_lake(spark, tmp_path):
     for t in ("region", "nation", "orders"):
         df = spark.read.parquet(f"{SF_SMALL}/{t}.parquet")
         assert got[t] == (df.count(), df.columns)
+
+
+def test_a_missing_source_does_not_stop_the_others(spark, tmp_path):
+    sources = [
+        Source("gone", "parquet", path=str(tmp_path / "no_such_folder")),
+        lake_source(SF_SMALL, name="ok", include_tables=("region",)),
+    ]
+    inv = inventory_all(spark, sources, robust=True)
+    assert [(r["source_name"], r["table_name"]) for r in inv.rows.collect()] == [("ok", "region")]
+    errs = inv.errors.collect()
+    assert [(e["source_name"], e["stage"]) for e in errs] == [("gone", "source")]
+    with pytest.raises(Exception):
+        inventory_all(spark, sources, robust=False).rows.collect()

@@ -48,3 +48,13 @@ def test_steady_state_scans_nothing_and_new_tables_are_picked_up(spark, tmp_path
         "t2": (0, '{"a":"int","b":"string"}', "2024-01-01"),
         "t3": (1, '{"a":"int","b":"string"}', "2024-01-03"),
     }
+
+
+def test_a_source_that_cannot_be_listed_is_reported(spark, tmp_path):
+    sources = [
+        Source("gone", "parquet", path=str(tmp_path / "missing")),
+        lake_source(SF_SMALL, name="ok", include_tables=("nation",)),
+    ]
+    rep = sync_registry(spark, sources, RegistryTarget(path=str(tmp_path / "r")), as_of="2024-01-01")
+    assert (rep.listed, rep.inserted) == (1, 1)
+    assert [(e["source_name"], e["stage"]) for e in rep.errors.collect()] == [("gone", "listing")]
