@@ -82,7 +82,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     report = sync_registry(spark, [source], target, as_of=args.as_of)
     errors = report.errors.collect()  # one row per failed table: small
     for e in errors:
-        where = f"{e['database_name']}.{e['table_name']}"
+        where = ".".join(x for x in (e["source_name"], e["database_name"], e["table_name"]) if x)
         print(f"error: {where} ({e['stage']}): {e['message']}", file=sys.stderr)
     summary = {
         "listed": report.listed,
