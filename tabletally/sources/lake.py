@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -31,10 +32,23 @@ class LakeTable:
 
 
 def _listing(spark: SparkSession, path: str):
+    """``(name, raw path, qualified path, status)`` of the visible children of ``path``.
+
+    Each attribute read is a round trip to the JVM, so only a few are made
+    per entry: the name is decoded from the raw (URI-encoded) path, as
+    Hadoop's ``getName`` would.
+    """
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return [s for s in fs.listStatus(p) if not s.getPath().getName().startswith(("_", "."))]
+    out = []
+    for status in fs.listStatus(p):
+        child = status.getPath()
+        raw = child.toUri().getRawPath()
+        name = unquote(raw.rsplit("/", 1)[-1])
+        if not name.startswith(("_", ".")):
+            out.append((name, raw, child.toString(), status))
+    return out
 
 
 def list_lake_databases(spark: SparkSession, source: Source) -> list[tuple[str, str]]:
@@ -43,13 +57,12 @@ def list_lake_databases(spark: SparkSession, source: Source) -> list[tuple[str,
         return [(source.database, source.path)]
     excluded = source.exclude_databases or ()
     found = []
-    for status in _listing(spark, source.path):
+    for name, _, path, status in _listing(spark, source.path):
         if not status.isDirectory():
             continue
-        name = status.getPath().getName()
         name = name[:-3] if name.endswith(".db") and len(name) > 3 else name
         if name not in excluded:
-            found.append((name, status.getPath().toString()))
+            found.append((name, path))
     return sorted(found)
 
 
@@ -64,9 +77,7 @@ def list_lake_tables(spark: SparkSession, source: Source) -> list[LakeTable]:
     suffix = "." + source.kind
     found = []
     for database, folder in list_lake_databases(spark, source):
-        for status in _listing(spark, folder):
-            path = status.getPath()
-            entry_name = path.getName()
+        for entry_name, raw, path, status in _listing(spark, folder):
             if entry_name.endswith(suffix) and len(entry_name) > len(suffix):
                 table = entry_name[: -len(suffix)]  # a file, or a folder written as "t.parquet"
             elif status.isDirectory():
@@ -74,7 +85,7 @@ def list_lake_tables(spark: SparkSession, source: Source) -> list[LakeTable]:
             else:
                 continue
             if source.keeps_lake_table(database, table):
-                found.append(LakeTable(database, table, path.toString(), path.toUri().getRawPath()))
+                found.append(LakeTable(database, table, path, raw))
     return sorted(found, key=lambda t: (t.database, t.name))
 
 
