@@ -95,3 +95,54 @@ def test_retry_counts_per_call_and_raises_last_error():
     with pytest.raises(RuntimeError, match="down"):
         with_retry(always, attempts=3, delay_s=0, sleep=waits.append)
     assert with_retry(lambda: 1, attempts=1) == 1
+
+
+class _Recorder:
+    """Stands in for a DataFrameReader/Writer: records every option set."""
+
+    def __init__(self):
+        self.opts, self.fmt, self.saved_mode = {}, None, None
+
+    def format(self, f):
+        self.fmt = f
+        return self
+
+    def options(self, **kw):
+        self.opts.update(kw)
+        return self
+
+    def option(self, k, v):
+        self.opts[k] = v
+        return self
+
+    def mode(self, m):
+        self.saved_mode = m
+        return self
+
+    def load(self):
+        return "loaded"
+
+    def save(self):
+        return None
+
+
+def test_partitioned_table_read_options():
+    rec = _Recorder()
+    fake_spark = type("S", (), {"read": rec})()
+    src = _src("postgresql")
+    out = jdbc.read_table(fake_spark, src, "sales", "public.orders", "id", 1, 1_000_000, 16, fetch_size=5000)
+    assert out == "loaded" and rec.fmt == "jdbc"
+    assert rec.opts["url"] == "jdbc:postgresql://db.example:5432/sales"
+    assert rec.opts["dbtable"] == "public.orders"
+    assert (rec.opts["partitionColumn"], rec.opts["lowerBound"], rec.opts["upperBound"]) == ("id", "1", "1000000")
+    assert (rec.opts["numPartitions"], rec.opts["fetchsize"]) == ("16", "5000")
+
+
+def test_append_options_per_dialect():
+    for kind, has_stringtype in (("postgresql", True), ("mssql", False)):
+        rec = _Recorder()
+        fake_df = type("D", (), {"write": rec})()
+        jdbc.write_table(fake_df, _src(kind), "audit", "public.tracker", max_connections=4)
+        assert rec.fmt == "jdbc" and rec.saved_mode == "append"
+        assert rec.opts["dbtable"] == "public.tracker" and rec.opts["numPartitions"] == "4"
+        assert (rec.opts.get("stringtype") == "unspecified") == has_stringtype
