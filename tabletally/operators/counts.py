@@ -12,6 +12,7 @@ the gap filled with 0.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,14 +48,23 @@ def count_lake_rows(
 ) -> DataFrame:
     """``(database_name, table_name, row_count)`` for every listed table.
 
-    ``database`` replaces the tables' own namespace when given.
+    ``database`` replaces the tables' own namespace when given. Tables are
+    mapped by the leading components of their files' paths, so one scan
+    covers the tables at one folder depth; tables at several depths (from
+    several roots) get one scan per depth, united.
     """
     if not tables:
         return spark.createDataFrame([], schemas.COUNTS)
-    depths = {t.root.count("/") for t in tables}
-    if len(depths) != 1:
-        raise ValueError("tables counted together must lie at one folder depth")
-    depth = depths.pop()
+    by_depth: dict[int, list[LakeTable]] = {}
+    for t in tables:
+        by_depth.setdefault(t.root.count("/"), []).append(t)
+    parts = [_count_at_depth(spark, group, depth, database, fmt) for depth, group in by_depth.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _count_at_depth(
+    spark: SparkSession, tables: list[LakeTable], depth: int, database: str | None, fmt: str
+) -> DataFrame:
     scan = _reader(spark, fmt).load([literal_path(t.path) for t in tables])
     # Count per file first: the file path is a plain string key, hashed per
     # row; the path-to-table mapping (a regex) then runs once per file, not

@@ -102,3 +102,15 @@ def test_random_lakes_against_known_counts(spark, tmp_path_factory, spec):
         write_table(spark, root, name, [(i,) for i in range(rows)], "id long", files=files)
     tables = lake.list_lake_tables(spark, Source("r", "parquet", path=root))
     assert _counts(count_lake_rows(spark, tables, "main")) == {n: r for n, (r, _) in spec.items()}
+
+
+def test_tables_from_two_roots_at_different_depths(spark, tmp_path):
+    flat = str(tmp_path / "flat")
+    deep = str(tmp_path / "a" / "b" / "deep")
+    write_table(spark, flat, "t1", [(1,), (2,)], "id long")
+    write_table(spark, deep, "t2", [(1,)], "id long")
+    tables = lake.list_lake_tables(spark, Source("f", "parquet", path=flat)) + lake.list_lake_tables(
+        spark, Source("d", "parquet", path=deep, database="other")
+    )
+    got = {(r[0], r[1]): r[2] for r in count_lake_rows(spark, tables).collect()}
+    assert got == {("main", "t1"): 2, ("other", "t2"): 1}
