@@ -11,6 +11,7 @@ which is how a scheduled run uses it.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -31,7 +32,10 @@ def start_registry_stream(
 ) -> StreamingQuery:
     """Start loading inventory snapshots (Parquet, inventory schema) into the registry."""
     if checkpoint_location is None:
-        checkpoint_location = ensure_checkpoint_dir(spark).rstrip("/") + "/registry-stream"
+        # one offset log per (snapshots, registry) pair: two streams must never share one
+        where = target.path or f"{target.source.name}/{target.database}/{target.table}"
+        tag = hashlib.sha1(f"{snapshots_path}|{where}".encode()).hexdigest()[:16]
+        checkpoint_location = f"{ensure_checkpoint_dir(spark).rstrip('/')}/registry-stream-{tag}"
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         load_registry(batch.sparkSession, batch, target, as_of)

@@ -20,3 +20,14 @@ def test_snapshots_load_each_key_once(spark, tmp_path):
     assert sorted(reg) == ["a", "b", "c"]
     assert reg["b"]["row_count"] == 2  # insert-only: first sighting kept
     assert str(reg["c"]["created_at"]) == "2024-01-02"
+
+
+def test_default_checkpoints_differ_per_registry(spark, tmp_path):
+    snaps = str(tmp_path / "snaps")
+    spark.createDataFrame([("s", "parquet", "main", "a", 1, "{}")], schemas.INVENTORY).write.parquet(snaps)
+    q1 = start_registry_stream(spark, snaps, RegistryTarget(path=str(tmp_path / "r1")), as_of="2024-01-01")
+    q1.awaitTermination(120)
+    q2 = start_registry_stream(spark, snaps, RegistryTarget(path=str(tmp_path / "r2")), as_of="2024-01-01")
+    q2.awaitTermination(120)
+    # the second stream has its own offsets, so it loads the same snapshot into its own registry
+    assert read_registry(spark, RegistryTarget(path=str(tmp_path / "r2"))).count() == 1
