@@ -9,7 +9,8 @@ working (``python -m tabletally.job`` runs it with a local session)::
         --destination_type postgresql \\
         --destination_params '{"host": "...", "port": 5432, "database": "audit", "table_name": "public.tracker", ...}'
 
-A file lake is ``--source_type parquet --source_params '{"path": "...", "database": "main"}'``;
+A file lake is ``--source_type parquet --source_params '{"path": "...", "database": "main"}'``
+(or ``{"path": "...", "layout": "database/table", "exclude_databases": ["tmp"]}``);
 a Parquet registry is ``--destination_type parquet --destination_params '{"path": "..."}'``.
 Passwords may be given as ``password_env``: the name of an environment
 variable to read, so they stay off the command line. ``--jars`` is accepted
@@ -41,7 +42,16 @@ def _password(params: dict) -> str | None:
 
 def build_source(name: str, kind: str, params: dict) -> Source:
     if kind in ("parquet", "orc"):
-        return Source(name, kind, path=params["path"], database=params.get("database", "main"))
+        excluded = params.get("exclude_databases")
+        return Source(
+            name,
+            kind,
+            path=params["path"],
+            database=params.get("database", "main"),
+            layout=params.get("layout", "flat"),
+            exclude_databases=tuple(excluded) if excluded is not None else None,
+            exclude_tables=tuple(params.get("exclude_tables", ())),
+        )
     extra = {k: str(v) for k, v in params.items() if k not in _CONNECTION_KEYS}
     return Source(
         name,

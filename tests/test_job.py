@@ -39,3 +39,8 @@ def test_runs_end_to_end_on_a_lake(spark, tmp_path, capsys):
     again = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert (again["inventoried"], again["inserted"]) == (0, 0)
     assert read_registry(spark, build_target("parquet", {"path": str(tmp_path / "registry")})).count() == 14
+
+
+def test_lake_params_carry_layout_and_exclusions():
+    src = build_source("wh", "parquet", {"path": "/x", "layout": "database/table", "exclude_databases": ["tmp"]})
+    assert (src.layout, src.exclude_databases, src.database) == ("database/table", ("tmp",), "main")
