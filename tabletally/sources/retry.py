@@ -15,18 +15,22 @@ def with_retry(
     delay_s: float = 5.0,
     retry_on: tuple[type[BaseException], ...] = (Exception,),
     sleep: Callable[[float], None] = time.sleep,
+    give_up_on: tuple[type[BaseException], ...] = (ValueError, TypeError),
 ) -> R:
     """Run ``action``; on failure wait ``delay_s`` and try again, ``attempts`` in all.
 
     Wrap the *action* (``collect``, ``save``), not only the reader: a JDBC
     reader connects at ``load()`` only to resolve the schema, and rows move at
-    the action. The last error is raised, never swallowed.
+    the action. The last error is raised, never swallowed. Errors in
+    ``give_up_on`` (bad input, which a retry cannot fix) are raised at once.
     """
     if attempts < 1:
         raise ValueError("attempts must be at least 1")
     for attempt in range(1, attempts + 1):
         try:
             return action()
+        except give_up_on:
+            raise
         except retry_on:
             if attempt == attempts:
                 raise

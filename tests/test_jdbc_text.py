@@ -146,3 +146,14 @@ def test_append_options_per_dialect():
         assert rec.fmt == "jdbc" and rec.saved_mode == "append"
         assert rec.opts["dbtable"] == "public.tracker" and rec.opts["numPartitions"] == "4"
         assert (rec.opts.get("stringtype") == "unspecified") == has_stringtype
+
+
+def test_bad_input_is_not_retried():
+    waits = []
+
+    def refuse():
+        raise ValueError("null key")
+
+    with pytest.raises(ValueError):
+        with_retry(refuse, attempts=3, delay_s=5, sleep=waits.append)
+    assert waits == []
