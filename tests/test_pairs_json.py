@@ -65,3 +65,9 @@ def test_matches_dict_semantics(spark, rows):
     assert {g: json.loads(j) for g, j in got.items()} == {g: json.loads(j) for g, j in expected.items()}
     for g, j in got.items():
         assert list(json.loads(j)) == list(json.loads(expected[g]))
+
+
+def test_non_string_keys_and_values_become_text(spark):
+    df = spark.createDataFrame([(1, 2, 10, 1.5), (1, 1, 20, 2.5), (1, 3, 10, None)], "g int, pos int, k int, v double")
+    got = pairs_to_json(df, ["g"], "k", "v", "pos", "j").collect()
+    assert got[0]["j"] == '{"20":"2.5","10":null}'
