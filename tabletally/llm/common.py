@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 #: A word, as every contract of this package means it.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -44,3 +48,33 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = "_" + name
     return name
+
+
+def with_text_columns(
+    df: DataFrame, text: str, outputs: StructType, make: Callable[[], Callable[[list[str]], list]], rows: int = 256
+) -> DataFrame:
+    """``df`` with columns computed from its texts in Arrow batches, without a shuffle.
+
+    ``make()`` runs once per task and returns the function that maps a list of
+    texts (null as empty) to one list or Arrow array per output field. ``rows``
+    bounds how many texts are worked on at once. A column of ``df`` that has an
+    output's name is replaced.
+    """
+    new = {f.name.lower() for f in outputs}
+    kept = [f for f in df.schema if f.name.lower() not in new]
+    texts = free_name(df, "_text")
+    schema = StructType([*kept, *outputs])
+    arrow_schema = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = make()
+        for batch in batches:
+            for start in range(0, batch.num_rows, rows):
+                part = batch.slice(start, rows)
+                results = work([t or "" for t in part.column(part.num_columns - 1).to_pylist()])
+                columns = [c.cast(f.type) for c, f in zip(part.columns[:-1], arrow_schema, strict=False)]
+                for field, values in zip(list(arrow_schema)[len(columns):], results, strict=True):
+                    columns.append(values if isinstance(values, pa.Array) else pa.array(values, field.type))
+                yield pa.RecordBatch.from_arrays(columns, schema=arrow_schema)
+
+    return df.select(*[F.col(f"`{f.name}`") for f in kept], F.col(text).alias(texts)).mapInArrow(run, schema)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from .chat import op1_chat
 from .mixing import OP9_SQL, op9_mixing
 
 QUERIES = {
+    "op1_chat": op1_chat,
     "op9_mixing": op9_mixing,
 }
 

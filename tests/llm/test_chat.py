@@ -1,0 +1,90 @@
+from __future__ import annotations
+
+import hashlib
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tabletally.llm import chat
+
+SF = "/root/testdata/sf0.001"
+EVENTS = "conv_id long, message_id long, seq long, kind string, role string, text string"
+
+
+def sha(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def expected(rows):
+    """Brute force over (conv_id, role, text) in turn order."""
+    out = {}
+    for conv, role, text in rows:
+        out.setdefault(conv, []).append((role or "", text or ""))
+    return {
+        c: (len(t), sha("".join(f"{r}\n{x}\n" for r, x in t)),
+            sum(len(x) for r, x in t if r == "assistant"), sha("".join(x for r, x in t if r == "assistant")))
+        for c, t in out.items()
+    }
+
+
+def test_query_reads_back_every_turn(spark):
+    got = {r[0]: tuple(r)[1:5] for r in chat.op1_chat(spark, SF).collect()}
+    rows = spark.read.parquet(f"{SF}/conversations.parquet").orderBy("conv_id", "turn").collect()
+    said = "</s>[INST] ok [/INST]"
+    rows = [(r.conv_id, r.role, r.text) for r in rows] + [(-7, "user", said), (-7, "assistant", said)]
+    assert got == expected(rows)
+
+
+def test_fold_streams_edits_and_regenerations(spark):
+    log = [
+        (1, 10, 1, "message", "user", "Hi"), (1, 10, 2, "edit", None, "Hello"),
+        (1, 11, 3, "message", "assistant", ""), (1, 11, 4, "delta", None, "wro"), (1, 11, 5, "delta", None, "ng"),
+        (1, 11, 6, "regenerate", None, None), (1, 11, 7, "delta", None, "ri"), (1, 11, 8, "delta", None, "ght"),
+        (1, 12, 9, "message", "user", "gone"), (1, 12, 10, "delete", None, None),
+        (1, 13, 11, "delta", None, "only delta"), (1, 13, 12, "unknown", None, "x"),
+        (None, 1, 1, "message", None, None),
+    ]
+    got = chat.fold_events(spark.createDataFrame(log, EVENTS)).orderBy("conv_id", "position").collect()
+    assert [(r.conv_id, r.role, r.text) for r in got] == [
+        (None, "", ""), (1, "user", "Hello"), (1, "assistant", "right"), (1, "", "only delta"),
+    ]
+
+
+def test_empty_table(spark):
+    empty = spark.createDataFrame([], EVENTS)
+    assert chat.read_back(chat.render(chat.fold_events(empty))).count() == 0
+
+
+def test_odd_rows_repeats_and_clashing_columns(spark):
+    rows = [
+        (5, 1, "user", None, "x"), (5, 2, "assistant", "a" * 100_000, "x"), (5, 2, "assistant", "a" * 100_000, "x"),
+        (None, None, None, None, "x"), (6, 1, "[/ROLE]", "\\[INST]\\</s>[[INST]", "x"), (6, 2, "", "", "x"),
+        (7, 1, "assistant", "[\\\\/INST]<s", "x"), (7, 2, "assistant", "/s>", "x"),
+    ]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, position string")
+    got = chat.read_back(chat.render(chat.fold_events(chat.events_of_rows(df)))).collect()
+    assert {r[0]: tuple(r)[1:5] for r in got} == expected([r[:1] + r[2:4] for r in rows])
+
+
+PIECES = st.lists(st.sampled_from(["[", "<", "\\", "/", "s>", "INST]", "</s>", "[INST]", "[ROLE]", "a", "\n", "é"]), max_size=8)
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "system", "tool", "[MSG]"]), PIECES), min_size=1, max_size=6))
+def test_round_trip(spark, turns):
+    rows = [(1, i, r, "".join(t)) for i, (r, t) in enumerate(turns)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").coalesce(1)
+    pieces = chat.render(chat.fold_events(chat.events_of_rows(df))).orderBy("position").collect()
+    whole = "".join(p.formatted for p in pieces)
+    assert [t[:2] for t in chat.parse(whole)] == [(r[2], r[3]) for r in rows]
+    assert [m for _, _, m in chat.parse(whole)] == [r[2] == "assistant" for r in rows]
+
+
+@pytest.mark.parametrize("text", ["", "[INST]", "\\[INST]", "[\\INST]", "[\\\\INST]", "<</s>", "[[/INST]]"])
+def test_escape_is_reversible(spark, text):
+    from pyspark.sql import functions as F
+
+    out = spark.range(1).select(chat.escaped(F.lit(text)).alias("e")).first().e
+    assert not chat.re.search(chat.MARK, out)
+    assert chat.re.sub(chat.UNESCAPE, r"\1\2", out) == text
