@@ -116,7 +116,7 @@ class WordEncoder:
             del last[depth + 1 :], steps[depth:]
             for symbol in label:
                 path += symbol
-                token = self.last_token(path[-self.lengths[0] :] if len(path) > self.lengths[0] else path, Tail(last, len(path), self.lengths[0]), "", self.lengths)
+                token = self.last_token(path, last, "", self.lengths)
                 last.append(token)
                 steps.append(len(self.tokens[token]))
             for first, edge in node.items():
@@ -125,3 +125,97 @@ class WordEncoder:
                 else:
                     todo.append((*edge, len(path)))
         return found
+
+    def close(self, path: str, last: list[int], steps: list[int]) -> list[int]:
+        """The encoding of the whole word ``path``: its closing token, then the states read backwards."""
+        closing = self.last_token(path, last, END, self.end_lengths)
+        out, at = [closing], len(path) - (len(self.tokens[closing]) - len(END))
+        while at:
+            out.append(last[at])
+            at -= steps[at - 1]
+        return out[::-1]
+
+
+def insert(node: dict, key: str, word: str) -> None:
+    """Adds ``key`` to a trie with string edges: node[first symbol] = (edge label, child); node[""] = word."""
+    while key:
+        edge = node.get(key[0])
+        if edge is None:
+            node[key[0]] = (key, {"": word})
+            return
+        label, child = edge
+        shared = 1
+        while shared < min(len(label), len(key)) and label[shared] == key[shared]:
+            shared += 1
+        if shared < len(label):
+            child = {label[shared]: (label[shared:], child)}
+            node[key[0]] = (label[:shared], child)
+        node, key = child, key[shared:]
+    node[""] = word
+
+
+def normalised(text: str) -> str:
+    """NFC, then lower case letter by letter (a final sigma is no exception)."""
+    if not unicodedata.is_normalized("NFC", text):
+        text = unicodedata.normalize("NFC", text)
+    return text.replace("\u03a3", "\u03c3").lower()
+
+
+OUTPUTS = StructType().add("bpe_ids", BinaryType()).add("bpe_count", LongType()).add("bpe_text", StringType())
+
+
+def encode_decode(df: DataFrame, text: str = "text", tokenizer: str = TOKENIZER, known_words: int = 200_000) -> DataFrame:
+    """Adds ``bpe_ids`` (ids as packed little-endian unsigned 32-bit integers),
+    ``bpe_count`` and ``bpe_text`` (the ids decoded again, special tokens kept).
+
+    The tokenizer file is read on the driver and broadcast (its size is fixed).
+    A task remembers the encodings of at most about ``known_words`` distinct
+    words and then starts afresh, which changes its memory and never a result.
+
+    Defined cases: a null or empty text has no ids and decodes to the empty
+    text; a word of any length is encoded whole; special tokens written in a
+    text get their ids, as in the library.
+    """
+    with open(tokenizer, encoding="utf-8") as f:
+        spec = df.sparkSession.sparkContext.broadcast(json.load(f))
+
+    def make() -> Callable[[list[str]], list]:
+        encoder = WordEncoder(spec.value)
+        pattern, specials = regex.compile(WORDS), regex.compile("(" + "|".join(map(regex.escape, encoder.specials)) + ")")
+        known: dict[str, bytes] = {}
+        tokens = encoder.tokens
+
+        def pack(ids: list[int]) -> bytes:
+            return np.asarray(ids, "<u4").tobytes()
+
+        def work(texts: list[str]) -> list:
+            if len(known) > known_words:
+                known.clear()
+                known.update((s, pack([i])) for s, i in encoder.specials.items())
+            docs = [
+                list(chain.from_iterable(
+                    [part] if k % 2 else pattern.findall(normalised(part)) for k, part in enumerate(specials.split(text))
+                ))
+                for text in texts
+            ]
+            fresh = set(chain.from_iterable(docs)) - known.keys()
+            known.update((w, pack(ids)) for w, ids in encoder.encode_words(fresh).items())
+            packed = [b"".join([known[w] for w in words]) for words in docs]
+            decoded = [" ".join([tokens[i] for i in np.frombuffer(ids, "<u4").tolist()]) for ids in packed]
+            return [pa.array(packed, pa.binary()), [len(p) // 4 for p in packed], decoded]
+
+        known.update((s, pack([i])) for s, i in encoder.specials.items())
+        return work
+
+    return with_text_columns(df, text, OUTPUTS, make)
+
+
+def op6_bpe(spark, sf_dir: str, tokenizer: str = TOKENIZER) -> DataFrame:
+    """Every document encoded and decoded; digests of the ids and of the decoded text."""
+    coded = encode_decode(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer=tokenizer)
+    return coded.select(
+        "doc_id",
+        F.col("bpe_count").alias("n_tokens"),
+        F.sha2("bpe_ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("bpe_text").cast("binary"), 256).alias("decoded_sha256"),
+    )

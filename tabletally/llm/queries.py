@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from .bpe import op6_bpe
 from .chat import op1_chat
+from .htmltext import op8_html
 from .mixing import OP9_SQL, op9_mixing
 
 QUERIES = {
     "op1_chat": op1_chat,
+    "op6_bpe": op6_bpe,
+    "op8_html": op8_html,
     "op9_mixing": op9_mixing,
 }
 

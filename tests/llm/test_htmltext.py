@@ -1,0 +1,77 @@
+from __future__ import annotations
+
+import html as H
+import re
+
+import pytest
+
+from tabletally.llm import htmltext
+
+SF = "/root/testdata/sf0.001"
+
+
+def article_of(page: str) -> str:
+    """Brute force for the test pages: the paragraphs between the article tags."""
+    inner = re.search(r"<article>(.*?)</article>", page, re.S)[1]
+    parts = re.split(r"</?(?:p|h1|li|ul)>", inner)
+    texts = [" ".join(H.unescape(re.sub(r"<[^>]*>", "", p.replace("<br>", " "))).split()) for p in parts]
+    return "\n\n".join(t for t in texts if t)
+
+
+def test_query_gives_the_article_of_every_page(spark):
+    got = {r.page_id: r for r in htmltext.op8_html(spark, SF).collect()}
+    for p in spark.read.parquet(f"{SF}/pages.parquet").collect():
+        assert got[p.page_id].text == article_of(p.html), p.page_id
+        assert got[p.page_id].n_chars == len(got[p.page_id].text) and got[p.page_id].url == p.url
+
+
+BODY = (
+    "<p>The first paragraph, long enough to be text. It says this &amp; that.</p>"
+    "<p>The second one <b>goes on</b>, with <a href='/x'>a link</a>; and so on.<p>Third, open: fine."
+)
+TEXT = (
+    "The first paragraph, long enough to be text. It says this & that.\n\n"
+    "The second one goes on, with a link; and so on.\n\nThird, open: fine."
+)
+AROUND = {
+    "menu": "<nav><ul><li><a href='/a'>Home</a></li><li><a href='/b'>News, all of it.</a></li></ul></nav>",
+    "header": "<header><h2>The site. A name, a slogan.</h2></header>",
+    "sidebar": "<aside><p>Also read, today: more. And more, of it all.</p></aside>",
+    "sidebar class": "<div id='left-sidebar'><p>Also read, today: more. And more, of it all.</p></div>",
+    "notice": "<div class='cookie-notice'><p>We use cookies, many. You agree.</p></div>",
+    "advert": "<div class='ad'>Buy this, now. And that.</div>",
+    "form": "<form><p>Your name, please.</p><input name=x><button>Send</button></form>",
+    "script": "<script>var t='</p><p>no, no.';</script><style>p{margin:0}</style>",
+    "comments": "<section class='comments'><p>A reader says, well, much. And more.</p></section>",
+    "comment": "<!-- <p>not, shown.</p> -->",
+    "footer": "<footer><p>&copy; 2024, all rights. Reserved.</p></footer>",
+    "links": "<div><a href='/1'>One more story</a> <a href='/2'>Another story</a></div>",
+}
+
+
+@pytest.mark.parametrize("kind", AROUND)
+@pytest.mark.parametrize("container", ["article", "main", "div", "div class='story'"])
+def test_what_is_around_is_left_out(kind, container):
+    tag = container.split()[0]
+    content = f"<{container}><h1>A title</h1>{BODY}</{tag}>"
+    for page in (f"<body>{AROUND[kind]}{content}</body>", f"<html><body>{content}{AROUND[kind]}"):
+        assert htmltext.main_text(page) == "A title\n\n" + TEXT
+
+
+def test_inside_the_article():
+    page = f"<article><h1>T</h1>{BODY}<div class='share'>Share, this.</div><ul><li>one, two.<li>three</ul></article>"
+    assert htmltext.main_text(page) == "T\n\n" + TEXT + "\n\none, two.\n\nthree"
+    assert htmltext.main_text("<p>Some <span class='ad'>buy <span>now</span>, it</span>text,\n\t here.&nbsp;</p>") == "Some text, here."
+
+
+def test_odd_pages(spark):
+    pages = [
+        None, "", "   ", "plain text, without marks.", "<p>", "<![odd[x]]> <p>a, b.</p>", "<script>unclosed", "<p>&#233;&eacute;&bogus;</p>",
+        "<nav>only a menu</nav>", "<div>" * 3000 + "deep, text." + "</div>" * 3000, "<article><p>" + "word, " * 50_000 + "</p></article>",
+    ]
+    df = spark.createDataFrame([(i, p, "clash") for i, p in enumerate(pages + [None])], "page_id long, html string, TEXT string")
+    got = {r.page_id: r.text for r in htmltext.extract(df).collect()}
+    assert [got[i] for i in range(5)] == ["", "", "", "plain text, without marks.", ""]
+    assert got[5].endswith("a, b.") and got[6] == "" and got[7] == "éé&bogus;" and got[8] == "" and got[9] == "deep, text."
+    assert got[10] == ("word, " * 50_000).strip() and got[11] == ""
+    assert htmltext.extract(df.limit(0)).count() == 0
