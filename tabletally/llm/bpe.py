@@ -164,7 +164,8 @@ def normalised(text: str) -> str:
 OUTPUTS = StructType().add("bpe_ids", BinaryType()).add("bpe_count", LongType()).add("bpe_text", StringType())
 
 
-def encode_decode(df: DataFrame, text: str = "text", tokenizer: str = TOKENIZER, known_words: int = 200_000) -> DataFrame:
+def encode_decode(df: DataFrame, text: str = "text", tokenizer: str = TOKENIZER, known_words: int = 200_000,
+                  keep: list[str] | None = None) -> DataFrame:
     """Adds ``bpe_ids`` (ids as packed little-endian unsigned 32-bit integers),
     ``bpe_count`` and ``bpe_text`` (the ids decoded again, special tokens kept).
 
@@ -207,12 +208,12 @@ def encode_decode(df: DataFrame, text: str = "text", tokenizer: str = TOKENIZER,
         known.update((s, pack([i])) for s, i in encoder.specials.items())
         return work
 
-    return with_text_columns(df, text, OUTPUTS, make)
+    return with_text_columns(df, text, OUTPUTS, make, keep)
 
 
 def op6_bpe(spark, sf_dir: str, tokenizer: str = TOKENIZER) -> DataFrame:
     """Every document encoded and decoded; digests of the ids and of the decoded text."""
-    coded = encode_decode(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer=tokenizer)
+    coded = encode_decode(table(spark, sf_dir, "documents"), tokenizer=tokenizer, keep=["doc_id"])
     return coded.select(
         "doc_id",
         F.col("bpe_count").alias("n_tokens"),

@@ -51,17 +51,23 @@ def free_name(df: DataFrame, name: str) -> str:
 
 
 def with_text_columns(
-    df: DataFrame, text: str, outputs: StructType, make: Callable[[], Callable[[list[str]], list]], rows: int = 256
+    df: DataFrame,
+    text: str,
+    outputs: StructType,
+    make: Callable[[], Callable[[list[str]], list]],
+    keep: list[str] | None = None,
+    rows: int = 256,
 ) -> DataFrame:
     """``df`` with columns computed from its texts in Arrow batches, without a shuffle.
 
     ``make()`` runs once per task and returns the function that maps a list of
     texts (null as empty) to one list or Arrow array per output field. ``rows``
-    bounds how many texts are worked on at once. A column of ``df`` that has an
-    output's name is replaced.
+    bounds how many texts are worked on at once. The columns ``keep`` (all if
+    None) are passed on; one that has an output's name is replaced.
     """
     new = {f.name.lower() for f in outputs}
-    kept = [f for f in df.schema if f.name.lower() not in new]
+    wanted = {c.lower() for c in (df.columns if keep is None else keep)}
+    kept = [f for f in df.schema if f.name.lower() in wanted - new]
     texts = free_name(df, "_text")
     schema = StructType([*kept, *outputs])
     arrow_schema = to_arrow_schema(schema)

@@ -230,7 +230,7 @@ def main_text(html: str) -> str:
     return "\n\n".join(b.text for b in kept)
 
 
-def extract(df: DataFrame, html: str = "html", output: str = "text") -> DataFrame:
+def extract(df: DataFrame, html: str = "html", output: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``df`` with the main text of each page in column ``output``; no shuffle.
 
     Defined cases: a null or empty page, or one without article text, gives
@@ -242,10 +242,10 @@ def extract(df: DataFrame, html: str = "html", output: str = "text") -> DataFram
     def make() -> Callable[[list[str]], list]:
         return lambda pages: [[main_text(p) for p in pages]]
 
-    return with_text_columns(df, html, StructType().add(output, StringType()), make)
+    return with_text_columns(df, html, StructType().add(output, StringType()), make, keep)
 
 
 def op8_html(spark, sf_dir: str) -> DataFrame:
     """The main text of every page."""
-    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    return extract(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+    texts = extract(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

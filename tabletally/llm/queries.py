@@ -6,9 +6,15 @@ from .bpe import op6_bpe
 from .chat import op1_chat
 from .htmltext import op8_html
 from .mixing import OP9_SQL, op9_mixing
+from .quality_classifier import op5_quality
+from .quality_rules import op4_rules
+from .toxicity import op3_toxicity
 
 QUERIES = {
     "op1_chat": op1_chat,
+    "op3_toxicity": op3_toxicity,
+    "op4_rules": op4_rules,
+    "op5_quality": op5_quality,
     "op6_bpe": op6_bpe,
     "op8_html": op8_html,
     "op9_mixing": op9_mixing,
