@@ -8,6 +8,7 @@ from .htmltext import op8_html
 from .mixing import OP9_SQL, op9_mixing
 from .quality_classifier import op5_quality
 from .quality_rules import op4_rules
+from .simhash import op7_simhash
 from .toxicity import op3_toxicity
 
 QUERIES = {
@@ -16,6 +17,7 @@ QUERIES = {
     "op4_rules": op4_rules,
     "op5_quality": op5_quality,
     "op6_bpe": op6_bpe,
+    "op7_simhash": op7_simhash,
     "op8_html": op8_html,
     "op9_mixing": op9_mixing,
 }
