@@ -5,6 +5,7 @@ from __future__ import annotations
 from .bpe import op6_bpe
 from .chat import op1_chat
 from .htmltext import op8_html
+from .minhash import op2_minhash
 from .mixing import OP9_SQL, op9_mixing
 from .quality_classifier import op5_quality
 from .quality_rules import op4_rules
@@ -13,6 +14,7 @@ from .toxicity import op3_toxicity
 
 QUERIES = {
     "op1_chat": op1_chat,
+    "op2_minhash": op2_minhash,
     "op3_toxicity": op3_toxicity,
     "op4_rules": op4_rules,
     "op5_quality": op5_quality,
