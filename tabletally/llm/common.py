@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -15,16 +16,20 @@ from pyspark.sql.types import StructType
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder of the session; a temporary one only where none is named, as in tests on one machine."""
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="llm-checkpoint-"))
+    return sc.getCheckpointDir()
+
+
 def reliable(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the shared folder of ``spark.checkpoint.dir``.
 
-    A lost executor costs a re-read, not a re-run. A temporary folder is made
-    only where the session names none, as in tests on one machine.
+    A lost executor costs a re-read, not a re-run.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="llm-checkpoint-"))
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint()
 
 
@@ -84,3 +89,14 @@ def with_text_columns(
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow_schema)
 
     return df.select(*[F.col(f"`{f.name}`") for f in kept], F.col(text).alias(texts)).mapInArrow(run, schema)
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder's path under the session's shared checkpoint folder."""
+    return f"{checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Removes a folder of intermediate data that no later step reads."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -9,6 +9,7 @@ from .minhash import op2_minhash
 from .mixing import OP9_SQL, op9_mixing
 from .quality_classifier import op5_quality
 from .quality_rules import op4_rules
+from .secrets import op10_secrets
 from .simhash import op7_simhash
 from .toxicity import op3_toxicity
 
@@ -22,6 +23,7 @@ QUERIES = {
     "op7_simhash": op7_simhash,
     "op8_html": op8_html,
     "op9_mixing": op9_mixing,
+    "op10_secrets": op10_secrets,
 }
 
 ORACLE_SQL = {

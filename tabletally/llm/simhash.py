@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
-from .common import reliable, table, with_text_columns
+from .common import free_name, reliable, table, with_text_columns
 
 SEED = 42
 QUERIES_AT_ONCE = 1024
@@ -253,6 +253,24 @@ def near_duplicates(
     )
 
 
+def keep_representatives(df: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``df`` with one row of every near-duplicate class, columns unchanged.
+
+    Of equal rows one stays. Only those take part in the second shuffle, which
+    tells them apart; the others are joined once.
+    """
+    mark, of, repeats = free_name(df, "_hash"), free_name(df, "_of"), free_name(df, "_repeats")
+    keepers = (
+        near_duplicates(df, key, text, **options).where("stays")
+        .groupBy(F.col(key).alias(of), F.col("text_hash").alias(mark + "_of")).agg(F.count(F.lit(1)).alias(repeats))
+    )
+    rows = df.withColumn(mark, F.xxhash64(text))
+    same = rows[key].eqNullSafe(keepers[of]) & (rows[mark] == keepers[mark + "_of"])
+    kept = rows.join(keepers, same)
+    once = kept.where(F.col(repeats) == 1).select(*df.columns)
+    return once.unionByName(kept.where(F.col(repeats) > 1).dropDuplicates([key, mark]).select(*df.columns))
+
+
 def op7_simhash(spark, sf_dir: str) -> DataFrame:
     """Every document's fingerprint and component."""
     return near_duplicates(table(spark, sf_dir, "documents")).select(
