@@ -57,11 +57,13 @@ class WordEncoder:
         self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens |= {i: t for t, i in self.specials.items()}
         self.ranks = {tuple(pair): r for r, pair in enumerate(model["merges"])}
-        self.lengths = sorted({len(t) for t in self.ids if not t.endswith(END)}, reverse=True)
-        self.end_lengths = sorted({len(t) - len(END) for t in self.ids if t.endswith(END)}, reverse=True)
+        self.made = {a + b: (a, b, r) for (a, b), r in self.ranks.items()}
         self.symbols = byte_symbols()
-        self.fits: dict[tuple[int, int], bool] = {}
-        self.stands: dict[int, bool] = {}
+        self.fits: dict[int, bool] = {}
+        self.edges: dict[tuple[int, bool], list[tuple[str, int]]] = {}
+        whole = {t: i for t, i in self.ids.items() if self.merge(self.split(t)) == [t]}
+        self.inner = suffix_trie({t: i for t, i in whole.items() if not t.endswith(END)})
+        self.closing = suffix_trie({t[: -len(END)]: i for t, i in whole.items() if t.endswith(END)})
 
     def split(self, token: str) -> list[str]:
         if token.endswith(END):
@@ -69,7 +71,7 @@ class WordEncoder:
         return list(token)
 
     def merge(self, symbols: list[str]) -> list[str]:
-        """Plain rank-order merging, used on single tokens and pairs only."""
+        """Plain rank-order merging; used on the vocabulary itself only."""
         ranks = self.ranks
         while len(symbols) > 1:
             best, at = min((ranks.get((a, b), len(ranks)), i) for i, (a, b) in enumerate(zip(symbols, symbols[1:], strict=False)))
@@ -78,26 +80,54 @@ class WordEncoder:
             symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
         return symbols
 
-    def alone(self, token: int) -> bool:
-        """Whether the token's own text is encoded as this one token."""
-        if (known := self.stands.get(token)) is None:
-            text = self.tokens[token]
-            known = self.stands[token] = self.merge(self.split(text)) == [text]
+    def edge(self, token: int, right: bool) -> list[tuple[str, int]]:
+        """The pieces that stand at the token's right (left) end while it is merged, from a
+        single symbol to the whole, each with the rank of the merge that uses it up."""
+        if (known := self.edges.get((token, right))) is None:
+            piece, until = self.tokens[token], len(self.ranks)
+            known = [(piece, until)]
+            while piece in self.made:
+                a, b, until = self.made[piece]
+                piece = b if right else a
+                known.append((piece, until))
+            known = self.edges[token, right] = known[::-1]
         return known
 
     def fit(self, a: int, b: int) -> bool:
-        """Whether the two tokens, side by side, stay as they are."""
-        if (known := self.fits.get((a, b))) is None:
-            x, y = self.tokens[a], self.tokens[b]
-            known = self.fits[a, b] = self.merge([*self.split(x), *self.split(y)]) == [x, y]
-        return known
-
-    def last_token(self, path: str, last: list[int], end: str, lengths: list[int]) -> int:
-        """The last token of the encoding of ``path`` (+ ``end``); last[i] is that of its first i symbols."""
-        d = len(path)
-        for n in lengths:
-            if n <= d and (token := self.ids.get(path[d - n :] + end)) is not None:
-                if self.alone(token) if n == d else self.fit(last[d - n], token):
+        """Whether two tokens stay as they are side by side: no merge across their border
+        comes before the merges that use up the pieces at the border."""
+        left, right, ranks = self.edge(a, True), self.edge(b, False), self.ranks
+        i = j = 0
+        while True:
+            (x, x_until), (y, y_until) = left[i], right[j]
+            rank = ranks.get((x, y), len(ranks))
+            # of equal merges the one further left comes first
+            if rank < x_until and rank <= y_until and rank < len(ranks):
+                return False
+            if i == len(left) - 1 and j == len(right) - 1:
+                return True
+            if x_until <= y_until:
+                i += 1
+            else:
+                j += 1
+
+    def last_token(self, path: str, last: list[int], suffixes: dict) -> int:
+        """The last token of the encoding of ``path``; last[i] is that of its first i symbols."""
+        at, fits = len(path), self.fits
+        while at:
+            at -= 1
+            entry = suffixes.get(path[at])
+            if entry is None:
+                break
+            token, suffixes = entry
+            if token >= 0:
+                if not at:
+                    return token
+                pair = last[at] << 32 | token
+                known = fits.get(pair)
+                if known is None:
+                    known = fits[pair] = self.fit(last[at], token)
+                if known:
                     return token
         raise ValueError(f"no encoding of {path!r}")  # every byte is a token, so this cannot be
 
@@ -116,7 +146,7 @@ class WordEncoder:
             del last[depth + 1 :], steps[depth:]
             for symbol in label:
                 path += symbol
-                token = self.last_token(path, last, "", self.lengths)
+                token = self.last_token(path, last, self.inner)
                 last.append(token)
                 steps.append(len(self.tokens[token]))
             for first, edge in node.items():
@@ -128,7 +158,7 @@ class WordEncoder:
 
     def close(self, path: str, last: list[int], steps: list[int]) -> list[int]:
         """The encoding of the whole word ``path``: its closing token, then the states read backwards."""
-        closing = self.last_token(path, last, END, self.end_lengths)
+        closing = self.last_token(path, last, self.closing)
         out, at = [closing], len(path) - (len(self.tokens[closing]) - len(END))
         while at:
             out.append(last[at])
@@ -136,6 +166,18 @@ class WordEncoder:
         return out[::-1]
 
 
+def suffix_trie(tokens: dict[str, int]) -> dict:
+    """Tokens read from their ends: trie[symbol] = [token or -1, trie of the symbols before]."""
+    root: dict = {}
+    for text, token in tokens.items():
+        node = root
+        for symbol in reversed(text):
+            entry = node.setdefault(symbol, [-1, {}])
+            node = entry[1]
+        entry[0] = token
+    return root
+
+
 def insert(node: dict, key: str, word: str) -> None:
     """Adds ``key`` to a trie with string edges: node[first symbol] = (edge label, child); node[""] = word."""
     while key:

@@ -74,3 +74,13 @@ def test_forgetting_words_changes_nothing(spark):
     a = {r.doc_id: bytes(r.bpe_ids) for r in bpe.encode_decode(docs).collect()}
     b = {r.doc_id: bytes(r.bpe_ids) for r in bpe.encode_decode(docs, known_words=10).collect()}
     assert a == b
+
+
+def test_border_rule_equals_plain_merging(encoder):
+    draw = np.random.default_rng(1)
+    inner = [i for t, i in encoder.ids.items() if encoder.merge(encoder.split(t)) == [t] and not t.endswith(bpe.END)]
+    ends = [i for t, i in encoder.ids.items() if encoder.merge(encoder.split(t)) == [t]]
+    short = [i for i in inner if len(encoder.tokens[i]) <= 3]
+    for a, b in zip(draw.choice(short, 6000), draw.choice(ends, 6000), strict=True):
+        x, y = encoder.tokens[a], encoder.tokens[b]
+        assert encoder.fit(a, b) == (encoder.merge([*encoder.split(x), *encoder.split(y)]) == [x, y]), (x, y)
