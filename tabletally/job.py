@@ -10,7 +10,10 @@ working (``python -m tabletally.job`` runs it with a local session)::
         --destination_params '{"host": "...", "port": 5432, "database": "audit", "table_name": "public.tracker", ...}'
 
 A file lake is ``--source_type parquet --source_params '{"path": "...", "database": "main"}'``
-(or ``{"path": "...", "layout": "database/table", "exclude_databases": ["tmp"]}``);
+(or ``{"path": "...", "layout": "database/table", "exclude_databases": ["tmp"]}``).
+Every source takes the lists ``include_tables``, ``exclude_tables`` and
+``exclude_databases``; further JDBC reader options go under ``options``.
+The job ends with status 1 if any table or source failed;
 a Parquet registry is ``--destination_type parquet --destination_params '{"path": "..."}'``.
 Passwords may be given as ``password_env``: the name of an environment
 variable to read, so they stay off the command line. ``--jars`` is accepted
@@ -28,10 +31,12 @@ import sys
 from pyspark.sql import SparkSession
 
 from .plans.sync import sync_registry
-from .sources.model import Source
+from .sources.model import FILE_KINDS, Source
 from .sources.registry_store import RegistryTarget
 
+# Parameter names that existing job lines use, and the reader options taken from beside them.
 _CONNECTION_KEYS = ("host", "port", "user", "password", "password_env")
+_OPTION_KEYS = ("service", "owners", "encrypt", "trustServerCertificate", "fetchsize")
 
 
 def _password(params: dict) -> str | None:
@@ -40,28 +45,34 @@ def _password(params: dict) -> str | None:
     return params.get("password")
 
 
+def _names(params: dict, key: str) -> tuple[str, ...] | None:
+    """A list of names, or null; a single text is refused, for it would be read letter by letter."""
+    value = params.get(key)
+    if value is not None and (isinstance(value, str) or not all(isinstance(v, str) for v in value)):
+        raise ValueError(f"{key} must be a list of names")
+    return None if value is None else tuple(value)
+
+
 def build_source(name: str, kind: str, params: dict) -> Source:
-    if kind in ("parquet", "orc"):
-        excluded = params.get("exclude_databases")
-        return Source(
-            name,
-            kind,
-            path=params["path"],
-            database=params.get("database", "main"),
-            layout=params.get("layout", "flat"),
-            exclude_databases=tuple(excluded) if excluded is not None else None,
-            exclude_tables=tuple(params.get("exclude_tables", ())),
-        )
-    extra = {k: str(v) for k, v in params.items() if k not in _CONNECTION_KEYS}
-    return Source(
-        name,
-        kind,
-        host=params.get("host"),
-        port=params.get("port"),
-        user=params.get("user"),
-        password=_password(params),
-        options=extra,
-    )
+    """A source from the job's parameters; unknown ones are refused."""
+    filters = {
+        "include_tables": _names(params, "include_tables"),
+        "exclude_tables": _names(params, "exclude_tables") or (),
+        "exclude_databases": _names(params, "exclude_databases"),
+    }
+    if kind in FILE_KINDS:
+        own = ("path", "database", "layout")
+        fields = {k: params[k] for k in own if k in params}
+    else:
+        own = (*_CONNECTION_KEYS, "options")
+        fields = {k: params.get(k) for k in ("host", "port", "user")} | {"password": _password(params)}
+        fields["options"] = {k: str(v) for k, v in params.get("options", {}).items()}
+        fields["options"] |= {k: str(params[k]) for k in _OPTION_KEYS if k in params}
+        own = (*own, *_OPTION_KEYS)
+    unknown = sorted(set(params) - set(own) - set(filters))
+    if unknown:
+        raise ValueError(f"unknown parameters of a {kind} source: {', '.join(unknown)}")
+    return Source(name, kind, **fields, **filters)
 
 
 def build_target(kind: str, params: dict) -> RegistryTarget:
@@ -73,6 +84,7 @@ def build_target(kind: str, params: dict) -> RegistryTarget:
 
 
 def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
+    # The argument names of existing job lines.
     p = argparse.ArgumentParser(prog="tabletally.job")
     p.add_argument("--source_name", required=True)
     p.add_argument("--source_type", required=True)
@@ -101,7 +113,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         "errors": len(errors),
     }
     print(json.dumps(summary))
-    return 0
+    return 1 if errors else 0
 
 
 if __name__ == "__main__":

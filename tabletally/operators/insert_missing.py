@@ -12,11 +12,10 @@ the measured size of the target's keys is under the broadcast threshold.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.columns import any_null
-from ..session import ensure_checkpoint_dir
 
 
 def latest_per_key(
@@ -33,42 +32,46 @@ def latest_per_key(
     others (a null key can never match, so they are only ever reported).
     """
     cols = batch.columns
+    order_names = [o for o in (order or []) if isinstance(o, str)]
     order_exprs = [F.col(o) if isinstance(o, str) else o for o in (order or [])]
+    # Keys come from the grouping columns and named order columns from the
+    # ranking, so the payload holds neither twice; and the output keeps the
+    # aggregate's hash partitioning for a following join on the keys.
+    rest = [c for c in cols if c not in keys and c not in order_names]
     ranked = F.struct(
         *[e.alias(f"_o{i}") for i, e in enumerate(order_exprs)],
-        F.struct(*[F.col(c) for c in cols]).alias("_row"),
+        *([F.struct(*[F.col(c) for c in rest]).alias("_row")] if rest else [F.lit(True).alias("_row")]),
     )
+    place = {o: f"_best._o{i}" for i, o in reversed([*enumerate(order or [])]) if isinstance(o, str)}
+    place |= {c: f"_best._row.{c}" for c in rest}
     rows = batch if keep_null_keys else batch.where(~any_null(keys))
-    # Keys come from the grouping columns, not from the struct, so the output
-    # keeps the aggregate's hash partitioning and a following join on the
-    # keys needs no second shuffle of this side.
     return (
         rows.groupBy(*keys)
         .agg(F.max(ranked).alias("_best"))
-        .select(*[F.col(c) if c in keys else F.col("_best._row").getField(c).alias(c) for c in cols])
+        .select(*[F.col(c) if c in keys else _field(place[c]).alias(c) for c in cols])
     )
 
 
-# Largest batch, by a bound the caller knows, whose keys are broadcast.
-BROADCAST_KEYS_BYTES = 8 << 20
-ROWS_PER_FILE = 1_000_000
+def _field(path: str) -> Column:
+    """A nested field by its path; the last step may hold any characters."""
+    parts = path.split(".", 2)
+    out = F.col(parts[0])
+    for part in parts[1:]:
+        out = out.getField(part)
+    return out
 
 
-def known_keys(
-    target: DataFrame, keys: list[str], batch: DataFrame, batch_bound_bytes: int | None = None
-) -> DataFrame:
-    """Distinct non-null keys of ``target``, narrowed to those of ``batch`` when it is small.
+def known_keys(target: DataFrame, keys: list[str], batch: DataFrame | None = None) -> DataFrame:
+    """Non-null keys of ``target``; with ``batch``, only those the batch has.
 
-    With a caller-known bound on the batch's keys under
-    ``BROADCAST_KEYS_BYTES``, the target is filtered map-side by a broadcast
-    semi join, so only keys the batch has are shuffled: a large target (a
-    registry of every table ever seen) is read but never shuffled whole.
+    Narrowing is a left semi join. Where the planner knows the batch to be small
+    (a local relation, say) it filters the target map-side, so a large target is
+    read but never shuffled whole.
     """
     known = target.select(*keys).where(~any_null(keys))
-    if batch_bound_bytes is not None and batch_bound_bytes <= BROADCAST_KEYS_BYTES:
-        wanted = batch.select(*keys).where(~any_null(keys)).distinct()
-        known = known.join(F.broadcast(wanted), keys, "left_semi")
-    return known.distinct()
+    if batch is None:
+        return known
+    return known.join(batch.select(*keys).where(~any_null(keys)), keys, "left_semi")
 
 
 def missing_rows(
@@ -77,16 +80,19 @@ def missing_rows(
     keys: list[str],
     order: list[str | Column] | None = None,
     keep_null_keys: bool = False,
-    batch_bound_bytes: int | None = None,
+    unique: bool = False,
 ) -> DataFrame:
-    """Rows of ``batch`` (deduplicated on ``keys``) whose key is not in ``target``.
+    """Rows of ``batch`` (one per key) whose key is not in ``target``.
 
-    With ``keep_null_keys`` rows with a null key are kept too: they never
-    match, so the left anti join lets them through for the caller to report.
-    ``batch_bound_bytes`` (an upper bound on the batch's key bytes, known to
-    the caller) lets a small batch narrow a large target first.
+    A caller whose batch has one row per key says so with ``unique``; otherwise
+    the batch is reduced first. With ``keep_null_keys`` rows with a null key are
+    kept: they never match, so the left anti join lets them through.
     """
-    known = known_keys(target, keys, batch, batch_bound_bytes)
+    if unique:
+        rows = batch if keep_null_keys else batch.where(~any_null(keys))
+        return rows.join(known_keys(target, keys, rows), keys, "left_anti")
+    # distinct keys on both sides: a key with a third of the target's rows is one row in the join
+    known = known_keys(target, keys).distinct()
     return latest_per_key(batch, keys, order, keep_null_keys).join(known, keys, "left_anti")
 
 
@@ -105,32 +111,28 @@ def insert_missing(
 ) -> int:
     """Write the missing rows with ``write(df)``; return how many were written.
 
-    The missing set is checkpointed (reliably, to the session's checkpoint
-    folder) before it is counted and written, so both actions see the same
-    rows, the target is read once, and a lost executor cannot change the
-    decision between the two. Null-key rows ride along in that same job and
-    are tallied from the checkpoint, so the batch is not scanned twice. With
-    ``reject_null_keys`` any null key raises before anything is written;
-    without it such rows are left out.
+    With ``reject_null_keys`` any null key raises before anything is written;
+    without it such rows are left out. The test reads the key columns only.
     """
-    candidates = missing_rows(batch, target, keys, order, keep_null_keys=True)
-    return write_if_any(candidates, write, keys, reject_null_keys)
-
-
-def write_if_any(missing: DataFrame, write, keys: list[str], reject_null_keys: bool = True) -> int:
-    """Checkpoint ``missing``, tally it, and write its rows when there are any."""
-    ensure_checkpoint_dir(missing.sparkSession, allow_local_default=True)
-    missing = missing.checkpoint(eager=True)
-    null_key = any_null(keys)
-    by_kind = missing.groupBy(null_key.alias("null_key")).agg(F.count(F.lit(1)).alias("n"))
-    tally = {r["null_key"]: r["n"] for r in by_kind.collect()}  # at most two rows
-    if tally.get(True) and reject_null_keys:
+    if reject_null_keys:
+        refuse_null_keys(batch, keys)
+    return write_if_any(missing_rows(batch, target, keys, order), write)
+
+
+def refuse_null_keys(batch: DataFrame, keys: list[str]) -> None:
+    if not null_key_rows(batch.select(*keys), keys).isEmpty():
         raise ValueError(f"batch has rows with a null key in {keys}")
-    n = tally.get(False, 0)
-    if n:
-        rows = missing.where(~null_key) if tally.get(True) else missing
-        # About a million rows per output file: a daily append of a few new
-        # keys writes one file, not one per shuffle partition. (coalesce
-        # only ever lowers the count, so big inserts keep their parallelism.)
-        write(rows.coalesce(n // ROWS_PER_FILE + 1))
-    return n
+
+
+def write_if_any(missing: DataFrame, write) -> int:
+    """Write ``missing`` in one job if it has any row; return how many were written.
+
+    The emptiness test is a limit-1 job. The rows are counted while they are
+    written. ``rebalance`` lets AQE size the files by bytes: a daily append of a
+    few keys is one file, a big one keeps its parallelism.
+    """
+    if missing.isEmpty():
+        return 0
+    seen = Observation()
+    write(missing.hint("rebalance").observe(seen, F.count(F.lit(1)).alias("n")))
+    return seen.get["n"]

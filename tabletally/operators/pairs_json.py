@@ -1,21 +1,26 @@
 """Fold key/value rows into one ordered JSON object per group.
 
 Semantics are those of building a dict from the rows in ``order``: a key
-keeps the place of its first row and the value of its last one. Rows with a
-null key are left out (a JSON object has no null key); a null value is
-written as ``null``.
+keeps the place of its first row and the value of its last one. Keys are
+compared as the text they become, so two values with the same text are one
+key. A null key adds no entry (a JSON object has no null key), but its group
+stays: a group with only null keys gives ``{}``. A null value is written as
+``null``. Binary keys are refused: bytes that are no UTF-8 have no text.
 
 Plan: first aggregate per (group, key), with a map-side partial aggregate,
 so a hot group with millions of rows shrinks to one row per distinct key
 before anything is shuffled; then collect the distinct keys of each group,
-sort them by first position and write JSON. The second step holds per group
-only as many entries as the group has distinct keys.
+sort them by first position and write JSON. The second step holds one group's
+distinct keys in one task and writes them into one row, so it is meant for
+groups whose distinct keys fit in a row (the columns of a table, the settings
+of a user), however many rows they have.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def pairs_to_json(
@@ -26,9 +31,11 @@ def pairs_to_json(
     order_col: str,
     out_col: str = "json",
 ) -> DataFrame:
+    if isinstance(df.schema[key_col].dataType, T.BinaryType):
+        raise TypeError(f"{key_col}: binary keys have no JSON text; encode them first")
     per_key = (
-        df.where(F.col(key_col).isNotNull())
-        .groupBy(*group_cols, key_col)
+        df.withColumn("_key", F.col(key_col).cast("string"))
+        .groupBy(*group_cols, "_key")
         .agg(
             F.min(order_col).alias("_first"),
             # last value by order; ties on the order broken by the value itself
@@ -37,12 +44,12 @@ def pairs_to_json(
             ).alias("_last"),
         )
     )
+    # collect_list leaves nulls out: the null key's row only keeps its group
     entries = F.array_sort(
         F.collect_list(
-            F.struct(
-                "_first",
-                F.col(key_col).cast("string").alias("k"),
-                F.col("_last").getField("v").alias("v"),
+            F.when(
+                F.col("_key").isNotNull(),
+                F.struct("_first", F.col("_key").alias("k"), F.col("_last").getField("v").alias("v")),
             )
         )
     )

@@ -1,8 +1,4 @@
-"""Assembly of inventory rows: tables left-joined with counts and JSON maps.
-
-All three inputs are one row per table, so the joins are small whatever
-the size of the data counted.
-"""
+"""Assembly of inventory rows from one entry per table."""
 
 from __future__ import annotations
 
@@ -13,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators.pairs_json import pairs_to_json
+from ..sources.lake import metadata_frame
 from ..sources.model import Source
 
 TABLE_KEY = ["database_name", "table_name"]
@@ -29,45 +26,19 @@ def table_schema_json(columns: DataFrame) -> DataFrame:
     return pairs_to_json(columns, TABLE_KEY, "column_name", "data_type", "pos", "table_schema")
 
 
-# Largest per-table side, by a bound computed on the driver, that is broadcast.
-BROADCAST_BOUND_BYTES = 8 << 20
-
-
 def build_inventory(
-    tables: DataFrame,
-    counts: DataFrame,
-    maps: DataFrame,
-    source_name: str,
-    database_type: str,
-    bound_bytes: int | None = None,
+    spark: SparkSession, source: Source, entries: list[tuple[str, str, int, str]]
 ) -> DataFrame:
-    """Join tables, counts and JSON maps (``table_schema_json``) into inventory rows.
+    """Inventory rows of ``(database, table, row count, JSON map)`` entries, one per listed table.
 
-    ``bound_bytes`` is an upper bound, known to the caller, on the size of
-    the counts and of the JSON maps (both one row per table). Under
-    ``BROADCAST_BOUND_BYTES`` both are broadcast and the joins shuffle
-    nothing; without a bound the planner (AQE) chooses from measured sizes.
+    Counting and describing run as Spark jobs over all tables; what is left is
+    one small row per table of the listing, which the driver holds anyway. As a
+    local relation it needs no join and no exchange here.
     """
-    counts = counts.select(*TABLE_KEY, "row_count")
-    maps = maps.select(*TABLE_KEY, "table_schema")
-    if bound_bytes is not None and bound_bytes <= BROADCAST_BOUND_BYTES:
-        counts, maps = F.broadcast(counts), F.broadcast(maps)
-    return (
-        tables.select(*TABLE_KEY)
-        .join(counts, TABLE_KEY, "left")
-        .join(maps, TABLE_KEY, "left")
-        .select(
-            F.lit(source_name).alias("source_name"),
-            F.lit(database_type).alias("database_type"),
-            "database_name",
-            "table_name",
-            F.coalesce(F.col("row_count"), F.lit(0)).cast("bigint").alias("row_count"),
-            F.coalesce(F.col("table_schema"), F.lit("{}")).alias("table_schema"),
-        )
+    return metadata_frame(spark, entries, schemas.ENTRIES).select(
+        F.lit(source.name).alias("source_name"), F.lit(source.kind).alias("database_type"), *schemas.ENTRIES.names
     )
 
 
 def errors_frame(spark: SparkSession, source: Source, rows) -> DataFrame:
-    return spark.createDataFrame(
-        [(source.name, db, table, stage, msg) for db, table, stage, msg in rows], schemas.ERRORS
-    )
+    return metadata_frame(spark, [(source.name, *row) for row in rows], schemas.ERRORS)

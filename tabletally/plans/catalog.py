@@ -15,7 +15,7 @@ from .. import schemas
 from ..operators.names import distinct_names
 from ..sources import jdbc, lake
 from ..sources.model import Source
-from .jdbc_inventory import _database_column, _jdbc_databases
+from .jdbc_inventory import _database_column, _jdbc_databases, catalog_tables
 
 
 def list_databases(spark: SparkSession, source: Source) -> DataFrame:
@@ -25,8 +25,7 @@ def list_databases(spark: SparkSession, source: Source) -> DataFrame:
         return spark.createDataFrame(names, "database_name string")
     d = jdbc.dialect(source)
     names = jdbc.read_query(spark, source, None, d.databases_sql(source))
-    excluded = d.excluded_databases if source.exclude_databases is None else source.exclude_databases
-    return distinct_names(names, "database_name", excluded)
+    return distinct_names(names, "database_name", jdbc.excluded_databases(source, d.excluded_databases))
 
 
 def list_tables(spark: SparkSession, source: Source) -> DataFrame:
@@ -34,22 +33,10 @@ def list_tables(spark: SparkSession, source: Source) -> DataFrame:
     if source.is_files:
         return lake.tables_frame(spark, None, lake.list_lake_tables(spark, source))
     d = jdbc.dialect(source)
-    parts = []
-    for database in _jdbc_databases(spark, source, d):
-        rows = jdbc.read_query(spark, source, database, d.tables_sql(source))
-        parts.append(
-            rows.select(
-                _database_column(d, database).alias("database_name"),
-                F.col("table_name").cast("string"),
-            )
+    parts = [
+        catalog_tables(spark, source, d, database).select(
+            _database_column(d, database).alias("database_name"), F.col("table_name").cast("string")
         )
-    if not parts:
-        return spark.createDataFrame([], schemas.TABLES)
-    out = reduce(DataFrame.unionByName, parts)
-    dropped = list(d.excluded_tables) + list(source.exclude_tables)
-    if dropped:
-        out = out.where(~F.col("table_name").isin(dropped))
-    if source.include_tables is not None:
-        out = out.where(F.col("table_name").isin(list(source.include_tables)))
-    return out
-
+        for database in _jdbc_databases(spark, source, d)
+    ]
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schemas.TABLES)

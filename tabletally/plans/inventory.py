@@ -13,11 +13,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import schemas
-from ..sources import lake
+from ..functions.errors import error_text
 from ..sources.model import Source
 from .assemble import TABLE_KEY, Inventory, build_inventory, errors_frame, table_schema_json
 from .jdbc_inventory import jdbc_inventory, jdbc_table_keys
-from .lake_inventory import _lake_facts, _lake_rows, lake_inventory
+from .lake_inventory import _lake_facts, _lake_rows, keeps, lake_inventory
 
 __all__ = [
     "TABLE_KEY",
@@ -69,23 +69,18 @@ def inventory_all(
         else:
             servers.append(s)
 
-    def keeps(s: Source, t: lake.LakeTable) -> bool:
-        keys = wanted(s)
-        return s.keeps_lake_table(t.database, t.name) and (keys is None or (t.database, t.name) in keys)
-
     def lake_group(group: list[Source]) -> list[Inventory]:
-        facts = _lake_facts(spark, group[0], lambda t: any(keeps(s, t) for s in group), robust)
+        facts = _lake_facts(spark, group[0], lambda t: any(keeps(s, t, wanted(s)) for s in group), robust)
         return [_lake_rows(spark, s, facts, wanted(s)) for s in group]
 
     def server(s: Source) -> list[Inventory]:
         return [jdbc_inventory(spark, s, robust=robust, only=wanted(s))]
 
     def failed(group: list[Source], exc: Exception) -> list[Inventory]:
-        message = str(exc).splitlines()[0][:500] if str(exc) else type(exc).__name__
         return [
             Inventory(
                 spark.createDataFrame([], schemas.INVENTORY),
-                errors_frame(spark, s, [(None, None, "source", message)]),
+                errors_frame(spark, s, [(None, None, "source", error_text(exc))]),
             )
             for s in group
         ]

@@ -1,15 +1,14 @@
-"""Inventory of JDBC servers: catalog queries per database, batched count reads."""
+"""Inventory of JDBC servers: catalog queries per database, one count query per group of tables."""
 
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import schemas
-from ..session import ensure_checkpoint_dir
+from ..functions.errors import error_text
+from ..operators.names import catalog_names
 from ..sources import jdbc
 from ..sources.model import Source
 from ..sources.retry import with_retry
@@ -36,6 +35,15 @@ def _jdbc_databases(spark: SparkSession, source: Source, d: jdbc.Dialect) -> lis
     return [r["database_name"] for r in listed]
 
 
+def catalog_tables(
+    spark: SparkSession, source: Source, d: jdbc.Dialect, database: str
+) -> DataFrame:
+    """``(schema_name, table_name)`` of one database after the exclusion lists."""
+    rows = jdbc.read_query(spark, source, database, d.tables_sql(source))
+    dropped = (*d.excluded_tables, *source.exclude_tables)
+    return catalog_names(rows, "table_name", exclude=dropped, include=source.include_tables)
+
+
 def _jdbc_tables(
     spark: SparkSession,
     source: Source,
@@ -43,16 +51,12 @@ def _jdbc_tables(
     database: str,
     only: set[tuple[str, str]] | None = None,
 ) -> list[tuple[str, str]]:
-    """``(schema, table)`` pairs of one database after the exclusion lists."""
-    rows = with_retry(
-        lambda: jdbc.read_query(spark, source, database, d.tables_sql(source)).collect()
-    )
+    """``(schema, table)`` pairs of one database, collected."""
+    rows = with_retry(lambda: catalog_tables(spark, source, d, database).collect())
     return [
         (r["schema_name"], r["table_name"])
         for r in rows
-        if r["table_name"] not in d.excluded_tables
-        and source.keeps_table(r["table_name"])
-        and (only is None or (jdbc.qualified_database(d, database, r["schema_name"]), r["table_name"]) in only)
+        if only is None or (jdbc.qualified_database(d, database, r["schema_name"]), r["table_name"]) in only
     ]
 
 
@@ -75,48 +79,44 @@ def _jdbc_counts(
     spark: SparkSession,
     source: Source,
     d: jdbc.Dialect,
-    work: list[tuple[str, str, str]],
+    work: list[tuple[str, list[tuple[str, str]]]],
     robust: bool,
-    batch_size: int,
+    tables_per_query: int,
     max_connections: int,
-) -> tuple[DataFrame, set[tuple[str, str]], list]:
-    """Row counts of ``(database, schema, table)`` as unions of one-row reads.
-
-    Each batch of ``batch_size`` reads is one plan and one job, coalesced to
-    ``max_connections`` tasks: at most that many counts run on the server at
-    once, and no plan grows with the number of tables. When there is more
-    than one batch, or with ``robust``, each batch is checkpointed at once;
-    with ``robust`` a failed batch is retried table by table and the failing
-    tables are reported.
+) -> tuple[dict[tuple[str, str], int], list[tuple[str, str, str, str]]]:
+    """Row counts by (database name, table) and error rows, for ``(database, (schema, table) pairs)``.
+
+    Each group of ``tables_per_query`` tables is one query, retried as a whole;
+    ``max_connections`` run at once. A group that still fails is halved until
+    the failing tables stand alone; without ``robust`` the failure is raised.
     """
 
-    def frame(items) -> DataFrame:
-        frames = [f for db, s, t in items for f in jdbc.count_frames(spark, source, db, [(s, t)])]
-        return reduce(DataFrame.unionByName, frames).coalesce(max(1, max_connections))
-
-    if not work:
-        return spark.createDataFrame([], schemas.COUNTS), set(), []
-    batches = [work[i : i + batch_size] for i in range(0, len(work), max(1, batch_size))]
-    if len(batches) == 1 and not robust:
-        return frame(batches[0]), set(), []
-    ensure_checkpoint_dir(spark, allow_local_default=True)
-    done, failed, errors = [], set(), []
-    for batch in batches:
+    def count(database: str, group: list[tuple[str, str]]) -> tuple[dict, list]:
         try:
-            done.append(frame(batch).checkpoint(eager=True))
-            continue
-        except Exception:  # noqa: BLE001 - fall back table by table, or re-raise
+            numbers = with_retry(lambda: jdbc.count_tables(spark, source, database, group))
+            return {
+                (jdbc.qualified_database(d, database, s), t): n for (s, t), n in zip(group, numbers, strict=True)
+            }, []
+        except Exception as exc:  # noqa: BLE001 - halved, then reported as an error row
             if not robust:
                 raise
-        for db, schema, table in batch:
-            try:
-                done.append(frame([(db, schema, table)]).checkpoint(eager=True))
-            except Exception as exc:  # noqa: BLE001 - reported as an error row
-                qualified = jdbc.qualified_database(d, db, schema)
-                failed.add((qualified, table))
-                errors.append((qualified, table, "count", str(exc).splitlines()[0][:500]))
-    counts = reduce(DataFrame.unionByName, done) if done else spark.createDataFrame([], schemas.COUNTS)
-    return counts, failed, errors
+            if len(group) == 1:
+                schema, table = group[0]
+                return {}, [(jdbc.qualified_database(d, database, schema), table, "count", error_text(exc))]
+        halves = [count(database, group[: len(group) // 2]), count(database, group[len(group) // 2 :])]
+        return halves[0][0] | halves[1][0], halves[0][1] + halves[1][1]
+
+    groups = [
+        (database, pairs[i : i + tables_per_query])
+        for database, pairs in work
+        for i in range(0, len(pairs), tables_per_query)
+    ]
+    counts, errors = {}, []
+    with ThreadPoolExecutor(max_workers=max(1, min(max_connections, len(groups)))) as pool:
+        for found, failed in pool.map(lambda g: count(*g), groups):
+            counts |= found
+            errors += failed
+    return counts, errors
 
 
 def jdbc_inventory(
@@ -125,52 +125,49 @@ def jdbc_inventory(
     robust: bool = False,
     threads: int = 8,
     only: set[tuple[str, str]] | None = None,
-    count_batch: int = 200,
+    tables_per_query: int = 50,
     max_connections: int = 8,
 ) -> Inventory:
     """Inventory of a JDBC server: per database one table query, one column
-    query for all tables, and row counts as batched unions of count reads.
+    query for all tables, and row counts as one query per group of tables.
 
-    With ``robust`` a failing count batch is redone table by table and the
-    failing tables go to ``errors``. ``only`` limits the work to the given
-    ``(database_name, table_name)`` keys. ``max_connections`` bounds the
-    counts running on the server at once.
+    Every read is retried around its action. With ``robust`` a database or
+    table that fails goes to ``errors`` and the others stay; without it the
+    failure is raised. ``only`` limits the work to the given ``(database_name,
+    table_name)`` keys. ``max_connections`` bounds the counts running on the
+    server at once.
     """
     d = jdbc.dialect(source)
     databases = _jdbc_databases(spark, source, d)
 
+    def maps(database: str) -> dict[tuple[str, str], str]:
+        columns = jdbc.read_query(spark, source, database, d.columns_sql(source)).select(
+            _database_column(d, database).alias("database_name"),
+            F.col("table_name").cast("string"),
+            F.col("pos").cast("int"),
+            F.col("column_name").cast("string"),
+            F.col("data_type").cast("string"),
+        )
+        return {(r["database_name"], r["table_name"]): r["table_schema"] for r in table_schema_json(columns).collect()}
+
     def catalog(database: str):
         try:
             pairs = _jdbc_tables(spark, source, d, database, only)
-            c = jdbc.read_query(spark, source, database, d.columns_sql(source))
-        except Exception as exc:  # noqa: BLE001 - one database must not stop the rest
-            return database, None, None, str(exc).splitlines()[0][:500]
-        return database, pairs, c, None
+            return database, pairs, with_retry(lambda: maps(database)) if pairs else {}, None
+        except Exception as exc:  # noqa: BLE001 - with robust, one database must not stop the rest
+            if not robust:
+                raise
+            return database, [], {}, error_text(exc)
 
-    tables, columns, to_count, errors = [], [], [], []
+    work, schemas_of, errors = [], {}, []
     with ThreadPoolExecutor(max_workers=max(1, min(threads, len(databases)))) as pool:
-        for database, pairs, col_df, err in pool.map(catalog, databases):
+        for database, pairs, found, err in pool.map(catalog, databases):
             if err is not None:
                 errors.append((database, None, "tables", err))
-                continue
-            tables += [(jdbc.qualified_database(d, database, s), t) for s, t in pairs]
-            columns.append(
-                col_df.select(
-                    _database_column(d, database).alias("database_name"),
-                    F.col("table_name").cast("string"),
-                    F.col("pos").cast("int"),
-                    F.col("column_name").cast("string"),
-                    F.col("data_type").cast("string"),
-                )
-            )
-            to_count.append((database, pairs))
-
-    work = [(database, schema, table) for database, pairs in to_count for schema, table in pairs]
-    counts_df, failed, count_errors = _jdbc_counts(
-        spark, source, d, work, robust, count_batch, max_connections
-    )
-    errors += count_errors
-    tables_df = spark.createDataFrame([t for t in tables if t not in failed], schemas.TABLES)
-    columns_df = reduce(DataFrame.unionByName, columns) if columns else spark.createDataFrame([], schemas.COLUMNS)
-    rows = build_inventory(tables_df, counts_df, table_schema_json(columns_df), source.name, source.kind)
-    return Inventory(rows, errors_frame(spark, source, errors))
+            schemas_of |= found
+            work.append((database, pairs))
+
+    counts, count_errors = _jdbc_counts(spark, source, d, work, robust, tables_per_query, max_connections)
+    keys = [(jdbc.qualified_database(d, database, s), t) for database, pairs in work for s, t in pairs]
+    entries = [(*k, counts[k], schemas_of.get(k, "{}")) for k in keys if k in counts]
+    return Inventory(build_inventory(spark, source, entries), errors_frame(spark, source, errors + count_errors))

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
-from ..operators.counts import count_each_table, count_lake_rows
-from ..session import ensure_checkpoint_dir
+from .. import schemas
+from ..operators.counts import count_by_halves, count_lake_rows
 from ..sources import lake
 from ..sources.model import Source
-from .assemble import TABLE_KEY, Inventory, build_inventory, errors_frame, table_schema_json
+from .assemble import Inventory, build_inventory, errors_frame, table_schema_json
+
+
+#: Tables whose column rows are held at once.
+TABLES_AT_ONCE = 256
 
 
 @dataclass
@@ -19,78 +22,88 @@ class _LakeFacts:
     """What one pass over a lake root yields, before sources split it."""
 
     tables: list[lake.LakeTable]
-    counts: DataFrame  # database_name, table_name, row_count
-    maps: DataFrame  # database_name, table_name, table_schema
+    counts: dict[tuple[str, str], int]  # by database and table, one per table
+    maps: dict[tuple[str, str], str]
     failed: list[tuple[str, str, str, str]]  # database, table, stage, message
-    bound_bytes: int
+
+
+def schema_maps(
+    spark: SparkSession, source: Source, tables: list[lake.LakeTable]
+) -> tuple[dict[tuple[str, str], str], list[tuple[str, str, str, str]]]:
+    """The JSON column map of every table, and error rows.
+
+    Column rows of ``TABLES_AT_ONCE`` tables are folded to one JSON row per
+    table before the next tables are read, so the driver holds one row per
+    table, never the columns of a whole lake.
+    """
+    maps, errors = {}, []
+    for start in range(0, len(tables), TABLES_AT_ONCE):
+        rows, failed = lake.column_rows(spark, source, tables[start : start + TABLES_AT_ONCE])
+        errors += failed
+        folded = table_schema_json(lake.metadata_frame(spark, rows, schemas.COLUMNS))
+        maps |= {(r["database_name"], r["table_name"]): r["table_schema"] for r in folded.collect()}
+    return maps, errors
 
 
 def _lake_facts(spark: SparkSession, root: Source, keep, robust: bool) -> _LakeFacts:
-    """List, read footers and count a lake root once, for the tables ``keep`` accepts."""
+    """List, read footers and count a lake root once, for the tables ``keep`` accepts.
+
+    Without ``robust`` the first failure is raised; with it failing tables are
+    reported and the others stay.
+    """
     unfiltered = replace(root, include_tables=None, exclude_tables=(), exclude_databases=None)
     tables = [t for t in lake.list_lake_tables(spark, unfiltered) if keep(t)]
-    columns, col_errors, column_bytes = lake.column_rows(spark, root, tables)
+    maps, errors = schema_maps(spark, root, tables)
+    if errors and not robust:
+        database, table, stage, message = errors[0]
+        raise RuntimeError(f"{root.name}: {database}.{table} ({stage}): {message}")
     # A table whose footers could not be read is known bad: keep it out of
     # the shared scan rather than let it fail the scan for everyone.
-    unreadable = {(db, t) for db, t, _, _ in col_errors}
+    unreadable = {(db, t) for db, t, _, _ in errors}
     readable = [t for t in tables if (t.database, t.name) not in unreadable]
-    counts = count_lake_rows(spark, readable, None, root.kind)
-    count_errors: list = []
     if robust:
-        ensure_checkpoint_dir(spark, allow_local_default=True)
-        try:
-            counts = counts.checkpoint(eager=True)
-        except Exception:  # noqa: BLE001 - fall back table by table
-            counts, count_errors = count_each_table(spark, readable, None, root.kind)
-    # Both per-table sides are one row per listed table; the JSON maps are no
-    # larger than the column rows built on the driver.
-    bound = column_bytes + sum(64 + 2 * (len(t.name) + len(t.database)) for t in tables)
-    return _LakeFacts(
-        tables,
-        counts.select(*TABLE_KEY, "row_count"),
-        table_schema_json(columns).select(*TABLE_KEY, "table_schema"),
-        col_errors + count_errors,
-        bound,
-    )
+        rows, count_errors = count_by_halves(spark, readable, None, root.kind)
+        errors += count_errors
+    else:
+        rows = count_lake_rows(spark, readable, None, root.kind).collect()
+    return _LakeFacts(tables, {(db, t): n for db, t, n in rows}, maps, errors)
+
+
+def keeps(source: Source, t: lake.LakeTable, only: set[tuple[str, str]] | None = None) -> bool:
+    """Whether ``source`` wants a table listed for it or for another source on the same root.
+
+    A flat lake's namespace is the source's own, whichever source listed it.
+    """
+    database = source.database if source.layout == "flat" else t.database
+    return source.keeps_lake_table(database, t.name) and (only is None or (database, t.name) in only)
 
 
 def _lake_rows(
     spark: SparkSession, source: Source, facts: _LakeFacts, only: set[tuple[str, str]] | None = None
 ) -> Inventory:
     bad = {(db, t) for db, t, _, _ in facts.failed}
-    mine = [
-        t
-        for t in facts.tables
-        if source.keeps_lake_table(t.database, t.name) and (only is None or (t.database, t.name) in only)
-    ]
-    flat = source.layout == "flat"
+    mine = [t for t in facts.tables if keeps(source, t, only)]
     # A flat lake has one namespace, named by the source; with database
     # folders the namespace is the folder's.
-    db = F.lit(source.database).alias("database_name") if flat else F.col("database_name")
-    rows = build_inventory(
-        lake.tables_frame(
-            spark, source.database if flat else None, [t for t in mine if (t.database, t.name) not in bad]
-        ),
-        facts.counts.select(db, "table_name", "row_count"),
-        facts.maps.select(db, "table_name", "table_schema"),
-        source.name,
-        source.kind,
-        bound_bytes=facts.bound_bytes,
-    )
+    flat = source.layout == "flat"
+    entries = [
+        (source.database if flat else t.database, t.name,
+         facts.counts.get((t.database, t.name), 0), facts.maps.get((t.database, t.name), "{}"))
+        for t in mine
+        if (t.database, t.name) not in bad
+    ]
     keys = {(t.database, t.name) for t in mine}
     errors = [
         (source.database if flat else d, t, st, m) for d, t, st, m in facts.failed if (d, t) in keys
     ]
-    return Inventory(rows, errors_frame(spark, source, errors))
+    return Inventory(build_inventory(spark, source, entries), errors_frame(spark, source, errors))
 
 
 def lake_inventory(spark: SparkSession, source: Source, robust: bool = False) -> Inventory:
     """Inventory of a file lake.
 
-    With ``robust`` the one-scan count runs at once (checkpointed); if it
-    fails, every table is counted on its own and the failing ones are
-    reported in ``errors`` instead of failing the whole source (quirk Q2).
-    Tables whose schema or count failed are left out of ``rows``.
+    Without ``robust`` a table that cannot be read raises. With it the counts
+    run at once and failing tables are reported in ``errors`` and left out of
+    ``rows`` instead of failing the whole source (quirk Q2).
     """
-    keep = lambda t: source.keeps_lake_table(t.database, t.name)
-    return _lake_rows(spark, source, _lake_facts(spark, source, keep, robust))
+    return _lake_rows(spark, source, _lake_facts(spark, source, lambda t: keeps(source, t), robust))

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.columns import as_of_date
-from ..operators.insert_missing import missing_rows, write_if_any
+from ..operators.insert_missing import missing_rows, refuse_null_keys, write_if_any
 from ..sources.registry_store import RegistryTarget, append_registry, read_registry
 from ..sources.retry import with_retry
 
@@ -29,23 +29,16 @@ def missing_entries(
     inventory: DataFrame,
     registry: DataFrame,
     as_of: dt.date | str | None = None,
-    keep_null_keys: bool = False,
-    inventory_bound_bytes: int | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Inventory rows whose key the registry lacks, with audit dates.
 
-    ``inventory_bound_bytes``, a caller-known bound on the inventory's key
-    bytes, lets a small inventory narrow a large registry map-side first.
+    ``unique`` says that the inventory has one row per key, as every inventory
+    built here has; rows of other origin are reduced to one per key first.
     """
     day = as_of_date(as_of)
     rows = inventory.select(*schemas.INVENTORY_COLUMNS)
-    return missing_rows(
-        rows,
-        registry,
-        schemas.KEYS,
-        keep_null_keys=keep_null_keys,
-        batch_bound_bytes=inventory_bound_bytes,
-    ).select(
+    return missing_rows(rows, registry, schemas.KEYS, unique=unique).select(
         *schemas.KEYS,
         F.col("row_count").cast("bigint").alias("row_count"),
         F.col("table_schema").cast("string").alias("table_schema"),
@@ -55,11 +48,11 @@ def missing_entries(
 
 
 def registry_after_load(
-    inventory: DataFrame, registry: DataFrame, as_of: dt.date | str | None = None
+    inventory: DataFrame, registry: DataFrame, as_of: dt.date | str | None = None, unique: bool = False
 ) -> DataFrame:
     """What the registry holds after a load: old rows unchanged plus the missing ones."""
     return registry.select(*schemas.REGISTRY_COLUMNS).unionByName(
-        missing_entries(inventory, registry, as_of)
+        missing_entries(inventory, registry, as_of, unique)
     )
 
 
@@ -70,11 +63,14 @@ def load_registry(
     as_of: dt.date | str | None = None,
     attempts: int = 3,
     delay_s: float = 5.0,
-    inventory_bound_bytes: int | None = None,
+    unique: bool = False,
+    sources: list[str] | None = None,
 ) -> int:
     """Append the missing entries to the registry; return how many.
 
-    A second run with the same inventory adds nothing. Inventory rows with a
+    A second run with the same inventory adds nothing. ``sources`` (the names of
+    the sources the inventory is of) limits the read of the registry to them.
+    Inventory rows with a
     null key are refused before anything is written (they could never be
     matched again). Errors are raised, not printed.
 
@@ -83,14 +79,10 @@ def load_registry(
     not appended twice. Retrying only the write could duplicate them.
     """
 
+    refuse_null_keys(inventory, schemas.KEYS)
+
     def once() -> int:
-        registry = read_registry(spark, target)
-        return write_if_any(
-            missing_entries(
-                inventory, registry, as_of, keep_null_keys=True, inventory_bound_bytes=inventory_bound_bytes
-            ),
-            lambda df: append_registry(df, target),
-            schemas.KEYS,
-        )
+        registry = read_registry(spark, target, sources)
+        return write_if_any(missing_entries(inventory, registry, as_of, unique), lambda df: append_registry(df, target))
 
     return with_retry(once, attempts=attempts, delay_s=delay_s)

@@ -18,11 +18,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from .. import schemas
+from ..functions.errors import error_text
 from ..operators.insert_missing import known_keys
 from ..sources import lake
 from ..sources.model import Source
 from ..sources.registry_store import RegistryTarget, read_registry
-from .inventory import inventory_all, jdbc_table_keys
+from .inventory import Inventory, inventory_all, jdbc_table_keys
 from .registry import load_registry
 
 KEYS_SCHEMA = T.StructType(schemas.INVENTORY.fields[: len(schemas.KEYS)])
@@ -49,8 +50,7 @@ def _listed_rows(
         except Exception as exc:  # noqa: BLE001 - with robust, one source must not stop the rest
             if not robust:
                 raise
-            message = str(exc).splitlines()[0][:500] if str(exc) else type(exc).__name__
-            return [], [(s.name, None, None, "listing", message)]
+            return [], [(s.name, None, None, "listing", error_text(exc))]
 
     if not sources:
         return [], []
@@ -62,13 +62,9 @@ def _listed_rows(
     return rows, errors
 
 
-def _key_bytes(rows) -> int:
-    return sum(sum(len(str(v)) for v in r) + 32 for r in rows)
-
-
 def listed_keys(spark: SparkSession, sources: list[Source]) -> DataFrame:
     """The four registry keys of every table the sources list (no counting)."""
-    return spark.createDataFrame(_listed_rows(spark, sources)[0], KEYS_SCHEMA)
+    return lake.metadata_frame(spark, _listed_rows(spark, sources)[0], KEYS_SCHEMA)
 
 
 def sync_registry(
@@ -82,27 +78,40 @@ def sync_registry(
 ) -> SyncReport:
     """List every source, keep the keys the registry lacks, inventory and append those."""
     rows, listing_errors = _listed_rows(spark, sources, robust)
-    listing_errors_df = spark.createDataFrame(listing_errors, schemas.ERRORS)
-    listed = spark.createDataFrame(rows, KEYS_SCHEMA)
-    # The listing is held on the driver, so its size is known: the registry
-    # is narrowed to the listed keys map-side and never shuffled whole.
-    bound = _key_bytes(rows)
-    known = known_keys(read_registry(spark, target), schemas.KEYS, listed, bound)
-    new = listed.join(known, schemas.KEYS, "left_anti").collect()  # at most the listing
-    n_listed = len(rows)
+    listing_errors_df = lake.metadata_frame(spark, listing_errors, schemas.ERRORS)
+    listed = lake.metadata_frame(spark, rows, KEYS_SCHEMA)
+    names = sorted({s.name for s in sources})
+    # the listing is a local relation of known size: the registry is narrowed to it map-side
+    known = known_keys(read_registry(spark, target, names), schemas.KEYS, listed)
+    new = [tuple(r) for r in listed.join(known, schemas.KEYS, "left_anti").collect()]  # at most the listing
     if not new:
-        return SyncReport(n_listed, 0, 0, listing_errors_df)
+        return SyncReport(len(rows), 0, 0, listing_errors_df)
     todo: dict[str, set[tuple[str, str]]] = {}
-    for r in new:
-        todo.setdefault(r["source_name"], set()).add((r["database_name"], r["table_name"]))
+    for name, _, database, table in new:
+        todo.setdefault(name, set()).add((database, table))
     inv = inventory_all(spark, [s for s in sources if s.name in todo], robust=robust, only=todo)
+    errors = inv.errors.unionByName(_unaccounted(spark, new, inv))
     inserted = load_registry(
-        spark,
-        inv.rows,
-        target,
-        as_of,
-        attempts=attempts,
-        delay_s=delay_s,
-        inventory_bound_bytes=_key_bytes([tuple(r) for r in new]),
+        spark, inv.rows, target, as_of, attempts=attempts, delay_s=delay_s, unique=True, sources=names
     )
-    return SyncReport(n_listed, len(new), inserted, listing_errors_df.unionByName(inv.errors))
+    return SyncReport(len(rows), len(new), inserted, listing_errors_df.unionByName(errors))
+
+
+def _unaccounted(spark: SparkSession, new: list[tuple], inv: Inventory) -> DataFrame:
+    """Error rows for tables that are neither in the inventory nor among its errors.
+
+    There should be none; a table must never be lost without a word. An error
+    of a whole source or database accounts for all its tables.
+    """
+    found = {tuple(r) for r in inv.rows.select(*schemas.KEYS).collect()}  # one row per new table
+    failed = {(r["source_name"], r["database_name"], r["table_name"]) for r in inv.errors.collect()}
+
+    def reported(name: str, database: str, table: str) -> bool:
+        return any(f in failed for f in ((name, None, None), (name, database, None), (name, database, table)))
+
+    lost = [
+        (name, database, table, "inventory", "listed, but neither inventoried nor reported")
+        for name, kind, database, table in new
+        if (name, kind, database, table) not in found and not reported(name, database, table)
+    ]
+    return lake.metadata_frame(spark, lost, schemas.ERRORS)

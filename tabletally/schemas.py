@@ -41,6 +41,16 @@ COUNTS = T.StructType(
     ]
 )
 
+# One row per listed table: what an inventory adds to the source's name and kind.
+ENTRIES = T.StructType(
+    [
+        T.StructField("database_name", T.StringType(), False),
+        T.StructField("table_name", T.StringType(), False),
+        T.StructField("row_count", T.LongType(), False),
+        T.StructField("table_schema", T.StringType(), False),
+    ]
+)
+
 INVENTORY = T.StructType(
     [
         T.StructField("source_name", T.StringType(), False),

@@ -1,20 +1,19 @@
 """Session helpers: a local session for tests/bench and the checkpoint folder.
 
-The library never creates a session on its own; callers pass one in. On a
-cluster the checkpoint folder must be a shared one, named by the cluster in
-``spark.checkpoint.dir``; it is only invented here when nothing is set, which
-is the case in local tests.
+The library never creates a session on its own; callers pass one in. The
+checkpoint folder is a shared one, named in ``spark.checkpoint.dir``; the
+library never makes one up.
 """
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
-    """A local session with the settings the tests and the bench use."""
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, checkpoint_dir: str | None = None
+) -> SparkSession:
+    """A local session with the settings the tests and the bench use; the caller names its checkpoint folder."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tabletally")
@@ -28,17 +27,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark, allow_local_default=True)
+    if checkpoint_dir:
+        spark.sparkContext.setCheckpointDir(checkpoint_dir)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession, allow_local_default: bool = False) -> str:
-    """Return the reliable checkpoint folder, configuring it from the session.
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The reliable checkpoint folder: the SparkContext's current one, else ``spark.checkpoint.dir``.
 
-    Order: the SparkContext's current folder, then ``spark.checkpoint.dir``.
-    Only when both are unset and ``allow_local_default`` is true (local tests)
-    is a temporary folder created. On a cluster an unset folder is an error:
-    a machine-local folder would not survive the loss of an executor.
+    An unset folder is an error: a folder made up here could be local to one
+    machine and would not survive the loss of an executor.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,10 +49,6 @@ def ensure_checkpoint_dir(spark: SparkSession, allow_local_default: bool = False
         except Exception:  # noqa: BLE001 - key absent
             configured = None
     if not configured:
-        if not (allow_local_default and sc.master.startswith("local")):
-            raise ValueError(
-                "spark.checkpoint.dir is not set; point it at a folder all executors share"
-            )
-        configured = tempfile.mkdtemp(prefix="tabletally-ckpt-")
+        raise ValueError("spark.checkpoint.dir is not set; point it at a folder all executors share")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -2,9 +2,9 @@
 
 Catalog reads (databases, tables, columns) are small and use the ``query``
 option. Columns come from *one* query per database for all of its tables,
-with their ordinal position, instead of one query per table. Row counts run
-as a union of one-row ``COUNT`` reads: one Spark job whose tasks count the
-tables concurrently on the server. Table data is read with
+with their ordinal position, instead of one query per table. Row counts are
+one ``UNION ALL`` text per group of tables, so a group costs one round trip.
+Table data is read with
 ``partitionColumn``/``lowerBound``/``upperBound``/``numPartitions``.
 
 Nothing here can be exercised without a database server; the tests check the
@@ -22,12 +22,12 @@ from pyspark.sql import functions as F
 from .model import JDBC_KINDS, Source
 
 # ---------------------------------------------------------------------------
-# These must equal the reference's for the same inventory.
-#   PostgreSQL databases left out:  datalake_audit, postgres, template0, template1
+# Fixed values, equal to the original job's for the same inventory.
+#   PostgreSQL databases left out:  postgres, template0, template1
 #   PostgreSQL table schema:        public (views are listed too)
 #   SQL Server databases left out:  master, tempdb, model, msdb
 #   SQL Server table type:          BASE TABLE
-#   SQL Server URL flags:           encrypt=true;trustServerCertificate=true
+#   SQL Server TLS defaults:        encrypt=true, trustServerCertificate=true
 #   Oracle owners listed:           SYSTEM
 #   Oracle tables left out:         DUAL, USER_TABLES, ALL_TABLES, DBA_TABLES
 #   Oracle service name:            FREEPDB1
@@ -36,11 +36,11 @@ from .model import JDBC_KINDS, Source
 #                                   oracle.jdbc.OracleDriver
 #   PostgreSQL write option:        stringtype=unspecified
 # ---------------------------------------------------------------------------
-POSTGRES_EXCLUDED_DATABASES = ("datalake_audit", "postgres", "template0", "template1")
+POSTGRES_EXCLUDED_DATABASES = ("postgres", "template0", "template1")
 POSTGRES_SCHEMA = "public"
 MSSQL_EXCLUDED_DATABASES = ("master", "tempdb", "model", "msdb")
 MSSQL_TABLE_TYPE = "BASE TABLE"
-MSSQL_URL_FLAGS = "encrypt=true;trustServerCertificate=true"
+MSSQL_TLS = {"encrypt": "true", "trustServerCertificate": "true"}
 ORACLE_OWNERS = ("SYSTEM",)
 ORACLE_EXCLUDED_TABLES = ("DUAL", "USER_TABLES", "ALL_TABLES", "DBA_TABLES")
 ORACLE_SERVICE = "FREEPDB1"
@@ -84,8 +84,14 @@ def _bracket(name: str) -> str:
     return "[" + name.replace("]", "]]") + "]"
 
 
-def _excluded(source: Source, dialect_default: tuple[str, ...]) -> tuple[str, ...]:
-    return dialect_default if source.exclude_databases is None else source.exclude_databases
+def excluded_databases(source: Source, own: tuple[str, ...]) -> tuple[str, ...]:
+    """The server's own databases and those the caller leaves out as well."""
+    return (*own, *(source.exclude_databases or ()))
+
+
+def _mssql_url(source: Source, database: str) -> str:
+    tls = ";".join(f"{k}={source.options.get(k, default)}" for k, default in MSSQL_TLS.items())
+    return f"jdbc:sqlserver://{source.host}:{source.port};databaseName={database};{tls}"
 
 
 POSTGRES = Dialect(
@@ -97,7 +103,7 @@ POSTGRES = Dialect(
     quote=_dq,
     databases_sql=lambda s: (
         "SELECT datname AS database_name FROM pg_database"
-        f" WHERE datname NOT IN {sql_list(_excluded(s, POSTGRES_EXCLUDED_DATABASES))}"
+        f" WHERE datname NOT IN {sql_list(excluded_databases(s, POSTGRES_EXCLUDED_DATABASES))}"
     ),
     tables_sql=lambda s: (
         "SELECT table_schema AS schema_name, table_name FROM information_schema.tables"
@@ -120,13 +126,11 @@ MSSQL = Dialect(
     default_database="master",
     excluded_databases=MSSQL_EXCLUDED_DATABASES,
     excluded_tables=(),
-    url=lambda s, db: (
-        f"jdbc:sqlserver://{s.host}:{s.port};databaseName={db};{MSSQL_URL_FLAGS}"
-    ),
+    url=_mssql_url,
     quote=_bracket,
     databases_sql=lambda s: (
         "SELECT name AS database_name FROM sys.databases"
-        f" WHERE name NOT IN {sql_list(_excluded(s, MSSQL_EXCLUDED_DATABASES))}"
+        f" WHERE name NOT IN {sql_list(excluded_databases(s, MSSQL_EXCLUDED_DATABASES))}"
     ),
     tables_sql=lambda s: (
         "SELECT TABLE_SCHEMA AS schema_name, TABLE_NAME AS table_name"
@@ -200,7 +204,7 @@ def jdbc_options(source: Source, database: str | None = None) -> dict[str, str]:
     if source.password is not None:
         opts["password"] = source.password
     for k, v in source.options.items():
-        if k not in ("owners", "service"):
+        if k not in ("owners", "service", *MSSQL_TLS):
             opts[k] = str(v)
     return opts
 
@@ -223,8 +227,13 @@ def read_table(
     upper_bound: int | str | None = None,
     num_partitions: int | None = None,
     fetch_size: int = 10_000,
+    predicates: list[str] | None = None,
 ) -> DataFrame:
-    """Table data, split into ``num_partitions`` range reads when a column is given."""
+    """Table data, split into ``num_partitions`` range reads when a column is given,
+    or into one read per predicate (which must not overlap)."""
+    if predicates:
+        options = jdbc_options(source, database) | {"fetchsize": str(fetch_size)}
+        return spark.read.jdbc(options.pop("url"), table, predicates=predicates, properties=options)
     reader = (
         spark.read.format("jdbc")
         .options(**jdbc_options(source, database))
@@ -270,19 +279,19 @@ def qualified_database(d: Dialect, database: str, schema: str | None) -> str:
     return f"{database}.{schema}"
 
 
-def count_frames(
+def count_union_sql(d: Dialect, tables: list[tuple[str, str]]) -> str:
+    """One query that counts all ``(schema, table)``: rows (item, row_count), items from 0."""
+    return " UNION ALL ".join(
+        f"SELECT {i} AS item, q.row_count FROM ({d.count_sql(schema, table)}) q" for i, (schema, table) in enumerate(tables)
+    )
+
+
+def count_tables(
     spark: SparkSession, source: Source, database: str, tables: list[tuple[str, str]]
-) -> list[DataFrame]:
-    """One one-row count read per ``(schema, table)``; union them into one job."""
-    d = dialect(source)
-    frames = []
-    for schema, table in tables:
-        df = read_query(spark, source, database, d.count_sql(schema, table))
-        frames.append(
-            df.select(
-                F.lit(qualified_database(d, database, schema)).alias("database_name"),
-                F.lit(table).alias("table_name"),
-                F.col("row_count").cast("bigint").alias("row_count"),
-            )
-        )
-    return frames
+) -> list[int]:
+    """Row counts of a group of tables of one database, in one query."""
+    counts = read_query(spark, source, database, count_union_sql(dialect(source), tables)).select(
+        F.col("item").cast("int"), F.col("row_count").cast("bigint")
+    )
+    found = {r["item"]: r["row_count"] for r in counts.collect()}
+    return [found[i] for i in range(len(tables))]

@@ -13,12 +13,15 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .. import schemas
 from ..functions.columns import literal_path
+from ..functions.errors import error_text
 from ..functions.types import type_text
 from .model import Source
 
@@ -89,11 +92,16 @@ def list_lake_tables(spark: SparkSession, source: Source) -> list[LakeTable]:
     return sorted(found, key=lambda t: (t.database, t.name))
 
 
-def metadata_frame(spark: SparkSession, rows: list, schema) -> DataFrame:
-    """A DataFrame of driver-held catalog rows, in as few slices as their count needs."""
-    slices = max(1, min(spark.sparkContext.defaultParallelism, len(rows) // 50_000 + 1))
-    # Slicing the local rows up front measured faster than coalescing after.
-    return spark.createDataFrame(spark.sparkContext.parallelize(rows, slices), schema)
+def metadata_frame(spark: SparkSession, rows: list, schema: T.StructType) -> DataFrame:
+    """A DataFrame of driver-held catalog rows.
+
+    Made from an Arrow table, which Spark keeps as a local relation: the planner
+    knows its size and no Python worker touches the rows.
+    """
+    arrow = to_arrow_schema(schema)
+    columns = list(zip(*rows, strict=True)) or [[] for _ in arrow]
+    arrays = [pa.array(values, f.type) for values, f in zip(columns, arrow, strict=True)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), schema)
 
 
 def tables_frame(spark: SparkSession, database: str | None, tables: list[LakeTable]) -> DataFrame:
@@ -103,24 +111,26 @@ def tables_frame(spark: SparkSession, database: str | None, tables: list[LakeTab
 
 def column_rows(
     spark: SparkSession, source: Source, tables: list[LakeTable], threads: int = 16
-) -> tuple[DataFrame, list[tuple[str, str, str]], int]:
-    """Column rows ``(database, table, pos, column, type)`` of every table.
-
-    Returns the rows as a DataFrame, the tables whose schema could not be
-    read as ``(database, table, stage, message)``, and the text size of the rows.
-    Spark resolves each table's schema with a small job over one footer;
-    ``threads`` of them run at once.
+) -> tuple[list[tuple[str, str, int, str, str]], list[tuple[str, str, str, str]]]:
+    """Column rows ``(database, table, pos, column, type)`` of the given tables.
+
+    Returns the rows and the tables whose schema could not be read as
+    ``(database, table, stage, message)``. A table's columns are those of all
+    its files: Spark merges the footers in one job per table (in parallel over
+    the files); ``threads`` tables run at once. Files whose types cannot be
+    merged make the table an error row. Callers pass a bounded number of tables
+    at a time (see ``lake_inventory.schema_maps``).
     """
 
     def one(t: LakeTable):
         try:
-            schema = spark.read.format(source.kind).load(literal_path(t.path)).schema
+            schema = spark.read.format(source.kind).option("mergeSchema", "true").load(literal_path(t.path)).schema
         except AnalysisException as exc:
             if exc.getCondition() == "UNABLE_TO_INFER_SCHEMA":
                 return t, T.StructType([]), None  # no data files yet: an empty table
-            return t, None, str(exc).splitlines()[0][:500]
+            return t, None, error_text(exc)
         except Exception as exc:  # noqa: BLE001 - reported as an error row
-            return t, None, str(exc).splitlines()[0][:500]
+            return t, None, error_text(exc)
         return t, schema, None
 
     rows, errors = [], []
@@ -131,5 +141,4 @@ def column_rows(
                 continue
             for pos, f in enumerate(schema.fields, start=1):
                 rows.append((t.database, t.name, pos, f.name, type_text(f.dataType)))
-    size = sum(len(r[1]) + len(r[3]) + len(r[4]) + 8 for r in rows)
-    return metadata_frame(spark, rows, schemas.COLUMNS), errors, size
+    return rows, errors

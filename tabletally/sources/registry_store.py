@@ -34,13 +34,19 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def read_registry(spark: SparkSession, target: RegistryTarget) -> DataFrame:
-    """The registry with its fixed schema; an absent registry reads as empty."""
+def read_registry(spark: SparkSession, target: RegistryTarget, sources: list[str] | None = None) -> DataFrame:
+    """The registry with its fixed schema; an absent registry reads as empty.
+
+    ``sources`` limits the read to those source names: a filter that Parquet
+    answers from its statistics, and one read per source on a server.
+    """
     if target.path is not None:
         if not _exists(spark, target.path):
             return spark.createDataFrame([], schemas.REGISTRY)
-        return spark.read.schema(schemas.REGISTRY).parquet(target.path)
-    df = jdbc.read_table(spark, target.source, target.database, target.table)
+        df = spark.read.schema(schemas.REGISTRY).parquet(target.path)
+        return df if sources is None else df.where(df["source_name"].isin(list(sources)))
+    predicates = sources and [f"source_name = {jdbc.sql_literal(s)}" for s in sorted(set(sources))]
+    df = jdbc.read_table(spark, target.source, target.database, target.table, predicates=predicates)
     df = df.toDF(*[c.lower() for c in df.columns])
     return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schemas.REGISTRY])
 

@@ -14,8 +14,8 @@ SF_MID = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    s = local_session(4, shuffle_partitions=8)
+def spark(tmp_path_factory):
+    s = local_session(4, shuffle_partitions=8, checkpoint_dir=str(tmp_path_factory.mktemp("checkpoints")))
     yield s
     s.stop()
 

@@ -6,7 +6,7 @@ from conftest import SF_SMALL, write_table
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from tabletally.operators.counts import count_each_table, count_lake_rows
+from tabletally.operators.counts import count_by_halves, count_lake_rows
 from tabletally.plans.queries import LAKE_TABLES, lake_source
 from tabletally.sources import lake
 from tabletally.sources.model import Source
@@ -70,9 +70,10 @@ def test_fallback_reports_corrupt_table(spark, tmp_path):
     with open(os.path.join(root, "bad", "part-00000.parquet"), "wb") as f:
         f.write(b"this is not parquet at all")
     tables = lake.list_lake_tables(spark, Source("l", "parquet", path=root))
-    counts, errors = count_each_table(spark, tables, "main")
-    assert _counts(counts) == {"good": 2}
+    counts, errors = count_by_halves(spark, tables, "main")
+    assert counts == [("main", "good", 2)]
     assert [(e[0], e[1], e[2]) for e in errors] == [("main", "bad", "count")]
+    assert len(errors[0][3].splitlines()) > 1  # the whole message, with the cause in its later lines
 
 
 def test_no_tables_gives_typed_empty_frame(spark, tmp_path):

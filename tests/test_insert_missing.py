@@ -92,9 +92,10 @@ def test_null_keys_left_out_when_not_rejected(spark, tmp_path):
     st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 20)), st.integers(0, 3)), max_size=30),
     st.lists(st.one_of(st.none(), st.integers(0, 20)), max_size=30),
 )
-def test_narrowing_the_target_never_changes_the_result(spark, batch_rows, target_keys):
-    batch = spark.createDataFrame([(k, float(v), str(v)) for k, v in batch_rows], DDL)
+def test_a_unique_batch_needs_no_reduction(spark, batch_rows, target_keys):
+    rows = {k: (k, float(v), str(v)) for k, v in batch_rows}
+    batch = spark.createDataFrame([*rows.values()], DDL)
     target = spark.createDataFrame([(k, 0.0, "") for k in target_keys], DDL)
     plain = missing_rows(batch, target, ["k"], ["v"], keep_null_keys=True)
-    narrowed = missing_rows(batch, target, ["k"], ["v"], keep_null_keys=True, batch_bound_bytes=1024)
-    assert sorted(map(repr, plain.collect())) == sorted(map(repr, narrowed.collect()))
+    unique = missing_rows(batch, target, ["k"], keep_null_keys=True, unique=True)
+    assert sorted(map(repr, plain.collect())) == sorted(map(repr, unique.collect()))

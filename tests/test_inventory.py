@@ -7,6 +7,7 @@ import pytest
 from conftest import SF_SMALL, write_table
 
 from tabletally import schemas
+from tabletally.functions.errors import error_text
 from tabletally.plans.inventory import inventory_all, lake_inventory, source_inventory
 from tabletally.plans.queries import LAKE_TABLES, lake_source
 from tabletally.sources.model import Source
@@ -111,3 +112,28 @@ def test_a_missing_source_does_not_stop_the_others(spark, tmp_path):
     assert [(e["source_name"], e["stage"]) for e in errs] == [("gone", "source")]
     with pytest.raises(Exception):
         inventory_all(spark, sources, robust=False).rows.collect()
+
+
+def test_columns_of_all_files_of_a_table(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    for kind in ("parquet", "orc"):
+        path = os.path.join(root, kind, "t")
+        spark.createDataFrame([(1,)], "id long").write.format(kind).save(path)
+        spark.createDataFrame([(2, "x")], "id long, added string").write.format(kind).mode("append").save(path)
+        inv = lake_inventory(spark, Source("l", kind, path=os.path.join(root, kind)))
+        assert json.loads(inv.rows.first()["table_schema"]) == {"id": "bigint", "added": "string"}
+
+
+def test_without_robust_an_unreadable_table_raises(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    write_table(spark, root, "good", [(1,)], "a int")
+    os.makedirs(os.path.join(root, "broken"))
+    with open(os.path.join(root, "broken", "part-0.parquet"), "wb") as f:
+        f.write(b"PAR1 not really")
+    with pytest.raises(RuntimeError, match="broken"):
+        lake_inventory(spark, Source("l", "parquet", path=root))
+
+
+def test_an_error_without_a_message_is_reported_by_its_type():
+    assert error_text(KeyError()) == "KeyError"
+    assert error_text(ValueError("first\nthe cause")) == "first\nthe cause"

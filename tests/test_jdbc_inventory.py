@@ -46,16 +46,27 @@ def _fake(spark, server, fail_counts=()):
             return spark.createDataFrame(
                 rows, "schema_name string, table_name string, pos int, column_name string, data_type string"
             )
+        rows = []
         for (s, t), (n, _) in server[database].items():
-            if query == d.count_sql(s, t):
+            if d.count_sql(s, t) in query:
                 if t in fail_counts:
-                    return spark.range(1).selectExpr("raise_error('permission denied') AS row_count")
-                return spark.createDataFrame([(Decimal(n),)], "row_count decimal(38,0)")
+                    return spark.range(1).selectExpr("raise_error('permission denied') AS item", "1 AS row_count")
+                item = next(i for i, part in enumerate(query.split(" UNION ALL ")) if d.count_sql(s, t) in part)
+                rows.append((item, Decimal(n)))
+        if rows:
+            return spark.createDataFrame(rows, "item int, row_count decimal(38,0)")
         raise AssertionError(f"unexpected query {query!r}")
 
     return read_query
 
 
+@pytest.fixture(autouse=True)
+def no_waiting(monkeypatch):
+    from tabletally.sources import retry
+
+    monkeypatch.setattr(retry.with_retry, "__defaults__", (3, 0.0, *retry.with_retry.__defaults__[2:]))
+
+
 @pytest.fixture
 def pg(spark, monkeypatch):
     monkeypatch.setattr(jdbc, "read_query", _fake(spark, PG))
@@ -125,14 +136,14 @@ def test_oracle_owner_and_excluded_tables(spark, monkeypatch):
 
 def test_counts_in_small_batches_give_the_same_inventory(spark, pg):
     whole = sorted(tuple(r) for r in jdbc_inventory(spark, pg).rows.collect())
-    batched = jdbc_inventory(spark, pg, count_batch=2, max_connections=1)
+    batched = jdbc_inventory(spark, pg, tables_per_query=2, max_connections=1)
     assert sorted(tuple(r) for r in batched.rows.collect()) == whole
 
 
 def test_a_failing_table_costs_only_itself_in_its_batch(spark, monkeypatch):
     monkeypatch.setattr(jdbc, "read_query", _fake(spark, PG, fail_counts=("orders",)))
     src = Source("pg1", "postgresql", host="h", port=5432)
-    inv = jdbc_inventory(spark, src, robust=True, count_batch=2, max_connections=2)
+    inv = jdbc_inventory(spark, src, robust=True, tables_per_query=4, max_connections=2)
     assert sorted(r["table_name"] for r in inv.rows.collect()) == ["customers", "people", "v_orders"]
     assert [e["table_name"] for e in inv.errors.collect()] == ["orders"]
 
@@ -163,7 +174,8 @@ def test_sync_counts_only_new_tables_on_the_server(spark, monkeypatch, tmp_path)
     target = RegistryTarget(path=str(tmp_path / "registry"))
     first = sync_registry(spark, [src], target, as_of="2024-01-01")
     assert (first.listed, first.inventoried, first.inserted) == (4, 4, 4)
-    assert sum("COUNT(" in q for q in sent) == 4
+    assert sum(q.count("COUNT(") for q in sent) == 4
+    assert sum("COUNT(" in q for q in sent) == 2  # one text per database
     sent.clear()
     again = sync_registry(spark, [src], target, as_of="2024-01-02")
     assert (again.listed, again.inventoried, again.inserted) == (4, 0, 0)
@@ -182,3 +194,39 @@ def test_several_servers_and_a_lake_in_one_inventory(spark, pg):
     got = sorted((r["source_name"], r["table_name"]) for r in inv.rows.collect())
     assert got.count(("pg1", "orders")) == 1 and got.count(("pg2", "orders")) == 1
     assert ("lake", "region") in got and len(got) == 9
+
+
+@pytest.mark.parametrize("tables", [1, 201])
+def test_one_path_for_any_number_of_tables(spark, monkeypatch, tables):
+    server = {"db": {("public", f"t{i}"): (i, [(1, "id", "integer")]) for i in range(tables)}}
+    sent = []
+    fake = _fake(spark, server)
+    monkeypatch.setattr(jdbc, "read_query", lambda *a: sent.append(a[-1]) or fake(*a))
+    monkeypatch.setattr(type(spark.sparkContext), "getCheckpointDir", lambda self: None)  # none is needed
+    inv = jdbc_inventory(spark, Source("pg", "postgresql", host="h", port=1))
+    assert {(r["table_name"], r["row_count"]) for r in inv.rows.collect()} == {(f"t{i}", i) for i in range(tables)}
+    assert sum("COUNT(" in q for q in sent) == -(-tables // 50)
+
+
+def test_counts_and_columns_are_retried_around_the_action(spark, monkeypatch):
+    fails = {"COUNT(": 2, "ordinal_position": 1}
+    fake = _fake(spark, PG)
+
+    def flaky(spark_, source, database, query):
+        for mark in fails:
+            if mark in query and fails[mark]:
+                fails[mark] -= 1
+                return spark.range(1).selectExpr("raise_error('gone') AS item").selectExpr(
+                    "item", "1 AS row_count", "item AS schema_name", "item AS table_name", "item AS pos",
+                    "item AS column_name", "item AS data_type")
+        return fake(spark_, source, database, query)
+
+    monkeypatch.setattr(jdbc, "read_query", flaky)
+    inv = jdbc_inventory(spark, Source("pg", "postgresql", host="h", port=1))
+    assert inv.rows.count() == 4 and inv.errors.count() == 0 and not any(fails.values())
+
+
+def test_without_robust_a_failure_is_raised(spark, monkeypatch):
+    monkeypatch.setattr(jdbc, "read_query", _fake(spark, PG, fail_counts=("orders",)))
+    with pytest.raises(Exception, match="permission denied"):
+        jdbc_inventory(spark, Source("pg1", "postgresql", host="h", port=5432))

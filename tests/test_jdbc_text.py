@@ -17,6 +17,8 @@ def test_urls_per_dialect():
     assert jdbc.jdbc_options(_src("postgresql"), "sales")["url"] == "jdbc:postgresql://db.example:5432/sales"
     ms = jdbc.jdbc_options(_src("mssql"), "hr")["url"]
     assert ms == "jdbc:sqlserver://db.example:5432;databaseName=hr;encrypt=true;trustServerCertificate=true"
+    strict = jdbc.jdbc_options(_src("mssql", options={"trustServerCertificate": "false"}), "hr")
+    assert strict["url"].endswith("encrypt=true;trustServerCertificate=false") and "trustServerCertificate" not in strict
     assert jdbc.jdbc_options(_src("mssql"))["url"].count("databaseName=master") == 1
     assert jdbc.jdbc_options(_src("oracle"), "ignored")["url"] == "jdbc:oracle:thin:@db.example:5432/FREEPDB1"
     assert jdbc.jdbc_options(_src("oracle", options={"service": "PDB2"}))["url"].endswith("/PDB2")
@@ -31,7 +33,7 @@ def test_options_carry_driver_and_credentials_but_repr_hides_password():
 
 def test_catalog_sql_keeps_the_exclusions():
     pg = jdbc.POSTGRES.databases_sql(_src("postgresql"))
-    for name in ("datalake_audit", "postgres", "template0", "template1"):
+    for name in ("postgres", "template0", "template1"):
         assert f"'{name}'" in pg
     ms = jdbc.MSSQL.databases_sql(_src("mssql"))
     for name in ("master", "tempdb", "model", "msdb"):
@@ -42,7 +44,7 @@ def test_catalog_sql_keeps_the_exclusions():
     assert "OWNER IN ('A', 'B')" in jdbc.ORACLE.columns_sql(_src("oracle", options={"owners": "A,B"}))
     assert set(jdbc.ORACLE.excluded_tables) == {"DUAL", "USER_TABLES", "ALL_TABLES", "DBA_TABLES"}
     custom = jdbc.POSTGRES.databases_sql(_src("postgresql", exclude_databases=("x'y",)))
-    assert "('x''y')" in custom
+    assert "NOT IN ('postgres', 'template0', 'template1', 'x''y')" in custom  # added to the server's own
 
 
 def test_column_queries_cover_all_tables_with_positions():
@@ -59,6 +61,24 @@ def test_count_sql_quotes_names():
     assert jdbc.ORACLE.count_sql("SYSTEM", "T1") == 'SELECT COUNT(*) AS row_count FROM "SYSTEM"."T1"'
 
 
+def test_counts_of_a_group_are_one_text():
+    sql = jdbc.count_union_sql(jdbc.MSSQL, [("dbo", "a"), ("dbo", "b]")])
+    assert sql == (
+        "SELECT 0 AS item, q.row_count FROM (SELECT COUNT_BIG(*) AS row_count FROM [dbo].[a]) q"
+        " UNION ALL SELECT 1 AS item, q.row_count FROM (SELECT COUNT_BIG(*) AS row_count FROM [dbo].[b]]]) q"
+    )
+
+
+def test_predicates_give_one_read_each():
+    calls = []
+    reader = type("R", (), {"jdbc": lambda self, url, table, **kw: calls.append((url, table, kw)) or "loaded"})()
+    fake_spark = type("S", (), {"read": reader})()
+    assert jdbc.read_table(fake_spark, _src("postgresql"), "audit", "public.t", predicates=["a = 1", "a = 2"]) == "loaded"
+    url, table, kw = calls[0]
+    assert url.endswith("/audit") and table == "public.t" and kw["predicates"] == ["a = 1", "a = 2"]
+    assert kw["properties"]["user"] == "u"
+
+
 def test_database_names_keep_non_default_schema():
     assert jdbc.qualified_database(jdbc.MSSQL, "hr", "dbo") == "hr"
     assert jdbc.qualified_database(jdbc.MSSQL, "hr", "audit") == "hr.audit"

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 
+import pytest
 from conftest import SF_SMALL
 
 from tabletally.job import build_source, build_target, main, parse_args
@@ -44,3 +45,25 @@ def test_runs_end_to_end_on_a_lake(spark, tmp_path, capsys):
 def test_lake_params_carry_layout_and_exclusions():
     src = build_source("wh", "parquet", {"path": "/x", "layout": "database/table", "exclude_databases": ["tmp"]})
     assert (src.layout, src.exclude_databases, src.database) == ("database/table", ("tmp",), "main")
+
+
+def test_filters_reach_the_source_and_unknown_parameters_are_refused():
+    params = {"host": "h", "port": 1, "include_tables": ["a"], "exclude_tables": ["b"], "exclude_databases": ["tmp"],
+              "trustServerCertificate": "false", "options": {"loginTimeout": 5}}
+    src = build_source("m", "mssql", params)
+    assert (src.include_tables, src.exclude_tables, src.exclude_databases) == (("a",), ("b",), ("tmp",))
+    assert src.options == {"loginTimeout": "5", "trustServerCertificate": "false"}
+    assert build_source("l", "parquet", {"path": "/x", "include_tables": ["t"]}).include_tables == ("t",)
+    with pytest.raises(ValueError, match="exclude_tabels"):
+        build_source("l", "parquet", {"path": "/x", "exclude_tabels": ["t"]})
+    with pytest.raises(ValueError, match="list of names"):
+        build_source("l", "parquet", {"path": "/x", "exclude_tables": "tmp"})
+
+
+def test_a_failure_ends_with_status_1(spark, tmp_path, capsys):
+    argv = [
+        "--source_name", "gone", "--source_type", "parquet", "--source_params", json.dumps({"path": str(tmp_path / "no")}),
+        "--destination_type", "parquet", "--destination_params", json.dumps({"path": str(tmp_path / "registry")}),
+    ]
+    assert main(argv, spark) == 1
+    assert "gone (listing)" in capsys.readouterr().err

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import pytest
+
 import json
 
 from hypothesis import given, settings
@@ -14,9 +16,9 @@ def _dict_json(rows):
     """What building a dict in position order gives, per group."""
     out = {}
     for g, pos, k, v in sorted(rows, key=lambda r: (r[0], r[1])):
-        if k is None:
-            continue
-        out.setdefault(g, {})[k] = v
+        group = out.setdefault(g, {})
+        if k is not None:
+            group[k] = v
     return {g: json.dumps(d, separators=(",", ":"), ensure_ascii=False) for g, d in out.items()}
 
 
@@ -71,3 +73,27 @@ def test_non_string_keys_and_values_become_text(spark):
     df = spark.createDataFrame([(1, 2, 10, 1.5), (1, 1, 20, 2.5), (1, 3, 10, None)], "g int, pos int, k int, v double")
     got = pairs_to_json(df, ["g"], "k", "v", "pos", "j").collect()
     assert got[0]["j"] == '{"20":"2.5","10":null}'
+
+
+def test_a_group_of_null_keys_is_an_empty_object(spark):
+    df = spark.createDataFrame([("a", None, 1, "x"), ("b", None, 1, "x"), ("b", "k", 2, "y")], "g string, k string, pos int, v string")
+    got = {r["g"]: r["json"] for r in pairs_to_json(df, ["g"], "k", "v", "pos").collect()}
+    assert got == {"a": "{}", "b": '{"k":"y"}'}
+
+
+def test_keys_with_the_same_text_are_one_key(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        df = spark.sql(
+            "SELECT 'g' AS g, k, pos, v FROM VALUES (timestamp_seconds(1698539400), 1, 'a'), (timestamp_seconds(1698543000), 2, 'b') AS t(k, pos, v)"
+        )
+        got = [r["json"] for r in pairs_to_json(df, ["g"], "k", "v", "pos").collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == ['{"2023-10-29 02:30:00":"b"}']
+
+
+def test_binary_keys_are_refused(spark):
+    df = spark.createDataFrame([("g", b"\xff", 1, "x")], "g string, k binary, pos int, v string")
+    with pytest.raises(TypeError, match="binary"):
+        pairs_to_json(df, ["g"], "k", "v", "pos")

@@ -9,8 +9,11 @@ import contextlib
 from conftest import SF_SMALL
 
 from tabletally.operators.counts import count_lake_rows
-from tabletally.operators.insert_missing import missing_rows
+from tabletally.operators.insert_missing import known_keys, latest_per_key, missing_rows
 from tabletally.operators.pairs_json import pairs_to_json
+from pyspark.sql import types as T
+
+from tabletally.plans import queries
 from tabletally.plans.queries import lake_source
 from tabletally.sources import lake
 
@@ -52,21 +55,32 @@ def test_json_maps_combine_map_side(spark):
     assert "o_totalprice" not in plan  # pruned at the scan
 
 
-def test_count_broadcasts_only_the_bounded_side(spark):
+def test_counts_combine_map_side_and_prune_every_column(spark):
     src = lake_source(SF_SMALL)
     with big_data_planning(spark):
         plan = _plan(count_lake_rows(spark, lake.list_lake_tables(spark, src), "main"))
-    assert "BroadcastHashJoin" in plan and "LeftOuter" in plan and "BuildRight" in plan
-    assert "partial_count" in plan
+    assert "partial_count" in plan and "ReadSchema: struct<>" in plan
+    assert "LocalTableScan" in plan  # the name list has a size that the planner knows
 
 
-def test_small_batch_narrows_a_big_target_before_shuffling_it(spark):
+def test_a_small_local_batch_narrows_a_big_target_before_shuffling_it(spark):
     orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
-    batch = orders.where("o_orderstatus = 'F'").limit(5)
+    batch = lake.metadata_frame(spark, [(1,), (2,)], T.StructType().add("o_orderkey", T.LongType()))
+    plan = _plan(known_keys(orders, ["o_orderkey"], batch))
+    assert "BroadcastExchange" in plan and "LeftSemi" in plan
+    assert "hashpartitioning" not in plan  # the target is read, not shuffled
+
+
+def test_the_load_shuffles_each_side_once(spark):
     with big_data_planning(spark):
-        plan = _plan(missing_rows(batch, orders, ["o_orderkey"], batch_bound_bytes=1024))
-    target_scan = plan.rindex("FileScan parquet")
-    # the target's path to its first shuffle goes through a broadcast semi join
-    assert "LeftSemi" in plan and "BroadcastExchange" in plan
-    semi = plan.index("LeftSemi")
-    assert semi < target_scan
+        plan = _plan(queries.registry_missing(spark, SF_SMALL))
+        rerun = _plan(queries.registry_rerun(spark, SF_SMALL))
+    assert plan.count("Exchange hashpartitioning") <= 4
+    assert rerun.count("Exchange hashpartitioning") <= 8
+
+
+def test_payload_holds_neither_keys_nor_order_twice(spark):
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select("o_orderkey", "o_orderdate", "o_totalprice")
+    ranked = latest_per_key(orders, ["o_orderkey"], ["o_orderdate"])
+    assert _plan(ranked).count("_row, struct(o_totalprice") >= 1
+    assert ranked.columns == orders.columns and ranked.schema == orders.schema

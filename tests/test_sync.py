@@ -58,3 +58,26 @@ def test_a_source_that_cannot_be_listed_is_reported(spark, tmp_path):
     rep = sync_registry(spark, sources, RegistryTarget(path=str(tmp_path / "r")), as_of="2024-01-01")
     assert (rep.listed, rep.inserted) == (1, 1)
     assert [(e["source_name"], e["stage"]) for e in rep.errors.collect()] == [("gone", "listing")]
+
+
+def test_flat_sources_on_one_root_with_their_own_namespaces(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    write_table(spark, root, "t", [(1,), (2,)], "id long")
+    sources = [Source("A", "parquet", path=root, database="a"), Source("B", "parquet", path=root, database="b")]
+    target = RegistryTarget(path=str(tmp_path / "r1"))
+    rep = sync_registry(spark, sources, target, as_of="2024-01-01")
+    assert (rep.listed, rep.inventoried, rep.inserted, rep.errors.count()) == (2, 2, 2, 0)
+    full = RegistryTarget(path=str(tmp_path / "r2"))
+    load_registry(spark, inventory_all(spark, sources).rows, full, as_of="2024-01-01")
+    assert _rows(spark, target) == _rows(spark, full)
+    assert {r[:4] for r in _rows(spark, target)} == {("A", "parquet", "a", "t"), ("B", "parquet", "b", "t")}
+
+
+def test_new_tables_are_inserted_or_reported(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    write_table(spark, root, "good", [(1,)], "id long")
+    write_table(spark, root, "mixed", [(1,)], "id long")
+    spark.createDataFrame([("x",)], "id string").write.mode("append").parquet(f"{root}/mixed")
+    rep = sync_registry(spark, [Source("l", "parquet", path=root)], RegistryTarget(path=str(tmp_path / "r")), as_of="2024-01-01")
+    assert rep.inventoried == rep.inserted + rep.errors.count() == 2
+    assert [e["table_name"] for e in rep.errors.collect()] == ["mixed"]
