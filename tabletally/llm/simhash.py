@@ -39,7 +39,7 @@ from pyspark.sql.types import LongType, StructType
 from .common import free_name, reliable, table, with_text_columns
 
 SEED = 42
-QUERIES_AT_ONCE = 1024
+QUERIES_AT_ONCE = 128
 ROWS_AT_ONCE = 30_000
 
 
@@ -100,47 +100,51 @@ class Forest:
             rest, at, far = rest[stays], at[stays], far[stays]
             at = self.children[at, far]
 
-    def search(self, queries: np.ndarray, roots: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-        """(query, member) index pairs within the radius."""
-        found_q, found_m = [], []
+    def search(self, queries: np.ndarray, roots: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(query, member) index pairs within the radius, a tree level of a few queries at a time."""
+        around = np.arange(-radius, radius + 1)
         for start in range(0, len(queries), QUERIES_AT_ONCE):
-            q = np.arange(start, min(start + QUERIES_AT_ONCE, len(queries)))
+            q = np.arange(start, min(start + QUERIES_AT_ONCE, len(queries)), dtype=np.int32)
             node = roots[q]
             while len(q):
-                far = np.bitwise_count(queries[q] ^ self.fps[node]).astype(np.int64)
+                far = np.bitwise_count(queries[q] ^ self.fps[node])
                 hit = far <= radius
-                found_q.append(q[hit])
-                found_m.append(node[hit])
-                edges = far[:, None] + np.arange(-radius, radius + 1)
-                down = np.where((edges >= 0) & (edges <= 64), self.children[node[:, None], np.clip(edges, 0, 64)], -1)
+                yield q[hit], node[hit]
+                edges = far[:, None].astype(np.int16) + around
+                down = self.children[node[:, None], np.clip(edges, 0, 64)]
+                down[(edges < 0) | (edges > 64)] = -1
                 which = np.nonzero(down >= 0)
                 q, node = q[which[0]], down[which]
-        return np.concatenate(found_q), np.concatenate(found_m)
+
+
+def join_sets(roots: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Disjoint sets as pointers to the least member, with the sets of a[i] and b[i] joined."""
+    a, b = roots[a], roots[b]
+    while len(a):
+        np.minimum.at(roots, np.maximum(a, b), np.minimum(a, b))
+        while (roots[roots] != roots).any():
+            roots = roots[roots]
+        a, b = roots[a], roots[b]
+        a, b = a[a != b], b[a != b]
+    return roots
 
 
 def stars(rows: np.ndarray, radius: int) -> np.ndarray:
-    """Rows (shard number, fingerprint, in the tree, asks) -> links (fingerprint, smallest of its local component)."""
-    tree, asks = rows[rows[:, 2] == 1], rows[rows[:, 3] == 1]
-    forest = Forest(tree[:, 1].view(np.uint64), tree[:, 0])
-    known = np.array([s in forest.root_of for s in asks[:, 0].tolist()], bool)
-    asks = asks[known]
-    if not len(asks):
-        return np.empty((0, 2), np.int64)
-    roots = np.array([forest.root_of[s] for s in asks[:, 0].tolist()], np.int64)
-    q, m = forest.search(asks[:, 1].view(np.uint64), roots, radius)
-    values, index = np.unique(np.concatenate([asks[q, 1], tree[m, 1]]), return_inverse=True)
-    a, b = index[: len(q)], index[len(q) :]
-    label = np.arange(len(values))
-    while True:  # smallest label over the links, with shortcuts
-        new = label.copy()
-        np.minimum.at(new, a, label[b])
-        np.minimum.at(new, b, label[a])
-        new = new[new]
-        if (new == label).all():
-            break
-        label = new
-    linked = label != np.arange(len(values))
-    return np.column_stack([values[linked], values[label[linked]]])
+    """Rows (shard number, fingerprint, in the tree, asks) -> links (fingerprint, least of its local component).
+
+    Links are joined as they are found and not kept, so a dense shard costs no memory.
+    """
+    values, index = np.unique(rows[:, 1], return_inverse=True)
+    in_tree, asks = rows[:, 2] == 1, rows[:, 3] == 1
+    forest = Forest(rows[in_tree, 1].view(np.uint64), rows[in_tree, 0])
+    asks &= np.isin(rows[:, 0], rows[in_tree, 0])
+    start = np.array([forest.root_of[s] for s in rows[asks, 0].tolist()], np.int32)
+    members, askers, roots = index[in_tree], index[asks], np.arange(len(values))
+    for q, m in forest.search(rows[asks, 1].view(np.uint64), start, radius):
+        a, b = askers[q], members[m]
+        roots = join_sets(roots, a[a != b], b[a != b])
+    linked = roots != np.arange(len(values))
+    return np.column_stack([values[linked], values[roots[linked]]])
 
 
 def links(nodes: DataFrame, radius: int, shard: int) -> DataFrame:
