@@ -1,0 +1,110 @@
+from __future__ import annotations
+
+import re
+
+import numpy as np
+import pytest
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tabletally.llm import simhash
+
+SF = "/root/testdata/sf0.001"
+
+
+def slow_fingerprint(text: str, shingle: int = 3) -> int:
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+    grams = [" ".join(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1))] if words else []
+    hashes = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def slow_components(fps: list[int], radius: int = 2) -> list[int]:
+    """Index of the first row reachable, per row."""
+    label = list(range(len(fps)))
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for i in range(len(fps)):
+        for j in range(i):
+            if (fps[i] ^ fps[j]).bit_count() <= radius:
+                a, b = sorted((root(i), root(j)))
+                label[b] = a
+    return [root(i) for i in range(len(fps))]
+
+
+def test_query_against_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").collect()
+    got = {r.doc_id: r for r in simhash.op7_simhash(spark, SF).collect()}
+    fps = [slow_fingerprint(d.text) for d in docs]
+    first = slow_components(fps)
+    for d, fp, f in zip(docs, fps, first, strict=True):
+        assert (got[d.doc_id].fingerprint, got[d.doc_id].component_id) == (f"{fp:016x}", docs[f].doc_id)
+
+
+ODD = [None, "", " \t\n", "A", "a", "A b", "Ä b C d", "x\x1cy z q", "word " * 20_000, "w" * 100_000]
+
+
+def test_odd_texts_ties_and_clashing_columns(spark):
+    rows = [(i, t, "x") for i, t in enumerate(ODD)] + [(3, "A", "x"), (None, "zz top", "x"), (None, "zz top", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, FP string")
+    got = simhash.near_duplicates(df).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        texts = [t or "" for i, t, _ in rows if i == r.doc_id]
+        assert r.fp & (1 << 64) - 1 in {slow_fingerprint(t) for t in texts}
+    by = {r.doc_id: r for r in got}
+    assert {by[i].component for i in (0, 1, 2)} == {0} and by[4].component == 3 and by[None].component is None
+    kept = simhash.keep_representatives(df)
+    assert kept.columns == df.columns
+    ids = sorted((r.doc_id for r in kept.collect()), key=lambda x: (x is None, x))
+    assert ids == [0, 3, 5, 6, 7, 8, 9, None]
+    assert simhash.near_duplicates(df.limit(0)).count() == 0 and simhash.keep_representatives(df.limit(0)).count() == 0
+
+
+def test_spark_hash_is_the_contract_hash(spark):
+    assert spark.range(1).select(F.xxhash64(F.lit("a b c"))).first()[0] & (1 << 64) - 1 == xxhash.xxh64_intdigest(b"a b c", 42)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.integers(0, 2**32), st.sampled_from([1, 2, 3]), st.sampled_from([3, 50, 2000]))
+def test_links_lose_nothing(spark, seed, radius, shard):
+    """Clusters around few centres, and random numbers, in shards of any size."""
+    draw = np.random.default_rng(seed)
+    fps = [int(x) for x in draw.integers(0, 2**63, 20)]
+    for centre in fps[:3]:
+        for _ in range(40):
+            x = centre
+            for b in draw.integers(0, 64, draw.integers(1, 5)):
+                x ^= 1 << int(b)
+            fps.append(x)
+    fps = sorted(set(fps))
+    signed = [x - (1 << 64) if x >> 63 else x for x in fps]
+    nodes = spark.createDataFrame([(x,) for x in signed], "fp long").repartition(4)
+    found = simhash.components(simhash.links(nodes, radius, shard))
+    roots = {r.fp: r.root for r in nodes.withColumn("node", F.xxhash64("fp")).join(found, "node").collect()}
+    want = slow_components(fps, radius)
+    groups = {}
+    for x, f in zip(signed, want, strict=True):
+        groups.setdefault(f, set()).add(x)
+    mine = {}
+    for x in signed:
+        mine.setdefault(roots.get(x, ("alone", x)), set()).add(x)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, mine.values()))
+
+
+def test_long_chain_of_links(spark):
+    chain = [(1 << i) - 1 for i in range(60)]
+    nodes = spark.createDataFrame([(x,) for x in chain], "fp long")
+    found = simhash.components(simhash.links(nodes, 1, 5))
+    assert found.count() == 60 and found.select("root").distinct().count() == 1
+
+
+@pytest.mark.parametrize("text", ["", "a", "a b c", "A B c D", "x " * 500])
+def test_fingerprint(text):
+    assert simhash.fingerprint(text, 3) & (1 << 64) - 1 == slow_fingerprint(text)
