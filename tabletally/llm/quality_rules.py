@@ -43,6 +43,8 @@ PAIRS = [(i, j) for i in range(P) for j in range(i, P)]
 GRID = 0.02
 MIN_WORDS = 50
 MOST_REPEATED = 50  # per cent of the words
+GROUP_BYTES = 1024  # more than an estimate takes
+BROADCAST_BYTES = 32 << 20
 
 
 def chi2_cdf(x: float, dof: int) -> float:
@@ -109,11 +111,17 @@ def medians(cells: DataFrame) -> DataFrame:
     )
 
 
-def concentrate(cells: DataFrame, estimates: DataFrame) -> DataFrame:
-    """One concentration step."""
-    near = cells.join(estimates.select("_group", "mean", "precision"), "_group").withColumn("_d", distance())
+def sent(estimates: DataFrame, groups: int) -> DataFrame:
+    """Estimates as the side of a join: broadcast up to a checked size, so that no
+    group's rows meet in one task, and left to the planner beyond it."""
+    return F.broadcast(estimates) if groups * GROUP_BYTES <= BROADCAST_BYTES else estimates
+
+
+def concentrate(cells: DataFrame, estimates: DataFrame, groups: int) -> DataFrame:
+    """One concentration step; ``groups`` is the number of estimates."""
+    near = cells.join(sent(estimates.select("_group", "mean", "precision"), groups), "_group").withColumn("_d", distance())
     half = near.groupBy("_group").agg(F.percentile_approx("_d", 0.5, 1000).alias("_half"), F.count(F.lit(1)).alias("_all"))
-    inner = near.join(half, "_group").where(F.col("_d") <= F.col("_half"))
+    inner = near.join(sent(half, groups), "_group").where(F.col("_d") <= F.col("_half"))
     # moments around the former mean, which keeps them well-conditioned
     off = [F.col(f"x{i}") - F.col("mean")[i] for i in range(P)]
     sums = inner.groupBy("_group").agg(
@@ -127,13 +135,14 @@ def concentrate(cells: DataFrame, estimates: DataFrame) -> DataFrame:
 
 
 def estimate(rows: DataFrame, steps: int = 4, prior: int = 50) -> DataFrame:
-    """Estimates per language and source, blended with their language's: (_group, mean, precision)."""
+    """Estimates per language and source, blended with their language's: (_group, mean, precision), to be joined."""
     grid = [F.round(F.col(f"x{i}") / GRID).cast("long").alias(f"x{i}") for i in range(P)]
     levels = rows.select(F.explode(F.array("_lang", "_source")).alias("_group"), *grid).distinct()
     cells = reliable(levels.select("_group", *[(F.col(f"x{i}") * GRID).alias(f"x{i}") for i in range(P)]))
     current = reliable(with_precision(medians(cells)))
+    groups = current.count()
     for _ in range(steps):
-        current = reliable(with_precision(concentrate(cells, current)))
+        current = reliable(with_precision(concentrate(cells, current, groups)))
     pairs = rows.select("_lang", "_source").distinct()
     own = current.select(F.col("_group").alias("_source"), "n", "mean", "cov")
     wide = current.select(F.col("_group").alias("_lang"), F.col("mean").alias("_mean"), F.col("cov").alias("_cov"))
@@ -144,7 +153,7 @@ def estimate(rows: DataFrame, steps: int = 4, prior: int = 50) -> DataFrame:
     blended = pairs.join(own, "_source").join(wide, "_lang").select(
         F.col("_source").alias("_group"), "n", blend("mean", "_mean").alias("mean"), blend("cov", "_cov").alias("cov")
     )
-    return with_precision(blended).select("_group", "mean", "precision")
+    return sent(reliable(with_precision(blended)).select("_group", "mean", "precision"), groups)
 
 
 def apply_rules(

@@ -65,7 +65,7 @@ def test_concentration_equals_numpy(spark):
     off = x - np.array(first["mean"])
     distance = np.einsum("ij,jk,ik->i", off, np.linalg.inv(cov + floors), off)
     near = x[distance <= np.sort(distance)[len(x) // 2 - 1]]
-    got = quality_rules.concentrate(cells, start).first()
+    got = quality_rules.concentrate(cells, start, 1).first()
     assert np.allclose(got["mean"], near.mean(axis=0), atol=1e-6)
     full = np.cov(near.T, bias=True) * quality_rules.CONSISTENCY
     assert np.allclose(got["cov"], [full[i, j] for i, j in quality_rules.PAIRS], atol=1e-6)
