@@ -297,7 +297,7 @@ def score_toxicity(
     key: str = "doc_id",
     text: str = "text",
     label: str = "toxic",
-    bits: int = 19,
+    bits: int = 18,
     keep: list[str] | None = None,
 ) -> DataFrame:
     """The columns ``keep`` of ``df`` (all if None) with ``score``: the probability of label 1.
