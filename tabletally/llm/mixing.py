@@ -91,7 +91,7 @@ def mix(
     weights=WEIGHTS,
     slopes=SLOPES,
     max_epochs: int = MAX_EPOCHS,
-    rows_per_bucket: int = 2000,
+    rows_per_bucket: int = 500,
     carry: list[str] | None = None,
 ) -> DataFrame:
     """Give every row of ``df`` its part of the mix.
