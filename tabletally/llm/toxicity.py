@@ -9,8 +9,8 @@ weights for both, so an expression that neither class has seen says nothing.
     P_c(v|u) = (1 - g_u) max(c_c(u,v) - D, 0) / sum + g_u P_c(v)
     P_c(v)   = (1 - b) max(c_c(v) - D, 0) / sum + b P_c(beginning of v) P_shared(v | beginning)
 
-Between a word and the shared counts stand the word's beginnings (6, then 4
-bytes), in the same way, which lets inflected forms of one stem support each
+Between a word and the shared counts stand the word's beginnings (7, then
+5 bytes), in the same way, which lets inflected forms of one stem support each
 other.
 
 Counting is a Spark aggregate over word pairs (hashed to 62 bits) of all
@@ -42,10 +42,11 @@ SEGMENT = 1 << 18  # bytes hashed at once
 #: ASCII letters and bytes of other scripts are word characters; the rest separates.
 WORD_BYTES = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 START = (1 << 31) - 1  # the context of a text's first word
-BEGINNINGS = (6, 4)  # bytes
+BEGINNINGS = (7, 5)  # bytes
 LEVELS = tuple(START - 1 - i for i in range(len(BEGINNINGS)))  # contexts that mark beginnings
-DISCOUNT = 0.75
+DISCOUNT = 1.0  # what occurs in a single text of a class is no evidence for the class
 WINDOW = 16
+MOST = 12.0  # of a single word's log ratio: beyond it, more counts are no more evidence
 FIGURES = ("mean", "window", "mean_alone", "largest", "second")
 BROADCAST_BYTES = 32 << 20
 
@@ -141,7 +142,7 @@ class Model:
 
     def look(self, ids: np.ndarray, counts: np.ndarray, keys: np.ndarray) -> np.ndarray:
         at = self.slot(keys)
-        return np.where((ids[at] == keys)[:, None], counts[at], 0)
+        return np.where((ids[at] == keys)[:, None], counts[at], 0).astype(np.float64)
 
     def ratios(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """log P_toxic - log P_ordinary of each word, given the word before and alone."""
@@ -170,7 +171,8 @@ class Model:
             left = context[:, 3 + c] - DISCOUNT * context[:, 5 + c]
             two = np.where(left > 0, np.maximum(pair[:, c] - DISCOUNT, 0) / np.maximum(left, 1e-9), chance[c])
             logs.append(np.log((1 - backoff) * two + backoff * chance[c]))
-        return logs[1] - logs[0], np.log(chance[1]) - np.log(chance[0])
+        alone = np.log(chance[1]) - np.log(chance[0])
+        return np.clip(logs[1] - logs[0], -MOST, MOST), np.clip(alone, -MOST, MOST)
 
     def figures(self, texts: list[str], hasher: Hasher) -> np.ndarray:
         """Per text the columns of ``FIGURES``; zeros without words."""
@@ -184,7 +186,7 @@ class Model:
         some = np.flatnonzero(number)
         first = begin[some]
         sums = np.concatenate([[0.0], np.cumsum(paired)])
-        out[some, 0] = (sums[begin + number] - sums[begin])[some] / number[some]
+        out[some, 0] = np.add.reduceat(paired, first) / number[some]
         # a window ends at each word and begins at most WINDOW words before, within its text
         at = np.arange(len(ids))
         low = np.maximum(at + 1 - WINDOW, begin[owners])
@@ -198,21 +200,36 @@ class Model:
         rest = alone.copy()
         rest[top] = -np.inf
         out[some, 4] = np.maximum(np.maximum.reduceat(rest, first), 0.0)
-        return out
+        return np.round(out, 6)  # running sums over a batch must not tell which texts were in it
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2) -> np.ndarray:
-    """Ridge logistic regression by Newton steps; the last weight is the constant."""
-    z = np.column_stack([x, np.ones(len(x))])
+def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.1) -> np.ndarray:
+    """Ridge logistic regression on standardised columns by damped Newton steps.
+
+    Returns the weights for the columns as given; the last one is the constant.
+    """
+    if not len(x):
+        return np.zeros(x.shape[1] + 1)
+    mean, spread = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-9)
+    z = np.column_stack([(x - mean) / spread, np.ones(len(x))])
+    ridge = penalty * np.diag([1.0] * x.shape[1] + [1e-2])
+
+    def loss(w: np.ndarray) -> float:
+        return float(np.logaddexp(0, z @ w).sum() - y @ (z @ w) + w @ ridge @ w / 2)
+
     w = np.zeros(z.shape[1])
-    ridge = penalty * np.diag([1.0] * x.shape[1] + [1e-3])
-    for _ in range(50):
+    for _ in range(200):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + ridge, z.T @ (y - p) - ridge @ w)
-        w += np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-8:
+        gradient = z.T @ (y - p) - ridge @ w
+        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + ridge, gradient)
+        size = 1.0
+        while size > 1e-6 and loss(w + size * step) > loss(w) - 1e-4 * size * (gradient @ step):
+            size /= 2
+        w += size * step
+        if size * np.abs(step).max() < 1e-6:
             break
-    return w
+    weights = w[:-1] / spread
+    return np.append(weights, w[-1] - weights @ mean)
 
 
 def count_pairs(labelled: DataFrame, text: str) -> DataFrame:
@@ -336,6 +353,7 @@ def score_toxicity(
     names = list(FIGURES)
     shape = StructType([StructField(n, DoubleType()) for n in names])
     sample = with_text_columns(learnt.where(calibrates), "_text", shape, figures, ["label"]).toPandas()
+    sample = sample.sort_values(["label", *names])  # the same weights whatever order the rows came in
     x, y = sample[names].to_numpy(float), sample["label"].to_numpy(float)
     weights = fit_logistic(x, y)
 
