@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .bpe import op6_bpe
-from .chat import op1_chat
+from .chat import OP1_SQL, op1_chat
 from .htmltext import op8_html
 from .minhash import op2_minhash
 from .mixing import OP9_SQL, op9_mixing
@@ -27,5 +27,6 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_chat": OP1_SQL,
     "op9_mixing": OP9_SQL,
 }

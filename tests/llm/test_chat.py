@@ -88,3 +88,14 @@ def test_escape_is_reversible(spark, text):
     out = spark.range(1).select(chat.escaped(F.lit(text)).alias("e")).first().e
     assert not chat.re.search(chat.MARK, out)
     assert chat.re.sub(chat.UNESCAPE, r"\1\2", out) == text
+
+
+def test_query_equals_duckdb(spark):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{SF}/conversations.parquet')")
+    rel = con.execute(chat.OP1_SQL)
+    names = [c[0] for c in rel.description]
+    want = sorted((dict(zip(names, r, strict=True)) for r in rel.fetchall()), key=lambda r: r["conv_id"])
+    assert [r.asDict() for r in chat.op1_chat(spark, SF).orderBy("conv_id").collect()] == want
