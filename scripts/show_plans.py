@@ -16,13 +16,13 @@ from tabletally.plans.queries import QUERIES  # noqa: E402
 from tabletally.session import local_session  # noqa: E402
 
 SHOWN = {
-    "table_row_counts": "One scan, no data column read, counts per file combined map-side, "
-    "the per-table side broadcast under a bound the driver knows.",
+    "table_row_counts": "One scan, no data column read, counts per file combined map-side; "
+    "the name list is a local relation, so the planner knows its size.",
     "insert_missing_events": "Both sides pre-aggregated per key map-side; the anti join reuses "
     "their hash partitioning: two exchanges in all.",
     "pairs_to_json_by_customer": "Per (group, key) first with partial aggregates, then one "
     "entry per distinct key collected per group.",
-    "registry_missing": "Inventory (counts + JSON maps) anti-joined with the registry keys.",
+    "registry_missing": "Inventory (a local relation, one row per table) anti-joined with the registry keys.",
 }
 
 
@@ -35,8 +35,8 @@ def main() -> None:
         "# Physical plans",
         "",
         "Generated by `python scripts/show_plans.py` on sf0.01 with AQE and automatic",
-        "broadcasts off, i.e. as planned for tables too big to broadcast. Explicit",
-        "broadcasts remain only where a size bound is known on the driver.",
+        "broadcasts off, i.e. as planned for tables too big to broadcast. There are no",
+        "broadcast hints.",
         "",
     ]
     for name, why in SHOWN.items():
