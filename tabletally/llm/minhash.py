@@ -33,8 +33,8 @@ def with_fingerprint(df: DataFrame, text: str, output: str, shingle: int = SHING
     empty fingerprint. Texts are read whole. A column named like the output is
     replaced.
     """
-    words, hashes, filled = (free_name(df, name) for name in ("_words", "_hashes", "_filled"))
-    w, h, f = F.col(words), F.col(hashes), F.col(filled)
+    words, hashes, filled, bins = (free_name(df, name) for name in ("_words", "_hashes", "_filled", "_bins"))
+    w, h, f, held = F.col(words), F.col(hashes), F.col(filled), F.col(bins)
     count = F.size(w)
     windows = F.transform(F.sequence(F.lit(1), count - shingle + 1), lambda i: F.xxhash64(F.slice(w, i, shingle)))
     hashed = F.when(count >= shingle, windows).when(count > 0, F.array(F.xxhash64(w))).otherwise(F.array().cast("array<long>"))
@@ -42,21 +42,27 @@ def with_fingerprint(df: DataFrame, text: str, output: str, shingle: int = SHING
     # sorted hashes: the first one of each bin is its least
     least = F.filter(h, lambda x, i: (i == 0) | (bin_of(x) != bin_of(F.get(h, i - 1))))
 
-    def value(b: Column) -> Column:
-        place = F.array_position(F.transform(f, bin_of), b)
-        # the filled bin that comes first in this bin's own random order; the low bits carry its index
-        order = F.array_min(F.transform(f, lambda x, i: F.xxhash64(b, bin_of(x)).bitwiseAND(-BINS).bitwiseOR(i.cast("long"))))
-        return F.when(place > 0, F.get(f, (place - 1).cast("int"))).otherwise(F.get(f, order.bitwiseAND(BINS - 1).cast("int")))
+    def entry(b: Column, x: Column) -> Column:
+        """The bin's number above its stored bits."""
+        return F.shiftleft(b + BINS // 2, 8).bitwiseOR(F.xxhash64(x, b).bitwiseAND(255))
 
-    every = F.transform(F.sequence(F.lit(-BINS // 2).cast("long"), F.lit(BINS // 2 - 1).cast("long")), value)
-    values = F.when(F.size(f) == BINS, f).otherwise(every)
-    packed = F.array_join(F.transform(values, lambda x, i: F.lpad(F.hex(F.xxhash64(x, i).bitwiseAND(255)), 2, "0")), "")
+    def borrowed(b: Column) -> Column:
+        # the filled bin that comes first in this bin's own random order; the low bits carry its index
+        order = F.array_min(F.transform(held, lambda c, i: F.xxhash64(b, c).bitwiseAND(-BINS).bitwiseOR(i.cast("long"))))
+        return F.get(f, order.bitwiseAND(BINS - 1).cast("int"))
+
+    every = F.sequence(F.lit(-BINS // 2).cast("long"), F.lit(BINS // 2 - 1).cast("long"))
+    own = F.transform(f, lambda x, i: entry(F.get(held, i), x))
+    others = F.transform(F.array_except(every, held), lambda b: entry(b, borrowed(b)))
+    values = F.when(F.size(f) == BINS, own).otherwise(F.sort_array(F.concat(own, others)))
+    packed = F.array_join(F.transform(values, lambda e: F.lpad(F.hex(e.bitwiseAND(255)), 2, "0")), "")
     return (
-        df.withColumn(words, F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(WORD), F.lit(0)))
+        df.withColumn(words, F.transform(F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(WORD), F.lit(0)), lambda x: F.xxhash64(x)))
         .withColumn(hashes, F.sort_array(hashed))
         .withColumn(filled, least)
+        .withColumn(bins, F.transform(f, bin_of))
         .withColumn(output, F.when(F.size(f) > 0, F.lower(packed)).otherwise(F.lit("")))
-        .drop(words, hashes, filled)
+        .drop(words, hashes, filled, bins)
     )
 
 
@@ -98,22 +104,50 @@ def edited(text: Column, n: Column, head: Column) -> Column:
 def op2_minhash(spark, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text; likeness to the edited text and to the next document.
 
-    Where several rows share a doc_id, the least of their texts stands for it as the next document.
+    Where several rows share a doc_id, the text of least hash stands for it as
+    the next document.
+
+    Texts are shuffled once, by doc_id: that exchange serves the join that tells
+    every document how much of it the one before needs, and the join with those
+    beginnings. Each text is fingerprinted once; fingerprints travel on their own.
     """
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    ids = docs.groupBy("doc_id").agg((F.max(F.length("text")) / 4).cast("int").alias("wanted"))
-    follows = reliable(successors(ids, "doc_id"))
-    sends = follows.select(F.col("next").alias("_id"), F.col("doc_id").alias("_to"), "wanted")
-    sent = docs.join(sends, docs["doc_id"].eqNullSafe(F.col("_id"))).select("doc_id", "_to", "wanted", "text")
-    first = sent.groupBy("doc_id", "_to", "wanted").agg(F.min("text").alias("text"))
-    heads = with_fingerprint(first, "text", "next_fingerprint").select(
-        "_to", F.substring("text", F.lit(1), F.col("wanted")).alias("head"), "next_fingerprint"
+
+    def key(column: str) -> list[Column]:
+        """A nullable id as two columns that join by plain equality."""
+        return [F.coalesce(column, F.lit(0).cast("long")).alias("_k"), F.col(column).isNull().alias("_n")]
+
+    keys = ["_k", "_n"]
+    doc_id = F.when(~F.col("_n"), F.col("_k"))
+    docs = table(spark, sf_dir, "documents").select(*key("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    stands = docs.groupBy(*keys).agg(F.floor(F.max(F.length("text")) / 4).cast("int").alias("wanted"), F.min(F.xxhash64("text")).alias("_hash"))
+    follows = reliable(successors(stands.select(doc_id.alias("doc_id"), "wanted", "_hash"), "doc_id"))
+    to = [c.alias(n) for c, n in zip(key("doc_id"), ("_to_k", "_to_n"), strict=True)]
+    sends = follows.select(*key("next"), *to, "wanted").join(follows.select(*key("doc_id"), F.col("_hash").alias("_stands")), keys)
+
+    prints = with_fingerprint(docs.withColumn("_hash", F.xxhash64("text")), "text", "_fp")
+    prints = reliable(prints.select(*keys, "_hash", F.unhex("_fp").alias("fp")))
+    heads = (
+        # the hashes are compared after the join: as a join key they would need a shuffle of their own
+        docs.join(sends, keys).where(F.xxhash64("text").bitwiseXOR(F.col("_stands")) == 0)
+        .select(F.col("_to_k").alias("_k"), F.col("_to_n").alias("_n"), F.substring("text", F.lit(1), F.col("wanted")).alias("head"))
+        .dropDuplicates(keys)  # of equal rows
+    )
+    rows = docs.join(heads, keys).withColumn("n_chars", F.length("text").cast("long"))
+    rows = rows.withColumn("edited", edited(F.col("text"), F.col("n_chars"), F.col("head")))
+    rows = with_fingerprint(rows, "edited", "edited_fingerprint").select(
+        *keys, F.xxhash64("text").alias("_hash"), "n_chars",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "edited_fingerprint",
     )
-    joined = docs.join(heads, docs["doc_id"].eqNullSafe(F.col("_to"))).withColumn("n_chars", F.length("text").cast("long"))
-    rows = joined.withColumn("edited", edited(F.col("text"), F.col("n_chars"), F.col("head")))
-    rows = with_fingerprint(with_fingerprint(rows, "text", "fingerprint"), "edited", "edited_fingerprint")
-    return rows.select(
-        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
-        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+    shown = lambda c: F.lower(F.hex(c))
+    texts = prints.select(*keys, "_hash", "fp").dropDuplicates([*keys, "_hash"])  # one per id and text
+    after = sends.select(F.col("_to_k"), F.col("_to_n"), *keys, F.col("_stands").alias("_hash")).join(texts, [*keys, "_hash"])
+    after = after.select(F.col("_to_k").alias("_k"), F.col("_to_n").alias("_n"), F.col("fp").alias("next_fp"))
+    return (
+        rows.join(texts, [*keys, "_hash"]).join(after, keys)
+        .withColumn("fingerprint", shown("fp"))
+        .select(
+            doc_id.alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+            likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+            likeness(F.col("fingerprint"), shown("next_fp")).alias("near_next"),
+        )
     )
