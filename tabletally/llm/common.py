@@ -62,13 +62,15 @@ def with_text_columns(
     make: Callable[[], Callable[[list[str]], list]],
     keep: list[str] | None = None,
     rows: int = 256,
+    beside: str | None = None,
 ) -> DataFrame:
     """``df`` with columns computed from its texts in Arrow batches, without a shuffle.
 
     ``make()`` runs once per task and returns the function that maps a list of
     texts (null as empty) to one list or Arrow array per output field. ``rows``
     bounds how many texts are worked on at once. The columns ``keep`` (all if
-    None) are passed on; one that has an output's name is replaced.
+    None) are passed on; one that has an output's name is replaced. A column
+    ``beside`` is handed to the function as a second argument, an Arrow array.
     """
     new = {f.name.lower() for f in outputs}
     wanted = {c.lower() for c in (df.columns if keep is None else keep)}
@@ -82,13 +84,15 @@ def with_text_columns(
         for batch in batches:
             for start in range(0, batch.num_rows, rows):
                 part = batch.slice(start, rows)
-                results = work([t or "" for t in part.column(part.num_columns - 1).to_pylist()])
-                columns = [c.cast(f.type) for c, f in zip(part.columns[:-1], arrow_schema, strict=False)]
+                given = [part.column(len(kept) + 1)] if beside else []
+                results = work([t or "" for t in part.column(len(kept)).to_pylist()], *given)
+                columns = [c.cast(f.type) for c, f in zip(part.columns[: len(kept)], arrow_schema, strict=False)]
                 for field, values in zip(list(arrow_schema)[len(columns):], results, strict=True):
                     columns.append(values if isinstance(values, pa.Array) else pa.array(values, field.type))
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow_schema)
 
-    return df.select(*[F.col(f"`{f.name}`") for f in kept], F.col(text).alias(texts)).mapInArrow(run, schema)
+    given = [F.col(f"`{beside}`")] if beside else []
+    return df.select(*[F.col(f"`{f.name}`") for f in kept], F.col(text).alias(texts), *given).mapInArrow(run, schema)
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:

@@ -15,9 +15,12 @@ other.
 
 Counting is a Spark aggregate over word pairs (hashed to 62 bits) of all
 labelled rows, each pair once per document and each text once however many
-copies it has. The model that scores is a table of fixed size: of the words
-(pairs) that fall into one of ``2^bits`` slots, the slot keeps the most
-frequent with its signature; others count as unseen. It is broadcast.
+copies it has. All counted words, beginnings and pairs score. The frequent ones
+are broadcast, in slot tables whose size follows the counted number up to
+``SLOT_BITS``: of the words (beginnings and pairs) that fall into one slot, it
+keeps the most frequent. For the others, each text's distinct keys are joined
+with the counted tables; a broadcast bitmap spares the join most keys that no
+table holds. Neither size changes a score.
 
 Per text the log ratios of its words give length-normalised figures (the mean
 over the text, with and without contexts, and the largest mean over a window)
@@ -27,15 +30,17 @@ labelled rows, makes them a probability.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import crc_of_id, learns, reliable, table, with_text_columns
+from .common import crc_of_id, free_name, learns, reliable, shared_folder, table, with_text_columns
 
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 SEGMENT = 1 << 18  # bytes hashed at once
@@ -49,6 +54,10 @@ WINDOW = 16
 MOST = 12.0  # of a single word's log ratio: beyond it, more counts are no more evidence
 FIGURES = ("mean", "window", "mean_alone", "largest", "second")
 BROADCAST_BYTES = 32 << 20
+SLOT_BITS = {"words": 19, "grams": 21}  # most: 64 and 24 bytes a slot
+NO_KEY = np.iinfo(np.int64).min
+BITMAP_BITS = (16, 28)  # least and most: 16 bits a key in between
+COLUMNS = ["cont", "c0", "c1", "s0", "s1", "k0", "k1"]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -58,6 +67,21 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def slot(keys: np.ndarray, bits: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return (mix(keys.astype(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def bits_of(slots: np.ndarray) -> int:
+    return len(slots).bit_length() - 1
+
+
+def distinct_rows(lists: pa.ListArray) -> np.ndarray:
+    """The distinct structs (key first) of a column of lists, sorted by key."""
+    rows = np.column_stack([c.to_numpy(zero_copy_only=False) for c in lists.flatten().flatten()]).astype(np.int64)
+    return rows[np.unique(rows[:, 0], return_index=True)[1]]
+
+
 class Hasher:
     """Hashes all words of a list of texts with array operations."""
 
@@ -123,37 +147,67 @@ def pairs(ids: np.ndarray, owners: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    """The two models as slot tables of fixed size."""
-
-    def __init__(self, words: np.ndarray, grams: np.ndarray, totals: dict[str, float], bits: int):
-        # words: id, cont, c0, c1, context total and kinds per class; grams: pair, c0, c1
-        self.bits, self.totals = bits, totals
-        size = 1 << bits
-        self.word_ids, self.word_counts = np.full(size, -1, np.int64), np.zeros((size, 7), np.float32)
-        at = self.slot(words[:, 0])
-        self.word_ids[at], self.word_counts[at] = words[:, 0], words[:, 1:]
-        self.gram_ids, self.gram_counts = np.full(size, -1, np.int64), np.zeros((size, 2), np.float32)
-        at = self.slot(grams[:, 0])
-        self.gram_ids[at], self.gram_counts[at] = grams[:, 0], grams[:, 1:]
+    """The two models: their totals, slot tables of the frequent keys, and a bitmap of all keys.
 
-    def slot(self, keys: np.ndarray) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            return (mix(keys.astype(np.uint64)) >> np.uint64(64 - self.bits)).astype(np.int64)
+    A word's key is the complement of its id, which tells it from a pair.
+    """
 
-    def look(self, ids: np.ndarray, counts: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        at = self.slot(keys)
-        return np.where((ids[at] == keys)[:, None], counts[at], 0).astype(np.float64)
+    def __init__(self, words: np.ndarray, grams: np.ndarray, totals: dict[str, float], bits: tuple[int, int], bitmap: np.ndarray):
+        # words: key, cont, c0, c1, context total and kinds per class; grams: pair, c0, c1
+        self.totals, self.bitmap = totals, bitmap
+        self.word_ids, self.word_counts = np.full(1 << bits[0], NO_KEY, np.int64), np.zeros((1 << bits[0], 7))
+        at = slot(words[:, 0], bits[0])
+        self.word_ids[at], self.word_counts[at] = words[:, 0], words[:, 1:]
+        self.gram_ids, self.gram_counts = np.full(1 << bits[1], NO_KEY, np.int64), np.zeros((1 << bits[1], 2))
+        at = slot(grams[:, 0], bits[1])
+        self.gram_ids[at], self.gram_counts[at] = grams[:, 0], grams[:, 1:]
 
-    def ratios(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def __getstate__(self) -> dict:
+        """Arrays go out compressed: every executor keeps a file of the broadcast."""
+        return {k: (v.dtype.str, v.shape, zlib.compress(v.tobytes(), 1)) if isinstance(v, np.ndarray) else v for k, v in self.__dict__.items()}
+
+    def __setstate__(self, state: dict) -> None:
+        for k, v in state.items():
+            setattr(self, k, np.frombuffer(zlib.decompress(v[2]), v[0]).reshape(v[1]) if isinstance(v, tuple) else v)
+
+    def look(self, ids: np.ndarray, counts: np.ndarray, keys: np.ndarray, found: np.ndarray | None) -> np.ndarray:
+        """The counts of keys; ``found`` holds rows of those that the slots lack, sorted by key."""
+        at = slot(keys, bits_of(ids))
+        out = np.where((ids[at] == keys)[:, None], counts[at], 0.0)
+        if found is not None and len(found):
+            at = np.minimum(np.searchsorted(found[:, 0], keys), len(found) - 1)
+            hit = np.flatnonzero(found[at, 0] == keys)
+            out[hit] = found[at[hit], 1:]
+        return out
+
+    def lacking(self, grams: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct (owner, key) that the slots lack and the bitmap does not rule out."""
+        asked = []
+        for ids, keys in (
+            *((self.gram_ids, grams[:, k]) for k in range(grams.shape[1])),
+            (self.word_ids, ~(grams[:, 0] & START)), (self.word_ids, ~(grams[:, 0] >> 31)),
+        ):
+            lacks = np.flatnonzero(ids[slot(keys, bits_of(ids))] != keys)
+            at = slot(keys[lacks], bits_of(self.bitmap) + 6)
+            may = (self.bitmap[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) != 0
+            asked.append((owners[lacks[may]], keys[lacks[may]]))
+        who, keys = (np.concatenate(c) for c in zip(*asked, strict=True))
+        order = np.lexsort((keys, who))
+        who, keys = who[order], keys[order]
+        once = np.ones(len(keys), bool)
+        once[1:] = (keys[1:] != keys[:-1]) | (who[1:] != who[:-1])
+        return who[once], keys[once]
+
+    def ratios(self, grams: np.ndarray, words: np.ndarray | None, found: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
         """log P_toxic - log P_ordinary of each word, given the word before and alone."""
         t = self.totals
-        word = self.look(self.word_ids, self.word_counts, grams[:, 0] & START)
-        context = self.look(self.word_ids, self.word_counts, grams[:, 0] >> 31)
-        pair = self.look(self.gram_ids, self.gram_counts, grams[:, 0])
+        word = self.look(self.word_ids, self.word_counts, ~(grams[:, 0] & START), words)
+        context = self.look(self.word_ids, self.word_counts, ~(grams[:, 0] >> 31), words)
+        pair = self.look(self.gram_ids, self.gram_counts, grams[:, 0], found)
         chance = [None, None]  # per class, of the beginning so far
         general = None  # the same for both classes together
         for k in range(len(LEVELS), -1, -1):
-            name, counts = (f"level{k - 1}_", self.look(self.gram_ids, self.gram_counts, grams[:, k])) if k else ("", word[:, 1:3])
+            name, counts = (f"level{k - 1}_", self.look(self.gram_ids, self.gram_counts, grams[:, k], found)) if k else ("", word[:, 1:3])
             rows = t[name + "sum0"] + t[name + "sum1"]
             weight = min(max(DISCOUNT * (t[name + "kinds0"] + t[name + "kinds1"]) / max(rows, 1), 1e-6), 1.0)
             number = word[:, 0] if not k else counts.sum(1)
@@ -174,13 +228,14 @@ class Model:
         alone = np.log(chance[1]) - np.log(chance[0])
         return np.clip(logs[1] - logs[0], -MOST, MOST), np.clip(alone, -MOST, MOST)
 
-    def figures(self, texts: list[str], hasher: Hasher) -> np.ndarray:
-        """Per text the columns of ``FIGURES``; zeros without words."""
+    def figures(self, texts: list[str], hasher: Hasher, found: pa.StructArray | None = None) -> np.ndarray:
+        """Per text the columns of ``FIGURES``; zeros without words. ``found``: what the tables gave for the texts."""
         out = np.zeros((len(texts), len(FIGURES)))
         ids, owners = hasher.words(texts)
         if not len(ids):
             return out
-        paired, alone = self.ratios(pairs(ids, owners))
+        # counts are the same in every text, so those found for any of the texts serve all
+        paired, alone = self.ratios(pairs(ids, owners), *(distinct_rows(c) for c in found.flatten()) if found is not None else (None, None))
         begin = np.searchsorted(owners, np.arange(len(texts)))
         number = np.diff(np.append(begin, len(ids)))
         some = np.flatnonzero(number)
@@ -261,9 +316,47 @@ def count_pairs(labelled: DataFrame, text: str) -> DataFrame:
     )
 
 
-def fit(labelled: DataFrame, text: str, bits: int) -> Model:
-    """The slot tables of both models from labelled texts."""
-    counted = reliable(count_pairs(labelled, text))
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder, in a quarter of the bytes of a checkpoint."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def packed(df: DataFrame) -> np.ndarray:
+    """The rows of a small table of longs, sent to the driver as bytes."""
+    width = len(df.columns)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = np.column_stack([c.to_numpy().astype(np.int64) for c in batch.columns])
+            yield pa.RecordBatch.from_arrays([pa.array([rows.tobytes()], pa.binary())], ["rows"])
+
+    parts = [np.frombuffer(r["rows"], np.int64) for r in df.mapInArrow(pack, "rows binary").toLocalIterator()]
+    return np.concatenate([np.empty(0, np.int64), *parts]).reshape(-1, width)
+
+
+def bitmap_of(keys: DataFrame, number: int) -> np.ndarray:
+    """A bitmap of hashed keys, as 64-bit words."""
+    bits = min(max((16 * number).bit_length(), BITMAP_BITS[0]), BITMAP_BITS[1])
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.sort(slot(batch.column(0).to_numpy(), bits))
+            if len(at):
+                words, first = np.unique(at >> 6, return_index=True)
+                marks = np.bitwise_or.reduceat(np.uint64(1) << (at & 63).astype(np.uint64), first)
+                yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(marks.view(np.int64))], ["word", "marks"])
+
+    rows = packed(keys.mapInArrow(mark, "word long, marks long").groupBy("word").agg(F.bit_or("marks").alias("marks")))
+    out = np.zeros(1 << (bits - 6), np.uint64)
+    out[rows[:, 0]] = rows[:, 1].astype(np.uint64)
+    return out
+
+
+def fit(labelled: DataFrame, text: str, bits: int | None) -> tuple[Model, DataFrame | None]:
+    """Both models from labelled texts, and the table (_key, counts) of all keys; None if the slots hold them all."""
+    counted = stored(count_pairs(labelled, text), "pairs")
     word, context = F.col("pair").bitwiseAND(START), F.shiftright("pair", 31)
     zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
     roles = F.explode(F.array(
@@ -271,9 +364,8 @@ def fit(labelled: DataFrame, text: str, bits: int) -> Model:
         F.struct(context.alias("id"), zero.alias("cont"), zero.alias("c0"), zero.alias("c1"), F.col("c0").alias("s0"),
                  F.col("c1").alias("s1"), (F.col("c0") > 0).cast("long").alias("k0"), (F.col("c1") > 0).cast("long").alias("k1")),
     )).alias("r")
-    columns = ["cont", "c0", "c1", "s0", "s1", "k0", "k1"]
     is_word = ~context.isin(*LEVELS)
-    words = reliable(counted.where(is_word).select(roles).select("r.*").groupBy("id").agg(*[F.sum(c).alias(c) for c in columns]))
+    words = stored(counted.where(is_word).select(roles).select("r.*").groupBy("id").agg(*[F.sum(c).alias(c) for c in COLUMNS]), "words")
     totals = words.agg(
         F.sum("cont").alias("pairs"), F.count(F.when(F.col("cont") > 0, 1)).alias("kinds"), F.sum("c0").alias("sum0"),
         F.sum("c1").alias("sum1"), F.count(F.when(F.col("c0") > 0, 1)).alias("kinds0"), F.count(F.when(F.col("c1") > 0, 1)).alias("kinds1"),
@@ -287,38 +379,85 @@ def fit(labelled: DataFrame, text: str, bits: int) -> Model:
     totals = {k: float(v or 0) for k, v in totals.items()}
     rarity = {c: 1 / max(totals[f"sum{c}"], 1.0) for c in (0, 1)}
 
-    def slots(df: DataFrame, key: str, wanted: list[str]) -> np.ndarray:
+    def slots(df: DataFrame, wanted: list[str], bits: int) -> np.ndarray:
         """The most frequent key of every slot, frequencies relative to the class."""
 
         def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                keys = batch.column(0).to_numpy().astype(np.uint64)
-                with np.errstate(over="ignore"):
-                    at = (mix(keys) >> np.uint64(64 - bits)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(at), *batch.columns], ["slot", key, *wanted])
-
-        weight = F.col("c0") * rarity[0] + F.col("c1") * rarity[1]
-        placed = df.select(key, *wanted).mapInArrow(place, "slot long, " + ", ".join(f"{c} long" for c in [key, *wanted]))
-        best = placed.groupBy("slot").agg(F.max(F.struct(weight.alias("w"), key, *wanted)).alias("b"))
-        rows = best.select(*[f"b.{c}" for c in [key, *wanted]]).toPandas()
-        return rows.to_numpy(np.int64).reshape(-1, 1 + len(wanted))
-
-    return Model(
-        slots(words, "id", columns), slots(counted.where(F.col("c0") + F.col("c1") > 1), "pair", ["c0", "c1"]), totals, bits
+                at = slot(batch.column(0).to_numpy(), bits)
+                yield pa.RecordBatch.from_arrays([pa.array(at), *batch.columns], ["slot", "_key", *wanted])
+
+        weight = sum(F.greatest(*[F.col(n) for n in (f"c{c}", f"s{c}") if n in wanted], F.lit(0)) * rarity[c] for c in (0, 1))
+        placed = df.select("_key", *wanted).mapInArrow(place, "slot long, " + ", ".join(f"{c} long" for c in ["_key", *wanted]))
+        best = placed.groupBy("slot").agg(F.max(F.struct(weight.alias("w"), "_key", *wanted)).alias("b"))
+        return packed(best.select(*[f"b.{c}" for c in ["_key", *wanted]]))
+
+    by_word = words.select(F.bitwise_not("id").alias("_key"), *COLUMNS)
+    # a pair whose counts the discount takes whole adds nothing to any score
+    grams = counted.where(context.isin(*LEVELS) | (F.greatest("c0", "c1") > DISCOUNT)).select(F.col("pair").alias("_key"), "c0", "c1")
+    number = {"words": by_word.count(), "grams": grams.count()}
+    sizes = tuple(min((2 * n).bit_length(), SLOT_BITS[name]) if bits is None else bits for name, n in number.items())
+    frequent = slots(by_word, COLUMNS, sizes[0]), slots(grams, ["c0", "c1"], sizes[1])
+    keys = by_word.select("_key").union(grams.select("_key"))
+    model = Model(*frequent, totals, sizes, bitmap_of(keys, sum(number.values())))
+    if [*number.values()] == [*map(len, frequent)]:
+        return model, None
+    return model, by_word.select("_key", F.lit(0).cast("long").alias("c0"), F.lit(0).cast("long").alias("c1"), F.struct(*COLUMNS).alias("w")).union(
+        grams.select("_key", "c0", "c1", F.lit(None).cast("struct<" + ",".join(f"{c}:bigint" for c in COLUMNS) + ">"))
     )
 
 
+def with_model(
+    df: DataFrame, text: str, model: Broadcast, counts: DataFrame | None, outputs: StructType,
+    work: Callable[[np.ndarray], list], keep: list[str] | None,
+) -> DataFrame:
+    """``df`` with columns that ``work`` computes from the figures of its texts.
+
+    What the slots lack comes from ``counts`` by a join on the texts' distinct
+    keys; a text is known by its hash, and counts serve any text.
+    """
+
+    def make() -> Callable[..., list]:
+        hasher = Hasher()
+        return lambda texts, *found: work(model.value.figures(texts, hasher, *found))
+
+    if counts is None:
+        return with_text_columns(df, text, outputs, make, keep)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher()
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                ids, owners = hasher.words([t or "" for t in part.column(1).to_pylist()])
+                if len(ids):
+                    asked = model.value.lacking(pairs(ids, owners), part.column(0).to_numpy()[owners])
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in asked], ["_owner", "_key"])
+
+    asked = df.select(F.xxhash64(text), text).mapInArrow(ask, "_owner long, _key long")
+    is_word = F.col("_key") < 0
+    owner, beside = free_name(df, "_owner"), free_name(df, "_found")
+    found = asked.join(counts, "_key").groupBy(F.col("_owner").alias(owner)).agg(F.struct(
+        F.collect_set(F.when(is_word, F.struct("_key", "w.*"))).alias("words"),
+        F.collect_set(F.when(~is_word, F.struct("_key", "c0", "c1"))).alias("grams"),
+    ).alias(beside))
+    joined = df.withColumn(owner, F.xxhash64(text)).join(found, owner, "left")
+    return with_text_columns(joined, text, outputs, make, df.columns if keep is None else keep, beside=beside)
+
+
 def score_toxicity(
     df: DataFrame,
     labels: DataFrame,
     key: str = "doc_id",
     text: str = "text",
     label: str = "toxic",
-    bits: int = 18,
+    bits: int | None = None,
     keep: list[str] | None = None,
 ) -> DataFrame:
     """The columns ``keep`` of ``df`` (all if None) with ``score``: the probability of label 1.
 
+    ``bits`` fixes the size of the slot tables, which tells only how much is joined.
+
     Learns from rows of ``labels`` whose key may be learnt from; an eighth of
     them calibrates, the others are counted. Labels, language, source and key
     never enter a score.
@@ -344,29 +483,19 @@ def score_toxicity(
     outputs = StructType().add("score", DoubleType())
     if len(classes) < 2:
         return with_text_columns(df, text, outputs, lambda: lambda texts: [[0.0] * len(texts)], keep)
-    model = df.sparkSession.sparkContext.broadcast(fit(learnt.where(~calibrates), "_text", bits))
-
-    def figures() -> Callable[[list[str]], list]:
-        hasher = Hasher()
-        return lambda texts: [list(c) for c in model.value.figures(texts, hasher).T]
-
+    fitted, counts = fit(learnt.where(~calibrates), "_text", bits)
+    model = df.sparkSession.sparkContext.broadcast(fitted)
     names = list(FIGURES)
     shape = StructType([StructField(n, DoubleType()) for n in names])
-    sample = with_text_columns(learnt.where(calibrates), "_text", shape, figures, ["label"]).toPandas()
+    sample = with_model(learnt.where(calibrates), "_text", model, counts, shape, lambda x: [list(c) for c in x.T], ["label"]).toPandas()
     sample = sample.sort_values(["label", *names])  # the same weights whatever order the rows came in
     x, y = sample[names].to_numpy(float), sample["label"].to_numpy(float)
     weights = fit_logistic(x, y)
 
-    def scores() -> Callable[[list[str]], list]:
-        hasher = Hasher()
-
-        def work(texts: list[str]) -> list:
-            z = model.value.figures(texts, hasher) @ weights[:-1] + weights[-1]
-            return [list(1 / (1 + np.exp(-np.clip(z, -30, 30))))]
-
-        return work
+    def probability(x: np.ndarray) -> list:
+        return [list(1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -30, 30))))]
 
-    return with_text_columns(df, text, outputs, scores, keep)
+    return with_model(df, text, model, counts, outputs, probability, keep)
 
 
 def op3_toxicity(spark, sf_dir: str) -> DataFrame:

@@ -58,6 +58,15 @@ def test_copies_count_once(spark):
     assert all(abs(a[i] - b[i]) < 1e-9 for i in a)
 
 
+def test_scores_do_not_depend_on_the_number_of_slots(spark):
+    rows = corpus()
+    extra = [(10_000 + i, r[1] + " " + rows[i + 1][1]) for i, r in enumerate(rows[:50])] + [(20_000, rows[0][1])] * 3
+    whole = sorted((r.doc_id, r.score) for r in score(spark, rows, extra).collect())
+    few = sorted((r.doc_id, r.score) for r in score(spark, rows, extra, bits=4).collect())
+    assert len(few) == len(rows) + len(extra) and [i for i, _ in few] == [i for i, _ in whole]
+    assert max(abs(a - b) for (_, a), (_, b) in zip(whole, few, strict=True)) < 1e-9
+
+
 def test_odd_texts(spark):
     rows = corpus(200)
     extra = [(9000, None), (9001, ""), (9002, " \n"), (9003, "123 !!"), (9004, "nan " * 200_000), (None, "baln"), (9005, "x" * 600_000), (9005, "x" * 600_000)]
