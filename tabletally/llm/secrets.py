@@ -5,16 +5,16 @@ DataFrame and SQL operations (with the DataFrame API's random forest) only.
 1. Candidates: in words that hold a long enough run of key characters with a
    digit or mixed case, each such run. ``key=value`` runs give the value.
 2. Features: length; character classes and the transitions between them;
-   dictionary coverage (the share of the run in words that are frequent in the
-   corpus); path (marks of paths and addresses in the run, and the file path of
+   dictionary coverage (the share of the run in words that many distinct texts
+   of the corpus hold outside candidates); path (marks of paths and addresses in the run, and the file path of
    the document); neighbouring words (how much more often the word before and
-   after stands at secrets than at other findings).
+   after stands at secrets than at other findings, over all labelled findings).
 3. Labelled findings train the forest. Where the caller has none, labelling
    rules name the sure cases: provider formats and assignments to
    secret-like names are secrets; addresses, numbers, versions and dictionary
    words are not. Everything else is left for the forest to judge, and the
    rules' outcome is no feature. At most ``sample`` labelled findings per class
-   are used, those of least hash: a documented bound of the training set.
+   train it, those of least hash: a documented bound of the training set.
 4. All candidates are judged by the forest.
 """
 
@@ -31,6 +31,9 @@ from .common import WORD, reliable, table
 #: What a candidate is.
 RUN = r"[A-Za-z0-9_+/=.@:~-]{8,}"
 MARKED = r"[0-9]|[a-z][A-Z]"
+MARKED_RUN = rf"(?<![A-Za-z0-9_+/=.@:~-])(?=[A-Za-z0-9_+/=.@:~-]*?(?:{MARKED})){RUN}"
+LEAST_SHARE = 1e-4  # of the distinct texts, held by a word of the dictionary
+BROADCAST_BYTES = 32 << 20
 ASSIGNED = r"^([A-Za-z_][A-Za-z0-9_.-]*)[=:]+(.{6,})$"
 #: The labelling rules.
 SECRET_FORMATS = (
@@ -91,9 +94,14 @@ def candidates(df: DataFrame, key: str, text: str, path: str | None) -> DataFram
 
 
 def dictionary(df: DataFrame, text: str, least: int) -> DataFrame:
-    """Lower-case words of at least three letters that occur ``least`` times or more in all texts."""
-    words = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(r"[a-z]{3,}"), F.lit(0))
-    return df.select(F.explode_outer(words).alias("run")).where(F.col("run").isNotNull()).groupBy("run").count().where(F.col("count") >= least).select("run")
+    """Lower-case words of at least three letters in ``least`` distinct texts or more,
+    and in a ``LEAST_SHARE`` of them; words within candidates do not count."""
+    texts = df.select(F.coalesce(F.col(text), F.lit("")).alias("text")).distinct()
+    number = df.select(F.xxhash64(F.coalesce(F.col(text), F.lit("")))).distinct().count()
+    plain = F.lower(F.regexp_replace("text", MARKED_RUN, " "))
+    words = F.array_distinct(F.regexp_extract_all(plain, F.lit(r"[a-z]{3,}"), F.lit(0)))
+    counted = texts.select(F.explode_outer(words).alias("run")).where(F.col("run").isNotNull()).groupBy("run").count()
+    return counted.where(F.col("count") >= max(least, LEAST_SHARE * number)).select("run")
 
 
 def coverage(values: DataFrame, words: DataFrame) -> DataFrame:
@@ -133,9 +141,11 @@ def rule_label() -> Column:
 
 
 def odds(labelled: DataFrame, column: str, prior: float = 5.0) -> DataFrame:
-    """(word, log odds of standing at a secret), shrunk by ``prior`` imagined findings of each label."""
-    positive, negative = F.sum("label"), F.sum(1 - F.col("label"))
-    return labelled.groupBy(column).agg(F.log((positive + prior) / (negative + prior)).alias(f"{column}_odds"))
+    """(word, log odds of standing at a secret, against those of all findings), shrunk by 2 ``prior`` imagined usual findings."""
+    n, secret = labelled.agg(F.count(F.lit(1)), F.sum("label")).first()
+    usual = secret / n
+    positive, negative = F.sum("label") + 2 * prior * usual, F.sum(1 - F.col("label")) + 2 * prior * (1 - usual)
+    return labelled.groupBy(column).agg((F.log(positive / negative) - F.log(F.lit(usual / (1 - usual)))).alias(f"{column}_odds"))
 
 
 def scan(
@@ -169,11 +179,15 @@ def scan(
     if len(classes) < 2:
         sure = F.coalesce("label", F.lit(0.0))
         return rows.select(F.col("key").alias(key), "word_no", "value", "label", sure.alias("probability"), sure.cast("int").alias("is_secret"))
-    sides = {c: reliable(odds(learnt, c)) for c in ("before", "after")}
+    sides = {}
+    for column in ("before", "after"):
+        table_of = reliable(odds(rows.where(F.col("label").isNotNull()), column))
+        small = table_of.agg(F.sum(F.length(column) + 64)).first()[0] <= BROADCAST_BYTES
+        sides[column] = F.broadcast(table_of) if small else table_of
 
     def with_neighbours(part: DataFrame) -> DataFrame:
-        for column, table_of in sides.items():  # at most 2 * sample short rows each
-            part = part.join(F.broadcast(table_of), column, "left").na.fill(0.0, [f"{column}_odds"])
+        for column, table_of in sides.items():
+            part = part.join(table_of, column, "left").na.fill(0.0, [f"{column}_odds"])
         return part
 
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
