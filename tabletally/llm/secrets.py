@@ -3,7 +3,9 @@
 DataFrame and SQL operations (with the DataFrame API's random forest) only.
 
 1. Candidates: in words that hold a long enough run of key characters with a
-   digit or mixed case, each such run. ``key=value`` runs give the value.
+   digit or mixed case, each such run. ``key=value`` runs give the value. Also
+   every match of a provider format, and every value after a secret-like name,
+   whatever its letters and length.
 2. Features: length; character classes and the transitions between them;
    dictionary coverage (the share of the run in words that many distinct texts
    of the corpus hold outside candidates); path (marks of paths and addresses in the run, and the file path of
@@ -42,8 +44,14 @@ SECRET_FORMATS = (
 )
 SECRET_NAMES = r"^(?:.*_)?(?:passwd|password|pwd|secret|token|apikey|api_key|access_key|auth|credential)s?$"
 ORDINARY = (
-    r"^[^@]+@[A-Za-z0-9.-]+\.[A-Za-z]+$", r"^[0-9.:+/-]+$", r"^[a-z]+://", r"^[A-Za-z.'-]+$",
+    r"^[^@]+@[A-Za-z0-9.-]+\.[A-Za-z]+$", r"^[0-9.:+/-]+$", r"^[a-z]+://",
 )
+WORDED = r"^[A-Za-z.'-]+$"
+#: Candidates of any letters: provider formats, and what is assigned to a secret-like name in the last word of a text.
+FORMATS = "(?<![A-Za-z0-9])(?:" + "|".join(f.strip("^$") for f in SECRET_FORMATS) + ")(?![A-Za-z0-9])"
+NAMES = r"(?:passwd|password|passphrase|pwd|secret|token|api_?key|access_key|auth|credential)s?(?:_?key)?(?:_[a-z0-9]+)*"
+NAMED = rf"(?i){NAMES}[\"']?\s*[=:]"
+NAMED_VALUE = rf"(?i){NAMES}[\"']?\s*[=:]+>?\s*[\"'`(]*([^\s\"'`<>,;&(){{}}\[\]]+)(?=\S*$)"
 #: Character classes for transitions.
 CLASSES = {"l": "a-z", "u": "A-Z", "d": "0-9"}
 
@@ -55,6 +63,11 @@ FEATURES = (
 )
 
 
+def may_hold(text: Column) -> Column:
+    """False for texts without candidates."""
+    return text.rlike(MARKED) | text.rlike(FORMATS) | text.rlike(NAMED)
+
+
 def candidates(df: DataFrame, key: str, text: str, path: str | None) -> DataFrame:
     """One row per candidate: key, word_no, value, before, after, assigned, quoted, path.
 
@@ -65,19 +78,39 @@ def candidates(df: DataFrame, key: str, text: str, path: str | None) -> DataFram
     docs = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"),
                      (F.coalesce(F.col(path).cast("string"), F.lit("")) if path else F.lit("")).alias("path"))
     words = F.col("words")
+
+    def wanted(i: Column) -> Column:
+        word = F.try_element_at(words, i)
+        tail = F.concat_ws(" ", F.get(words, i - 3), F.get(words, i - 2), word)
+        return (
+            (F.length(word) >= 8) & word.rlike(MARKED) & word.rlike(RUN)
+            | F.col("has_format") & word.rlike(FORMATS) | F.col("has_name") & tail.rlike(NAMED_VALUE)
+        )
+
     marked = (
-        docs.where(F.col("text").rlike(MARKED))
+        docs.where(may_hold(F.col("text")))
+        .withColumn("has_format", F.col("text").rlike(FORMATS)).withColumn("has_name", F.col("text").rlike(NAMED))
         .withColumn("words", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
-        .withColumn("at", F.filter(F.sequence(F.lit(1), F.size(words)), lambda i: (
-            (F.length(F.try_element_at(words, i)) >= 8) & F.try_element_at(words, i).rlike(MARKED) & F.try_element_at(words, i).rlike(RUN))))
+        .withColumn("at", F.filter(F.sequence(F.lit(1), F.size(words)), wanted))
         .select("key", "path", F.explode_outer(F.transform("at", lambda i: F.struct(
             i.alias("word_no"), F.get(words, i - 3).alias("far"), F.get(words, i - 2).alias("near"),
             F.get(words, i - 1).alias("word"), F.get(words, i).alias("next")))).alias("f"))
         .where(F.col("f").isNotNull())
         .select("key", "path", "f.*")
     )
-    runs = marked.withColumn("run", F.explode(F.filter(F.regexp_extract_all("word", F.lit(f"({RUN})"), F.lit(1)), lambda r: r.rlike(MARKED))))
-    named = F.regexp_extract("run", ASSIGNED, 1)
+    found = F.filter(F.regexp_extract_all("word", F.lit(f"({RUN})"), F.lit(1)), lambda run: run.rlike(MARKED))
+    values = F.transform(found, lambda run: F.regexp_replace(F.regexp_replace(run, ASSIGNED, "$2"), r"[.:]+$", ""))
+    sure = F.concat(
+        F.regexp_extract_all("word", F.lit(f"({FORMATS})"), F.lit(1)),
+        F.transform(F.regexp_extract_all(F.concat_ws(" ", "far", "near", "word"), F.lit(NAMED_VALUE), F.lit(1)),
+                    lambda v: F.regexp_replace(v, r"[.:?!]+$", "")),
+    )
+    more = F.filter(F.array_except(sure, values), lambda v: v.rlike("[A-Za-z0-9]"))
+    runs = marked.withColumn("sure", more).withColumn("f", F.explode(F.concat(
+        F.transform(found, lambda run: F.struct(run.alias("run"), F.lit(False).alias("whole"))),
+        F.transform("sure", lambda v: F.struct(v.alias("run"), F.lit(True).alias("whole"))),
+    ))).select("*", "f.*")
+    named = F.when(F.col("whole"), "").otherwise(F.regexp_extract("run", ASSIGNED, 1))
     front = F.expr("substring_index(word, run, 1)")
     split = (
         runs.withColumn("name", named)
@@ -90,7 +123,7 @@ def candidates(df: DataFrame, key: str, text: str, path: str | None) -> DataFram
         F.regexp_extract(F.lower(F.coalesce("next", F.lit(""))), r"([a-z_]{2,})", 1).alias("after"),
         ((F.col("name") != "") | F.col("lead").rlike(r"[=:]\s*[\"']?\s*$")).cast("double").alias("assigned"),
         F.expr("substring_index(word, value, 1)").rlike(r"[\"']$").cast("double").alias("quoted"),
-    ).where(F.col("value").rlike(MARKED))
+    ).where(F.col("whole") | F.col("value").rlike(MARKED))
 
 
 def dictionary(df: DataFrame, text: str, least: int) -> DataFrame:
@@ -136,8 +169,10 @@ def rule_label() -> Column:
     value = F.col("value")
     formats = value.rlike("|".join(SECRET_FORMATS))
     assigned = (F.col("assigned") == 1) & F.col("before").rlike(SECRET_NAMES) & value.rlike("[0-9]")
-    ordinary = value.rlike("|".join(ORDINARY)) | (F.col("coverage") >= 0.8)
-    return F.when(formats, 1).when(ordinary, 0).when(assigned, 1)
+    # letters after a secret-like name may be a password: the forest judges them
+    named = (F.col("assigned") == 1) & F.col("before").rlike(f"{NAMES}$")
+    worded = value.rlike(WORDED) | (F.col("coverage") >= 0.8)
+    return F.when(formats, 1).when(value.rlike("|".join(ORDINARY)) | worded & ~named, 0).when(assigned & ~worded, 1)
 
 
 def odds(labelled: DataFrame, column: str, prior: float = 5.0) -> DataFrame:
@@ -214,7 +249,7 @@ def redact(df: DataFrame, key: str = "doc_id", text: str = "text", path: str | N
         .groupBy(F.col(key).alias("_of")).agg(F.array_sort(F.collect_set("value"), longest_first).alias("_secrets"))
     )
     secrets = reliable(secrets)
-    may = F.coalesce(F.col(text).rlike(MARKED), F.lit(False))
+    may = F.coalesce(may_hold(F.col(text)), F.lit(False))
     cleaned = F.aggregate(F.coalesce("_secrets", F.array().cast("array<string>")), F.col(text), lambda t, s: F.replace(t, s, F.lit(mark)))
     columns = [cleaned.alias(c) if c == text else F.col(f"`{c}`") for c in df.columns]
     changed = df.where(may).join(secrets, F.col(key).eqNullSafe(F.col("_of")), "left").select(*columns)
