@@ -11,10 +11,11 @@ scripts, comments, adverts ...) are left out by tag, role or class name. Then:
    by their product.
 3. Paths whose fused ratio reaches the threshold (a part of the mean over the
    page's text, so it needs no page-wide constant) are content paths.
-4. The smallest element that holds nearly all content text, or the article
-   element around it, is the content root. Its blocks in content paths are
-   the text, together with headings and short paragraphs between them; blocks
-   that are mostly links are not.
+4. The smallest element that holds the blocks of all content paths is the
+   content root: the article or main element around it, if there is one, and
+   never a single block. All its blocks are the text; blocks that are mostly
+   links are not. Where only the page's body holds them all, its divisions
+   without a content path are boilerplate.
 """
 
 from __future__ import annotations
@@ -51,9 +52,10 @@ LEFT_OUT_NAMES = set(
 )
 OUTSIDE_ARTICLE_NAMES = {"header", "masthead"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+CONTAINERS = {"html", "body", "main", "article", "section", "div"}
+DIVISIONS = {"div", "section", "address", "details", "center"}
 PUNCTUATION = re.compile(r"[.,;:!?¿¡…。，、；：！？]")
 KERNEL = [math.exp(-(d * d) / 2) for d in (-2, -1, 0, 1, 2)]
-CONTENT_SHARE = 0.9  # of the content text, held by the content root
 THRESHOLD = 0.1  # of the text-weighted mean of the fused ratios
 MOST_LINKS = 0.6  # of a block's characters
 
@@ -73,7 +75,6 @@ class Block:
     path: str
     tag: str
     elements: tuple[int, ...]
-    articles: tuple[int, ...]
     links: int
 
 
@@ -96,8 +97,7 @@ class Reader(HTMLParser):
         if text:
             self.blocks.append(Block(
                 text, "/".join(e.name for e in self.stack), self.stack[-1].tag if self.stack else "",
-                tuple(e.number for e in self.stack),
-                tuple(e.number for e in self.stack if e.tag in ("article", "main")), self.links,
+                tuple(e.number for e in self.stack), self.links,
             ))
         self.pieces, self.links = [], 0
 
@@ -213,20 +213,24 @@ def main_text(html: str) -> str:
     if not blocks:
         return ""
     paths = content_paths(blocks)
-    held: dict[int, int] = {}
-    total = 0
-    for b in blocks:
-        if b.path in paths:
-            total += len(b.text)
-            for e in b.elements:
-                held[e] = held.get(e, 0) + len(b.text)
-    root = max((e for e, n in held.items() if n >= CONTENT_SHARE * total), default=None)
-    if root is not None:
-        around = next((b.articles for b in blocks if root in b.elements), ())
-        root = max((a for a in around if a <= root), default=root)
-    inside = [b for b in blocks if root is None or root in b.elements]
-    parents = {b.path.rpartition("/")[0] for b in inside if b.path in paths}
-    kept = [b for b in inside if b.path in paths or b.tag in HEADINGS or b.path.rpartition("/")[0] in parents]
+    content = [b for b in blocks if b.path in paths]
+    # smoothing lifts a short line beside a long paragraph: without punctuation it does not widen the root
+    content = [b for b in content if PUNCTUATION.search(b.text)] or content
+    low, high = min(b.elements for b in content), max(b.elements for b in content)
+    common = next((i for i, (a, b) in enumerate(zip(low, high, strict=False)) if a != b), min(len(low), len(high)))
+    tags = [n.partition(".")[0] for n in content[0].path.split("/")[:common]] if common else []
+    depth = next((i + 1 for i, t in enumerate(tags) if t in ("article", "main")), 0)
+    if not depth:
+        depth = common
+        while depth and (tags[depth - 1] not in CONTAINERS or all(len(b.elements) == depth for b in blocks if b.elements[:depth] == low[:depth])):
+            depth -= 1
+    kept = [b for b in blocks if b.elements[:depth] == low[:depth]]
+    if not depth or tags[depth - 1] in ("html", "body"):
+        holding = {b.elements[depth] for b in content if len(b.elements) > depth}
+        kept = [
+            b for b in kept if b.tag in HEADINGS or len(b.elements) <= depth or b.elements[depth] in holding
+            or b.path.split("/")[depth].partition(".")[0] not in DIVISIONS
+        ]
     return "\n\n".join(b.text for b in kept)
 
 

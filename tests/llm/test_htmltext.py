@@ -64,6 +64,21 @@ def test_inside_the_article():
     assert htmltext.main_text("<p>Some <span class='ad'>buy <span>now</span>, it</span>text,\n\t here.&nbsp;</p>") == "Some text, here."
 
 
+LONG = "A very long paragraph, with points. " * 60
+
+
+@pytest.mark.parametrize("page", [
+    f"<body><div class=story><h1>Title</h1><p>{LONG}</p><p>Short end.</p></div></body>",
+    f"<body><div class=lead><p>{LONG[:200]}</p></div><div class=story><p>{LONG}</p><p>{LONG}</p></div></body>",
+    f"<body><article><p>{LONG}</p></article><article><p>{LONG[:180]}</p></article></body>",
+    f"<body><article><p>{LONG}</p><p>{LONG}</p><table><thead><tr><th>a</th><th>b</th></tr></thead><tbody><tr><td>1</td><td>2</td></tr></tbody></table></article></body>",
+])
+def test_article_text_is_whole(page):
+    texts = [t.strip() for t in re.split(r"<[^>]*>", page) if t.strip()]
+    assert htmltext.main_text(page) == "\n\n".join(texts)
+    assert htmltext.main_text(page.replace("<body>", "<body><div>Log in</div>")) == "\n\n".join(texts)
+
+
 def test_odd_pages(spark):
     pages = [
         None, "", "   ", "plain text, without marks.", "<p>", "<![odd[x]]> <p>a, b.</p>", "<script>unclosed", "<p>&#233;&eacute;&bogus;</p>",
