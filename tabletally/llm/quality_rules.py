@@ -8,14 +8,15 @@ estimate is beyond a chi-square quantile.
 
 The estimates run as SQL aggregates over all documents that pass the base rule:
 
-* Equal vectors (on a fine grid) count once per group, so a large group of
-  copies cannot pass for the usual case, nor make a hot aggregate.
+* Copies of a text count once per group, so a large group of copies cannot pass
+  for the usual case. Vectors are rounded to a fine grid; a cell weighs as much
+  as the number of distinct texts in it.
 * Start: coordinate-wise medians and quartile ranges of each group.
 * Concentration steps: distances from the current estimate, their median per
   group, then mean and covariance of the closer half, scaled to be consistent
   for normal data. Each step is one job; its small result is checkpointed.
 * A group's estimate is blended with its language's, weighing as much as
-  ``prior`` vectors, so small groups need no special case. ``FLOORS`` are the
+  ``prior`` texts, so small groups need no special case. ``FLOORS`` are the
   scales below which a difference is never unusual; they are added to the
   covariance, which keeps it invertible where a statistic is constant.
 
@@ -102,10 +103,16 @@ def with_precision(estimates: DataFrame) -> DataFrame:
     )
 
 
+def weight_of(cells: DataFrame) -> Column:
+    """The number of distinct texts in a cell; 1 where none is given."""
+    return F.col("_weight") if "_weight" in cells.columns else F.lit(1)
+
+
 def medians(cells: DataFrame) -> DataFrame:
-    quartiles = [F.percentile_approx(f"x{i}", [0.25, 0.5, 0.75], 1000).alias(f"q{i}") for i in range(P)]
+    weight = weight_of(cells)
+    quartiles = [F.percentile(f"x{i}", [0.25, 0.5, 0.75], weight).alias(f"q{i}") for i in range(P)]  # few grid values
     spread = [F.pow((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, F.lit(2.0)) for i in range(P)]
-    return cells.groupBy("_group").agg(F.count(F.lit(1)).alias("n"), *quartiles).select(
+    return cells.groupBy("_group").agg(F.sum(weight).alias("n"), *quartiles).select(
         "_group", "n", F.array(*[F.col(f"q{i}")[1] for i in range(P)]).alias("mean"),
         F.array(*[spread[i] if i == j else F.lit(0.0) for i, j in PAIRS]).alias("cov"),
     )
@@ -119,14 +126,18 @@ def sent(estimates: DataFrame, groups: int) -> DataFrame:
 
 def concentrate(cells: DataFrame, estimates: DataFrame, groups: int) -> DataFrame:
     """One concentration step; ``groups`` is the number of estimates."""
-    near = cells.join(sent(estimates.select("_group", "mean", "precision"), groups), "_group").withColumn("_d", distance())
-    half = near.groupBy("_group").agg(F.percentile_approx("_d", 0.5, 1000).alias("_half"), F.count(F.lit(1)).alias("_all"))
+    near = cells.join(sent(estimates.select("_group", "mean", "precision"), groups), "_group")
+    # rounded logarithms, so that a group's median is taken over a bounded number of values
+    near = near.withColumn("_d", F.round(F.log(F.greatest(distance(), F.lit(1e-12))), 4))
+    weight = weight_of(cells)
+    half = near.groupBy("_group").agg(F.percentile("_d", 0.5, weight).alias("_half"), F.sum(weight).alias("_all"))
     inner = near.join(sent(half, groups), "_group").where(F.col("_d") <= F.col("_half"))
     # moments around the former mean, which keeps them well-conditioned
     off = [F.col(f"x{i}") - F.col("mean")[i] for i in range(P)]
     sums = inner.groupBy("_group").agg(
         F.max("_all").alias("n"), F.first("mean").alias("_at"),
-        F.array(*[F.avg(o) for o in off]).alias("_m"), F.array(*[F.avg(off[i] * off[j]) for i, j in PAIRS]).alias("_s"),
+        F.array(*[F.sum(weight * o) / F.sum(weight) for o in off]).alias("_m"),
+        F.array(*[F.sum(weight * off[i] * off[j]) / F.sum(weight) for i, j in PAIRS]).alias("_s"),
     )
     cov = [(F.col("_s")[k] - F.col("_m")[i] * F.col("_m")[j]) * CONSISTENCY for k, (i, j) in enumerate(PAIRS)]
     return sums.select(
@@ -137,8 +148,9 @@ def concentrate(cells: DataFrame, estimates: DataFrame, groups: int) -> DataFram
 def estimate(rows: DataFrame, steps: int = 4, prior: int = 50) -> DataFrame:
     """Estimates per language and source, blended with their language's: (_group, mean, precision), to be joined."""
     grid = [F.round(F.col(f"x{i}") / GRID).cast("long").alias(f"x{i}") for i in range(P)]
-    levels = rows.select(F.explode(F.array("_lang", "_source")).alias("_group"), *grid).distinct()
-    cells = reliable(levels.select("_group", *[(F.col(f"x{i}") * GRID).alias(f"x{i}") for i in range(P)]))
+    levels = rows.select(F.explode(F.array("_lang", "_source")).alias("_group"), "_hash", *grid).distinct()
+    counted = levels.groupBy("_group", *[f"x{i}" for i in range(P)]).agg(F.count(F.lit(1)).alias("_weight"))
+    cells = reliable(counted.select("_group", "_weight", *[(F.col(f"x{i}") * GRID).alias(f"x{i}") for i in range(P)]))
     current = reliable(with_precision(medians(cells)))
     groups = current.count()
     for _ in range(steps):
@@ -169,8 +181,9 @@ def apply_rules(
     groups = df.withColumns({
         "_lang": F.concat(F.lit("lang "), F.to_json(F.struct(F.col(lang).alias("l")))),
         "_source": F.concat(F.lit("source "), F.to_json(F.struct(F.col(lang).alias("l"), F.col(source).alias("s")))),
+        "_hash": F.xxhash64(text),
     })
-    counted = reliable(with_counts(groups, text, [*keep, "_lang", "_source"]))
+    counted = reliable(with_counts(groups, text, [*keep, "_lang", "_source", "_hash"]))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     rows = counted.withColumn("base_failed", failed).select("*", *vector())
     usual = estimate(rows.where(~F.col("base_failed")))
@@ -179,7 +192,7 @@ def apply_rules(
         rows.join(usual, rows["_source"] == usual["_group"], "left")
         .withColumn("distance", near)
         .withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= chi2_quantile(quantile, P), F.lit(False)))
-        .drop("_lang", "_source", "_group", "mean", "precision", *[f"x{i}" for i in range(P)])
+        .drop("_lang", "_source", "_hash", "_group", "mean", "precision", *[f"x{i}" for i in range(P)])
     )
 
 

@@ -95,6 +95,15 @@ def test_a_group_of_copies_does_not_become_the_usual_case(spark):
     assert all(k == (i < 60) for i, k in kept.items())
 
 
+def test_cells_weigh_their_distinct_texts(spark):
+    """100 texts in one cell and 20 of one cell each: the usual case is the dense cell; copies of another do not count."""
+    rows = [("g", i, 0.0) for i in range(100)] + [("g", 100 + i, 0.1 * i) for i in range(1, 21)] + [("g", 500, 2.5)] * 300
+    df = spark.createDataFrame([(g, "l", h, *[x] * quality_rules.P) for g, h, x in rows],
+                               "_source string, _lang string, _hash long, " + ", ".join(f"x{i} double" for i in range(quality_rules.P)))
+    got = quality_rules.estimate(df, steps=1).first()
+    assert max(abs(m) for m in got["mean"]) < 1e-6
+
+
 def test_chi_square():
     assert abs(quality_rules.chi2_quantile(0.999, 8) - 26.124) < 0.01
     assert abs(quality_rules.chi2_cdf(2.0, 2) - (1 - np.exp(-1))) < 1e-12
