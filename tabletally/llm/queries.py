@@ -11,6 +11,7 @@ from .quality_classifier import op5_quality
 from .quality_rules import op4_rules
 from .secrets import op10_secrets
 from .simhash import op7_simhash
+from .topk import OP11_SQL, op11_topk
 from .toxicity import op3_toxicity
 
 QUERIES = {
@@ -24,9 +25,11 @@ QUERIES = {
     "op8_html": op8_html,
     "op9_mixing": op9_mixing,
     "op10_secrets": op10_secrets,
+    "op11_topk": op11_topk,
 }
 
 ORACLE_SQL = {
     "op1_chat": OP1_SQL,
     "op9_mixing": OP9_SQL,
+    "op11_topk": OP11_SQL,
 }
