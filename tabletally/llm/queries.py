@@ -13,6 +13,7 @@ from .secrets import op10_secrets
 from .simhash import op7_simhash
 from .topk import OP11_SQL, op11_topk
 from .toxicity import op3_toxicity
+from .whitening import op12_whitening
 
 QUERIES = {
     "op1_chat": op1_chat,
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_secrets": op10_secrets,
     "op11_topk": op11_topk,
+    "op12_whitening": op12_whitening,
 }
 
 ORACLE_SQL = {
