@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .alignment import op13_alignment
 from .bpe import op6_bpe
 from .chat import OP1_SQL, op1_chat
 from .htmltext import op8_html
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_secrets": op10_secrets,
     "op11_topk": op11_topk,
     "op12_whitening": op12_whitening,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLE_SQL = {
