@@ -22,24 +22,16 @@ from ..functions.columns import leading_components, literal_path, uri_raw_path
 from ..functions.errors import error_text
 from ..sources.lake import LakeTable, metadata_frame
 
-_NAMES = T.StructType(
-    [
-        T.StructField("root", T.StringType(), False),
-        T.StructField("database_name", T.StringType(), False),
-        T.StructField("table_name", T.StringType(), False),
-    ]
-)
-
 # A column no table has: with it as the read schema nothing is inferred on
 # the driver, and selecting only file metadata prunes every data column.
-_ABSENT = T.StructType([T.StructField("__tabletally_absent__", T.IntegerType(), True)])
+ABSENT = T.StructType([T.StructField("__tabletally_absent__", T.IntegerType(), True)])
 
 
 def _reader(spark: SparkSession, fmt: str):
     # Files are listed under each table root without partition discovery:
     # partition columns do not change a count, and table roots with and
     # without ``k=v`` folders must be readable together.
-    return spark.read.format(fmt).schema(_ABSENT).option("recursiveFileLookup", "true")
+    return spark.read.format(fmt).schema(ABSENT).option("recursiveFileLookup", "true")
 
 
 def count_lake_rows(
@@ -74,7 +66,7 @@ def _count_at_depth(
     per_root = per_file.groupBy(
         leading_components(uri_raw_path(F.col("file_path")), depth).alias("root")
     ).agg(F.sum("n").alias("n"))
-    names = metadata_frame(spark, [(t.root, database or t.database, t.name) for t in tables], _NAMES)
+    names = metadata_frame(spark, [(t.root, database or t.database, t.name) for t in tables], schemas.ROOTS)
     # The name list is a local relation, so the planner knows its size and
     # chooses the join.
     return names.join(per_root, "root", "left").select(

@@ -12,7 +12,8 @@ the measured size of the target's keys is under the broadcast threshold.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import any_null
@@ -125,14 +126,20 @@ def refuse_null_keys(batch: DataFrame, keys: list[str]) -> None:
 
 
 def write_if_any(missing: DataFrame, write) -> int:
-    """Write ``missing`` in one job if it has any row; return how many were written.
-
-    The emptiness test is a limit-1 job. The rows are counted while they are
-    written. ``rebalance`` lets AQE size the files by bytes: a daily append of a
-    few keys is one file, a big one keeps its parallelism.
+    """Write ``missing`` if it has any row; return how many rows were written.
+
+    The rows are evaluated once, by the count, which keeps them on the
+    executors (memory, then disk) for the write; a lost executor's part is
+    evaluated again. Counting before the write makes the number independent of
+    how the sink runs: a sink that asks for the rows as an RDD, as JDBC does,
+    evaluates a plan of its own. ``rebalance`` lets AQE size the files by bytes:
+    a daily append of a few keys is one file, a big one keeps its parallelism.
     """
-    if missing.isEmpty():
-        return 0
-    seen = Observation()
-    write(missing.hint("rebalance").observe(seen, F.count(F.lit(1)).alias("n")))
-    return seen.get["n"]
+    rows = missing.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n = rows.count()
+        if n:
+            write(rows.hint("rebalance"))
+        return n
+    finally:
+        rows.unpersist()

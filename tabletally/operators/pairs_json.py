@@ -18,7 +18,7 @@ of a user), however many rows they have.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,17 +44,16 @@ def pairs_to_json(
             ).alias("_last"),
         )
     )
-    # collect_list leaves nulls out: the null key's row only keeps its group
+    last = per_key.withColumn("_last", F.col("_last").getField("v"))
+    return last.groupBy(*group_cols).agg(entries_to_json("_first", "_key", "_last").alias(out_col))
+
+
+def entries_to_json(first: str, key: str, value: str) -> Column:
+    """Aggregate: a group's entries, one per key, as a JSON object in the order of ``first``; null keys are left out."""
+    # collect_list leaves nulls out: a null key's row only keeps its group
     entries = F.array_sort(
         F.collect_list(
-            F.when(
-                F.col("_key").isNotNull(),
-                F.struct("_first", F.col("_key").alias("k"), F.col("_last").getField("v").alias("v")),
-            )
+            F.when(F.col(key).isNotNull(), F.struct(F.col(first).alias("o"), F.col(key).alias("k"), F.col(value).alias("v")))
         )
     )
-    return per_key.groupBy(*group_cols).agg(
-        F.to_json(
-            F.map_from_entries(F.transform(entries, lambda e: F.struct(e["k"], e["v"])))
-        ).alias(out_col)
-    )
+    return F.to_json(F.map_from_entries(F.transform(entries, lambda e: F.struct(e["k"], e["v"]))))

@@ -26,18 +26,18 @@ def table_schema_json(columns: DataFrame) -> DataFrame:
     return pairs_to_json(columns, TABLE_KEY, "column_name", "data_type", "pos", "table_schema")
 
 
+def inventory_rows(source: Source, entries: DataFrame) -> DataFrame:
+    """Inventory rows of entries (``schemas.ENTRIES``, one per listed table)."""
+    return entries.select(
+        F.lit(source.name).alias("source_name"), F.lit(source.kind).alias("database_type"), *schemas.ENTRIES.names
+    )
+
+
 def build_inventory(
     spark: SparkSession, source: Source, entries: list[tuple[str, str, int, str]]
 ) -> DataFrame:
-    """Inventory rows of ``(database, table, row count, JSON map)`` entries, one per listed table.
-
-    Counting and describing run as Spark jobs over all tables; what is left is
-    one small row per table of the listing, which the driver holds anyway. As a
-    local relation it needs no join and no exchange here.
-    """
-    return metadata_frame(spark, entries, schemas.ENTRIES).select(
-        F.lit(source.name).alias("source_name"), F.lit(source.kind).alias("database_type"), *schemas.ENTRIES.names
-    )
+    """Inventory rows of driver-held ``(database, table, row count, JSON map)`` entries, as a local relation."""
+    return inventory_rows(source, metadata_frame(spark, entries, schemas.ENTRIES))
 
 
 def errors_frame(spark: SparkSession, source: Source, rows) -> DataFrame:

@@ -17,9 +17,10 @@ from ..operators.counts import count_lake_rows
 from ..operators.insert_missing import missing_rows
 from ..operators.names import catalog_names, distinct_names
 from ..operators.pairs_json import pairs_to_json
+from ..operators.type_merge import merge_types
 from ..sources import lake
 from ..sources.model import Source
-from .inventory import inventory_all, lake_inventory, table_schema_json
+from .inventory import inventory_all, lake_inventory
 from .registry import missing_entries, registry_after_load
 
 # Fixed values of the test scenario.
@@ -71,11 +72,25 @@ def list_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src = lake_source(sf_dir)
-    rows, errors = lake.column_rows(spark, src, lake.list_lake_tables(spark, src))
-    if errors:
-        raise RuntimeError(f"unreadable tables: {errors}")
-    return table_schema_json(lake.metadata_frame(spark, rows, schemas.COLUMNS)).select("table_name", "table_schema")
+    return inventory(spark, sf_dir).select("table_name", "table_schema")
+
+
+def lake_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and column maps of all tables from one footer pass; tables Arrow cannot open through Spark's readers."""
+    return lake_inventory(spark, lake_source(sf_dir)).rows.select(
+        "database_name", "table_name", "row_count",
+        F.size(F.json_object_keys("table_schema")).alias("n_columns"), "table_schema",
+    )
+
+
+def table_schema_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each group of tables stacked by position, as a union would: the type that holds all of a position's types."""
+    groups = F.create_map(*[F.lit(x) for name, tables in SOURCE_GROUPS.items() for t in tables for x in (t, name)])
+    schemas_of = inventory(spark, sf_dir).select(
+        groups[F.col("table_name")].alias("source_name"), F.from_json("table_schema", "map<string,string>").alias("columns")
+    )
+    positions = schemas_of.select("source_name", F.posexplode(F.map_values("columns")).alias("pos", "data_type"))
+    return merge_types(positions.withColumn("pos", F.col("pos") + 1), ["source_name", "pos"])
 
 
 def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,6 +158,8 @@ QUERIES = {
     "list_databases": list_databases,
     "list_tables": list_tables,
     "table_schema_json": table_schemas,
+    "lake_footers": lake_footers,
+    "table_schema_merged": table_schema_merged,
     "inventory": inventory,
     "inventory_multi_source": inventory_multi_source,
     "registry_missing": registry_missing,

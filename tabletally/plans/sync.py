@@ -23,6 +23,7 @@ from ..operators.insert_missing import known_keys
 from ..sources import lake
 from ..sources.model import Source
 from ..sources.registry_store import RegistryTarget, read_registry
+from ..sources.retry import with_retry
 from .inventory import Inventory, inventory_all, jdbc_table_keys
 from .registry import load_registry
 
@@ -82,8 +83,11 @@ def sync_registry(
     listed = lake.metadata_frame(spark, rows, KEYS_SCHEMA)
     names = sorted({s.name for s in sources})
     # the listing is a local relation of known size: the registry is narrowed to it map-side
-    known = known_keys(read_registry(spark, target, names), schemas.KEYS, listed)
-    new = [tuple(r) for r in listed.join(known, schemas.KEYS, "left_anti").collect()]  # at most the listing
+    def unknown() -> list[tuple]:
+        known = known_keys(read_registry(spark, target, names), schemas.KEYS, listed)
+        return [tuple(r) for r in listed.join(known, schemas.KEYS, "left_anti").collect()]  # at most the listing
+
+    new = with_retry(unknown, attempts=attempts, delay_s=delay_s)
     if not new:
         return SyncReport(len(rows), 0, 0, listing_errors_df)
     todo: dict[str, set[tuple[str, str]]] = {}

@@ -22,6 +22,9 @@ TABLES = T.StructType(
     ]
 )
 
+# A table's path (its encoded path part) beside its names.
+ROOTS = T.StructType([T.StructField("root", T.StringType(), False), *TABLES.fields])
+
 # One row per column of a table; `pos` is the 1-based ordinal position.
 COLUMNS = T.StructType(
     [

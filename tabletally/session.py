@@ -7,7 +7,8 @@ library never makes one up.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(
@@ -52,3 +53,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         raise ValueError("spark.checkpoint.dir is not set; point it at a folder all executors share")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` computed once: checkpointed where the session names a folder, else held by the executors.
+
+    Executors that are lost cost a re-read in the first case and a
+    recomputation of their part in the second.
+    """
+    try:
+        ensure_checkpoint_dir(df.sparkSession)
+    except ValueError:
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    return df.checkpoint()
