@@ -11,6 +11,11 @@ groups need no pair: how many documents hold them is counted in vectors as long
 as A's vocabulary. Only the pairs of irregular groups enter the shuffle, once
 per task with their number of documents.
 
+Both tokenizers end a token before a space that follows a non-space, whatever
+stands around it, so such places cut a text into *pieces* that are tokenized,
+grouped and linked each for itself. A task keeps what it found for short pieces
+(most are words) and works out only those it has not met.
+
 Tokens are made once. What a document links (its distinct pairs with their
 numbers of occurrences, compressed) is kept in the shared folder, and the
 corpus-wide counts are read back against it: those of the identity map and of
@@ -26,6 +31,7 @@ import json
 import re
 from collections.abc import Iterator
 from functools import cached_property
+from itertools import chain, repeat
 
 import numpy as np
 import public_tokenizers
@@ -42,7 +48,15 @@ from pyspark.sql import functions as F
 from .bpe import byte_symbols
 from .common import free_name, reliable, table
 
-CHARS_AT_ONCE = 1 << 19
+CHARS_AT_ONCE = 1 << 20
+#: Pieces a task remembers, and the longest that it does.
+MOST_PIECES, LONGEST = 1 << 19, 64
+#: Links of remembered and of passing pieces after which a task starts anew.
+MOST_LINKS = 1 << 22
+#: A space with what follows it up to the next space after a non-space. Python's white space holds all of the
+#: tokenizers' white space, so no cut is made inside a run of theirs.
+PIECE = re.compile(r" \s*(?:\S+(?:[^\S ]\s*)?)*")
+PIECES_IN_LINE = 32
 PAIRS_AT_ONCE = 1 << 21
 #: Pairs whose counts are sent to every task, the most frequent ones: 16 bytes each.
 FREQUENT = 1 << 18
@@ -89,15 +103,45 @@ class Tokenizers:
             return self.slow_a.encode(text, add_special_tokens=False).ids
         return self.a.encode_ordinary(text)
 
-    def both(self, text: str) -> tuple[list[int], list[int]]:
-        """Token ids of both sides; none where a side's bytes are not those of a space and the text."""
+    @cached_property
+    def cuts_at_spaces(self) -> bool:
+        """True if no piece of B goes on after a space that follows something else."""
+        return not any(b" " in t.lstrip(b" ") for t in self.bytes_b)
+
+    def pieces(self, text: str) -> list[str]:
+        """The pieces of a space and the text, without the space each begins with; none for an empty text."""
         if not text:
-            return [], []
+            return []
+        if not self.cuts_at_spaces:
+            return [text]
+        return [p[1:] for p in PIECE.findall(" " + text)]
+
+    def one(self, text: str) -> tuple[list[int], list[int]] | None:
+        """Token ids of both sides for a space and the text; None where a side's bytes are not those."""
         whole = " " + text
-        a, b, expected = self.tokens_a(whole), self.b.encode(text), whole.encode()
-        if b"".join(map(self.bytes_a.__getitem__, a)) != expected or b"".join(map(self.bytes_b.__getitem__, b)) != expected:
-            return [], []
-        return a, b
+        a, b, expected = self.tokens_a(whole), self.b.encode(text) if text else [self.b.piece_to_id("▁")], whole.encode()
+        same = b"".join(map(self.bytes_a.__getitem__, a)) == expected == b"".join(map(self.bytes_b.__getitem__, b))
+        return (a, b) if same else None
+
+    def many(self, texts: list[str]) -> tuple[np.ndarray, ...] | None:
+        """Ids of both sides for all pieces, tokenized as one text, and the number of tokens of each piece.
+
+        None if the bytes or the pieces' ends are not those of the tokens: then each stands for itself.
+        """
+        whole = " " + " ".join(texts)
+        expected, a = whole.encode(), self.a.encode_ordinary(whole)
+        # B's queue of merges is the slower the longer the text
+        lines = [" ".join(texts[i : i + PIECES_IN_LINE]) for i in range(0, len(texts), PIECES_IN_LINE)]
+        b = list(chain.from_iterable(self.b.encode(lines)))
+        if not b"".join(map(self.bytes_a.__getitem__, a)) == expected == b"".join(map(self.bytes_b.__getitem__, b)):
+            return None
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        ends = np.cumsum([len(t.encode()) + 1 for t in texts])
+        ends_a, ends_b = np.cumsum(self.lengths_a[a]), np.cumsum(self.lengths_b[b])
+        to_a, to_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+        if not ((ends_a[to_a] == ends).all() and (ends_b[to_b] == ends).all()):
+            return None
+        return a, b, np.diff(to_a + 1, prepend=0), np.diff(to_b + 1, prepend=0)
 
 
 class Numerals:
@@ -120,25 +164,32 @@ class Numerals:
 
 
 class Alignment:
-    """Groups and links of a batch of texts, with array operations over all its tokens."""
-
-    def __init__(self, both: Tokenizers, texts: list[str]):
-        tokens = [both.both(t) for t in texts]
-        self.n_a = np.array([len(a) for a, _ in tokens], np.int64)
-        self.n_b = np.array([len(b) for _, b in tokens], np.int64)
-        self.a = np.concatenate([np.array(a, np.int64) for a, _ in tokens])
-        self.b = np.concatenate([np.array(b, np.int64) for _, b in tokens])
+    """Groups and links of a batch of pieces, with array operations over all its tokens."""
+
+    def __init__(self, both: Tokenizers, texts: list[str], together: bool = False):
+        found = both.many(texts) if together else None
+        if found:
+            self.a, self.b, self.n_a, self.n_b = found
+            self.whole = np.ones(len(texts), bool)
+        else:
+            each = [both.one(t) for t in texts]
+            self.whole = np.array([t is not None for t in each], bool)
+            tokens = [t or ([], []) for t in each]
+            self.n_a = np.array([len(a) for a, _ in tokens], np.int64)
+            self.n_b = np.array([len(b) for _, b in tokens], np.int64)
+            self.a = np.concatenate([np.array(a, np.int64) for a, _ in tokens])
+            self.b = np.concatenate([np.array(b, np.int64) for _, b in tokens])
         self.ends_a, self.ends_b = np.cumsum(both.lengths_a[self.a]), np.cumsum(both.lengths_b[self.b])
         ends = np.concatenate([[0], self.ends_a])[np.cumsum(self.n_a)]
         self.text_ends = ends
-        # both sides have the same bytes, so a text's end is an end of both
+        # both sides have the same bytes, so a piece's end is an end of both
         at = np.searchsorted(self.ends_b, self.ends_a)
         common = self.ends_b[at] == self.ends_a if len(at) else np.zeros(0, bool)
         self.last_a, self.last_b = np.flatnonzero(common), at[common]  # the last tokens of each group
         self.n_groups = np.diff(np.searchsorted(self.ends_a[self.last_a], ends, "right"), prepend=0)
 
     def group_texts(self, numerals: Numerals) -> Iterator[bytes]:
-        """Each text's groups: A ids and B ids with commas, a bar between them, a semicolon after each group but the last."""
+        """Each piece's groups: A ids and B ids with commas, a bar between them, a semicolon after each group but the last."""
         n_a, n_b = len(self.a), len(self.b)
         of_a = np.searchsorted(self.last_a, np.arange(n_a))
         of_b = np.searchsorted(self.last_b, np.arange(n_b))
@@ -156,20 +207,91 @@ class Alignment:
             yield text[start:end]
 
     def links(self, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text, a * width + b, occurrences) of each text's distinct links, ordered."""
-        ends = np.union1d(self.ends_a, self.ends_b)
+        """(piece, a * width + b, occurrences) of each piece's distinct links, ordered."""
+        ends = np.sort(np.concatenate([self.ends_a, self.ends_b]), kind="stable")  # merges two ordered runs
+        ends = ends[np.diff(ends, prepend=0) > 0]  # no token is empty
         a = self.a[np.searchsorted(self.ends_a, ends)]
         b = self.b[np.searchsorted(self.ends_b, ends)]
-        text = np.searchsorted(self.text_ends, ends)
-        codes, bits = a * width + b, len(self.n_a).bit_length()
-        if codes.size and int(codes.max()).bit_length() + bits < 63:
-            shift = int(codes.max()).bit_length()
-            found, times = np.unique(text << shift | codes, return_counts=True)
-            return found >> shift, found & ((1 << shift) - 1), times
-        order = np.lexsort([codes, text])
-        text, codes = text[order], codes[order]
-        first = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (codes[1:] != codes[:-1])])[: len(text)])
-        return text[first], codes[first], np.diff(np.append(first, len(text)))
+        return totals(np.searchsorted(self.text_ends, ends), a * width + b, np.ones(len(ends), np.int64))
+
+
+def totals(of: np.ndarray, codes: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``times`` added up by (of, code), in their order."""
+    if not len(of):
+        return of, codes, times
+    shift = int(codes.max()).bit_length()
+    if shift + int(of.max()).bit_length() < 63:
+        keys = of << shift | codes
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        return keys[first] >> shift, keys[first] & ((1 << shift) - 1), np.add.reduceat(times[order], first)
+    order = np.lexsort([codes, of])
+    of, codes = of[order], codes[order]
+    first = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (codes[1:] != codes[:-1])]))
+    return of[first], codes[first], np.add.reduceat(times[order], first)
+
+
+class Pieces:
+    """What a task has found of the pieces it met: numbers, group texts and links, by the piece's place."""
+
+    def __init__(self, both: Tokenizers):
+        self.both, self.width = both, len(both.bytes_b)
+        self.numerals = Numerals(max(len(both.bytes_a), self.width))
+        self.forget()
+
+    def forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.groups: list[bytes] = []
+        self.numbers = np.zeros((4, 0), np.int64)  # whole, n_a, n_b, n_groups
+        self.starts, self.codes, self.times = np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def learn(self, texts: list[str], together: bool) -> None:
+        found = Alignment(self.both, texts, together)
+        of, codes, times = found.links(self.width)
+        ends = len(self.codes) + np.searchsorted(of, np.arange(1, len(texts) + 1))
+        self.place.update(zip(texts, range(len(self.groups), len(self.groups) + len(texts)), strict=True))
+        self.groups += found.group_texts(self.numerals)
+        numbers = np.stack([found.whole.astype(np.int64), found.n_a, found.n_b, found.n_groups])
+        self.numbers = np.concatenate([self.numbers, numbers], axis=1)
+        self.starts = np.concatenate([self.starts, ends])
+        self.codes, self.times = np.concatenate([self.codes, codes]), np.concatenate([self.times, times])
+
+    def texts(self, texts: list[str]) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+        """Of each text: (n_a, n_b, n_groups), its groups; and the ordered links (text, code, occurrences) of all."""
+        pieces = [self.both.pieces(t) for t in texts]
+        of = np.repeat(np.arange(len(texts)), [len(p) for p in pieces])
+        flat = list(chain.from_iterable(pieces))
+        at = np.fromiter(map(self.place.get, flat, repeat(-1)), np.int64, len(flat))
+        missing = np.flatnonzero(at < 0)
+        unknown = [flat[i] for i in missing.tolist()]
+        new = set(unknown)
+        # a piece that ends in a non-space ends where the next one's space begins, in any order
+        plain = sorted(p for p in new if p and not p[-1].isspace() and "▁" not in p and not LONG_GAP.search(p))
+        if plain:
+            self.learn(plain, together=True)
+        if len(plain) < len(new):
+            self.learn(sorted(new.difference(plain)), together=False)
+        at[missing] = list(map(self.place.__getitem__, unknown))
+        broken = np.zeros(len(texts), bool)
+        broken[of[self.numbers[0, at] == 0]] = True
+        fine = ~broken[of]
+        of, at = of[fine], at[fine]
+        cuts = np.searchsorted(of, np.arange(len(texts) + 1)).tolist()
+        named = list(map(self.groups.__getitem__, at.tolist()))
+        groups = [b";".join(named[i:j]) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+        numbers = np.stack([np.bincount(of, values[at], len(texts)).astype(np.int64) for values in self.numbers[1:]])
+        # a text's pieces with their occurrences, then the links of those
+        of, at, times = totals(of, at, np.ones(len(at), np.int64))
+        sizes = self.starts[at + 1] - self.starts[at]
+        link = np.repeat(self.starts[at] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+        links = totals(np.repeat(of, sizes), self.codes[link], self.times[link] * np.repeat(times, sizes))
+        for p in new:
+            if len(p) > LONGEST:
+                del self.place[p]
+        if len(self.place) > MOST_PIECES or len(self.codes) > MOST_LINKS:
+            self.forget()
+        return numbers, groups, *links
 
 
 def packed(codes: np.ndarray, times: np.ndarray) -> bytes:
@@ -213,22 +335,17 @@ def aligned(df: DataFrame, text: str, files: Broadcast, digest: bool, keep: list
     place = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = made(files)
-        width = len(both.bytes_b)
-        numerals = Numerals(max(len(both.bytes_a), width))
+        known = Pieces(made(files))
         for batch in batches:
             for part in text_parts(batch, place):
-                found = Alignment(both, [t or "" for t in part.column(place).to_pylist()])
-                of, codes, times = found.links(width)
+                (n_a, n_b, n_groups), groups, of, codes, times = known.texts([t or "" for t in part.column(place).to_pylist()])
                 cuts = np.searchsorted(of, np.arange(part.num_rows + 1))
-                groups = list(found.group_texts(numerals))
                 if digest:
                     groups = [hashlib.sha256(g).hexdigest() if g else "" for g in groups]
                 else:
                     groups = [g.decode() for g in groups]
-                n_links = found.n_a + found.n_b - found.n_groups
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:place], *map(pa.array, (found.n_a, found.n_b, found.n_groups, n_links)),
+                    [*part.columns[:place], *map(pa.array, (n_a, n_b, n_groups, n_a + n_b - n_groups)),
                      pa.array(groups, pa.string()),
                      pa.array([packed(codes[i:j], times[i:j]) for i, j in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())],
                     names=[*keep, "n_a", "n_b", "n_groups", "n_links", "groups", "links"],
@@ -238,7 +355,7 @@ def aligned(df: DataFrame, text: str, files: Broadcast, digest: bool, keep: list
     return kept.mapInArrow(run, ", ".join([*kinds, "n_a long, n_b long, n_groups long, n_links long, groups string, links binary"]))
 
 
-def link_counts(docs: DataFrame, files: Broadcast) -> DataFrame:
+def link_counts(docs: DataFrame, identity_map: Broadcast) -> DataFrame:
     """(code, n): how many rows of ``docs`` hold each pair linked, over all rows.
 
     A task counts the pairs of the identity map in one vector and the others in
@@ -246,8 +363,7 @@ def link_counts(docs: DataFrame, files: Broadcast) -> DataFrame:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = made(files)
-        width, identity = len(both.bytes_b), both.identity
+        width, identity = identity_map.value
         usual = np.zeros(len(identity), np.int64)
         held: list[np.ndarray] = []
         size = 0
@@ -310,7 +426,7 @@ def align(
     rows = df.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_whole"), F.monotonically_increasing_id().alias("row"))
     docs = reliable(aligned(rows, "_whole", files, digest, ["_key", "row"]))
     of_a = F.floor(F.col("code") / F.lit(width))
-    counts = reliable(link_counts(docs, files).withColumn("a", of_a))
+    counts = reliable(link_counts(docs, spark.sparkContext.broadcast((width, identity))).withColumn("a", of_a))
     # bounded by A's vocabulary: the highest count of each A id, and the counts of the identity map
     highest = np.zeros(len(identity), np.int64)
     for r in counts.groupBy("a").agg(F.max("n").alias("n")).collect():

@@ -102,9 +102,29 @@ def test_query(spark):
         assert got[d.doc_id] == (*e[:-1], hashlib.sha256(e[-1].encode()).hexdigest() if e[-1] else "")
 
 
+def test_pieces_have_the_tokens_of_the_whole():
+    files = open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read(), open(public_tokenizers.path("piece_bpe_32k.model"), "rb").read()
+    both = alignment.Tokenizers(*files)
+    assert both.cuts_at_spaces
+
+    @settings(max_examples=400, deadline=None)
+    @given(st.text(st.sampled_from("ab ,.'s1é\n\t\r\x1c\x85\u00a0\u3000中▁ " + "the  "), max_size=40))
+    def check(text):
+        pieces = both.pieces(text)
+        assert "".join(" " + p for p in pieces) == (" " + text if text else "")
+        found = [both.one(p) for p in pieces]
+        if text and None not in found:
+            assert [i for a, _ in found for i in a] == A.encode(" " + text, add_special_tokens=False).ids
+            assert [i for _, b in found for i in b] == B.encode(text)
+        elif text:
+            assert "▁" in text
+
+    check()
+
+
 ODD = [
     None, "", " ", "   ", "a", "a", "<|endoftext|>", "</s><s><unk>", "<0x41> ▁x", "\x00\x01", "\r\n\t x", "éﬁ \U0001f600",
-    "中文 text", "x" * 30_000, " " * 30_000 + "b", "word " * 5_000, "﻿a​", "1234567 !!??",
+    "中文 text", "x" * 30_000, " " * 30_000 + "b", "word " * 5_000, "﻿a​", "1234567 !!??", "a ", "a  \n  b \x1c c\u3000 d", "don't  we'll 's",
 ]
 
 
