@@ -31,6 +31,12 @@ def pairs_to_json(
     order_col: str,
     out_col: str = "json",
 ) -> DataFrame:
+    per_key = last_per_key(df, group_cols, key_col, value_col, order_col)
+    return per_key.groupBy(*group_cols).agg(entries_to_json("_first", "_key", "_last").alias(out_col))
+
+
+def last_per_key(df: DataFrame, group_cols: list[str], key_col: str, value_col: str, order_col: str) -> DataFrame:
+    """``group_cols, _key, _first, _last``: each key's first position and its last value, as text."""
     if isinstance(df.schema[key_col].dataType, T.BinaryType):
         raise TypeError(f"{key_col}: binary keys have no JSON text; encode them first")
     per_key = (
@@ -44,8 +50,7 @@ def pairs_to_json(
             ).alias("_last"),
         )
     )
-    last = per_key.withColumn("_last", F.col("_last").getField("v"))
-    return last.groupBy(*group_cols).agg(entries_to_json("_first", "_key", "_last").alias(out_col))
+    return per_key.withColumn("_last", F.col("_last").getField("v"))
 
 
 def entries_to_json(first: str, key: str, value: str) -> Column:

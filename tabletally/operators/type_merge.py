@@ -53,20 +53,25 @@ def _flag(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(False))
 
 
+def _by_rank(rank: Column, values: tuple) -> Column:
+    """The value at a rank from 1; null for a null rank (which ``element_at`` of a constant array does not give)."""
+    return F.coalesce(*[F.when(rank == i, F.lit(v)) for i, v in enumerate(values, start=1)])
+
+
 def merged_type() -> Column:
     """The merged type's name from the columns of ``type_facts``; null for a conflict (or no type at all)."""
     integer, scale, other = F.col("_integer"), F.col("_scale"), F.col("_other_min")
     floating, temporal = _flag("_float") | _flag("_double"), _flag("_date") | _flag("_time")
     numeric = integer.isNotNull() | scale.isNotNull() | floating
     families = sum(x.cast("int") for x in (numeric, temporal, other.isNotNull()))
-    digits = F.element_at(F.array(*[F.lit(d) for d in DIGITS]), integer.cast("int"))
+    digits = _by_rank(integer, DIGITS)
     whole = F.greatest("_whole", digits)  # nulls are skipped
     as_decimal = F.when(
         ~floating & (whole + scale <= MOST_DIGITS), F.format_string("decimal(%d,%d)", whole + scale, scale)
     )
     narrow = integer.isNull() | (integer < len(INTEGERS))
     as_float = F.when(narrow, F.when(_flag("_double") | integer.isNotNull(), "double").otherwise("float"))
-    as_integer = F.element_at(F.array(*[F.lit(t) for t in INTEGERS]), integer.cast("int"))
+    as_integer = _by_rank(integer, INTEGERS)
     as_number = F.when(scale.isNotNull(), as_decimal).when(floating, as_float).otherwise(as_integer)
     return F.when(
         families == 1,

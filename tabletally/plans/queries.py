@@ -14,11 +14,16 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators.counts import count_lake_rows
+from ..operators.incremental_counts import count_files, counts_of_files
 from ..operators.insert_missing import missing_rows
+from ..operators.key_filter import missing_rows_filtered
 from ..operators.names import catalog_names, distinct_names
 from ..operators.pairs_json import pairs_to_json
+from ..operators.segments import pairs_to_json_segments as segments
 from ..operators.type_merge import merge_types
+from ..session import scratch_folder
 from ..sources import lake
+from ..sources.bucketed import BucketedRegistry
 from ..sources.model import Source
 from .inventory import inventory_all, lake_inventory
 from .registry import missing_entries, registry_after_load
@@ -41,6 +46,7 @@ SOURCE_GROUPS = {
 }
 ORDERS_KNOWN_BEFORE = "1998-01-01 00:00:00"
 EVENTS_KNOWN_BEFORE = "2024-01-15 00:00:00"
+SEGMENT = 100
 
 
 def lake_source(sf_dir: str, **kw) -> Source:
@@ -148,6 +154,37 @@ def insert_missing_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return missing_rows(batch, known, ["event_id"], order=["value"])
 
 
+def row_counts_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second count of the lake after its first tables were counted: only the other tables' files are read."""
+    src = lake_source(sf_dir)
+    tables = lake.list_lake_tables(spark, src)
+    state = count_files(spark, [t for t in tables if t.name in SOURCE_GROUPS["tpch"]])
+    files = count_files(spark, tables, state)
+    return counts_of_files(spark, tables, files, src.database).select(
+        "table_name", "row_count", (F.col("n_fresh") > 0).alias("counted_anew")
+    )
+
+
+def insert_missing_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = _table(spark, sf_dir, "orders")
+    known = orders.where(F.col("o_orderdate") < F.expr(f"TIMESTAMP_NTZ '{ORDERS_KNOWN_BEFORE}'"))
+    return missing_rows_filtered(orders, known, ["o_orderkey"])
+
+
+def registry_missing_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``registry_missing`` against a registry that is stored in buckets of its key."""
+    inv = inventory(spark, sf_dir)
+    registry = BucketedRegistry(scratch_folder(spark, "registry"), buckets=8)
+    registry.append(_registry_fixture(inv))
+    return missing_entries(inv, registry.attach(spark), AS_OF, unique=True)
+
+
+def pairs_to_json_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event type's users with their last event, in objects of at most ``SEGMENT`` users."""
+    events = _table(spark, sf_dir, "events").withColumn("last_event", F.col("event_id"))
+    return segments(events, ["event_type"], "user_id", "last_event", "event_id", SEGMENT, "user_events")
+
+
 def pairs_to_json_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _table(spark, sf_dir, "orders")
     return pairs_to_json(orders, ["o_custkey"], "o_orderpriority", "o_orderstatus", "o_orderkey", "priority_status")
@@ -168,4 +205,8 @@ QUERIES = {
     "insert_missing_orders": insert_missing_orders,
     "insert_missing_events": insert_missing_events,
     "pairs_to_json_by_customer": pairs_to_json_by_customer,
+    "row_counts_incremental": row_counts_incremental,
+    "insert_missing_bloom": insert_missing_bloom,
+    "registry_missing_bucketed": registry_missing_bucketed,
+    "pairs_to_json_segments": pairs_to_json_segments,
 }

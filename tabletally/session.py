@@ -7,6 +7,8 @@ library never makes one up.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,3 +68,12 @@ def kept(df: DataFrame) -> DataFrame:
     except ValueError:
         return df.persist(StorageLevel.MEMORY_AND_DISK)
     return df.checkpoint()
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder's path that all executors share: in the checkpoint folder, else in the session's warehouse."""
+    try:
+        root = ensure_checkpoint_dir(spark)
+    except ValueError:
+        root = spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -97,26 +97,36 @@ def footer_columns(metadata) -> list[tuple[int, str, str]]:
     return [(i, name, kind) for i, (name, kind) in enumerate(fields, start=1)]
 
 
-def read_footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Encoded file URIs -> rows of ``FOOTERS``."""
+def footer_reader():
+    """A function from a file's encoded URI to its footer, on any store Arrow knows; stores are opened once."""
     from pyarrow import fs
     from pyarrow import parquet as pq
 
     stores: dict[tuple[str, str], fs.FileSystem] = {}
 
+    def read(uri: str):
+        parts = urlsplit(uri)
+        store = stores.get((parts.scheme, parts.netloc))
+        if parts.scheme == "file":
+            store, path = store or fs.LocalFileSystem(), unquote(parts.path)
+        elif store is None:
+            store, path = fs.FileSystem.from_uri(uri)
+        else:
+            path = type(store).from_uri(uri)[1]
+        stores[parts.scheme, parts.netloc] = store
+        with store.open_input_file(path) as f:
+            return pq.read_metadata(f)
+
+    return read
+
+
+def read_footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Encoded file URIs -> rows of ``FOOTERS``."""
+    footer = footer_reader()
+
     def read(uri: str) -> tuple:
         try:
-            parts = urlsplit(uri)
-            store = stores.get((parts.scheme, parts.netloc))
-            if parts.scheme == "file":
-                store, path = store or fs.LocalFileSystem(), unquote(parts.path)
-            elif store is None:
-                store, path = fs.FileSystem.from_uri(uri)
-            else:
-                path = type(store).from_uri(uri)[1]
-            stores[parts.scheme, parts.netloc] = store
-            with store.open_input_file(path) as f:
-                metadata = pq.read_metadata(f)
+            metadata = footer(uri)
             return uri, metadata.num_rows, footer_columns(metadata), None
         except Exception as exc:  # noqa: BLE001 - the table goes to Spark's own reader
             return uri, None, None, f"{type(exc).__name__}: {exc}"
@@ -133,12 +143,12 @@ def read_footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def lake_files(spark: SparkSession, tables: list[LakeTable]) -> DataFrame:
-    """``(file_path, length)`` of the data files of the tables; the path is URI-encoded."""
+    """``(file_path, length, modified)`` of the data files of the tables; the path is URI-encoded."""
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load([literal_path(t.path) for t in tables])
     )
     visible = ~F.col("_metadata.file_name").startswith("_")
-    return files.where(visible).select(F.col("_metadata.file_path").alias("file_path"), "length")
+    return files.where(visible).select(F.col("_metadata.file_path").alias("file_path"), "length", F.col("modificationTime").alias("modified"))
 
 
 def file_footers(spark: SparkSession, tables: list[LakeTable]) -> DataFrame:

@@ -27,7 +27,7 @@ class RegistryTarget:
             raise ValueError("a JDBC registry needs a table name")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -41,7 +41,7 @@ def read_registry(spark: SparkSession, target: RegistryTarget, sources: list[str
     answers from its statistics, and one read per source on a server.
     """
     if target.path is not None:
-        if not _exists(spark, target.path):
+        if not path_exists(spark, target.path):
             return spark.createDataFrame([], schemas.REGISTRY)
         df = spark.read.schema(schemas.REGISTRY).parquet(target.path)
         return df if sources is None else df.where(df["source_name"].isin(list(sources)))

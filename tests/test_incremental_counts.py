@@ -1,0 +1,77 @@
+from __future__ import annotations
+
+import os
+
+import pytest
+from conftest import write_table
+
+from tabletally.operators.incremental_counts import count_files, refresh_counts
+from tabletally.sources import lake
+from tabletally.sources.model import Source
+
+
+@pytest.fixture
+def lake_root(spark, tmp_path):
+    root = str(tmp_path / "my lake")
+    write_table(spark, root, "a", [(i,) for i in range(10)], "x int", files=3)
+    write_table(spark, root, "b c", [(i,) for i in range(4)], "x int", files=1)
+    write_table(spark, root, "none", [], "x int")
+    return root
+
+
+def run(spark, root, state):
+    tables = lake.list_lake_tables(spark, Source("l", "parquet", path=root))
+    return {r["table_name"]: (r["row_count"], r["n_fresh"]) for r in refresh_counts(spark, tables, state).collect()}
+
+
+def data_files(folder):
+    return [os.path.join(folder, f) for f in sorted(os.listdir(folder)) if f.endswith(".parquet")]
+
+
+def test_a_rerun_opens_no_data_file(spark, lake_root, tmp_path):
+    state = str(tmp_path / "state")
+    first = run(spark, lake_root, state)
+    assert {t: n for t, (n, _) in first.items()} == {"a": 10, "b c": 4, "none": 0}
+    assert sum(f for _, f in first.values()) > 0
+    for table in ("a", "b c"):  # what cannot be read any more need not be read
+        for f in data_files(f"{lake_root}/{table}"):
+            times = os.stat(f)
+            with open(f, "r+b") as out:
+                out.write(b"\0" * times.st_size)
+            os.utime(f, ns=(times.st_atime_ns, times.st_mtime_ns))
+    again = run(spark, lake_root, state)
+    assert again == {t: (n, 0) for t, (n, _) in first.items()}
+
+
+def test_new_rewritten_and_removed_files(spark, lake_root, tmp_path):
+    state = str(tmp_path / "state")
+    run(spark, lake_root, state)
+    spark.range(5).selectExpr("CAST(id AS int) AS x").coalesce(1).write.mode("append").parquet(f"{lake_root}/a")
+    one = data_files(f"{lake_root}/b c")[0]
+    os.remove(one)
+    spark.range(7).selectExpr("CAST(id AS int) AS x").coalesce(1).write.parquet(str(tmp_path / "new"))
+    os.rename(data_files(str(tmp_path / "new"))[0], one)  # the same name with other rows
+    os.utime(one, (1_800_000_000, 1_800_000_000))
+    got = run(spark, lake_root, state)
+    assert (got["a"], got["b c"]) == ((15, 1), (7, 1))
+    os.remove(one)
+    assert run(spark, lake_root, state)["b c"] == (0, 0)
+
+
+def test_overlapping_runs_count_a_file_once(spark, lake_root, tmp_path):
+    state = str(tmp_path / "state")
+    first = run(spark, lake_root, state)
+    rows = spark.read.parquet(state)
+    rows.coalesce(1).write.parquet(str(tmp_path / "copy"))
+    spark.read.parquet(str(tmp_path / "copy")).write.mode("append").parquet(state)
+    assert run(spark, lake_root, state) == {t: (n, 0) for t, (n, _) in first.items()}
+
+
+def test_files_that_arrow_cannot_read(spark, tmp_path):
+    root = str(tmp_path / "orc_lake")
+    spark.range(9).repartition(3).write.orc(f"{root}/t")
+    spark.range(0).write.orc(f"{root}/empty")
+    tables = lake.list_lake_tables(spark, Source("l", "orc", path=root))
+    files = count_files(spark, tables, fmt="orc").collect()
+    assert sum(r["n"] for r in files) == 9 and all(r["fresh"] for r in files)
+    assert count_files(spark, []).count() == 0

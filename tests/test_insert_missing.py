@@ -99,3 +99,31 @@ def test_a_unique_batch_needs_no_reduction(spark, batch_rows, target_keys):
     plain = missing_rows(batch, target, ["k"], ["v"], keep_null_keys=True)
     unique = missing_rows(batch, target, ["k"], keep_null_keys=True, unique=True)
     assert sorted(map(repr, plain.collect())) == sorted(map(repr, unique.collect()))
+
+
+def test_the_count_does_not_depend_on_how_the_sink_runs(spark, tmp_path):
+    """A sink that asks for the rows as an RDD first, as JDBC does, gets and reports the same rows."""
+    from tabletally.operators.insert_missing import insert_missing
+
+    batch = spark.createDataFrame([(i, float(i), "x") for i in range(20)], DDL)
+    target = spark.createDataFrame([(i, 0.0, "") for i in range(5)], DDL)
+    written = []
+
+    def rdd_sink(df):
+        df.rdd.getNumPartitions()
+        written.extend(df.rdd.map(tuple).collect())
+
+    assert insert_missing(batch, target, rdd_sink, ["k"]) == 15 == len(written)
+    path = str(tmp_path / "out")
+    assert insert_missing(batch, target, lambda df: df.write.parquet(path), ["k"]) == 15
+    assert spark.read.parquet(path).count() == 15
+    assert insert_missing(batch, batch, rdd_sink, ["k"]) == 0
+
+
+def test_python_tasks_run_after_a_write(spark, tmp_path):
+    """A write leaves nothing behind that later plans would carry to their tasks."""
+    from tabletally.operators.insert_missing import insert_missing
+
+    batch = spark.createDataFrame([(1, 1.0, "x")], DDL)
+    assert insert_missing(batch, batch.limit(0), lambda df: df.write.parquet(str(tmp_path / "o")), ["k"]) == 1
+    assert spark.range(3).mapInArrow(lambda it: it, "id long").count() == 3

@@ -1,0 +1,68 @@
+from __future__ import annotations
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from tabletally.operators import key_filter
+from tabletally.operators.insert_missing import missing_rows
+from tabletally.operators.key_filter import filter_rows, missing_rows_filtered, with_maybe
+
+DDL = "k long, s string, v int"
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.dictionaries(st.tuples(st.integers(-5, 60) | st.none(), st.sampled_from(["a", "b", None])), st.integers(0, 9), max_size=60),
+    st.lists(st.tuples(st.integers(-5, 60) | st.none(), st.sampled_from(["a", "b", None])), max_size=60),
+)
+def test_equals_the_plain_join(spark, batch, target):
+    b = spark.createDataFrame([(*k, v) for k, v in batch.items()], DDL)
+    t = spark.createDataFrame(target, "k long, s string")
+    expected = rows_of(missing_rows(b, t, ["k", "s"], unique=True))
+    assert rows_of(missing_rows_filtered(b, t, ["k", "s"])) == expected
+
+
+@pytest.mark.parametrize("most_bytes", [key_filter.MOST_BYTES, 4096])
+def test_a_filter_that_is_too_small_only_costs_joins(spark, most_bytes):
+    target = spark.range(0, 20_000, 2).withColumnRenamed("id", "k")
+    batch = spark.range(20_000).selectExpr("id AS k", "id * 2 AS v")
+    got = missing_rows_filtered(batch, target, ["k"], most_bytes)
+    assert got.agg({"k": "sum", "v": "count"}).first().asDict() == {"sum(k)": 10_000 * 10_000, "count(v)": 10_000}
+
+
+def test_the_filter_never_rules_out_a_key_it_holds_and_most_others(spark):
+    target = spark.range(0, 100_000, 2).withColumnRenamed("id", "k")
+    rows = filter_rows(50_000)
+    bloom = key_filter.key_filter(target, ["k"], rows)
+    assert bloom.count() == rows
+    flagged = with_maybe(spark.range(100_000).withColumnRenamed("id", "k"), ["k"], bloom, rows, "maybe")
+    by_side = {r["even"]: r for r in flagged.groupBy((flagged["k"] % 2 == 0).alias("even")).agg({"*": "count"}).collect()}
+    assert by_side[True]["count(1)"] == by_side[False]["count(1)"] == 50_000
+    assert flagged.where("k % 2 = 0 AND NOT maybe").count() == 0
+    assert flagged.where("k % 2 = 1 AND maybe").count() < 1500
+
+
+def test_the_size_is_bounded():
+    assert filter_rows(0) == filter_rows(1) == 1
+    assert filter_rows(10**12) * 8 * key_filter.WORDS == key_filter.MOST_BYTES
+
+
+def test_rows_ruled_out_skip_the_shuffle(spark):
+    """A batch whose keys are all new is not shuffled at all."""
+    target = spark.range(1000).withColumnRenamed("id", "k")
+    batch = spark.range(10**6, 10**6 + 1000).selectExpr("id AS k", "'x' AS payload")
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = missing_rows_filtered(batch, target, ["k"])
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert got.count() == 1000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    # payload occurs above no exchange: the only ones build the filter
+    assert all("payload" not in line for line in plan.splitlines() if "Exchange" in line)
