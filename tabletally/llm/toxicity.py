@@ -1,261 +1,147 @@
-"""Toxicity scores from class-conditional Kneser-Ney bigram models.
+"""Toxicity scores from class-conditional Kneser-Ney models.
 
 Two language models, of toxic and of ordinary labelled texts, are compared by
-length-normalised log-likelihood. Both are interpolated Kneser-Ney models with
-absolute discounts whose lowest order is *shared*: continuation counts (in how
-many different contexts a word occurs) over both classes, and the same backoff
-weights for both, so an expression that neither class has seen says nothing.
-
-    P_c(v|u) = (1 - g_u) max(c_c(u,v) - D, 0) / sum + g_u P_c(v)
-    P_c(v)   = (1 - b) max(c_c(v) - D, 0) / sum + b P_c(beginning of v) P_shared(v | beginning)
-
-Between a word and the shared counts stand the word's beginnings (7, then
-5 bytes), in the same way, which lets inflected forms of one stem support each
-other.
-
-Counting is a Spark aggregate over word pairs (hashed to 62 bits) of all
-labelled rows, each pair once per document and each text once however many
-copies it has. All counted words, beginnings and pairs score. The frequent ones
-are broadcast, in slot tables whose size follows the counted number up to
-``SLOT_BITS``: of the words (beginnings and pairs) that fall into one slot, it
-keeps the most frequent. For the others, each text's distinct keys are joined
-with the counted tables; a broadcast bitmap spares the join most keys that no
-table holds. Neither size changes a score.
-
-Per text the log ratios of its words give length-normalised figures (the mean
-over the text, with and without contexts, and the largest mean over a window)
-and the two largest single ratios. A logistic function, fitted on held-back
-labelled rows, makes them a probability.
+length-normalised log-likelihood. They are interpolated Kneser-Ney models over
+the bytes of words (``ORDER`` bytes with the word's borders): a text's
+likelihood is that of its words, and an expression that was rarely or never
+seen is judged by the parts it shares with others, as inflected forms do.
+
+With h the bytes before x and h' the same without the first,
+
+    P_c(x|h) = (1 - g_h) max(c_c(hx) - D, 0) / sum over x + g_h P_c(x|h')
+    g_h      = D * kinds(h) / count(h)
+
+The highest order counts texts (of each distinct word, how many texts of the
+class have it), lower orders count continuations (in how many different
+contexts the class shows the bytes), the lowest order those of both classes
+together. The discount of each order follows from its counts of counts,
+D = n1 / (n1 + 2 n2). Backoff is *shared*: the weights g come from both classes'
+counts, and a class that never saw h uses both classes' counts after h. So where
+neither class has counted hx, both probabilities are g_h times the shorter ones,
+g_h cancels, and the log ratio of x is that of the longest counted end of hx.
+One number per counted expression is the whole model.
+
+Counting is a Spark aggregate over distinct words of all labelled texts, each
+text once however many copies it has; all expressions counted there score. Their
+numbers (12 bytes each) are broadcast below a checked size; beyond it the words
+of all texts are joined with them. Log ratios are fixed-point integers, so sums
+are the same in any order and both ways give the same scores.
+
+Per text the words' ratios give a few figures: their mean over the text (the
+length-normalised log-likelihood ratio), the largest, and how much stands above
+some levels. A logistic function makes them a probability. It is fitted on
+figures of all labelled texts, each from a model that has not counted the text's
+third of the labels.
 """
 
 from __future__ import annotations
 
-import zlib
+from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StructType
 
-from .common import crc_of_id, free_name, learns, reliable, shared_folder, table, with_text_columns
+from .common import free_name, learns, reliable, table, with_text_columns
 
-BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-SEGMENT = 1 << 18  # bytes hashed at once
 #: ASCII letters and bytes of other scripts are word characters; the rest separates.
 WORD_BYTES = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
-START = (1 << 31) - 1  # the context of a text's first word
-BEGINNINGS = (7, 5)  # bytes
-LEVELS = tuple(START - 1 - i for i in range(len(BEGINNINGS)))  # contexts that mark beginnings
-DISCOUNT = 1.0  # what occurs in a single text of a class is no evidence for the class
-WINDOW = 16
-MOST = 12.0  # of a single word's log ratio: beyond it, more counts are no more evidence
-FIGURES = ("mean", "window", "mean_alone", "largest", "second")
-BROADCAST_BYTES = 32 << 20
-SLOT_BITS = {"words": 19, "grams": 21}  # most: 64 and 24 bytes a slot
-NO_KEY = np.iinfo(np.int64).min
-BITMAP_BITS = (16, 28)  # least and most: 16 bits a key in between
-COLUMNS = ["cont", "c0", "c1", "s0", "s1", "k0", "k1"]
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    """Scrambles 64-bit numbers one to one."""
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return x ^ (x >> np.uint64(32))
-
-
-def slot(keys: np.ndarray, bits: int) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return (mix(keys.astype(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
-
-
-def bits_of(slots: np.ndarray) -> int:
-    return len(slots).bit_length() - 1
-
-
-def distinct_rows(lists: pa.ListArray) -> np.ndarray:
-    """The distinct structs (key first) of a column of lists, sorted by key."""
-    rows = np.column_stack([c.to_numpy(zero_copy_only=False) for c in lists.flatten().flatten()]).astype(np.int64)
-    return rows[np.unique(rows[:, 0], return_index=True)[1]]
-
-
-class Hasher:
-    """Hashes all words of a list of texts with array operations."""
-
-    def __init__(self) -> None:
-        self.powers = self.inverses = np.ones(1, np.uint64)
-
-    def grow(self, n: int) -> None:
-        if len(self.powers) <= n:
-            inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
-            with np.errstate(over="ignore"):
-                self.powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, BASE)]), dtype=np.uint64)
-                self.inverses = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, inverse)]), dtype=np.uint64)
-
-    def segment(self, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """(31-bit ids of the words and of their beginnings as columns, byte offsets of the words) of one segment."""
-        chars = np.frombuffer(raw, np.uint8)
-        inside = np.concatenate([[False], chars != 32, [False]])
-        edges = np.flatnonzero(inside[1:] != inside[:-1])
-        starts, ends = edges[::2], edges[1::2]
-        self.grow(len(raw))
-        with np.errstate(over="ignore"):
-            sums = np.concatenate([[np.uint64(0)], np.cumsum((chars.astype(np.uint64) + np.uint64(1)) * self.powers[: len(raw)], dtype=np.uint64)])
-            tops = [ends, *(np.minimum(starts + n, ends) for n in BEGINNINGS)]
-            hashes = mix(np.column_stack([(sums[top] - sums[starts]) * self.inverses[starts] for top in tops]))
-        return (hashes >> np.uint64(33)).astype(np.int64) % LEVELS[-1], starts
-
-    def words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of words and beginnings, index of their text), in order. A segment ends between words, so none is cut."""
-        ids, owners, pending, begins, size = [], [], [], [], 0
-
-        def flush() -> None:
-            nonlocal pending, begins, size
-            if pending:
-                found, at = self.segment(b" ".join(pending))
-                where, who = zip(*begins, strict=True)
-                ids.append(found)
-                owners.append(np.array(who)[np.searchsorted(where, at, "right") - 1])
-            pending, begins, size = [], [], 0
-
-        for i, text in enumerate(texts):
-            raw, at = text.lower().encode().translate(WORD_BYTES), 0
-            while at < len(raw):
-                end = len(raw) if len(raw) - at <= SEGMENT else raw.find(b" ", at + SEGMENT)
-                piece = raw[at : end if end > 0 else len(raw)]
-                at += len(piece)
-                begins.append((size, i))
-                pending.append(piece)
-                size += len(piece) + 1
-                if size > SEGMENT:
-                    flush()
-        flush()
-        if not ids:
-            return np.empty((0, 1 + len(BEGINNINGS)), np.int64), np.empty(0, np.int64)
-        return np.concatenate(ids), np.concatenate(owners)
-
-
-def pairs(ids: np.ndarray, owners: np.ndarray) -> np.ndarray:
-    """Columns of pairs (context << 31 | word): the word after its neighbour, then its
-    beginnings, each after the mark of its level. A text's first word has the context START."""
-    before = np.concatenate([[START], ids[:-1, 0]])
-    before[np.concatenate([[True], owners[1:] != owners[:-1]])] = START
-    return np.column_stack([before, *(np.full(len(ids), level) for level in LEVELS)]) << 31 | ids
-
-
-class Model:
-    """The two models: their totals, slot tables of the frequent keys, and a bitmap of all keys.
-
-    A word's key is the complement of its id, which tells it from a pair.
-    """
-
-    def __init__(self, words: np.ndarray, grams: np.ndarray, totals: dict[str, float], bits: tuple[int, int], bitmap: np.ndarray):
-        # words: key, cont, c0, c1, context total and kinds per class; grams: pair, c0, c1
-        self.totals, self.bitmap = totals, bitmap
-        self.word_ids, self.word_counts = np.full(1 << bits[0], NO_KEY, np.int64), np.zeros((1 << bits[0], 7))
-        at = slot(words[:, 0], bits[0])
-        self.word_ids[at], self.word_counts[at] = words[:, 0], words[:, 1:]
-        self.gram_ids, self.gram_counts = np.full(1 << bits[1], NO_KEY, np.int64), np.zeros((1 << bits[1], 2))
-        at = slot(grams[:, 0], bits[1])
-        self.gram_ids[at], self.gram_counts[at] = grams[:, 0], grams[:, 1:]
-
-    def __getstate__(self) -> dict:
-        """Arrays go out compressed: every executor keeps a file of the broadcast."""
-        return {k: (v.dtype.str, v.shape, zlib.compress(v.tobytes(), 1)) if isinstance(v, np.ndarray) else v for k, v in self.__dict__.items()}
-
-    def __setstate__(self, state: dict) -> None:
-        for k, v in state.items():
-            setattr(self, k, np.frombuffer(zlib.decompress(v[2]), v[0]).reshape(v[1]) if isinstance(v, tuple) else v)
-
-    def look(self, ids: np.ndarray, counts: np.ndarray, keys: np.ndarray, found: np.ndarray | None) -> np.ndarray:
-        """The counts of keys; ``found`` holds rows of those that the slots lack, sorted by key."""
-        at = slot(keys, bits_of(ids))
-        out = np.where((ids[at] == keys)[:, None], counts[at], 0.0)
-        if found is not None and len(found):
-            at = np.minimum(np.searchsorted(found[:, 0], keys), len(found) - 1)
-            hit = np.flatnonzero(found[at, 0] == keys)
-            out[hit] = found[at[hit], 1:]
+#: Bytes of the longest and of the shortest expression that tells the classes apart.
+ORDER, LEAST = 5, 3
+FOLDS = 3
+UNIT = 1 << 16  # of a log ratio
+MOST = 12 * UNIT  # of a word's log ratio: beyond it, more counts are no more evidence
+#: Levels of a word's log ratio above which its excess is added up.
+LEVELS = (UNIT, 2 * UNIT, 3 * UNIT)
+SUMS = ("total", "n", "top", "kinds", *(f"above{i}" for i in range(len(LEVELS))))
+#: Most bytes of expressions that are broadcast, and of small label tables.
+BROADCAST_BYTES = 64 << 20
+CHARS_AT_ONCE = 1 << 20
+WORDS_KEPT = 1 << 19
+#: Most texts of a class that the logistic function is fitted on: those of least hash.
+SAMPLE = 20_000
+
+
+def words_of(text: str) -> list[bytes]:
+    return text.lower().encode().translate(WORD_BYTES).split()
+
+
+def windows(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The last ORDER bytes at every byte of the words and at the border behind each, as numbers; and the word's place."""
+    pad = b" " * (ORDER - 1)
+    chars = np.frombuffer(b"".join([pad + w + b" " for w in words]), np.uint8).astype(np.int64)
+    lengths = np.array([len(w) + 1 for w in words], np.int64)
+    keys = np.zeros(len(chars), np.int64)
+    for back in range(ORDER):
+        keys[ORDER - 1 :] |= chars[ORDER - 1 - back : len(chars) - back] << (8 * back)
+    inside = np.ones(len(chars), bool)
+    starts = np.cumsum(lengths + ORDER - 1) - lengths
+    inside[(starts[:, None] - np.arange(1, ORDER)).ravel()] = False
+    return keys[inside], np.repeat(np.arange(len(words)), lengths)
+
+
+def tagged(keys: np.ndarray | Column, level: int) -> np.ndarray | Column:
+    """An expression of ``level`` bytes as one number, its length in front."""
+    if isinstance(keys, Column):
+        return keys.bitwiseOR(F.lit(level << 8 * ORDER))
+    return keys | (level << 8 * ORDER)
+
+
+class Ratios:
+    """Log ratios of words from the sorted expressions and their ratios; remembers words."""
+
+    def __init__(self, keys: np.ndarray, ratios: np.ndarray):
+        self.keys, self.ratios, self.known = keys, ratios, {}
+
+    def learn(self, words: list[bytes]) -> None:
+        keys, of = windows(words)
+        out, open_ones = np.zeros(len(keys), np.int64), np.arange(len(keys))
+        for level in range(ORDER, LEAST - 1, -1):  # the longest counted end decides
+            wanted = tagged(keys[open_ones] & ((1 << 8 * level) - 1), level)
+            at = np.minimum(np.searchsorted(self.keys, wanted), max(len(self.keys) - 1, 0))
+            hit = self.keys[at] == wanted if len(self.keys) else np.zeros(len(wanted), bool)
+            out[open_ones[hit]] = self.ratios[at[hit]]
+            open_ones = open_ones[~hit]
+        sums = np.zeros(len(words), np.int64)
+        np.add.at(sums, of, out)
+        self.known.update(zip(words, np.clip(sums, -MOST, MOST).tolist(), strict=True))
+
+    def sums(self, texts: list[str]) -> np.ndarray:
+        """Per text the columns of ``SUMS``; zeros without words."""
+        out = np.zeros((len(texts), len(SUMS)), np.int64)
+        start = 0
+        while start < len(texts):
+            end, size = start, 0
+            while end < len(texts) and (end == start or size + len(texts[end]) <= CHARS_AT_ONCE):
+                size += len(texts[end])
+                end += 1
+            counts = [Counter(words_of(t)) for t in texts[start:end]]
+            new = set(chain.from_iterable(counts)) - self.known.keys()
+            if new:
+                self.learn(sorted(new))
+            for i, words in enumerate(counts, start):
+                if words:
+                    r = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+                    times = np.fromiter(words.values(), np.int64, len(words))
+                    above = [np.maximum(r - level, 0).sum() for level in LEVELS]
+                    out[i] = [(r * times).sum(), times.sum(), r.max(), len(r), *above]
+            if len(self.known) > WORDS_KEPT:
+                self.known = {}
+            start = end
         return out
 
-    def lacking(self, grams: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The distinct (owner, key) that the slots lack and the bitmap does not rule out."""
-        asked = []
-        for ids, keys in (
-            *((self.gram_ids, grams[:, k]) for k in range(grams.shape[1])),
-            (self.word_ids, ~(grams[:, 0] & START)), (self.word_ids, ~(grams[:, 0] >> 31)),
-        ):
-            lacks = np.flatnonzero(ids[slot(keys, bits_of(ids))] != keys)
-            at = slot(keys[lacks], bits_of(self.bitmap) + 6)
-            may = (self.bitmap[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) != 0
-            asked.append((owners[lacks[may]], keys[lacks[may]]))
-        who, keys = (np.concatenate(c) for c in zip(*asked, strict=True))
-        order = np.lexsort((keys, who))
-        who, keys = who[order], keys[order]
-        once = np.ones(len(keys), bool)
-        once[1:] = (keys[1:] != keys[:-1]) | (who[1:] != who[:-1])
-        return who[once], keys[once]
-
-    def ratios(self, grams: np.ndarray, words: np.ndarray | None, found: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-        """log P_toxic - log P_ordinary of each word, given the word before and alone."""
-        t = self.totals
-        word = self.look(self.word_ids, self.word_counts, ~(grams[:, 0] & START), words)
-        context = self.look(self.word_ids, self.word_counts, ~(grams[:, 0] >> 31), words)
-        pair = self.look(self.gram_ids, self.gram_counts, grams[:, 0], found)
-        chance = [None, None]  # per class, of the beginning so far
-        general = None  # the same for both classes together
-        for k in range(len(LEVELS), -1, -1):
-            name, counts = (f"level{k - 1}_", self.look(self.gram_ids, self.gram_counts, grams[:, k], found)) if k else ("", word[:, 1:3])
-            rows = t[name + "sum0"] + t[name + "sum1"]
-            weight = min(max(DISCOUNT * (t[name + "kinds0"] + t[name + "kinds1"]) / max(rows, 1), 1e-6), 1.0)
-            number = word[:, 0] if not k else counts.sum(1)
-            shared = (number + 0.5) / ((t["pairs"] if not k else rows) + 0.5 * t[name + "kinds"] + 1)
-            below = shared if general is None else np.minimum(shared / general, 1.0)
-            for c in (0, 1):
-                mass = max(t[f"{name}sum{c}"] - DISCOUNT * t[f"{name}kinds{c}"], 1.0)
-                lower = below if chance[c] is None else chance[c] * below
-                chance[c] = (1 - weight) * np.maximum(counts[:, c] - DISCOUNT, 0) / mass + weight * lower
-            general = shared
-        seen, kinds = context[:, 3] + context[:, 4], context[:, 5] + context[:, 6]
-        backoff = np.where(seen > 0, DISCOUNT * kinds / np.maximum(seen, 1), 1.0)
-        logs = []
-        for c in (0, 1):
-            left = context[:, 3 + c] - DISCOUNT * context[:, 5 + c]
-            two = np.where(left > 0, np.maximum(pair[:, c] - DISCOUNT, 0) / np.maximum(left, 1e-9), chance[c])
-            logs.append(np.log((1 - backoff) * two + backoff * chance[c]))
-        alone = np.log(chance[1]) - np.log(chance[0])
-        return np.clip(logs[1] - logs[0], -MOST, MOST), np.clip(alone, -MOST, MOST)
-
-    def figures(self, texts: list[str], hasher: Hasher, found: pa.StructArray | None = None) -> np.ndarray:
-        """Per text the columns of ``FIGURES``; zeros without words. ``found``: what the tables gave for the texts."""
-        out = np.zeros((len(texts), len(FIGURES)))
-        ids, owners = hasher.words(texts)
-        if not len(ids):
-            return out
-        # counts are the same in every text, so those found for any of the texts serve all
-        paired, alone = self.ratios(pairs(ids, owners), *(distinct_rows(c) for c in found.flatten()) if found is not None else (None, None))
-        begin = np.searchsorted(owners, np.arange(len(texts)))
-        number = np.diff(np.append(begin, len(ids)))
-        some = np.flatnonzero(number)
-        first = begin[some]
-        sums = np.concatenate([[0.0], np.cumsum(paired)])
-        out[some, 0] = np.add.reduceat(paired, first) / number[some]
-        # a window ends at each word and begins at most WINDOW words before, within its text
-        at = np.arange(len(ids))
-        low = np.maximum(at + 1 - WINDOW, begin[owners])
-        out[some, 1] = np.maximum.reduceat((sums[at + 1] - sums[low]) / WINDOW, first)
-        out[some, 2] = np.add.reduceat(alone, first) / number[some]
-        out[some, 3] = np.maximum.reduceat(alone, first)
-        # the second largest: without the first place that holds the largest
-        is_top = np.flatnonzero(alone == out[owners, 3])
-        top_owner = owners[is_top]
-        top = is_top[np.concatenate([[True], top_owner[1:] != top_owner[:-1]])]
-        rest = alone.copy()
-        rest[top] = -np.inf
-        out[some, 4] = np.maximum(np.maximum.reduceat(rest, first), 0.0)
-        return np.round(out, 6)  # running sums over a batch must not tell which texts were in it
+
+def figures(sums: np.ndarray) -> np.ndarray:
+    """Figures of the texts' sums (columns of ``SUMS``) that the logistic function takes."""
+    total, n, top, kinds, *above = sums.T / np.where(np.isin(SUMS, ("n", "kinds")), 1, UNIT)[:, None]
+    return np.column_stack([
+        total / np.maximum(n, 1), top, np.log1p(above[0]), np.log1p(above[2]), above[1] / np.maximum(kinds, 1),
+    ])
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.1) -> np.ndarray:
@@ -287,215 +173,237 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.1) -> np.ndarr
     return np.append(weights, w[-1] - weights @ mean)
 
 
-def count_pairs(labelled: DataFrame, text: str) -> DataFrame:
-    """(pair, c0, c1): in how many labelled texts of each class every word pair occurs."""
+def count_expressions(labelled: DataFrame) -> DataFrame:
+    """(key, fold, c0, c1): of each class's words, in how many texts, every window of ORDER bytes occurs.
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher()
+    ``labelled`` has the columns text, label (0 or 1) and fold, a row per distinct text.
+    """
+
+    def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                ids, owners = hasher.words([t or "" for t in part.column(0).to_pylist()])
-                if not len(ids):
-                    continue
-                grams = pairs(ids, owners)
-                grams, owners = grams.ravel(), np.repeat(owners, grams.shape[1])
-                order = np.lexsort((grams, owners))
-                grams, owners = grams[order], owners[order]
-                once = np.concatenate([[True], (grams[1:] != grams[:-1]) | (owners[1:] != owners[:-1])])
-                toxic = part.column(1).to_numpy(zero_copy_only=False)[owners[once]]
-                kinds, where = np.unique(grams[once], return_inverse=True)
-                c1 = np.bincount(where, toxic).astype(np.int64)
+            counts = {}
+            for text, label, fold in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for w in set(words_of(text or "")):
+                    counts.setdefault((w, fold), [0, 0])[label] += 1
+            if counts:
+                words, folds = zip(*counts, strict=True)
+                c0, c1 = zip(*counts.values(), strict=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(kinds), pa.array(np.bincount(where) - c1), pa.array(c1)], ["pair", "c0", "c1"]
+                    [pa.array(words, pa.binary()), pa.array(folds, pa.int64()), pa.array(c0, pa.int64()), pa.array(c1, pa.int64())],
+                    names=["word", "fold", "c0", "c1"],
                 )
 
-    return (
-        labelled.select(text, "label").mapInArrow(count, "pair long, c0 long, c1 long")
-        .groupBy("pair").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
-    )
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys, of = windows(batch.column(0).to_pylist())
+            fold, c0, c1 = (c.to_numpy()[of] for c in batch.columns[1:])
+            kinds, at = np.unique(keys * FOLDS + fold, return_inverse=True)
+            sums = [np.bincount(at, c).astype(np.int64) for c in (c0, c1)]
+            columns = [kinds // FOLDS, kinds % FOLDS, *sums]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "fold", "c0", "c1"])
+
+    totals = [F.sum("c0").alias("c0"), F.sum("c1").alias("c1")]
+    words = labelled.select("text", "label", "fold").mapInArrow(count_words, "word binary, fold long, c0 long, c1 long")
+    words = words.groupBy("word", "fold").agg(*totals)
+    return words.mapInArrow(spread, "key long, fold long, c0 long, c1 long").groupBy("key", "fold").agg(*totals)
+
+
+def log_ratios(counts: DataFrame) -> DataFrame:
+    """(variant, key, ratio) of all expressions of LEAST to ORDER bytes.
+
+    ``counts`` has a row (variant, key, c0, c1) per window. Expressions with the
+    same context are at most as many as there are bytes, and so are those with
+    the same end, so no group or join key is large.
+    """
+    level_rows = {ORDER: counts.where("c0 + c1 > 0")}
+    for level in range(ORDER - 1, LEAST - 2, -1):
+        end = F.col("key").bitwiseAND(F.lit((1 << 8 * level) - 1))
+        above = level_rows[level + 1]
+        level_rows[level] = above.groupBy("variant", end.alias("key")).agg(
+            F.count_if(F.col("c0") > 0).alias("c0"), F.count_if(F.col("c1") > 0).alias("c1")
+        )
+    context = Window.partitionBy("variant", F.shiftright("key", 8))
+    both = F.col("c0") + F.col("c1")
+    chances = level_rows[LEAST - 1].select(
+        "variant", F.col("key").alias("end"), (both / F.sum(both).over(context)).alias("q0")
+    ).withColumn("q1", F.col("q0"))
+    out = None
+    for level in range(LEAST, ORDER + 1):
+        rows = level_rows[level]
+        # counts of counts: one row a variant
+        seen = rows.groupBy("variant").agg(F.count_if(both == 1).alias("n1"), F.count_if(both == 2).alias("n2"))
+        discount = F.greatest(F.lit(0.05), F.least(F.lit(0.95), F.coalesce(F.expr("try_divide(n1, n1 + 2 * n2)"), F.lit(0.5))))
+        sized = rows.join(F.broadcast(seen.select("variant", discount.alias("d"))), "variant")
+        less = {c: F.greatest(v - F.col("d"), F.lit(0.0)) for c, v in (("0", F.col("c0")), ("1", F.col("c1")), ("b", both))}
+        sums = sized.select(
+            "variant", "key", F.col("key").bitwiseAND(F.lit((1 << 8 * (level - 1)) - 1)).alias("end"),
+            *[v.alias(f"a{c}") for c, v in less.items()], *[F.sum(v).over(context).alias(f"s{c}") for c, v in less.items()],
+            F.least(F.lit(1.0), F.greatest(F.lit(1e-6), F.col("d") * F.count(F.lit(1)).over(context) / F.sum(both).over(context))).alias("g"),
+        )
+        joined = sums.join(chances, ["variant", "end"])
+        chance = {}
+        for c in "01":
+            two = (
+                F.when(F.col(f"s{c}") > 0, F.col(f"a{c}") / F.col(f"s{c}"))
+                .when(F.col("sb") > 0, F.col("ab") / F.col("sb"))
+                .otherwise(F.col(f"q{c}"))
+            )
+            chance[c] = (1 - F.col("g")) * two + F.col("g") * F.col(f"q{c}")
+        found = reliable(joined.select("variant", "key", chance["0"].alias("p0"), chance["1"].alias("p1")))
+        chances = found.select("variant", F.col("key").alias("end"), F.col("p0").alias("q0"), F.col("p1").alias("q1"))
+        ratio = F.round((F.log("p1") - F.log("p0")) * UNIT).cast("int")
+        part = found.select("variant", tagged(F.col("key"), level).alias("key"), ratio.alias("ratio"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder, in a quarter of the bytes of a checkpoint."""
-    path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def packed(df: DataFrame, variant: int) -> tuple[np.ndarray, np.ndarray]:
+    """A variant's expressions, sorted, and their ratios, as arrays on the driver."""
+    rows = df.where(F.col("variant") == variant).select("key", "ratio").toArrow()
+    keys, ratios = rows.column(0).to_numpy(), rows.column(1).to_numpy()
+    order = np.argsort(keys)
+    return keys[order], ratios[order]
 
 
-def packed(df: DataFrame) -> np.ndarray:
-    """The rows of a small table of longs, sent to the driver as bytes."""
-    width = len(df.columns)
+def joined_sums(df: DataFrame, text: str, ratios: DataFrame) -> DataFrame:
+    """(_hash, the columns of ``SUMS``) of every text that has words, by joins with the expressions (key, ratio)."""
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = np.column_stack([c.to_numpy().astype(np.int64) for c in batch.columns])
-            yield pa.RecordBatch.from_arrays([pa.array([rows.tobytes()], pa.binary())], ["rows"])
-
-    parts = [np.frombuffer(r["rows"], np.int64) for r in df.mapInArrow(pack, "rows binary").toLocalIterator()]
-    return np.concatenate([np.empty(0, np.int64), *parts]).reshape(-1, width)
-
-
-def bitmap_of(keys: DataFrame, number: int) -> np.ndarray:
-    """A bitmap of hashed keys, as 64-bit words."""
-    bits = min(max((16 * number).bit_length(), BITMAP_BITS[0]), BITMAP_BITS[1])
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for text, name in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found = Counter(words_of(text or ""))
+                if found:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([name] * len(found)), pa.array(found, pa.binary()), pa.array(found.values(), pa.int64())],
+                        names=["_hash", "word", "times"],
+                    )
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = np.sort(slot(batch.column(0).to_numpy(), bits))
-            if len(at):
-                words, first = np.unique(at >> 6, return_index=True)
-                marks = np.bitwise_or.reduceat(np.uint64(1) << (at & 63).astype(np.uint64), first)
-                yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(marks.view(np.int64))], ["word", "marks"])
-
-    rows = packed(keys.mapInArrow(mark, "word long, marks long").groupBy("word").agg(F.bit_or("marks").alias("marks")))
-    out = np.zeros(1 << (bits - 6), np.uint64)
-    out[rows[:, 0]] = rows[:, 1].astype(np.uint64)
-    return out
-
-
-def fit(labelled: DataFrame, text: str, bits: int | None) -> tuple[Model, DataFrame | None]:
-    """Both models from labelled texts, and the table (_key, counts) of all keys; None if the slots hold them all."""
-    counted = stored(count_pairs(labelled, text), "pairs")
-    word, context = F.col("pair").bitwiseAND(START), F.shiftright("pair", 31)
-    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
-    roles = F.explode(F.array(
-        F.struct(word.alias("id"), one.alias("cont"), "c0", "c1", zero.alias("s0"), zero.alias("s1"), zero.alias("k0"), zero.alias("k1")),
-        F.struct(context.alias("id"), zero.alias("cont"), zero.alias("c0"), zero.alias("c1"), F.col("c0").alias("s0"),
-                 F.col("c1").alias("s1"), (F.col("c0") > 0).cast("long").alias("k0"), (F.col("c1") > 0).cast("long").alias("k1")),
-    )).alias("r")
-    is_word = ~context.isin(*LEVELS)
-    words = stored(counted.where(is_word).select(roles).select("r.*").groupBy("id").agg(*[F.sum(c).alias(c) for c in COLUMNS]), "words")
-    totals = words.agg(
-        F.sum("cont").alias("pairs"), F.count(F.when(F.col("cont") > 0, 1)).alias("kinds"), F.sum("c0").alias("sum0"),
-        F.sum("c1").alias("sum1"), F.count(F.when(F.col("c0") > 0, 1)).alias("kinds0"), F.count(F.when(F.col("c1") > 0, 1)).alias("kinds1"),
-    ).first().asDict()
-    for k, level in enumerate(LEVELS):
-        name = f"level{k}_"
-        totals |= counted.where(context == level).agg(
-            F.sum("c0").alias(name + "sum0"), F.sum("c1").alias(name + "sum1"), F.count(F.lit(1)).alias(name + "kinds"),
-            F.count(F.when(F.col("c0") > 0, 1)).alias(name + "kinds0"), F.count(F.when(F.col("c1") > 0, 1)).alias(name + "kinds1"),
-        ).first().asDict()
-    totals = {k: float(v or 0) for k, v in totals.items()}
-    rarity = {c: 1 / max(totals[f"sum{c}"], 1.0) for c in (0, 1)}
-
-    def slots(df: DataFrame, wanted: list[str], bits: int) -> np.ndarray:
-        """The most frequent key of every slot, frequencies relative to the class."""
-
-        def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                at = slot(batch.column(0).to_numpy(), bits)
-                yield pa.RecordBatch.from_arrays([pa.array(at), *batch.columns], ["slot", "_key", *wanted])
-
-        weight = sum(F.greatest(*[F.col(n) for n in (f"c{c}", f"s{c}") if n in wanted], F.lit(0)) * rarity[c] for c in (0, 1))
-        placed = df.select("_key", *wanted).mapInArrow(place, "slot long, " + ", ".join(f"{c} long" for c in ["_key", *wanted]))
-        best = placed.groupBy("slot").agg(F.max(F.struct(weight.alias("w"), "_key", *wanted)).alias("b"))
-        return packed(best.select(*[f"b.{c}" for c in ["_key", *wanted]]))
-
-    by_word = words.select(F.bitwise_not("id").alias("_key"), *COLUMNS)
-    # a pair whose counts the discount takes whole adds nothing to any score
-    grams = counted.where(context.isin(*LEVELS) | (F.greatest("c0", "c1") > DISCOUNT)).select(F.col("pair").alias("_key"), "c0", "c1")
-    number = {"words": by_word.count(), "grams": grams.count()}
-    sizes = tuple(min((2 * n).bit_length(), SLOT_BITS[name]) if bits is None else bits for name, n in number.items())
-    frequent = slots(by_word, COLUMNS, sizes[0]), slots(grams, ["c0", "c1"], sizes[1])
-    keys = by_word.select("_key").union(grams.select("_key"))
-    model = Model(*frequent, totals, sizes, bitmap_of(keys, sum(number.values())))
-    if [*number.values()] == [*map(len, frequent)]:
-        return model, None
-    return model, by_word.select("_key", F.lit(0).cast("long").alias("c0"), F.lit(0).cast("long").alias("c1"), F.struct(*COLUMNS).alias("w")).union(
-        grams.select("_key", "c0", "c1", F.lit(None).cast("struct<" + ",".join(f"{c}:bigint" for c in COLUMNS) + ">"))
-    )
-
-
-def with_model(
-    df: DataFrame, text: str, model: Broadcast, counts: DataFrame | None, outputs: StructType,
+            found = batch.column(0).to_pylist()
+            if found:
+                windowed, of = windows(found)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(of)), pa.array(windowed)], names=["word", "window"])
+
+    # copies of a text say the same
+    rows = df.select(text, F.xxhash64(text)).mapInArrow(words, "_hash long, word binary, times long")
+    rows = reliable(rows.groupBy("_hash", "word").agg(F.max("times").alias("times")))
+    spelled = rows.select("word").distinct().mapInArrow(keys, "word binary, window long")
+    # each window once: the longest counted end decides
+    ends = spelled.select("window").distinct().select("window", F.explode(F.array(*[
+        F.struct(F.lit(n).alias("level"), tagged(F.col("window").bitwiseAND(F.lit((1 << 8 * n) - 1)), n).alias("key"))
+        for n in range(LEAST, ORDER + 1)
+    ])).alias("e")).select("window", "e.level", "e.key")
+    best = ends.join(ratios, "key").groupBy("window").agg(F.max_by("ratio", "level").alias("ratio"))
+    of_word = spelled.join(best, "window", "left").groupBy("word").agg(F.coalesce(F.sum("ratio"), F.lit(0)).alias("r"))
+    of_word = of_word.withColumn("r", F.greatest(F.lit(-MOST), F.least(F.lit(MOST), F.col("r"))))
+    r = F.col("r")
+    return rows.join(of_word, "word").groupBy("_hash").agg(
+        F.sum(r * F.col("times")).alias("total"), F.sum("times").alias("n"), F.max("r").alias("top"), F.count(F.lit(1)).alias("kinds"),
+        *[F.sum(F.greatest(r - level, F.lit(0))).alias(f"above{i}") for i, level in enumerate(LEVELS)],
+    )
+
+
+def with_sums(
+    df: DataFrame, text: str, ratios: DataFrame, sent: Broadcast | None, outputs: StructType,
     work: Callable[[np.ndarray], list], keep: list[str] | None,
 ) -> DataFrame:
-    """``df`` with columns that ``work`` computes from the figures of its texts.
-
-    What the slots lack comes from ``counts`` by a join on the texts' distinct
-    keys; a text is known by its hash, and counts serve any text.
-    """
+    """``df`` with columns that ``work`` computes from the sums of its texts."""
+    if sent is not None:
+        def make() -> Callable[[list[str]], list]:
+            known = Ratios(*sent.value)
+            return lambda texts: work(known.sums(texts))
 
-    def make() -> Callable[..., list]:
-        hasher = Hasher()
-        return lambda texts, *found: work(model.value.figures(texts, hasher, *found))
-
-    if counts is None:
         return with_text_columns(df, text, outputs, make, keep)
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher()
+    names = df.columns if keep is None else keep
+    mark = free_name(df, "_hash")
+    found = joined_sums(df, text, ratios).withColumnRenamed("_hash", mark)
+    rows = df.select(*[F.col(f"`{c}`") for c in names], F.xxhash64(text).alias(mark)).join(found, mark, "left")
+    new = {f.name.lower() for f in outputs}
+    kept = [f for f in df.select(*[F.col(f"`{c}`") for c in names]).schema if f.name.lower() not in new]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                ids, owners = hasher.words([t or "" for t in part.column(1).to_pylist()])
-                if len(ids):
-                    asked = model.value.lacking(pairs(ids, owners), part.column(0).to_numpy()[owners])
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in asked], ["_owner", "_key"])
-
-    asked = df.select(F.xxhash64(text), text).mapInArrow(ask, "_owner long, _key long")
-    is_word = F.col("_key") < 0
-    owner, beside = free_name(df, "_owner"), free_name(df, "_found")
-    found = asked.join(counts, "_key").groupBy(F.col("_owner").alias(owner)).agg(F.struct(
-        F.collect_set(F.when(is_word, F.struct("_key", "w.*"))).alias("words"),
-        F.collect_set(F.when(~is_word, F.struct("_key", "c0", "c1"))).alias("grams"),
-    ).alias(beside))
-    joined = df.withColumn(owner, F.xxhash64(text)).join(found, owner, "left")
-    return with_text_columns(joined, text, outputs, make, df.columns if keep is None else keep, beside=beside)
+            sums = np.column_stack([c.fill_null(0).to_numpy() for c in batch.columns[len(kept) :]]).astype(np.int64)
+            made = [pa.array(c) for c in work(sums.reshape(-1, len(SUMS)))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *made], names=[*(f.name for f in kept), *outputs.names])
+
+    return rows.select(*[F.col(f"`{f.name}`") for f in kept], *SUMS).mapInArrow(run, StructType([*kept, *outputs]))
 
 
 def score_toxicity(
-    df: DataFrame,
-    labels: DataFrame,
-    key: str = "doc_id",
-    text: str = "text",
-    label: str = "toxic",
-    bits: int | None = None,
-    keep: list[str] | None = None,
+    df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
+    keep: list[str] | None = None, broadcast_bytes: int = BROADCAST_BYTES, sample: int = SAMPLE,
 ) -> DataFrame:
     """The columns ``keep`` of ``df`` (all if None) with ``score``: the probability of label 1.
 
-    ``bits`` fixes the size of the slot tables, which tells only how much is joined.
-
-    Learns from rows of ``labels`` whose key may be learnt from; an eighth of
-    them calibrates, the others are counted. Labels, language, source and key
-    never enter a score.
+    Learns from rows of ``labels`` whose key may be learnt from: all of them are
+    counted. Labels, language, source and key never enter a score.
+    ``broadcast_bytes`` tells only how the counted expressions get to the texts;
+    ``sample`` bounds the texts of each class that the logistic function is
+    fitted on.
 
     Defined cases: a null or empty text, or one without letters, has no
-    evidence and gets the calibration's constant; null labels and keys are not
-    learnt from; without labels of both classes every score is 0; repeated
-    rows get equal scores; texts are read whole.
-    """
+    evidence and gets the constant of the logistic function; null labels and
+    keys are not learnt from; a text labelled both ways counts in both classes;
+    without labels of both classes every score is 0; repeated rows get equal
+    scores; a column of ``df`` named ``score`` is replaced, others may have any
+    name; texts are read whole; an empty table gives no rows.
+    """
+    outputs = StructType().add("score", DoubleType())
     known = labels.where(learns(F.col(key)) & F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(
         F.col(key).alias("_key"), F.col(label).cast("long").alias("label")
     )
     # one row per text and label, so that copies count once
     texts = df.select(F.col(key).alias("_key"), F.xxhash64(text).alias("_hash"))
     first = reliable(texts.join(known, "_key").groupBy("_hash", "label").agg(F.min("_key").alias("_key")))
-    n = first.count()
-    once = first.select("_key", "label")
-    rows = df.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    # 16 bytes a row: broadcast up to a checked size, joined by shuffle beyond it
-    learnt = rows.join(F.broadcast(once) if n * 16 <= BROADCAST_BYTES else once, "_key")
-    calibrates = F.floor(crc_of_id(F.col("_key")) / 5) % 8 == 0
-    classes = {r["label"]: r["count"] for r in once.where(~calibrates).groupBy("label").count().collect()}
-    outputs = StructType().add("score", DoubleType())
+    classes = {r["label"]: r["count"] for r in first.groupBy("label").count().collect()}
     if len(classes) < 2:
         return with_text_columns(df, text, outputs, lambda: lambda texts: [[0.0] * len(texts)], keep)
-    fitted, counts = fit(learnt.where(~calibrates), "_text", bits)
-    model = df.sparkSession.sparkContext.broadcast(fitted)
-    names = list(FIGURES)
-    shape = StructType([StructField(n, DoubleType()) for n in names])
-    sample = with_model(learnt.where(calibrates), "_text", model, counts, shape, lambda x: [list(c) for c in x.T], ["label"]).toPandas()
-    sample = sample.sort_values(["label", *names])  # the same weights whatever order the rows came in
-    x, y = sample[names].to_numpy(float), sample["label"].to_numpy(float)
-    weights = fit_logistic(x, y)
-
-    def probability(x: np.ndarray) -> list:
-        return [list(1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -30, 30))))]
-
-    return with_model(df, text, model, counts, outputs, probability, keep)
+    # 24 bytes a row: broadcast up to a checked size, joined by shuffle beyond it
+    once = F.broadcast(first) if sum(classes.values()) * 24 <= broadcast_bytes else first
+    own = df.select(F.col(key).alias("_key"), F.col(text).alias("text"), F.xxhash64(text).alias("_hash"))
+    # rows that repeat a key and a text are one
+    learnt = own.join(once, ["_key", "_hash"]).withColumn("fold", F.pmod("_hash", F.lit(FOLDS)))
+    unique = learnt.groupBy("_hash", "label").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    if not unique.isEmpty():
+        learnt = learnt.dropDuplicates(["_hash", "label"])
+    counts = reliable(count_expressions(learnt))
+    # variant FOLDS counts all, variant f leaves fold f out
+    variants = counts.select(
+        "key", F.explode(F.array(*[F.struct(F.lit(v).alias("variant"), F.col("fold").alias("fold"), "c0", "c1") for v in range(FOLDS + 1)])).alias("x")
+    ).select("key", "x.*").where("variant != fold")
+    ratios = reliable(log_ratios(variants.groupBy("variant", "key").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))))
+    sizes = {r["variant"]: r["count"] for r in ratios.groupBy("variant").count().collect()}
+    context = df.sparkSession.sparkContext
+
+    def model(variant: int) -> tuple[DataFrame, Broadcast | None]:
+        mine = ratios.where(F.col("variant") == variant).select("key", "ratio")
+        fits = sizes.get(variant, 0) * 12 <= broadcast_bytes
+        return mine, context.broadcast(packed(ratios, variant)) if fits else None
+
+    shape = StructType()
+    for name in SUMS:
+        shape = shape.add(name, LongType())
+    rank = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64(F.lit("sample"), "_hash"), "_hash"))
+    chosen = learnt
+    if max(classes.values()) > sample:
+        least = first.withColumn("_rank", rank).where(F.col("_rank") <= sample).select("_hash", "label")
+        chosen = learnt.join(F.broadcast(least), ["_hash", "label"], "left_semi")  # 16 bytes for each text of the sample
+    parts = [
+        with_sums(chosen.where(F.col("fold") == f).select("text", "label"), "text", *model(f), shape, lambda sums: list(sums.T), ["label"]).toArrow()
+        for f in range(FOLDS)
+    ]
+    rows = np.column_stack([pa.concat_tables(parts).column(c).to_numpy() for c in ("label", *SUMS)])
+    rows = rows[np.lexsort(rows.T[::-1])]  # the same weights whatever order the rows came in
+    weights = fit_logistic(figures(rows[:, 1:]), rows[:, 0].astype(float))
+
+    def probability(sums: np.ndarray) -> list:
+        return [1 / (1 + np.exp(-np.clip(figures(sums) @ weights[:-1] + weights[-1], -30, 30)))]
+
+    return with_sums(df, text, *model(FOLDS), outputs, probability, keep)
 
 
 def op3_toxicity(spark, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -58,13 +59,12 @@ def test_copies_count_once(spark):
     assert all(abs(a[i] - b[i]) < 1e-9 for i in a)
 
 
-def test_scores_do_not_depend_on_the_number_of_slots(spark):
+def test_scores_do_not_depend_on_how_the_model_reaches_the_texts(spark):
     rows = corpus()
-    extra = [(10_000 + i, r[1] + " " + rows[i + 1][1]) for i, r in enumerate(rows[:50])] + [(20_000, rows[0][1])] * 3
+    extra = [(10_000 + i, r[1] + " " + rows[i + 1][1]) for i, r in enumerate(rows[:50])] + [(20_000, rows[0][1])] * 3 + [(30_000, None), (30_001, "")]
     whole = sorted((r.doc_id, r.score) for r in score(spark, rows, extra).collect())
-    few = sorted((r.doc_id, r.score) for r in score(spark, rows, extra, bits=4).collect())
-    assert len(few) == len(rows) + len(extra) and [i for i, _ in few] == [i for i, _ in whole]
-    assert max(abs(a - b) for (_, a), (_, b) in zip(whole, few, strict=True)) < 1e-9
+    joined = sorted((r.doc_id, r.score) for r in score(spark, rows, extra, broadcast_bytes=0).collect())
+    assert len(joined) == len(rows) + len(extra) and joined == whole
 
 
 def test_odd_texts(spark):
@@ -81,13 +81,67 @@ def test_odd_texts(spark):
     assert toxicity.score_toxicity(docs.limit(0), none).count() == 0
 
 
-def test_hashes_do_not_depend_on_the_batch(monkeypatch):
-    texts = ["Alpha beta gamma.", "", "beta; alpha " * 50, "Ünder wörld"]
-    whole, owners = toxicity.Hasher().words(texts)
-    monkeypatch.setattr(toxicity, "SEGMENT", 40)
-    small, small_owners = toxicity.Hasher().words(texts)
-    assert (whole == small).all() and (owners == small_owners).all()
-    assert whole[1, 0] == whole[3, 0] and whole[0, 0] == whole[4, 0] and len(whole) == 3 + 100 + 2
+def test_sums_do_not_depend_on_the_batch(monkeypatch):
+    keys = np.sort(np.unique(np.concatenate([toxicity.tagged(toxicity.windows([w.encode() for w in WORDS])[0] & ((1 << 8 * n) - 1), n) for n in (3, 4, 5)])))
+    ratios = np.random.default_rng(1).integers(-99_999, 99_999, len(keys))
+    texts = [t for _, t, _ in corpus(40)] + ["", "x" * 50_000, "baln " * 50]
+    whole = toxicity.Ratios(keys, ratios).sums(texts)
+    monkeypatch.setattr(toxicity, "CHARS_AT_ONCE", 300)
+    monkeypatch.setattr(toxicity, "WORDS_KEPT", 5)
+    assert (toxicity.Ratios(keys, ratios).sums(texts) == whole).all()
+    assert (whole[-3] == 0).all() and whole[-1][1] == 50
+
+
+def slow_model(rows):
+    """Kneser-Ney probabilities by the formulas, with dictionaries: expression -> (P_ordinary, P_toxic)."""
+    counts = {}
+    for text, label in rows:
+        for word in set(re.findall(rb"[a-z\x80-\xff]+", text.lower().encode())):
+            padded = b"    " + word + b" "
+            for i in range(5, len(padded) + 1):
+                counts.setdefault(padded[i - 5 : i], [0, 0])[label] += 1
+    levels = {5: counts}
+    for n in (4, 3, 2):
+        levels[n] = {}
+        for gram, c in levels[n + 1].items():
+            lower = levels[n].setdefault(gram[1:], [0, 0])
+            for k in (0, 1):
+                lower[k] += c[k] > 0
+    chance = {g: [sum(c) / sum(sum(d) for h, d in levels[2].items() if h[:-1] == g[:-1])] * 2 for g, c in levels[2].items()}
+    found = {}
+    for n in (3, 4, 5):
+        n1, n2 = (sum(sum(c) == k for c in levels[n].values()) for k in (1, 2))
+        d = min(max(n1 / (n1 + 2 * n2) if n1 + n2 else 0.5, 0.05), 0.95)
+        by_context = {}
+        for g, c in levels[n].items():
+            by_context.setdefault(g[:-1], []).append(c)
+        new = {}
+        for g, c in levels[n].items():
+            after = by_context[g[:-1]]
+            weight = min(max(d * len(after) / sum(map(sum, after)), 1e-6), 1.0)
+            p = []
+            for k in (0, 1):
+                mine = sum(max(x[k] - d, 0) for x in after)
+                pool = sum(max(sum(x) - d, 0) for x in after)
+                own = max(c[k] - d, 0) / mine if mine else max(sum(c) - d, 0) / pool if pool else chance[g[1:]][k]
+                p.append((1 - weight) * own + weight * chance[g[1:]][k])
+            new[g] = p
+        found |= new
+        chance = new
+    return found
+
+
+def test_log_ratios_against_the_formulas(spark):
+    rows = [(t, y) for _, t, y in corpus(60)] + [("Übel übler schön", 1), ("schöne Übung", 0)]
+    df = spark.createDataFrame([(t, y, i % 3) for i, (t, y) in enumerate(rows)], "text string, label long, fold long").repartition(3)
+    counts = toxicity.count_expressions(df).groupBy("key").agg({"c0": "sum", "c1": "sum"}).toDF("key", "c0", "c1")
+    got = {r.key: r.ratio for r in toxicity.log_ratios(counts.selectExpr("3 AS variant", "key", "c0", "c1")).collect()}
+    expected = {}
+    for g, (p0, p1) in slow_model(rows).items():
+        key = len(g) << 40 | int.from_bytes(g, "big")
+        expected[key] = (np.log(p1) - np.log(p0)) * toxicity.UNIT
+    assert got.keys() == expected.keys()
+    assert max(abs(got[k] - expected[k]) for k in got) <= 0.6
 
 
 def test_query_covers_all_documents(spark):
