@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.columns import leading_components, literal_path, uri_raw_path
 from ..session import kept
-from ..sources.footers import READS_AT_ONCE, footer_reader, lake_files
+from ..sources.footers import READS_AT_ONCE, footer_of, lake_files
 from ..sources.lake import LakeTable, metadata_frame
 from .counts import ABSENT
 
@@ -31,11 +31,10 @@ STATE = "file_path string, length long, modified timestamp, n long"
 
 def _count_unknown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (file, known n or null) -> (file, n, fresh); n stays null where Arrow cannot read the file."""
-    footer = footer_reader()
 
     def count(uri: str) -> int | None:
         try:
-            return footer(uri).num_rows
+            return footer_of(uri).num_rows
         except Exception:  # noqa: BLE001 - counted by Spark's reader
             return None
 

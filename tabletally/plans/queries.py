@@ -22,8 +22,9 @@ from ..operators.pairs_json import pairs_to_json
 from ..operators.segments import pairs_to_json_segments as segments
 from ..operators.type_merge import merge_types
 from ..session import scratch_folder
-from ..sources import lake
+from ..sources import lake, lake_catalog
 from ..sources.bucketed import BucketedRegistry
+from ..sources.counted_sink import insert_missing_counted
 from ..sources.model import Source
 from .inventory import inventory_all, lake_inventory
 from .registry import missing_entries, registry_after_load
@@ -185,6 +186,26 @@ def pairs_to_json_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segments(events, ["event_type"], "user_id", "last_event", "event_id", SEGMENT, "user_events")
 
 
+def append_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders after a load that appends what is missing, with the number of rows its tasks reported."""
+    orders = _table(spark, sf_dir, "orders")
+    path = scratch_folder(spark, "orders")
+    orders.where(F.col("o_orderdate") < F.expr(f"TIMESTAMP_NTZ '{ORDERS_KNOWN_BEFORE}'")).write.parquet(path)
+    n = insert_missing_counted(orders, path, ["o_orderkey"])
+    return spark.read.schema(orders.schema).parquet(path).withColumn("n_appended", F.lit(n).cast("bigint"))
+
+
+def catalog_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lake's catalog read as a data source, with a filter on the table names."""
+    rows = lake_catalog.catalog(spark, lake_source(sf_dir))
+    return rows.where(F.col("table_name").isin(list(LAKE_TABLES))).select("database_name", "table_name")
+
+
+def lake_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lake's tables, listed by tasks."""
+    return lake_catalog.list_tables(spark, lake_source(sf_dir))
+
+
 def pairs_to_json_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _table(spark, sf_dir, "orders")
     return pairs_to_json(orders, ["o_custkey"], "o_orderpriority", "o_orderstatus", "o_orderkey", "priority_status")
@@ -209,4 +230,7 @@ QUERIES = {
     "insert_missing_bloom": insert_missing_bloom,
     "registry_missing_bucketed": registry_missing_bucketed,
     "pairs_to_json_segments": pairs_to_json_segments,
+    "catalog_source": catalog_source,
+    "lake_listing": lake_listing,
+    "append_counted": append_counted,
 }

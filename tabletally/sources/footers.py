@@ -17,7 +17,6 @@ import sys
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
-from urllib.parse import unquote, urlsplit
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -32,6 +31,7 @@ from ..functions.types import type_text
 from ..operators.pairs_json import entries_to_json
 from ..operators.type_merge import in_conflict, merged_type, type_facts
 from .lake import LakeTable, metadata_frame
+from .stores import open_store
 
 # functions for tasks are sent by value, so executors need no copy of the package
 cloudpickle.register_pickle_by_value(sys.modules["tabletally"])
@@ -97,36 +97,21 @@ def footer_columns(metadata) -> list[tuple[int, str, str]]:
     return [(i, name, kind) for i, (name, kind) in enumerate(fields, start=1)]
 
 
-def footer_reader():
-    """A function from a file's encoded URI to its footer, on any store Arrow knows; stores are opened once."""
-    from pyarrow import fs
+def footer_of(uri: str):
+    """The footer of the Parquet file at an encoded URI, on any store Arrow knows."""
     from pyarrow import parquet as pq
 
-    stores: dict[tuple[str, str], fs.FileSystem] = {}
-
-    def read(uri: str):
-        parts = urlsplit(uri)
-        store = stores.get((parts.scheme, parts.netloc))
-        if parts.scheme == "file":
-            store, path = store or fs.LocalFileSystem(), unquote(parts.path)
-        elif store is None:
-            store, path = fs.FileSystem.from_uri(uri)
-        else:
-            path = type(store).from_uri(uri)[1]
-        stores[parts.scheme, parts.netloc] = store
-        with store.open_input_file(path) as f:
-            return pq.read_metadata(f)
-
-    return read
+    store, path = open_store(uri)
+    with store.open_input_file(path) as f:
+        return pq.read_metadata(f)
 
 
 def read_footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Encoded file URIs -> rows of ``FOOTERS``."""
-    footer = footer_reader()
 
     def read(uri: str) -> tuple:
         try:
-            metadata = footer(uri)
+            metadata = footer_of(uri)
             return uri, metadata.num_rows, footer_columns(metadata), None
         except Exception as exc:  # noqa: BLE001 - the table goes to Spark's own reader
             return uri, None, None, f"{type(exc).__name__}: {exc}"
