@@ -5,8 +5,8 @@ asks for no data column (``ReadSchema: struct<>``), so Parquet/ORC answer
 from footers and row-group headers. Rows are counted per source file with a
 partial (map-side) aggregate, so only one row per file and task is
 shuffled; each file's count is then added to the table whose root path
-(its leading path components) holds it. Tables with no rows produce no group: the table list is left-joined and
-the gap filled with 0.
+(its leading path components) holds it. Tables with no rows produce no group:
+the table list takes part in that sum with zeros.
 """
 
 from __future__ import annotations
@@ -63,16 +63,18 @@ def _count_at_depth(
     per_file = scan.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    per_root = per_file.groupBy(
-        leading_components(uri_raw_path(F.col("file_path")), depth).alias("root")
-    ).agg(F.sum("n").alias("n"))
+    root = leading_components(uri_raw_path(F.col("file_path")), depth)
     names = metadata_frame(spark, [(t.root, database or t.database, t.name) for t in tables], schemas.ROOTS)
-    # The name list is a local relation, so the planner knows its size and
-    # chooses the join.
-    return names.join(per_root, "root", "left").select(
-        "database_name",
-        "table_name",
-        F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("row_count"),
+    # The names take part as rows that count 0: one aggregate brings names and
+    # files together, and tables without rows are there, too. No join.
+    counted = per_file.select(root.alias("root"), "n").unionByName(
+        names.withColumn("n", F.lit(0).cast("bigint")), allowMissingColumns=True
+    )
+    return (
+        counted.groupBy("root")
+        .agg(F.max("database_name").alias("database_name"), F.max("table_name").alias("table_name"), F.sum("n").alias("row_count"))
+        .where("table_name IS NOT NULL")
+        .select("database_name", "table_name", F.coalesce("row_count", F.lit(0).cast("bigint")).alias("row_count"))
     )
 
 

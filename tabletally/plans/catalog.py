@@ -15,6 +15,7 @@ from .. import schemas
 from ..operators.names import distinct_names
 from ..sources import jdbc, lake
 from ..sources.model import Source
+from ..sources.retry import with_retry
 from .jdbc_inventory import _database_column, _jdbc_databases, catalog_tables
 
 
@@ -24,7 +25,8 @@ def list_databases(spark: SparkSession, source: Source) -> DataFrame:
         names = [(db,) for db, _ in lake.list_lake_databases(spark, source)]
         return spark.createDataFrame(names, "database_name string")
     d = jdbc.dialect(source)
-    names = jdbc.read_query(spark, source, None, d.databases_sql(source))
+    # reading the schema already calls the server
+    names = with_retry(lambda: jdbc.read_query(spark, source, None, d.databases_sql(source)))
     return distinct_names(names, "database_name", jdbc.excluded_databases(source, d.excluded_databases))
 
 

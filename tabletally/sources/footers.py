@@ -166,16 +166,17 @@ def lake_footers(spark: SparkSession, tables: list[LakeTable], database: str | N
 
 def _footers_at_depth(spark: SparkSession, tables: list[LakeTable], depth: int, database: str | None) -> DataFrame:
     # a file belongs to the table whose root its path begins with
-    root = leading_components(uri_raw_path(F.col("file_path")), depth)
-    footers = file_footers(spark, tables).withColumn("root", root)
+    whole = uri_raw_path(F.col("file_path"))
+    root = leading_components(whole, depth)
+    footers = file_footers(spark, tables).withColumn("root", root).withColumn("below", F.substr(whole, F.length(root) + 1))
     # a first entry without a name carries the file itself, so that one pass counts files and columns
     whole_file = F.struct(F.lit(0).alias("pos"), F.lit(None).cast("string").alias("column_name"), F.lit(None).cast("string").alias("data_type"))
     entries = footers.select(
-        "root", "file_path", "n", "error",
+        "root", "file_path", "below", "n", "error",
         F.explode(F.concat(F.array(whole_file), F.coalesce("columns", F.array().cast(T.ArrayType(COLUMN))))).alias("c"),
-    ).select("root", "file_path", "n", "error", "c.*")
+    ).select("root", "file_path", "below", "n", "error", "c.*")
     is_file = F.col("column_name").isNull()
-    in_folder = uri_raw_path(F.col("file_path")).rlike("/[^/=]+=[^/]*/[^/]+$")
+    in_folder = F.col("below").rlike("^/[^/=]+=[^/]*/")
     # names that differ in case only are one column, as for Spark
     per_column = entries.groupBy("root", F.lower("column_name").alias("_column")).agg(
         F.min(F.struct("file_path", "pos")).alias("first"),
@@ -190,8 +191,12 @@ def _footers_at_depth(spark: SparkSession, tables: list[LakeTable], depth: int,
     merged = per_column.withColumn("data_type", merged_type()).withColumn(
         "conflict", F.when(in_conflict(), F.concat_ws(": ", "column_name", "types"))
     )
+    # the names take part as rows without a column, so that tables without files are there and no join is needed
+    names = metadata_frame(spark, [(t.root, database or t.database, t.name) for t in tables], schemas.ROOTS)
     named = F.col("column_name").isNotNull()
-    per_root = merged.groupBy("root").agg(
+    per_root = merged.unionByName(names, allowMissingColumns=True).groupBy("root").agg(
+        F.max("database_name").alias("database_name"),
+        F.max("table_name").alias("table_name"),
         F.sum("n_files").alias("n_files"),
         F.sum("n").alias("row_count"),
         F.sum("unread").alias("unread"),
@@ -200,15 +205,12 @@ def _footers_at_depth(spark: SparkSession, tables: list[LakeTable], depth: int,
         F.array_sort(F.collect_list(F.when(named, F.col("conflict")))).alias("conflicts"),
         entries_to_json("first", "column_name", "data_type").alias("table_schema"),
     )
-    names = metadata_frame(spark, [(t.root, database or t.database, t.name) for t in tables], schemas.ROOTS)
-    return names.join(per_root, "root", "left").select(
+    zero = F.lit(0).cast("bigint")
+    return per_root.where("table_name IS NOT NULL").select(
         "database_name", "table_name",
-        F.coalesce("n_files", F.lit(0)).alias("n_files"),
-        F.coalesce("row_count", F.lit(0)).alias("row_count"),
-        F.coalesce("table_schema", F.lit("{}")).alias("table_schema"),
-        F.coalesce("unread", F.lit(0)).alias("unread"), "error",
-        F.coalesce("partitioned", F.lit(False)).alias("partitioned"),
-        F.coalesce("conflicts", F.array().cast("array<string>")).alias("conflicts"),
+        F.coalesce("n_files", zero).alias("n_files"), F.coalesce("row_count", zero).alias("row_count"), "table_schema",
+        F.coalesce("unread", zero).alias("unread"), "error",
+        F.coalesce("partitioned", F.lit(False)).alias("partitioned"), "conflicts",
     )
 
 

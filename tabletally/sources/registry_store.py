@@ -1,4 +1,4 @@
-"""Where the registry lives: a Parquet folder or a JDBC table."""
+"""Where the registry lives: a Parquet folder, plain or in buckets, or a JDBC table."""
 
 from __future__ import annotations
 
@@ -8,14 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import schemas
 from . import jdbc
+from .bucketed import BucketedRegistry
 from .model import Source
 
 
 @dataclass(frozen=True)
 class RegistryTarget:
-    """Exactly one of ``path`` (Parquet folder) or ``source``+``table`` (JDBC)."""
+    """Exactly one of ``path`` (Parquet folder) or ``source``+``table`` (JDBC).
+
+    ``buckets`` keeps the folder in that many buckets of the key (see
+    ``bucketed``); it must stay the same for the life of the registry.
+    """
 
     path: str | None = None
+    buckets: int | None = None
     source: Source | None = None
     database: str | None = None
     table: str | None = None
@@ -25,6 +31,8 @@ class RegistryTarget:
             raise ValueError("give either a path or a JDBC source for the registry")
         if self.source is not None and not self.table:
             raise ValueError("a JDBC registry needs a table name")
+        if self.buckets is not None and (self.path is None or self.buckets < 1):
+            raise ValueError("only a registry in a folder has buckets, at least one")
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -40,6 +48,9 @@ def read_registry(spark: SparkSession, target: RegistryTarget, sources: list[str
     ``sources`` limits the read to those source names: a filter that Parquet
     answers from its statistics, and one read per source on a server.
     """
+    if target.buckets is not None:
+        df = BucketedRegistry(target.path, target.buckets).attach(spark)
+        return df if sources is None else df.where(df["source_name"].isin(list(sources)))
     if target.path is not None:
         if not path_exists(spark, target.path):
             return spark.createDataFrame([], schemas.REGISTRY)
@@ -53,7 +64,9 @@ def read_registry(spark: SparkSession, target: RegistryTarget, sources: list[str
 
 def append_registry(df: DataFrame, target: RegistryTarget, max_connections: int = 8) -> None:
     """Append rows; a JDBC registry gets at most ``max_connections`` inserting tasks."""
-    if target.path is not None:
+    if target.buckets is not None:
+        BucketedRegistry(target.path, target.buckets).append(df)
+    elif target.path is not None:
         df.write.mode("append").parquet(target.path)
     else:
         jdbc.write_table(

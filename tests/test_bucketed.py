@@ -56,3 +56,24 @@ def test_an_absent_registry_is_empty(spark, tmp_path):
         assert missing_entries(spark.createDataFrame(ROWS, schemas.INVENTORY), registry.attach(spark), "2024-01-01").count() == 50
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {registry.table}")
+
+
+def test_load_and_sync_into_a_bucketed_registry(spark, tmp_path):
+    from conftest import write_table
+
+    from tabletally.plans.registry import load_registry
+    from tabletally.plans.sync import sync_registry
+    from tabletally.sources.model import Source
+    from tabletally.sources.registry_store import RegistryTarget, read_registry
+
+    target = RegistryTarget(path=str(tmp_path / "r"), buckets=4)
+    assert load_registry(spark, spark.createDataFrame(ROWS[:20], schemas.INVENTORY), target, "2024-01-01") == 20
+    assert load_registry(spark, spark.createDataFrame(ROWS, schemas.INVENTORY), target, "2024-01-02", sources=["lake"]) == 30
+    assert load_registry(spark, spark.createDataFrame(ROWS, schemas.INVENTORY), target, "2024-01-03") == 0
+    root = str(tmp_path / "wh")
+    write_table(spark, root, "t", [(1,)], "id long")
+    src = Source("wh", "parquet", path=root)
+    assert [sync_registry(spark, [src], target, as_of="2024-01-04").inserted for _ in range(2)] == [1, 0]
+    assert read_registry(spark, target).count() == 51 and read_registry(spark, target, ["wh"]).count() == 1
+    with pytest.raises(ValueError):
+        RegistryTarget(path="x", buckets=0)

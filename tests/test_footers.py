@@ -95,6 +95,15 @@ def test_partition_folders_hidden_files_and_order(spark, tmp_path):
     assert got["u"] == (1, [("b", "bigint"), ("a", "string")])
 
 
+def test_a_table_folder_named_like_a_partition(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    spark.range(6).selectExpr("id", "id % 2 AS t").write.partitionBy("t").parquet(root)
+    facts = _facts(spark, root)
+    assert {t: (r["row_count"], r["table_schema"], r["partitioned"]) for t, r in facts.items()} == {
+        "t=0": (3, '{"id":"bigint"}', False), "t=1": (3, '{"id":"bigint"}', False)
+    }
+
+
 def test_files_of_different_types(spark, tmp_path):
     root = str(tmp_path / "lake")
     for name, kinds in {"wide": ("int", "long"), "clash": ("long", "string"), "nested": ("struct<x:int>", "struct<x:int,y:string>")}.items():
