@@ -3,19 +3,23 @@
 A page is read into *blocks*: runs of text within one block-level element,
 with the root-to-leaf tag path of that element (tags with their class names).
 Parts that HTML itself names as no article text (menus, footers, asides, forms,
-scripts, comments, adverts ...) are left out by tag, role or class name. Then:
+scripts, comments ...) are left out by tag or role. Class names and ids are a
+hint only: an element all of whose name's parts stand for such a part (an
+advert, a cookie notice, a left sidebar) is left out unless it holds the page's
+article or nearly all of its text. Then:
 
 1. Per tag path, text length and punctuation count are summed and divided by
    the number of its blocks: the text and punctuation ratios of the path.
+   Blocks that are mostly links take no part.
 2. Both ratio sequences, in page order, are smoothed with a Gaussian and fused
    by their product.
 3. Paths whose fused ratio reaches the threshold (a part of the mean over the
    page's text, so it needs no page-wide constant) are content paths.
 4. The smallest element that holds the blocks of all content paths is the
    content root: the article or main element around it, if there is one, and
-   never a single block. All its blocks are the text; blocks that are mostly
-   links are not. Where only the page's body holds them all, its divisions
-   without a content path are boilerplate.
+   never a single block. All its blocks are the text. Where only the page's body
+   holds them all, its divisions without a content path are boilerplate, and so
+   are blocks that are mostly links.
 """
 
 from __future__ import annotations
@@ -51,6 +55,12 @@ LEFT_OUT_NAMES = set(
     "promoted promotion related share sharing sidebar skip social sponsor sponsored subscribe subscription toolbar widget".split()
 )
 OUTSIDE_ARTICLE_NAMES = {"header", "masthead"}
+#: Parts of a name that say nothing about what the element is.
+NEUTRAL_NAMES = set(
+    "left right top bottom upper lower side site page main top outer inner box block container wrapper wrap list item items area "
+    "section panel group row col column content bar link links button buttons icons text small large sticky fixed "
+    "js div id class el module component".split()
+)
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 CONTAINERS = {"html", "body", "main", "article", "section", "div"}
 DIVISIONS = {"div", "section", "address", "details", "center"}
@@ -58,6 +68,16 @@ PUNCTUATION = re.compile(r"[.,;:!?¿¡…。，、；：！？]")
 KERNEL = [math.exp(-(d * d) / 2) for d in (-2, -1, 0, 1, 2)]
 THRESHOLD = 0.1  # of the text-weighted mean of the fused ratios
 MOST_LINKS = 0.6  # of a block's characters
+MOST_TEXT = 0.9  # of the page's characters: an element that holds as much is no boilerplate, whatever its name
+
+
+def names_boilerplate(names: list[str], known: set[str]) -> bool:
+    """Whether a class or id says, with all its parts, that the element is no article text."""
+    for name in names:
+        parts = [p for p in re.split(r"[^a-z]+", name) if p]
+        if any(p in known for p in parts) and all(p in known or p in NEUTRAL_NAMES for p in parts):
+            return True
+    return False
 
 
 @dataclass
@@ -67,6 +87,7 @@ class Element:
     left_out: bool
     block: bool
     number: int
+    suspect: bool = False  # by its name
 
 
 @dataclass
@@ -76,6 +97,7 @@ class Block:
     tag: str
     elements: tuple[int, ...]
     links: int
+    suspects: tuple[int, ...]  # the elements around it that their names speak against
 
 
 @dataclass
@@ -88,6 +110,9 @@ class Reader(HTMLParser):
     links: int = 0
     in_link: int = 0
     count: int = 0
+    #: suspect elements that hold an article, and those that stand in one
+    around_article: set[int] = field(default_factory=set)
+    in_article: set[int] = field(default_factory=set)
 
     def __post_init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -97,7 +122,7 @@ class Reader(HTMLParser):
         if text:
             self.blocks.append(Block(
                 text, "/".join(e.name for e in self.stack), self.stack[-1].tag if self.stack else "",
-                tuple(e.number for e in self.stack), self.links,
+                tuple(e.number for e in self.stack), self.links, tuple(e.number for e in self.stack if e.suspect),
             ))
         self.pieces, self.links = [], 0
 
@@ -125,17 +150,19 @@ class Reader(HTMLParser):
             return
         self.in_link += tag == "a"
         given = {k: v or "" for k, v in attrs}
-        names = set(re.split(r"[^a-z0-9]+", f"{given.get('class', '')} {given.get('id', '')}".lower())) - {""}
+        names = f"{given.get('class', '')} {given.get('id', '')}".lower().split()
         inside = any(e.tag in ("article", "main") for e in self.stack)
         left_out = (
             tag in LEFT_OUT_TAGS
             or given.get("role", "").lower() in LEFT_OUT_ROLES
             or "hidden" in given or given.get("aria-hidden") == "true"
             or re.search(r"display\s*:\s*none", given.get("style", "").lower()) is not None
-            or tag not in ("html", "body", "main") and bool(names & LEFT_OUT_NAMES)
-            or not inside and (tag == "header" or bool(names & OUTSIDE_ARTICLE_NAMES) and tag not in ("html", "body"))
+            or not inside and tag == "header"
         )
-        left_out = left_out or any(e.left_out and e.tag == tag for e in self.stack)
+        known = LEFT_OUT_NAMES if inside else LEFT_OUT_NAMES | OUTSIDE_ARTICLE_NAMES
+        suspect = tag not in ("html", "body", "main", "article") and names_boilerplate(names, known)
+        # within a block there is nothing to weigh the name against
+        left_out = left_out or suspect and tag not in ENDS_PARAGRAPH or any(e.left_out and e.tag == tag for e in self.stack)
         block = tag in ENDS_PARAGRAPH
         if not block and not left_out:
             return
@@ -146,7 +173,11 @@ class Reader(HTMLParser):
             self.close_open(SAME_KIND_ENDS.get(tag, set()))
             self.flush()
         self.count += 1
-        self.stack.append(Element(tag, ".".join([tag, *sorted(names)]), left_out, block, self.count))
+        if tag in ("article", "main"):
+            self.around_article.update(e.number for e in self.stack if e.suspect)
+        if suspect and inside:
+            self.in_article.add(self.count)
+        self.stack.append(Element(tag, ".".join([tag, *sorted(set(names))]), left_out, block, self.count, suspect))
 
     def handle_endtag(self, tag: str) -> None:
         if tag == "a":
@@ -167,6 +198,7 @@ class Reader(HTMLParser):
 
 
 def blocks_of(html: str) -> list[Block]:
+    """The blocks of a page, without those that their elements' names speak against."""
     for source in (html, html.replace("<![", "&lt;![")):
         reader = Reader()
         try:
@@ -175,7 +207,13 @@ def blocks_of(html: str) -> list[Block]:
         except AssertionError:  # a marked section that the parser does not know: read it as text
             continue
         reader.flush()
-        return reader.blocks
+        held: dict[int, int] = {}
+        for b in reader.blocks:
+            for number in b.suspects:
+                held[number] = held.get(number, 0) + len(b.text)
+        most = MOST_TEXT * sum(len(b.text) for b in reader.blocks)
+        cleared = reader.around_article | {n for n, size in held.items() if size >= most and n not in reader.in_article}
+        return [b for b in reader.blocks if cleared.issuperset(b.suspects)]
     return []
 
 
@@ -201,15 +239,17 @@ def content_paths(blocks: list[Block]) -> set[str]:
     fused = [t * (1 + p) for t, p in zip(text, point, strict=True)]
     total = sum(len(b.text) for b in blocks)
     mean = sum(f * len(b.text) for f, b in zip(fused, blocks, strict=True)) / total
-    best: dict[str, float] = {}
+    # a path's ratio is the mean over its blocks, so that one block beside a long paragraph does not lift it
+    sums: dict[str, float] = {}
     for b, f in zip(blocks, fused, strict=True):
-        best[b.path] = max(best.get(b.path, 0.0), f)
-    return {p for p, f in best.items() if f >= THRESHOLD * mean}
+        sums[b.path] = sums.get(b.path, 0.0) + f
+    return {p for p, f in sums.items() if f >= THRESHOLD * mean * number[p]}
 
 
 def main_text(html: str) -> str:
     """The main text of one page: its content blocks in page order, joined by an empty line."""
-    blocks = [b for b in blocks_of(html) if b.links <= MOST_LINKS * len("".join(b.text.split()))]
+    every = blocks_of(html)
+    blocks = [b for b in every if b.links <= MOST_LINKS * len("".join(b.text.split()))]
     if not blocks:
         return ""
     paths = content_paths(blocks)
@@ -224,8 +264,10 @@ def main_text(html: str) -> str:
         depth = common
         while depth and (tags[depth - 1] not in CONTAINERS or all(len(b.elements) == depth for b in blocks if b.elements[:depth] == low[:depth])):
             depth -= 1
-    kept = [b for b in blocks if b.elements[:depth] == low[:depth]]
-    if not depth or tags[depth - 1] in ("html", "body"):
+    if depth and tags[depth - 1] not in ("html", "body"):
+        kept = [b for b in every if b.elements[:depth] == low[:depth]]
+    else:
+        kept = [b for b in blocks if b.elements[:depth] == low[:depth]]
         holding = {b.elements[depth] for b in content if len(b.elements) > depth}
         kept = [
             b for b in kept if b.tag in HEADINGS or len(b.elements) <= depth or b.elements[depth] in holding

@@ -90,3 +90,29 @@ def test_odd_pages(spark):
     assert got[5].endswith("a, b.") and got[6] == "" and got[7] == "éé&bogus;" and got[8] == "" and got[9] == "deep, text."
     assert got[10] == ("word, " * 50_000).strip() and got[11] == ""
     assert htmltext.extract(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<body><nav>Menu</nav><article class='post social-science'><p>{TEXT}</p></article></body>", TEXT.replace("\n\n", " ")),
+    (f"<body><div class='no-sidebar'><div class='story'><h1>T</h1><p>{LONG}</p><p>{LONG}</p></div></div></body>", f"T\n\n{LONG.strip()}\n\n{LONG.strip()}"),
+    (f"<body><div class='widget'><article><p>{LONG}</p></article></div><div class='widget'>Buy, now.</div></body>", LONG.strip()),
+    (f"<body><div class='sidebar-box'><p>{LONG}</p><p>{LONG}</p></div></body>", f"{LONG.strip()}\n\n{LONG.strip()}"),
+    (f"<article><p>{LONG}</p><section id='share-prices'><h2>Share prices</h2><p>They rose, a bit.</p></section></article>",
+     f"{LONG.strip()}\n\nShare prices\n\nThey rose, a bit."),
+    (f"<article><p>{LONG}</p><p><a href='/s'>The source of all this</a></p><ul><li><a href='/r'>First, a reference</a></ul></article>",
+     f"{LONG.strip()}\n\nThe source of all this\n\nFirst, a reference"),
+    (f"<article><p>Short, but it is the text.</p><div class='comments'><p>{LONG}</p><p>{LONG}</p></div></article>", "Short, but it is the text."),
+])
+def test_names_are_only_a_hint(page, text):
+    assert htmltext.main_text(page) == text
+
+
+def test_the_ratios_choose_the_content(monkeypatch):
+    """Pages without an article: without the ratios the result is another one."""
+    story = f"<div><h1>Title</h1><p>{LONG}</p><p>Short, and to the point.</p></div>"
+    around = "<div><ul><li>News, today.</li><li>Sport, music.</li></ul></div>"
+    page = f"<body>{around}{story}{around}</body>"
+    expected = f"Title\n\n{LONG.strip()}\n\nShort, and to the point."
+    assert htmltext.main_text(page) == expected
+    monkeypatch.setattr(htmltext, "content_paths", lambda blocks: {b.path for b in blocks})
+    assert htmltext.main_text(page) != expected
