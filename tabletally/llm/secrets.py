@@ -14,8 +14,9 @@ DataFrame and SQL operations (with the DataFrame API's random forest) only.
 3. Labelled findings train the forest. Where the caller has none, labelling
    rules name the sure cases: provider formats and assignments to
    secret-like names are secrets; addresses, numbers, versions and dictionary
-   words are not. Everything else is left for the forest to judge, and the
-   rules' outcome is no feature. At most ``sample`` labelled findings per class
+   words are not. Everything else is left for the forest to judge. Neither the
+   rules' outcome nor whether a value is assigned is a feature, and a labelled
+   finding's neighbours are judged by findings of other values. At most ``sample`` labelled findings per class
    train it, those of least hash: a documented bound of the training set.
 4. All candidates are judged by the forest.
 """
@@ -25,10 +26,10 @@ from __future__ import annotations
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, reliable, table
+from .common import WORD, free_name, reliable, table
 
 #: What a candidate is.
 RUN = r"[A-Za-z0-9_+/=.@:~-]{8,}"
@@ -59,8 +60,10 @@ FEATURES = (
     "length", "distinct", "digits", "upper", "lower", "longest_letters",
     "lu", "ld", "ul", "ud", "dl", "du", "coverage",
     "slashes", "dots", "ats", "path_depth", "path_test",
-    "assigned", "quoted", "before_odds", "after_odds",
+    "quoted", "before_odds", "after_odds",
 )
+#: Parts of the labelled findings, by value: a finding's neighbours are judged by the other parts.
+FOLDS = 5
 
 
 def may_hold(text: Column) -> Column:
@@ -175,12 +178,27 @@ def rule_label() -> Column:
     return F.when(formats, 1).when(value.rlike("|".join(ORDINARY)) | worded & ~named, 0).when(assigned & ~worded, 1)
 
 
+def fold() -> Column:
+    return F.pmod(F.xxhash64("value"), F.lit(FOLDS))
+
+
 def odds(labelled: DataFrame, column: str, prior: float = 5.0) -> DataFrame:
-    """(word, log odds of standing at a secret, against those of all findings), shrunk by 2 ``prior`` imagined usual findings."""
+    """(word, odds_fold, log odds of standing at a secret, against those of all findings), shrunk by 2 ``prior`` imagined usual findings.
+
+    The row of fold f leaves the findings of that part out, so that a finding's
+    own label says nothing about it; fold -1 counts all, for unlabelled rows.
+    """
     n, secret = labelled.agg(F.count(F.lit(1)), F.sum("label")).first()
     usual = secret / n
-    positive, negative = F.sum("label") + 2 * prior * usual, F.sum(1 - F.col("label")) + 2 * prior * (1 - usual)
-    return labelled.groupBy(column).agg((F.log(positive / negative) - F.log(F.lit(usual / (1 - usual)))).alias(f"{column}_odds"))
+    by_fold = labelled.groupBy(column, fold().alias("odds_fold")).agg(F.sum("label").alias("s"), F.count(F.lit(1)).alias("n"))
+    # a word has at most FOLDS rows
+    word = Window.partitionBy(column)
+    rest = by_fold.select(column, "odds_fold", (F.sum("s").over(word) - F.col("s")).alias("s"), (F.sum("n").over(word) - F.col("n")).alias("n"))
+    whole = by_fold.groupBy(column).agg(F.lit(-1).cast("long").alias("odds_fold"), F.sum("s").alias("s"), F.sum("n").alias("n"))
+    positive, negative = F.col("s") + 2 * prior * usual, F.col("n") - F.col("s") + 2 * prior * (1 - usual)
+    return rest.unionByName(whole).select(
+        column, "odds_fold", (F.log(positive / negative) - F.log(F.lit(usual / (1 - usual)))).alias(f"{column}_odds")
+    )
 
 
 def scan(
@@ -203,7 +221,9 @@ def scan(
     if findings is None:
         rows = rows.withColumn("label", rule_label().cast("double"))
     else:
-        given = findings.select("value", "before", "after", F.col("label").cast("double").alias("label")).distinct()
+        # findings that say both of one value and place follow the majority; a tie is no label
+        said = F.avg(F.col("label").cast("double"))
+        given = findings.groupBy("value", "before", "after").agg(F.when(said > 0.5, 1.0).when(said < 0.5, 0.0).alias("label"))
         rows = rows.join(given, ["value", "before", "after"], "left")
     rows = reliable(rows)
 
@@ -222,7 +242,8 @@ def scan(
 
     def with_neighbours(part: DataFrame) -> DataFrame:
         for column, table_of in sides.items():
-            part = part.join(table_of, column, "left").na.fill(0.0, [f"{column}_odds"])
+            own = F.when(F.col("label").isNull(), F.lit(-1).cast("long")).otherwise(fold())
+            part = part.withColumn("odds_fold", own).join(table_of, [column, "odds_fold"], "left").na.fill(0.0, [f"{column}_odds"])
         return part
 
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
@@ -242,17 +263,20 @@ def redact(df: DataFrame, key: str = "doc_id", text: str = "text", path: str | N
     """``df`` with every secret that the scan finds replaced by ``mark`` in its text; no row is dropped.
 
     A secret is replaced wherever it stands in a text of its key. Texts without
-    candidates do not take part in any shuffle.
+    candidates do not take part in any shuffle. Null and empty texts, null keys,
+    repeated rows and empty tables come out as they are; other columns may have
+    any name.
     """
+    of, values = free_name(df, "_of"), free_name(df, "_secrets")
     secrets = (
         scan(df, key, text, path, **options).where("is_secret = 1")
-        .groupBy(F.col(key).alias("_of")).agg(F.array_sort(F.collect_set("value"), longest_first).alias("_secrets"))
+        .groupBy(F.col(key).alias(of)).agg(F.array_sort(F.collect_set("value"), longest_first).alias(values))
     )
     secrets = reliable(secrets)
     may = F.coalesce(may_hold(F.col(text)), F.lit(False))
-    cleaned = F.aggregate(F.coalesce("_secrets", F.array().cast("array<string>")), F.col(text), lambda t, s: F.replace(t, s, F.lit(mark)))
+    cleaned = F.aggregate(F.coalesce(values, F.array().cast("array<string>")), F.col(text), lambda t, s: F.replace(t, s, F.lit(mark)))
     columns = [cleaned.alias(c) if c == text else F.col(f"`{c}`") for c in df.columns]
-    changed = df.where(may).join(secrets, F.col(key).eqNullSafe(F.col("_of")), "left").select(*columns)
+    changed = df.where(may).join(secrets, F.col(key).eqNullSafe(F.col(of)), "left").select(*columns)
     return df.where(~may).unionByName(changed)
 
 
