@@ -19,6 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +31,8 @@ STATISTICS = (
     "top_word", "twice", "distinct", "line_length", "other_letters",
 )
 CLIP = 4.0  # standard deviations
-SUM_TASKS = 32  # partitions of the normal equations
+#: Parts that the partitions' sums of a matrix row are added up in before they are added together.
+SUM_PARTS = 64
 BIN = 0.0025
 #: Pseudo-counts that each calibration bin block starts from, at the base rate.
 PRIOR = 2.0
@@ -65,7 +67,7 @@ class Features:
 
 
 def normal_equations(rows: DataFrame, features: Features) -> tuple[np.ndarray, np.ndarray]:
-    """Sum of z z' and z y over all rows: partition sums, then one small group per matrix row."""
+    """Sum of z z' and z y over all rows: partition sums, added row by row of the matrix, in parts first."""
     size = len(features.phases) + 1
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -73,13 +75,14 @@ def normal_equations(rows: DataFrame, features: Features) -> tuple[np.ndarray, n
         for batch in batches:
             z = features.of(batch[list(STATISTICS)].to_numpy(float))
             total += z.T @ np.column_stack([z, batch["label"].to_numpy(float)])
-        yield pd.DataFrame({"i": np.arange(size), "sums": list(total)})
+        yield pd.DataFrame({"i": np.arange(size), "part": TaskContext.get().partitionId() % SUM_PARTS, "sums": list(total)})
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"i": group["i"].iloc[:1], "sums": [np.sum(group["sums"].tolist(), axis=0)]})
+        return pd.DataFrame({"i": group["i"].iloc[:1], "part": 0, "sums": [np.sum(group["sums"].tolist(), axis=0)]})
 
-    schema = "i long, sums array<double>"
-    summed = rows.repartition(SUM_TASKS).mapInPandas(partial, schema).groupBy("i").applyInPandas(add, schema).collect()
+    schema = "i long, part long, sums array<double>"
+    parts = rows.mapInPandas(partial, schema).groupBy("i", "part").applyInPandas(add, schema)
+    summed = parts.groupBy("i").applyInPandas(add, schema).collect()
     matrix = np.zeros((size, size + 1))
     for r in summed:
         matrix[r.i] = r.sums
