@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import re
 import sys
+import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -22,21 +23,24 @@ SHOWN = {
     "their hash partitioning: two exchanges in all.",
     "pairs_to_json_by_customer": "Per (group, key) first with partial aggregates, then one "
     "entry per distinct key collected per group.",
+    "insert_missing_bloom": "Rows that the target's Bloom filter rules out pass without an exchange; "
+    "the rest join the candidates of the target. The filters are the only broadcasts with a hint (at most 64 MB).",
+    "registry_missing_bucketed": "No exchange above the registry's bucketed scan.",
+    "pairs_to_json_segments": "Distinct keys dealt by ranges (checkpointed), ranked by partition, cut into segments.",
     "registry_missing": "Inventory (a local relation, one row per table) anti-joined with the registry keys.",
 }
 
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = local_session(8)
+    spark = local_session(8, checkpoint_dir=tempfile.mkdtemp(prefix="plans-"))
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     out = [
         "# Physical plans",
         "",
         "Generated by `python scripts/show_plans.py` on sf0.01 with AQE and automatic",
-        "broadcasts off, i.e. as planned for tables too big to broadcast. There are no",
-        "broadcast hints.",
+        "broadcasts off, i.e. as planned for tables too big to broadcast.",
         "",
     ]
     for name, why in SHOWN.items():
