@@ -9,9 +9,8 @@ every neighbouring pair of tokens is: merging the symbols of the two by rank
 gives the two back. So the encoding of a prefix is known by its *last token*
 alone: among the tokens that end the prefix, it is the one that fits the last
 token of the shorter prefix before it. That state depends on the prefix only.
-The distinct words of a block go into a trie with string edges; one depth-first
-walk carries the last-token states down, so a prefix that many words share is
-encoded once. At a word's end the same rule picks the closing ``</w>`` token,
+The distinct words of a block go into a trie; one depth-first walk carries the
+last-token states down, so a prefix that many words share is encoded once. At a word's end the same rule picks the closing ``</w>`` token,
 and the chain of states read backwards is the encoding.
 """
 
@@ -23,6 +22,7 @@ from collections.abc import Callable, Iterable
 from itertools import chain
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -31,8 +31,10 @@ from pyspark.sql.types import BinaryType, LongType, StringType, StructType
 
 from .common import table, with_text_columns
 
-#: Where the public tokenizer files are, unless a caller says otherwise.
-TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
+#: The public tokenizer's file, unless a caller names another.
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+#: Fitting and unfitting pairs that a worker remembers.
+PAIRS_KEPT = 1 << 20
 END = "</w>"
 #: Fixed value: the file's word pattern.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -65,6 +67,15 @@ class WordEncoder:
         self.inner = suffix_trie({t: i for t, i in whole.items() if not t.endswith(END)})
         self.closing = suffix_trie({t[: -len(END)]: i for t, i in whole.items() if t.endswith(END)})
 
+    @classmethod
+    def of(cls, state: dict) -> WordEncoder:
+        """An encoder from the plain tables of another one; the memo tables of ``state`` are used and filled."""
+        encoder = cls.__new__(cls)
+        encoder.__dict__ = state
+        if len(encoder.fits) > PAIRS_KEPT:
+            encoder.fits.clear()
+        return encoder
+
     def split(self, token: str) -> list[str]:
         if token.endswith(END):
             return [*token[: -len(END) - 1], token[-len(END) - 1 :]]
@@ -111,9 +122,9 @@ class WordEncoder:
             else:
                 j += 1
 
-    def last_token(self, path: str, last: list[int], suffixes: dict) -> int:
-        """The last token of the encoding of ``path``; last[i] is that of its first i symbols."""
-        at, fits = len(path), self.fits
+    def last_token(self, path: str, at: int, last: list[int], suffixes: dict) -> int:
+        """The last token of the encoding of the first ``at`` symbols; last[i] is that of the first i."""
+        fits = self.fits
         while at:
             at -= 1
             entry = suffixes.get(path[at])
@@ -132,33 +143,32 @@ class WordEncoder:
         raise ValueError(f"no encoding of {path!r}")  # every byte is a token, so this cannot be
 
     def encode_words(self, words: Iterable[str]) -> dict[str, list[int]]:
-        """Encodes distinct words by one walk over their trie."""
-        trie: dict = {}
-        symbols = self.symbols
-        for word in words:
-            insert(trie, "".join([symbols[b] for b in word.encode()]), word)
+        """Encodes distinct words by one walk over their trie.
+
+        The words are inserted in the order of their symbols, which is the
+        depth-first order of the trie: only the path to the last word is kept,
+        with the states of its nodes, and a word adds the nodes below the
+        prefix that it shares with the one before.
+        """
+        symbols, inner, tokens = self.symbols, self.inner, self.tokens
         found: dict[str, list[int]] = {}
-        path, last, steps = "", [-1], []  # steps[i]: length of the last token of the first i + 1 symbols
-        todo = [("", trie, 0)]
-        while todo:
-            label, node, depth = todo.pop()
-            path = path[:depth]
-            del last[depth + 1 :], steps[depth:]
-            for symbol in label:
-                path += symbol
-                token = self.last_token(path, last, self.inner)
+        before, last, steps = "", [-1], []  # steps[i]: length of the last token of the first i + 1 symbols
+        for path, word in sorted(("".join([symbols[b] for b in word.encode()]), word) for word in words):
+            shared, most = 0, min(len(before), len(path))
+            while shared < most and before[shared] == path[shared]:
+                shared += 1
+            del last[shared + 1 :], steps[shared:]
+            for at in range(shared + 1, len(path) + 1):
+                token = self.last_token(path, at, last, inner)
                 last.append(token)
-                steps.append(len(self.tokens[token]))
-            for first, edge in node.items():
-                if first == "":
-                    found[edge] = self.close(path, last, steps)
-                else:
-                    todo.append((*edge, len(path)))
+                steps.append(len(tokens[token]))
+            found[word] = self.close(path, last, steps)
+            before = path
         return found
 
     def close(self, path: str, last: list[int], steps: list[int]) -> list[int]:
         """The encoding of the whole word ``path``: its closing token, then the states read backwards."""
-        closing = self.last_token(path, last, self.closing)
+        closing = self.last_token(path, len(path), last, self.closing)
         out, at = [closing], len(path) - (len(self.tokens[closing]) - len(END))
         while at:
             out.append(last[at])
@@ -178,24 +188,6 @@ def suffix_trie(tokens: dict[str, int]) -> dict:
     return root
 
 
-def insert(node: dict, key: str, word: str) -> None:
-    """Adds ``key`` to a trie with string edges: node[first symbol] = (edge label, child); node[""] = word."""
-    while key:
-        edge = node.get(key[0])
-        if edge is None:
-            node[key[0]] = (key, {"": word})
-            return
-        label, child = edge
-        shared = 1
-        while shared < min(len(label), len(key)) and label[shared] == key[shared]:
-            shared += 1
-        if shared < len(label):
-            child = {label[shared]: (label[shared:], child)}
-            node[key[0]] = (label[:shared], child)
-        node, key = child, key[shared:]
-    node[""] = word
-
-
 def normalised(text: str) -> str:
     """NFC, then lower case letter by letter (a final sigma is no exception)."""
     if not unicodedata.is_normalized("NFC", text):
@@ -206,48 +198,56 @@ def normalised(text: str) -> str:
 OUTPUTS = StructType().add("bpe_ids", BinaryType()).add("bpe_count", LongType()).add("bpe_text", StringType())
 
 
-def encode_decode(df: DataFrame, text: str = "text", tokenizer: str = TOKENIZER, known_words: int = 200_000,
+def encode_decode(df: DataFrame, text: str = "text", tokenizer: str = TOKENIZER, known_words: int = 400_000,
                   keep: list[str] | None = None) -> DataFrame:
     """Adds ``bpe_ids`` (ids as packed little-endian unsigned 32-bit integers),
     ``bpe_count`` and ``bpe_text`` (the ids decoded again, special tokens kept).
 
-    The tokenizer file is read on the driver and broadcast (its size is fixed).
-    A task remembers the encodings of at most about ``known_words`` distinct
-    words and then starts afresh, which changes its memory and never a result.
+    The tokenizer file is read on the driver, which checks its vocabulary and
+    broadcasts the tables (their size is the file's). A worker remembers, from
+    task to task, the encodings of at most about ``known_words`` distinct words
+    and then starts afresh, which changes its memory and never a result.
 
     Defined cases: a null or empty text has no ids and decodes to the empty
     text; a word of any length is encoded whole; special tokens written in a
     text get their ids, as in the library.
     """
     with open(tokenizer, encoding="utf-8") as f:
-        spec = df.sparkSession.sparkContext.broadcast(json.load(f))
+        tables = vars(WordEncoder(json.load(f)))
+    # plain dicts: a worker unpickles them once and keeps them, so what a task adds to a memo serves the next one
+    sent = df.sparkSession.sparkContext.broadcast(tables | {"known": {}})
 
     def make() -> Callable[[list[str]], list]:
-        encoder = WordEncoder(spec.value)
+        encoder = WordEncoder.of(sent.value)
         pattern, specials = regex.compile(WORDS), regex.compile("(" + "|".join(map(regex.escape, encoder.specials)) + ")")
-        known: dict[str, bytes] = {}
+        known: dict[str, tuple[bytes, str]] = sent.value["known"]  # the packed ids and the text they decode to
         tokens = encoder.tokens
 
-        def pack(ids: list[int]) -> bytes:
-            return np.asarray(ids, "<u4").tobytes()
+        def learn(encoded: dict[str, list[int]]) -> None:
+            packed = np.fromiter(chain.from_iterable(encoded.values()), "<u4").tobytes()
+            at = 0
+            for word, ids in encoded.items():
+                end = at + 4 * len(ids)
+                known[word] = packed[at:end], " ".join([tokens[i] for i in ids])
+                at = end
 
         def work(texts: list[str]) -> list:
             if len(known) > known_words:
                 known.clear()
-                known.update((s, pack([i])) for s, i in encoder.specials.items())
+            learn({s: [i] for s, i in encoder.specials.items()})
             docs = [
                 list(chain.from_iterable(
                     [part] if k % 2 else pattern.findall(normalised(part)) for k, part in enumerate(specials.split(text))
-                ))
+                )) if any(s in text for s in encoder.specials) else pattern.findall(normalised(text))
                 for text in texts
             ]
             fresh = set(chain.from_iterable(docs)) - known.keys()
-            known.update((w, pack(ids)) for w, ids in encoder.encode_words(fresh).items())
-            packed = [b"".join([known[w] for w in words]) for words in docs]
-            decoded = [" ".join([tokens[i] for i in np.frombuffer(ids, "<u4").tolist()]) for ids in packed]
+            learn(encoder.encode_words(fresh))
+            found = [[known[w] for w in words] for words in docs]
+            packed = [b"".join([ids for ids, _ in words]) for words in found]
+            decoded = [" ".join([word for _, word in words]) for words in found]
             return [pa.array(packed, pa.binary()), [len(p) // 4 for p in packed], decoded]
 
-        known.update((s, pack([i])) for s, i in encoder.specials.items())
         return work
 
     return with_text_columns(df, text, OUTPUTS, make, keep)
