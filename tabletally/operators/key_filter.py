@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import any_null
+from ..session import kept
 from .insert_missing import missing_rows
 
 #: Filter bits a key is given, bits it sets, words in a row of the filter.
@@ -78,21 +79,23 @@ def missing_rows_filtered(
 ) -> DataFrame:
     """``missing_rows`` for a batch with one row per key, with filters before the shuffle.
 
-    Rows with a null key are left out, as there. Both sides are read more than
-    once, by their keys alone but for the last time.
+    Rows with a null key are left out, as there. The target's keys are read three
+    times (count, filter, join), the batch's three times and its rows once; each
+    filter is built once.
     """
     name = "_maybe_known"
     while name in batch.columns:
         name = "_" + name
     n_target = target.where(~any_null(keys)).count()
     rows = filter_rows(n_target, most_bytes)
-    flagged = with_maybe(batch.where(~any_null(keys)), keys, key_filter(target.select(*keys), keys, rows), rows, name)
+    bloom = kept(key_filter(target.select(*keys), keys, rows))
+    flagged = with_maybe(batch.where(~any_null(keys)), keys, bloom, rows, name)
     certain = flagged.where(~F.col(name)).drop(name)
     open_ones = flagged.where(F.col(name)).drop(name)
     n_open = open_ones.select(*keys).count()
     if not n_open:
         return certain
     back = filter_rows(n_open, most_bytes)
-    wanted = with_maybe(target.select(*keys), keys, key_filter(open_ones.select(*keys), keys, back), back, name)
+    wanted = with_maybe(target.select(*keys), keys, kept(key_filter(open_ones.select(*keys), keys, back)), back, name)
     candidates = wanted.where(F.col(name)).drop(name)
     return certain.unionByName(missing_rows(open_ones, candidates.distinct(), keys, unique=True))
