@@ -21,7 +21,7 @@ from ..operators.names import catalog_names, distinct_names
 from ..operators.pairs_json import pairs_to_json
 from ..operators.segments import pairs_to_json_segments as segments
 from ..operators.type_merge import merge_types
-from ..session import scratch_folder
+from ..session import kept, scratch_folder
 from ..sources import lake, lake_catalog
 from ..sources.bucketed import BucketedRegistry
 from ..sources.counted_sink import insert_missing_counted
@@ -174,7 +174,7 @@ def insert_missing_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry_missing_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``registry_missing`` against a registry that is stored in buckets of its key."""
-    inv = inventory(spark, sf_dir)
+    inv = kept(inventory(spark, sf_dir))  # see load_registry
     registry = BucketedRegistry(scratch_folder(spark, "registry"), buckets=8)
     registry.append(_registry_fixture(inv))
     return missing_entries(inv, registry.attach(spark), AS_OF, unique=True)

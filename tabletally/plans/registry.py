@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.columns import as_of_date
 from ..operators.insert_missing import missing_rows, refuse_null_keys, write_if_any
+from ..session import kept
 from ..sources.registry_store import RegistryTarget, append_registry, read_registry
 from ..sources.retry import with_retry
 
@@ -79,6 +80,10 @@ def load_registry(
     not appended twice. Retrying only the write could duplicate them.
     """
 
+    if target.buckets is not None:
+        # a source's name and kind are constants, which the optimizer would take out of the join's keys;
+        # the buckets only serve a join on all of them. One row per table is kept.
+        inventory = kept(inventory.select(*schemas.INVENTORY_COLUMNS))
     refuse_null_keys(inventory, schemas.KEYS)
 
     def once() -> int:

@@ -45,6 +45,24 @@ def test_the_registry_is_not_shuffled(spark, registry):
         assert not any("Exchange" in line for line in above), plan
 
 
+def test_the_registered_query_does_not_shuffle_the_registry(spark):
+    """Its inventory has constant key columns, which must not leave the join's keys."""
+    from conftest import SF_SMALL
+
+    from tabletally.plans.queries import registry_missing_bucketed
+
+    with big_data_planning(spark):
+        lines = _plan(registry_missing_bucketed(spark, SF_SMALL)).splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    scan = next(i for i, line in enumerate(lines) if "FileScan parquet" in line)
+    assert "Bucketed: true" in lines[scan]
+    at = depth(lines[scan])
+    for line in reversed(lines[:scan]):
+        if depth(line) < at:
+            assert "Exchange" not in line
+            at = depth(line)
+
+
 def test_attached_again_by_path(spark, registry):
     spark.sql(f"DROP TABLE {registry.table}")  # as a new session would find it: files without a table
     assert BucketedRegistry(registry.path, buckets=4).attach(spark).count() == 30
